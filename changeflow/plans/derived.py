@@ -74,7 +74,7 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENVELOPES_SQL = """env AS (
-  SELECT *, o_orderkey % 4 AS kind, epoch_ms(o_orderdate) AS ts_ms,
+  SELECT *, o_orderkey % 4 AS kind, epoch_us(o_orderdate) // 1000 AS ts_ms,
          'd' || (o_custkey % 2) AS db FROM orders)"""
 
 EVENT_ITEM = "event_id bigint, user_id bigint, event_type string, value double, ts_ms bigint"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +56,18 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path nobody has written to, inside the shared folder."""
     return f"{shared_dir(spark)}/changeflow/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per session.
+
+    Only the operators that run Python in tasks need it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_changeflow_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    base = tempfile.mkdtemp(prefix="changeflow-package-")
+    archive = shutil.make_archive(f"{base}/changeflow", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._changeflow_shipped = True
