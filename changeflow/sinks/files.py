@@ -17,9 +17,14 @@ from changeflow.operators.changelog import BEFORE, compact
 from changeflow.operators.placement import with_shard
 
 
-def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of a partition value together, but never a hot value on one task."""
-    return df.hint("rebalance", *[F.col(c) for c in columns])
+def rebalanced(df: DataFrame, columns: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Rows of a partition value together, but never a hot value on one task.
+
+    With ``tasks`` rows are hashed over that many tasks instead, which suits
+    many small partitions that are known to be even.
+    """
+    keys = [F.col(c) for c in columns]
+    return df.repartition(tasks, *keys) if tasks else df.hint("rebalance", *keys)
 
 
 def partition_names(spec: str) -> list[str]:
@@ -33,7 +38,7 @@ def partition_names(spec: str) -> list[str]:
 
 def write_partitioned(df: DataFrame, path: str, spec: str | Sequence[str],
                       static: Mapping[str, object] | None = None, mode: str = "append",
-                      max_records: int = 0) -> None:
+                      max_records: int = 0, tasks: int | None = None) -> None:
     """Write by partition columns, which go last and leave the value columns.
 
     ``static`` sets a partition column to one literal. ``mode='overwrite'``
@@ -44,15 +49,17 @@ def write_partitioned(df: DataFrame, path: str, spec: str | Sequence[str],
         df = df.withColumns({c: F.lit(v) for c, v in static.items()})
         columns += [c for c in static if c not in columns]
     values = [c for c in df.columns if c not in columns]
-    writer = rebalanced(df.select(*values, *columns), columns).write.mode(mode)
+    writer = rebalanced(df.select(*values, *columns), columns, tasks).write.mode(mode)
     (writer.option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records)
      .partitionBy(*columns).parquet(path))
 
 
 def write_time_partitioned(df: DataFrame, path: str, ms_col: str, zone: str = "UTC",
-                           day: str = "dt", hour: str = "hr", mode: str = "append") -> None:
+                           day: str = "dt", hour: str = "hr", mode: str = "append",
+                           tasks: int | None = None) -> None:
     """Write by the day and hour of an epoch-ms column; finishes with ``_SUCCESS``."""
-    write_partitioned(with_time_parts(df, ms_col, zone, day, hour), path, [day, hour], mode=mode)
+    write_partitioned(with_time_parts(df, ms_col, zone, day, hour), path, [day, hour], mode=mode,
+                      tasks=tasks)
 
 
 def write_sharded(df: DataFrame, path: str, strategy: str, n: int, key: str | None = None,
@@ -100,8 +107,14 @@ def any_null(columns: Sequence[str]) -> Column:
 
 def insert(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """Insert by position; overwriting replaces the partitions the rows touch."""
-    writer = df.write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table, overwrite=overwrite)
+    # inserts by position take the overwrite mode from the session only
+    setting, conf = "spark.sql.sources.partitionOverwriteMode", df.sparkSession.conf
+    before = conf.get(setting)
+    conf.set(setting, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=overwrite)
+    finally:
+        conf.set(setting, before)
 
 
 def routed(df: DataFrame, prefix: str, db: str = "dbName", table: str = "tableName",

@@ -31,13 +31,13 @@ def judge(df: DataFrame, columns: Mapping[str, str] | None = None,
 def write_with_quarantine(df: DataFrame, path: str, columns: Mapping[str, str] | None = None,
                           rules: Mapping[str, Column] | None = None,
                           on_failure: Callable[[DataFrame], object] | None = None) -> None:
-    """Write good rows and bad rows in one pass, in folders ``is_bad=...``.
+    """Write good rows and bad rows in one pass, in folders ``is_bad=0`` and ``is_bad=1``.
 
     Rows keep their raw values; :func:`good_rows` applies the types on reading.
     ``on_failure`` then gets the bad rows, if there are any.
     """
     judged = judge(df, columns, rules)
-    (judged.withColumn("is_bad", F.col(REASON).isNotNull())
+    (judged.withColumn("is_bad", F.col(REASON).isNotNull().cast("int"))
      .write.mode("append").partitionBy("is_bad").parquet(path))
     if on_failure is not None:
         bad = bad_rows(df.sparkSession, path)
@@ -47,7 +47,7 @@ def write_with_quarantine(df: DataFrame, path: str, columns: Mapping[str, str] |
 
 def good_rows(spark: SparkSession, path: str,
               columns: Mapping[str, str] | None = None) -> DataFrame:
-    rows = spark.read.parquet(path).where(~F.col("is_bad")).drop(REASON, "is_bad")
+    rows = spark.read.parquet(path).where("is_bad = 0").drop(REASON, "is_bad")
     if not columns:
         return rows
     others = [c for c in rows.columns if c not in columns]
@@ -56,7 +56,7 @@ def good_rows(spark: SparkSession, path: str,
 
 
 def bad_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("is_bad")).drop("is_bad")
+    return spark.read.parquet(path).where("is_bad = 1").drop("is_bad")
 
 
 def raise_on_failure(bad: DataFrame) -> None:

@@ -21,8 +21,9 @@ BASES = "upto long"
 class Ledger:
     """Sums of ``measures`` per key, kept as increments.
 
-    ``part`` is the key column the files are partitioned by, for reading only
-    the part of the history a batch can touch.
+    Rows are stored sorted by the key column ``part``, so that a filter on it
+    skips the row groups of history a batch cannot touch. A folder per value
+    would make a file per value and batch.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[StructField],
@@ -43,10 +44,8 @@ class Ledger:
 
     def append(self, increments: DataFrame, batch_id: int) -> DataFrame:
         """Store one batch's increments and return them as stored."""
-        values = [c for c in self.schema.fieldNames() if c != self.part]
-        (increments.select(*values, self.part).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy(self.part)
-         .parquet(f"{self.path}/batches/batch={batch_id}"))
+        (increments.select(*self.schema.fieldNames()).sortWithinPartitions(self.part)
+         .write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}"))
         return self.batch(batch_id)
 
     def batch(self, batch_id: int) -> DataFrame:
@@ -80,10 +79,9 @@ class Ledger:
         some = F.lit(False)
         for measure in self.measures:
             some = some | (F.col(measure) != 0)
-        values = [c for c in self.schema.fieldNames() if c != self.part]
-        (self.totals(batch_id).where(some).select(*values, self.part)
-         .hint("rebalance", F.col(self.part)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy(self.part)
-         .parquet(f"{self.path}/base/upto={batch_id - 1}"))
+        rest = [k for k in self.keys if k != self.part]
+        (self.totals(batch_id).where(some).select(*self.schema.fieldNames())
+         .repartitionByRange(self.part, *rest).sortWithinPartitions(self.part)
+         .write.mode("overwrite").parquet(f"{self.path}/base/upto={batch_id - 1}"))
         self.spark.createDataFrame([(batch_id - 1,)], BASES).coalesce(1) \
             .write.mode("append").json(f"{self.path}/bases")
