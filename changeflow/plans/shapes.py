@@ -188,7 +188,7 @@ def time_of_day(spark, sf_dir):
 @query("casts", """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS as_text,
     CAST(CAST(o_custkey AS VARCHAR) AS BIGINT) AS as_long,
     CAST(o_orderkey % 100 AS TINYINT) AS as_byte, CAST(o_orderkey % 30000 AS SMALLINT) AS as_short,
-    TRY_CAST(o_orderpriority AS BIGINT) AS unreadable,
+    CAST(TRY_CAST(o_orderpriority AS BIGINT) AS VARCHAR) AS unreadable,
     CAST(encode(o_orderstatus) AS VARCHAR) AS as_bytes_text FROM orders""")
 def casts(spark, sf_dir):
     key = F.col("o_orderkey")
@@ -197,7 +197,7 @@ def casts(spark, sf_dir):
         F.col("o_custkey").cast("string").cast("bigint").alias("as_long"),
         (key % 100).cast("tinyint").alias("as_byte"),
         (key % 30000).cast("smallint").alias("as_short"),
-        F.col("o_orderpriority").try_cast("bigint").alias("unreadable"),
+        F.col("o_orderpriority").try_cast("bigint").cast("string").alias("unreadable"),
         F.col("o_orderstatus").cast("binary").cast("string").alias("as_bytes_text"))
 
 
@@ -365,7 +365,7 @@ _LITE_SQL = f"""uuid AS id, projectId AS project_id, event_type AS event_name, u
       strftime(ts, '%Y-%m-%d %H:%M:%S') AS visit_time,
       CASE WHEN event_id % 3 = 0 THEN 'app-a' WHEN event_id % 5 = 0 THEN 'app-b' END AS app_id,
       '10.0.0.' || (event_id % 200) AS visit_ip, {_CHANNEL_SQL} AS channel,
-      CASE WHEN event_id % 4 <> 3 THEN event_id % 1000 END AS cost_ms"""
+      CASE WHEN event_id % 4 <> 3 THEN CAST(event_id % 1000 AS VARCHAR) END AS cost_ms"""
 
 _LITE_NAMES = {"projectId": "project_id", "eventName": "event_name", "userId": "user_id",
                "visitUrl": "visit_url", "url": "request_url", "visitTime": "visit_time",
@@ -376,7 +376,8 @@ _LITE_NAMES = {"projectId": "project_id", "eventName": "event_name", "userId": "
 @query("trace_lite", f"""WITH {D.TRACES_SQL}
     SELECT {_LITE_SQL} FROM trace WHERE projectId IS NOT NULL""")
 def trace_lite(spark, sf_dir):
-    return S.flatten_trace(D.traces(spark, sf_dir)).withColumnsRenamed(_LITE_NAMES)
+    flat = S.flatten_trace(D.traces(spark, sf_dir)).withColumnsRenamed(_LITE_NAMES)
+    return flat.withColumn("cost_ms", F.col("cost_ms").cast("string"))
 
 
 @query("trace_full", f"""WITH {D.TRACES_SQL}
@@ -391,7 +392,8 @@ def trace_full(spark, sf_dir):
              "activityScene": "scene", "activityId": "activity_id",
              "activityType": "activity_type", "apiUri": "api", "eventDetail": "detail",
              "requestBody": "body", "requestResult": "result", "tenantId": "tenant"}
-    return flat.withColumnsRenamed(names).drop("eventValue")
+    return flat.withColumnsRenamed(names).drop("eventValue") \
+        .withColumn("cost_ms", F.col("cost_ms").cast("string"))
 
 
 @query("query_param", f"""WITH {D.TRACES_SQL} SELECT uuid, {_CHANNEL_SQL} AS channel FROM trace""")

@@ -248,7 +248,7 @@ def write_batched_query(spark, sf_dir):
 
 
 @query("conform_types", """SELECT CAST(o_orderkey % 120 AS TINYINT) AS small,
-    TRY_CAST(o_orderkey AS TINYINT) AS narrowed, CAST(o_custkey AS INTEGER) AS customer,
+    CAST(TRY_CAST(o_orderkey AS TINYINT) AS VARCHAR) AS narrowed, CAST(o_custkey AS INTEGER) AS customer,
     CAST(o_totalprice AS FLOAT) AS price, o_orderkey % 3 = 1 AS flag,
     CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, CAST(o_orderkey AS VARCHAR) AS text,
     CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) AS pair,
@@ -266,7 +266,8 @@ def conform_types(spark, sf_dir):
              "pair": "Array(String)"}
     marked = rows.withColumn("misfit", misfits(rows, types))
     typed = conform(marked, {**types, "misfit": "BOOL"})
-    return typed.withColumns({"pair": F.array_join("pair", ","), "day": F.col("day").cast("string")})
+    texts = {c: F.col(c).cast("string") for c in ("day", "narrowed")}
+    return typed.withColumns({"pair": F.array_join("pair", ","), **texts})
 
 
 @query("timestamps_to_ms", """SELECT event_id, (epoch_us(ts) // 1000) * 1000 AS stored_us FROM events""")

@@ -56,9 +56,13 @@ def write_copy_text(df: DataFrame, path: str, max_rows: int = BATCH_ROWS,
 
 
 def read_copy_text(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Read bulk-load files back; quoted fields may hold line ends."""
+    """Read bulk-load files back; quoted fields may hold line ends.
+
+    A bare empty field is null and a quoted one the empty text. NUL stands for
+    null inside the reader, since the files cannot contain it.
+    """
     return (spark.read.schema(schema)
             .options(sep=DELIMITER, quote=QUOTE, escape=ESCAPE, multiLine=True, lineSep="\n",
-                     nullValue="", emptyValue="", header=False, mode="FAILFAST",
+                     nullValue="\x00", emptyValue="", header=False, mode="FAILFAST",
                      ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
             .csv(path))
