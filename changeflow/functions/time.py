@@ -26,10 +26,20 @@ def local_time(epoch_ms: Column, zone: str = "UTC") -> Column:
 
 
 def epoch_ms(ts: Column, zone: str = "UTC") -> Column:
-    """Wall-clock time in ``zone`` as epoch milliseconds (whole, truncated)."""
+    """Wall-clock time in ``zone`` as epoch milliseconds; finer digits drop.
+
+    The parts of a zone-free interval are summed, because the difference
+    functions would go through the session's zone and its clock changes.
+    """
     wall = ts.cast("timestamp_ntz")
     utc = wall if zone == "UTC" else F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), utc)
+    since = utc - F.lit("1970-01-01").cast("timestamp_ntz")
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), since).cast("bigint")
+
+    whole = ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")) * 60_000
+    return whole + F.floor(F.extract(F.lit("SECOND"), since) * 1000).cast("bigint")
 
 
 def format_ms(ms: Column, pattern: str = SECOND, zone: str = "UTC") -> Column:

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
 ADDS = (INSERT, AFTER)
@@ -54,10 +55,36 @@ def _sequence(order: Sequence[str]) -> Column:
     return F.struct(*order)
 
 
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _extreme(df: DataFrame, columns: Sequence[str], order: Sequence[str],
+             where: Column | None = None, first: bool = False) -> Column:
+    """The aggregate that keeps ``columns`` of the last (or first) row by ``order``.
+
+    The largest struct of (order, columns) is that row. It costs less than
+    max_by and settles ties by the values, so a repeated run gives the same row.
+    Columns without an order of their own, such as maps, need max_by.
+    """
+    at, row = _sequence(order), F.struct(*columns)
+    if all(_sortable(df.schema[c].dataType) for c in columns):
+        pair = F.struct(at.alias("at"), row.alias("row"))
+        pair = pair if where is None else F.when(where, pair)
+        return (F.min(pair) if first else F.max(pair))["row"]
+    if where is not None:
+        at, row = F.when(where, at), F.when(where, row)
+    return F.min_by(row, at) if first else F.max_by(row, at)
+
+
 def compact(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last change of each key, in stream order."""
     rest = [c for c in changes.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), _sequence(order)).alias("_last")
+    last = _extreme(changes, rest, order).alias("_last")
     return changes.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*changes.columns)
 
 
@@ -67,10 +94,26 @@ def materialize(changes: DataFrame, keys: Sequence[str], order: Sequence[str],
     return compact(changes, keys, order).where(~F.col(op).isin(*RETRACTS)).drop(op)
 
 
+def _meet(target: DataFrame, folded: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:
+    """All target rows (marked ``_there``) and all folded keys, matched by key.
+
+    One full outer join moves both sides, unless the target is bucketed by key.
+    With ``few`` the target is never moved for it: its rows look up their change,
+    and the changes without a row are found by the keys that had one. Spark
+    broadcasts the changes there if their size allows, and shuffles if not.
+    """
+    names, marked = list(keys), target.withColumn("_there", F.lit(True))
+    if not few:
+        return marked.join(folded, names, "full_outer")
+    matched = target.select(*names).join(folded.select(*names), names, "left_semi")
+    fresh = folded.join(matched, names, "left_anti")
+    return marked.join(folded, names, "left").unionByName(fresh, allowMissingColumns=True)
+
+
 def apply_changelog(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                     order: Sequence[str], update_strategy: str = "update",
                     ignore_delete: bool = True, fixed: Sequence[str] = (),
-                    op: str = "op") -> DataFrame:
+                    few: bool = False, op: str = "op") -> DataFrame:
     """``target`` after ``changes``, as if they ran one by one in stream order.
 
     +I puts the row. +U follows ``update_strategy``: ``update`` sets the columns
@@ -80,7 +123,8 @@ def apply_changelog(target: DataFrame, changes: DataFrame, keys: Sequence[str],
 
     A key's history folds to three facts: the last row put or set, the time of
     the last put, and the time of the last delete. Both join sides then hold a
-    key once, so no key is hot in the join.
+    key once, so no key is hot in the join. ``few`` plans for changes far smaller
+    than the target, see :func:`_meet`.
     """
     if update_strategy not in ("update", "insert", "discard"):
         raise ValueError(f"unknown update strategy {update_strategy!r}")
@@ -92,15 +136,15 @@ def apply_changelog(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     at = _sequence(order)
 
     facts = [
-        F.max_by(F.when(written, F.struct(*values)), F.when(written, at)).alias("_row"),
+        _extreme(changes, values, order, written).alias("_row"),
         F.max(F.when(put, at)).alias("_put"),
         F.max(F.when(gone, at)).alias("_gone"),
     ]
     if fixed:
-        facts.append(F.max_by(F.when(put, F.struct(*fixed)), F.when(put, at)).alias("_home"))
+        facts.append(_extreme(changes, fixed, order, put).alias("_home"))
     folded = changes.where(F.col(op).isin(*used)).groupBy(*keys).agg(*facts)
 
-    joined = target.withColumn("_there", F.lit(True)).join(folded, list(keys), "full_outer")
+    joined = _meet(target, folded, keys, few)
     alive = (F.when(F.col("_gone").isNull(), F.col("_there").isNotNull() | F.col("_put").isNotNull())
              .otherwise(F.col("_put") > F.col("_gone")))
 
@@ -148,9 +192,8 @@ def write_op(target: DataFrame, rows: DataFrame, keys: Sequence[str], operation:
     if operation not in ("INSERT", "UPDATE", "DELETE", "UPSERT"):
         raise ValueError(f"unknown operation {operation!r}")
     values = [c for c in target.columns if c not in keys]
-    choose = F.min_by if operation == "INSERT" else F.max_by
     batch = rows.groupBy(*keys).agg(
-        choose(F.struct(*(values or keys)), _sequence(order)).alias("_new"),
+        _extreme(rows, values or keys, order, first=operation == "INSERT").alias("_new"),
         F.count(F.lit(1)).alias("_n"),
     )
     joined = target.withColumn("_there", F.lit(True)).join(batch, list(keys), "full_outer")
@@ -173,6 +216,29 @@ def write_op(target: DataFrame, rows: DataFrame, keys: Sequence[str], operation:
     return kept.select(*keys, *picked).select(*target.columns)
 
 
+# The change kind each named operation stands for.
+OPERATIONS = {"INSERT": INSERT, "UPDATE": AFTER, "UPSERT": AFTER, "DELETE": DELETE}
+
+
+def map_operations(rows: DataFrame, columns: Sequence[str], operation: str | Column,
+                   op: str = "op") -> DataFrame:
+    """Rows as changes of a table with ``columns``.
+
+    ``operation`` names one operation for all rows, or is a user's expression
+    giving each row's. Columns match by name; a missing one fails at once, and
+    extra ones stay for ordering.
+    """
+    missing = [c for c in columns if c not in rows.columns]
+    if missing:
+        raise ValueError(f"rows lack the columns {missing}")
+    if isinstance(operation, str):
+        if operation not in OPERATIONS:
+            raise ValueError(f"unknown operation {operation!r}")
+        return rows.withColumn(op, F.lit(OPERATIONS[operation]))
+    kinds = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
+    return rows.withColumn(op, F.try_element_at(kinds, operation))
+
+
 # ---- keys -------------------------------------------------------------------
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -112,6 +112,14 @@ def upsert_fixed_partition_column(spark, sf_dir):
         ["c_custkey"], ORDER, "update", False, fixed=["c_mktsegment"])
 
 
+@query("upsert_few_changes", _changelog_sql("update", False))
+def upsert_few_changes(spark, sf_dir):
+    """The plan for a small change set: the target is not moved."""
+    return L.apply_changelog(
+        load(spark, sf_dir, "customer"), D.customer_changes(spark, sf_dir),
+        ["c_custkey"], ORDER, "update", False, few=True)
+
+
 @query("flag_apply", replay_sql("ch.op IN ('+I', '+U')", "ch.op IN ('+I', '+U')",
                                 "ch.op NOT IN ('+I', '+U')"))
 def flag_apply(spark, sf_dir):
@@ -187,6 +195,16 @@ def upsert_pv_uv_by_tenant(spark, sf_dir):
     return L.upsert(empty, rows, ["tenant_id"], ["dt"])
 
 
+@query("map_rows_to_operations", replay_sql("ch.op = '+U'", "ch.op = '+U'", "ch.op = '-D'"))
+def map_rows_to_operations(spark, sf_dir):
+    """A user function names each row's operation; columns match the table by name."""
+    target, changes = load(spark, sf_dir, "customer"), D.customer_changes(spark, sf_dir)
+    kind = F.when(F.col("kind") == "+U", "UPSERT").when(F.col("kind") == "-D", "DELETE")
+    mapped = L.map_operations(changes.withColumnRenamed("op", "kind"), target.columns, kind)
+    return L.apply_changelog(target, mapped.where(F.col("op").isNotNull()), ["c_custkey"], ORDER,
+                             "insert", ignore_delete=False)
+
+
 @query("key_violations", """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
     GROUP BY 1, 2 HAVING count(*) > 1""")
 def key_violations(spark, sf_dir):

@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.time import DAY, epoch_ms
 from changeflow.operators import changelog as L
-from changeflow.operators.shaping import explode_json, normalize_envelope, parse_json
 from changeflow.operators.counting import pv_uv
+from changeflow.operators.shaping import (
+    explode_json, extract_attributes, flatten_trace, normalize_envelope, parse_json)
 from changeflow.plans import derived as D
 from changeflow.plans.changes import ORDER, replay_sql
 from changeflow.plans.jobs import run_pipeline
 from changeflow.plans.registry import load, query
 from changeflow.plans.shapes import NOW_MS
 from changeflow.session import fresh_dir, ship_package
-from changeflow.sinks.files import routed
+from changeflow.sinks.files import index_name, routed, write_index
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
-from changeflow.streaming.sinks import TimePartitionSink, file_sink, read_files, run_stream, write_all
-from changeflow.streaming.sources import change_stream, json_stream, queue_stream, table_stream, text_stream
+from changeflow.streaming.sinks import (
+    TimePartitionSink, file_sink, read_files, run_stream, write_all)
+from changeflow.streaming.sources import (
+    change_stream, json_stream, queue_stream, table_stream, text_stream)
 
 FILES = 4
 
@@ -221,19 +224,18 @@ def stream_count_changes(spark, sf_dir):
 
 @query("stream_time_partitions", """WITH p AS (SELECT strftime(ts, '%Y-%m-%d') AS dt,
       strftime(ts, '%H') AS hr, count(*) AS n, date_trunc('hour', min(ts)) AS start
-      FROM events WHERE ts < TIMESTAMP '2024-01-08' GROUP BY 1, 2),
-    w AS (SELECT max(ts) AS newest FROM events WHERE ts < TIMESTAMP '2024-01-08')
-    SELECT dt, hr, n, start + INTERVAL 10 SECOND < newest AS committed FROM p, w""")
+      FROM events GROUP BY 1, 2)
+    SELECT dt, hr, n, epoch_us(start) // 1000 + 10000 <
+      (SELECT max(epoch_us(ts) // 1000) FROM events) AS committed FROM p""")
 def stream_time_partitions(spark, sf_dir):
-    """The first week's day/hour files of a stream, and which partitions are committed."""
+    """Day/hour files of a stream of JSON array messages, and which are committed."""
     source, out = fresh_dir(spark, "timed-source"), fresh_dir(spark, "timed-stream")
-    week = load(spark, sf_dir, "events").where("ts < timestamp_ntz'2024-01-08'").select(
-        "event_id", epoch_ms(F.col("ts")).alias("ms"))
-    replay(week, source, "ms")
-    sink = TimePartitionSink(spark, out, "ms", tasks=spark.sparkContext.defaultParallelism)
-    stream = table_stream(spark, source, week.schema, 1)
-    run_stream(stream, sink, f"{out}-checkpoint").awaitTermination()
-    parts = spark.read.schema("event_id bigint, ms bigint, dt string, hr string") \
+    packed = D.packed_events(spark, sf_dir)
+    replay(packed, source, "message_id")
+    rows = explode_json(table_stream(spark, source, packed.schema, 1), "body", D.EVENT_ITEM)
+    sink = TimePartitionSink(spark, out, "ts_ms", tasks=spark.sparkContext.defaultParallelism)
+    run_stream(rows, sink, f"{out}-checkpoint").awaitTermination()
+    parts = spark.read.schema("event_id bigint, dt string, hr string") \
         .parquet(f"{out}/data").groupBy("dt", "hr").agg(F.count("*").alias("n"))
     marks = sink.committed().withColumn("committed", F.lit(True))
     return parts.join(marks, ["dt", "hr"], "left").select(
@@ -260,6 +262,52 @@ def stream_fanout(spark, sf_dir):
     return counted("rows").unionByName(counted("alerts"))
 
 
+@query("stream_traces_to_index", f"""WITH {D.TRACES_SQL},
+    last AS (SELECT *, projectId || '-' || strftime(ts, '%Y-%m') AS index_name FROM trace
+             WHERE projectId IS NOT NULL)
+    SELECT index_name, uuid AS id, event_type AS event_name, url AS visit_url FROM last""")
+def stream_traces_to_index(spark, sf_dir):
+    """Trace messages, each delivered twice, flattened and upserted into month indexes."""
+    source, out = fresh_dir(spark, "traces"), fresh_dir(spark, "trace-log")
+    traces = D.traces(spark, sf_dir)
+    bodies = traces.select(F.to_json(F.struct(*traces.columns)).alias("value"))
+    replay(bodies.unionAll(bodies), source, "value", fmt="text")
+    messages = text_stream(spark, source, options={"maxFilesPerTrigger": "2"})
+    flat = flatten_trace(parse_json(messages, "value", traces.schema))
+    run_stream(flat, file_sink(out), f"{out}-checkpoint").awaitTermination()
+    index = fresh_dir(spark, "trace-index")
+    write_index(read_files(spark, out), index, "id", ["visitTime"],
+                index_name(F.col("projectId"), F.col("visitTime")))
+    return spark.read.parquet(index).select(
+        "index_name", "id", F.col("eventName").alias("event_name"),
+        F.col("visitUrl").alias("visit_url"))
+
+
+@query("stream_attributes_fanout", """SELECT s.sink, event_id, 'E1' AS code,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS occurred, CAST(user_id AS VARCHAR) AS account,
+    event_type AS attribute_value FROM events, (VALUES ('main'), ('side')) AS s(sink)""")
+def stream_attributes_fanout(spark, sf_dir):
+    """Event messages to configured attributes, to the main and the side output."""
+    source, out = _messages(spark, sf_dir, "attribute-messages"), fresh_dir(spark, "attributes")
+    messages = text_stream(spark, source, options={"maxFilesPerTrigger": "2"})
+    events = parse_json(messages, "value", D.EVENT_ITEM).select(
+        F.col("ts_ms").cast("string").alias("occurrenceTime"), "event_type",
+        F.col("event_id").cast("string").alias("channelCode"),
+        F.col("user_id").cast("string").alias("accountId"))
+    event = {"code": "E1", "name": "visit", "attributesJSON": [{"attributeId": "event_type"}]}
+    picked = extract_attributes(events, event)
+    sinks = {name: file_sink(f"{out}/{name}", fmt="json") for name in ("main", "side")}
+    run_stream(picked, lambda batch, n: write_all(batch, sinks, n), f"{out}-checkpoint") \
+        .awaitTermination()
+    frames = [spark.read.schema(picked.schema).json(f"{out}/{n}/*").withColumn("sink", F.lit(n))
+              for n in sinks]
+    return frames[0].unionByName(frames[1]).select(
+        "sink", F.col("channelCode").cast("bigint").alias("event_id"),
+        F.col("eventId").alias("code"), F.col("occurrenceTime").alias("occurred"),
+        F.col("accountId").alias("account"),
+        F.col("attributesJSON")[0]["value"].alias("attribute_value"))
+
+
 @query("stream_pipeline", """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
     WHERE o_orderstatus <> 'P'""")
 def stream_pipeline(spark, sf_dir):
@@ -284,3 +332,53 @@ def stream_pipeline(spark, sf_dir):
         f"DROP TABLE {src}",
         f"SELECT * FROM {dst}",
     ])
+
+
+@query("pipeline_batch_copy", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+def pipeline_batch_copy(spark, sf_dir):
+    """A statement list that copies a source table into a new parquet table."""
+    dst = f"copied_{uuid.uuid4().hex}"
+    return run_pipeline(spark, [
+        f"""CREATE TABLE IF NOT EXISTS {dst} (c_custkey BIGINT, c_name STRING, c_nationkey INT,
+            c_acctbal DOUBLE) USING parquet LOCATION '{fresh_dir(spark, dst)}'""",
+        f"""INSERT INTO {dst} SELECT c_custkey, c_name, c_nationkey, c_acctbal
+            FROM parquet.`{sf_dir}/customer.parquet`""",
+        f"SELECT * FROM {dst}",
+    ])
+
+
+@query("pipeline_expand_envelopes", f"""WITH {D.ENVELOPES_SQL}
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM env WHERE kind IN (0, 1)""")
+def pipeline_expand_envelopes(spark, sf_dir):
+    """A topic of envelopes into a table: the statement selects ``after.*``."""
+    dst = f"expanded_{uuid.uuid4().hex}"
+    source, place = _envelope_files(spark, sf_dir), fresh_dir(spark, dst)
+
+    def follow(session):
+        rows = change_stream(session, _IMAGE, source, files_per_batch=2)
+        after = rows.where("after is not null").select("after.*")
+        run_stream(after, file_sink(place), f"{place}-checkpoint").awaitTermination()
+
+    return run_pipeline(spark, [
+        follow,
+        f"CREATE TABLE {dst} ({_IMAGE}, batch BIGINT) USING parquet "
+        f"PARTITIONED BY (batch) LOCATION '{place}'",
+        f"MSCK REPAIR TABLE {dst}",
+        f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM {dst}",
+    ])
+
+
+@query("pipeline_append_changes", f"""WITH {D.USER_CHANGES_SQL}
+    SELECT event_id, user_id, event_type, value FROM changes""")
+def pipeline_append_changes(spark, sf_dir):
+    """Every record of a changelog appended as a plain row to a declared table."""
+    dst = f"appended_{uuid.uuid4().hex}"
+    view = f"{dst}_view"
+    return run_pipeline(spark, [
+        lambda s: L.flatten_changelog(D.user_changes(s, sf_dir)).createOrReplaceTempView(view),
+        f"""CREATE TABLE {dst} (event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE)
+            USING parquet LOCATION '{fresh_dir(spark, dst)}'""",
+        f"INSERT INTO {dst} SELECT event_id, user_id, event_type, value FROM {view}",
+        f"DROP VIEW {view}",
+        f"SELECT * FROM {dst}",
+    ])

@@ -247,6 +247,26 @@ def write_batched_query(spark, sf_dir):
         F.bool_and(F.col("batches") == F.ceil(F.col("rows") / 1000)).alias("batches_full"))
 
 
+@query("write_batched_with_retry", """SELECT count(*) AS rows, true AS batches_full,
+    true AS tried_twice FROM lineitem""")
+def write_batched_with_retry(spark, sf_dir):
+    """The first try of every batch fails; each is sent again and counts once."""
+    ship_package(spark)
+    failed = set()
+
+    def send(batch, task, number):
+        if (task, number) not in failed:
+            failed.add((task, number))
+            raise OSError("store is down")
+
+    rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    report = write_batched(rows, send, 1000, base=0.0)
+    return report.agg(
+        F.sum("rows").alias("rows"),
+        F.bool_and(F.col("batches") == F.ceil(F.col("rows") / 1000)).alias("batches_full"),
+        F.bool_and(F.col("attempts") == F.col("batches") * 2).alias("tried_twice"))
+
+
 @query("conform_types", """SELECT CAST(o_orderkey % 120 AS TINYINT) AS small,
     CAST(TRY_CAST(o_orderkey AS TINYINT) AS VARCHAR) AS narrowed, CAST(o_custkey AS INTEGER) AS customer,
     CAST(o_totalprice AS FLOAT) AS price, o_orderkey % 3 = 1 AS flag,

@@ -24,9 +24,9 @@ def replay(target, changes, strategy, ignore_delete, fixed):
     return sorted((k, *rest) for k, rest in state.items())
 
 
-@pytest.mark.parametrize("strategy, ignore_delete, fixed", list(product(
-    ("update", "insert", "discard"), (True, False), (True, False))))
-def test_apply_changelog_with_a_hot_key(spark, strategy, ignore_delete, fixed):
+@pytest.mark.parametrize("strategy, ignore_delete, fixed, few", list(product(
+    ("update", "insert", "discard"), (True, False), (True, False), (True, False))))
+def test_apply_changelog_with_a_hot_key(spark, strategy, ignore_delete, fixed, few):
     draw = random.Random(f"{strategy}{ignore_delete}{fixed}")
     target = [(k, f"t{k}", f"p{k}") for k in range(0, 40, 2)]
     # a third of all changes hit key 7
@@ -36,7 +36,7 @@ def test_apply_changelog_with_a_hot_key(spark, strategy, ignore_delete, fixed):
     result = L.apply_changelog(
         spark.createDataFrame(target, "k int, v string, p string"),
         spark.createDataFrame(changes, SCHEMA).repartition(5), ["k"], ["at"], strategy,
-        ignore_delete, ["p"] if fixed else [])
+        ignore_delete, ["p"] if fixed else [], few)
     rows = sorted(tuple(r) for r in result.collect())
     assert rows == replay(target, changes, strategy, ignore_delete, fixed)
 
@@ -119,3 +119,22 @@ def test_routing(spark):
     assert L.without_before(changes).where(F.col("op") == "-U").isEmpty()
     assert L.flatten_changelog(changes).count() == 4
     assert L.as_retract_pairs(changes).columns == ["is_add", "payload"]
+
+
+def test_map_operations(spark):
+    rows = spark.createDataFrame([(1, "a", "DELETE"), (2, "b", "INSERT"), (3, "c", "other")],
+                                 "k int, v string, what string")
+    ops = [r["op"] for r in L.map_operations(rows, ["k", "v"], F.col("what")).orderBy("k").collect()]
+    assert ops == ["-D", "+I", None]
+    assert L.map_operations(rows, ["k"], "UPDATE").first()["op"] == "+U"
+    for arguments in ((["k", "missing"], "UPDATE"), (["k"], "MERGE")):
+        with pytest.raises(ValueError):
+            L.map_operations(rows, *arguments)
+
+
+def test_maps_can_be_compacted(spark):
+    """Columns without an order of their own."""
+    df = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y"}), (2, 1, None)],
+                               "k int, at int, m map<string,string>")
+    got = {r["k"]: r["m"] for r in L.compact(df, ["k"], ["at"]).collect()}
+    assert got == {1: {"a": "y"}, 2: None}

@@ -48,6 +48,9 @@ def test_times_do_not_follow_the_session_zone(spark):
                 "2023-11-15 06:13:20"
             assert one(spark, C.epoch_ms(C.local_time(F.col("m"), "Asia/Shanghai"),
                                          "Asia/Shanghai"), m=ms) == ms
+            # July, an hour inside a clock change of New York, and a time before the epoch
+            for moment in (1_720_000_000_999, 1_699_162_200_000, 1_699_165_800_000, -1):
+                assert one(spark, C.epoch_ms(C.local_time(F.col("m"))), m=moment) == moment
             assert one(spark, F.date_format(C.time_of_day(F.col("m")), C.SECOND), m=3_600_000) == \
                 "1970-01-02 01:00:00"
     finally:

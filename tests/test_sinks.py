@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from changeflow.operators import conform as K
 from changeflow.operators import placement as P
+from changeflow.operators.metrics import counted
 from changeflow.session import fresh_dir
 from changeflow.sinks import batched as B
 from changeflow.sinks import files as W
@@ -253,3 +254,9 @@ def test_all_store_types_round_trip(spark):
     assert row["tenth"].microsecond == 123000 and bytes(row["third"]) == b"bbbb"
     assert (row["fourth"], row["fifth"], row["sixth"], row["seventh"], row["ninth"]) == \
         (12, 34, 56, 78, 1.2345)
+
+
+def test_counted(spark):
+    rows, seen = counted(spark.range(10), "passed", {"high": F.max("id")})
+    rows.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 10, "high": 9}
