@@ -180,7 +180,7 @@ def chunk_snapshot(spark, sf_dir):
     orders, customer = (load(spark, sf_dir, t) for t in ("orders", "customer"))
     out = fresh_dir(spark, "snapshot")
     snapshot(spark, {"orders": (orders, "o_orderkey"), "customer": (customer, "c_name")}, out,
-             size=4000, wave=16)
+             size=4000, waves=2)
     return read_snapshot(spark, out, "orders").select(
         F.lit("orders").alias("table_name"), F.col("o_orderkey").cast("string").alias("key"),
         F.col("o_orderstatus").alias("payload")).unionByName(

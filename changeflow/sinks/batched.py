@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from changeflow.session import ship_package
+
 # Rows per batch, retries, seconds of the first pause and the
 # longest exponential pause.
 BATCH_ROWS = 1000
@@ -81,4 +83,5 @@ def write_batched(df: DataFrame, send: Callable[[pd.DataFrame, int, int], object
             yield pd.DataFrame({"task": [task], "batches": [batches], "rows": [rows],
                                 "attempts": [attempts]})
 
+    ship_package(df.sparkSession)
     return df.mapInPandas(write, REPORT)

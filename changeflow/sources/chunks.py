@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import ROUND_CEILING, Decimal
 from itertools import accumulate
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
@@ -20,22 +23,34 @@ FACTOR_LOW = 0.05
 FACTOR_HIGH = 1000.0
 
 
+# Above this many chunks a row's chunk is searched in Arrow batches, because a
+# tree of comparisons that large would not compile.
+TREE_CHUNKS = 256
+
+
 @dataclass(frozen=True)
 class ChunkPlan:
-    """Chunk ``i`` holds ``ends[i-1] <= key < ends[i]``; first and last are open."""
+    """Chunk ``i`` holds ``ends[i-1] <= key < ends[i]``; first and last are open.
+
+    Null keys belong to chunk 0. Even chunks keep their ends as a ``range``,
+    whatever their number; others hold one end per chunk.
+    """
 
     key: str
-    ends: tuple
-    even: bool = False
+    ends: Sequence
 
     def __len__(self) -> int:
         return len(self.ends) + 1
 
+    @property
+    def even(self) -> bool:
+        return isinstance(self.ends, range)
+
     def bounds(self, i: int) -> tuple[Any, Any]:
         return (self.ends[i - 1] if i else None, self.ends[i] if i < len(self.ends) else None)
 
     def rows(self, first: int, last: int | None = None) -> Column:
-        """The filter of chunks ``first..last``; null keys belong to chunk 0."""
+        """The filter of chunks ``first..last``."""
         lower, upper = self.bounds(first)[0], self.bounds(first if last is None else last)[1]
         key, term = F.col(self.key), F.lit(True)
         if upper is not None:
@@ -43,27 +58,43 @@ class ChunkPlan:
         return term if lower is None else (key >= F.lit(lower)) & term
 
     def number(self, first: int = 0, last: int | None = None) -> Column:
-        """The chunk of a row among ``first..last``.
+        """The chunk of a row that lies in chunks ``first..last``.
 
-        Even chunks are arithmetic; others are a balanced tree of comparisons,
-        so a row needs about log2(chunks) of them.
+        Even chunks are arithmetic. A few others are a balanced tree of
+        comparisons, about log2(chunks) for a row; many are found by binary
+        search over an Arrow batch of keys.
         """
         last = len(self.ends) if last is None else last
-        key = F.col(self.key)
-        if self.even and len(self.ends) > 1:
-            step = self.ends[1] - self.ends[0]
-            at = whole_quotient(key - F.lit(self.ends[0]), step) + 1
-            return F.when(key >= F.lit(self.ends[0]), F.least(at, F.lit(len(self.ends)))) \
-                .otherwise(0).cast("int")
-
-        def among(low: int, high: int) -> Column:
-            if low == high:
-                return F.lit(low)
-            middle = (low + high) // 2
-            return F.when(key >= F.lit(self.ends[middle]), among(middle + 1, high)) \
-                .otherwise(among(low, middle))
-
-        return among(first, last)
+        if self.even and len(self.ends) > 0:
+            return self._arithmetic()
+        if last - first <= TREE_CHUNKS:
+            return self._tree(first, last).cast("int")
+        return self._search(first, last)
+
+    def _arithmetic(self) -> Column:
+        key, start = F.col(self.key), F.lit(self.ends[0])
+        at = whole_quotient(key - start, self.ends.step) + 1
+        return F.when(key >= start, F.least(at, F.lit(len(self.ends)))).otherwise(0).cast("int")
+
+    def _tree(self, low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col(self.key) >= F.lit(self.ends[middle]), self._tree(middle + 1, high)) \
+            .otherwise(self._tree(low, middle))
+
+    def _search(self, first: int, last: int) -> Column:
+        ends = np.array(self.ends[first:last], dtype=object)
+
+        @F.pandas_udf("int")
+        def find(keys: pd.Series) -> pd.Series:
+            known = keys.notna()
+            found = pd.Series(first, index=keys.index, dtype="int32")
+            found[known] = first + np.searchsorted(
+                ends, keys[known].astype(object).to_numpy(), side="right")
+            return found
+
+        return find(F.col(self.key))
 
 
 def distribution_factor(low: int, high: int, rows: int) -> float:
@@ -74,9 +105,9 @@ def distribution_factor(low: int, high: int, rows: int) -> float:
                                                                     ROUND_CEILING))
 
 
-def even_ends(low: int, high: int, rows: int, step: int) -> list[int]:
+def even_ends(low: int, high: int, rows: int, step: int) -> range:
     """Chunk ends ``low + step, low + 2*step, ...`` up to ``high``; none for few rows."""
-    return [] if rows <= step else list(range(low + step, high + 1, step))
+    return range(0) if rows <= step else range(low + step, high + 1, step)
 
 
 def plan_chunks(spark: SparkSession, df: DataFrame, key: str, size: int = CHUNK_ROWS,
@@ -96,7 +127,7 @@ def plan_chunks(spark: SparkSession, df: DataFrame, key: str, size: int = CHUNK_
         factor = distribution_factor(low, high, rows)
         if factor_low <= factor <= factor_high:
             step = max(int(factor * size), 1)
-            return ChunkPlan(key, tuple(even_ends(low, high, rows, step)), even=True)
+            return ChunkPlan(key, even_ends(low, high, rows, step))
     return plan_by_rank(spark, df, key, size)
 
 
@@ -109,49 +140,60 @@ def plan_by_rank(spark: SparkSession, df: DataFrame, key: str, size: int = CHUNK
     later ends, which is what lets all ends be found at once instead of one
     after the other. Only the chunk ends come back to the driver.
     """
-    high = df.agg(F.max(key)).first()[0]
-    if high is None:
+    parts = sorted_counts(spark, df, key)
+    totals = parts.groupBy("part").agg(
+        F.sum("n").alias("rows"), F.max_by("n", "key").alias("last_n"), F.max("key").alias("high")
+    ).orderBy("part").collect()
+    if not totals:
         return ChunkPlan(key, ())
-    ends = rank_ends(key_ranks(spark, df, key), size).where(F.col("end") < F.lit(high))
+    ends = rank_ends(with_ranks(spark, parts, totals), size).where(
+        F.col("end") < F.lit(totals[-1]["high"]))
     return ChunkPlan(key, tuple(r[0] for r in ends.orderBy("end").collect()))
 
 
-def key_ranks(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-    """Each distinct key with its row count ``n`` and the rows ``before`` it.
+def sorted_counts(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """Each distinct ``key`` with its row count ``n``, range-partitioned by ``part``.
 
-    Counts per key are combined before they move, then range-partitioned and
-    written once, so that the ranks inside a partition and the partition offsets
-    see the same rows. A global window would put the table on one task; here the
-    only small side is one total per partition.
+    Counts are combined before they move. The result is written once, so that
+    everything computed from it sees the same partitions.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")) \
         .agg(F.count(F.lit(1)).alias("n"))
     path = fresh_dir(spark, "ranks")
     (counts.repartitionByRange("key").withColumn("part", F.spark_partition_id())
      .write.parquet(path))
-    parts = spark.read.parquet(path)
-    offsets = dict(accumulate_offsets(
-        parts.groupBy("part").agg(F.sum("n")).orderBy("part").collect()))
-    inside = Window.partitionBy("part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    offset = spark.createDataFrame(list(offsets.items()) or [(0, 0)], "part int, offset bigint")
-    return (parts.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-            .join(F.broadcast(offset), "part")
-            .select("key", "n", (F.col("inside") + F.col("offset")).alias("before")))
+    return spark.read.parquet(path)
+
 
+def with_ranks(spark: SparkSession, parts: DataFrame, totals: list) -> DataFrame:
+    """Add the rows ``before`` each key and the count ``previous`` of the key before it.
 
-def accumulate_offsets(totals: list) -> list[tuple[int, int]]:
-    """(partition, rows) pairs in order to (partition, rows before it) pairs."""
-    starts = accumulate((rows for _, rows in totals), initial=0)
-    return [(part, start) for (part, _), start in zip(totals, starts)]
+    A global window would put all keys on one task. Here windows run inside the
+    range partitions, and what precedes a partition comes from ``totals``, which
+    has one row for each of them.
+    """
+    starts = accumulate((t["rows"] for t in totals), initial=0)
+    previous = [None, *(t["last_n"] for t in totals)]
+    carried = spark.createDataFrame(
+        [(t["part"], start, n) for t, start, n in zip(totals, starts, previous)],
+        "part int, start bigint, carried bigint")
+    window = Window.partitionBy("part").orderBy("key")
+    inside = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1))
+    return (parts.withColumns({"inside": F.coalesce(inside, F.lit(0)),
+                               "near": F.lag("n").over(window)})
+            .join(F.broadcast(carried), "part")
+            .select("key", "n", (F.col("inside") + F.col("start")).alias("before"),
+                    F.coalesce("near", "carried").alias("previous")))
 
 
 def rank_ends(ranks: DataFrame, size: int) -> DataFrame:
-    """All candidate chunk ends of :func:`plan_by_rank`, in one column ``end``."""
+    """The keys that start a chunk, in one column ``end``.
+
+    A key starts one when it holds a step row, or follows a key that spans a
+    whole step.
+    """
     step = max(size - 1, 1)
     first, last = F.col("before"), F.col("before") + F.col("n") - 1
-    meets_step = whole_quotient(last, step) > whole_quotient(first - 1, step)
-    own = ranks.where((first > 0) & meets_step).select(F.col("key").alias("end"))
-    # the key right after one that spans more than a step, found by its row number
-    heavy = ranks.where(F.col("n") > step).select((first + F.col("n")).alias("before"))
-    following = ranks.join(heavy, "before", "left_semi").select(F.col("key").alias("end"))
-    return own.union(following).distinct()
+    holds_step = whole_quotient(last, step) > whole_quotient(first - 1, step)
+    return ranks.where((first > 0) & (holds_step | (F.col("previous") > step))) \
+        .select(F.col("key").alias("end"))

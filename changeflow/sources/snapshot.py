@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from changeflow.sources.chunks import CHUNK_ROWS, ChunkPlan, plan_chunks
 
@@ -23,16 +23,24 @@ def _kept_plan(spark: SparkSession, df: DataFrame, key: str, size: int, path: st
     """The plan a first run wrote to ``path``, or a new one, written there.
 
     A restart must cut the table where the first run did. Row -1 carries the
-    kind of the plan, the others one chunk end each.
+    step of even chunks, which need only their first and last end; otherwise
+    each row is one chunk end.
     """
     try:
         rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["i"])
-        return ChunkPlan(key, tuple(r["end"] for r in rows[1:]), rows[0]["even"])
+        ends = [r["end"] for r in rows[1:]]
+        if rows[0]["step"] is not None:
+            return ChunkPlan(key, range(ends[0], ends[1] + 1, rows[0]["step"]))
+        return ChunkPlan(key, tuple(ends))
     except AnalysisException:
         plan = plan_chunks(spark, df, key, size)
-    schema = StructType([StructField("i", IntegerType()), StructField("even", BooleanType()),
-                         StructField("end", df.schema[key].dataType)])
-    rows = [(-1, plan.even, None), *((i, None, end) for i, end in enumerate(plan.ends))]
+    even = plan.even and len(plan.ends) > 0
+    kind = LongType() if plan.even else df.schema[key].dataType
+    schema = StructType([StructField("i", IntegerType()), StructField("step", LongType()),
+                         StructField("end", kind)])
+    ends = (plan.ends[0], plan.ends[-1]) if even else plan.ends
+    rows = [(-1, plan.ends.step if even else None, None),
+            *((i, None, end) for i, end in enumerate(ends))]
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
     return plan
 
@@ -47,23 +55,25 @@ def _finished(spark: SparkSession, out: str) -> set[tuple[str, int]]:
 
 
 def snapshot(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str]], out: str,
-             size: int = CHUNK_ROWS, wave: int = 256) -> dict[str, ChunkPlan]:
+             size: int = CHUNK_ROWS, waves: int = 8) -> dict[str, ChunkPlan]:
     """Copy each table once into ``out/<table>``, then stop.
 
-    ``tables`` maps a name to (frame, key). Chunks run in waves of ``wave``; a
-    wave reads its key range with one filter, writes its own folder and is then
-    recorded, one row per wave. A restart keeps the first run's cuts, skips
-    recorded waves, rewrites a torn one whole, and picks up tables added to the
-    list.
+    ``tables`` maps a name to (frame, key). The chunks of a table run in at most
+    ``waves`` waves: a wave reads its key range with one filter, writes its own
+    folder and is then recorded, one row per wave. More waves lose less work in
+    a failure, but a source that is not sorted by key is read once per wave. A
+    restart keeps the first run's cuts, skips recorded waves, rewrites a torn
+    one whole, and picks up tables added to the list.
     """
     done = _finished(spark, out)
     plans = {}
     for name, (df, key) in tables.items():
         plan = plans[name] = _kept_plan(spark, df, key, size, f"{out}/_plans/{name}")
-        for first in range(0, len(plan), wave):
+        chunks = -(-len(plan) // waves)
+        for first in range(0, len(plan), chunks):
             if (name, first) in done:
                 continue
-            last = min(first + wave, len(plan)) - 1
+            last = min(first + chunks, len(plan)) - 1
             (df.where(plan.rows(first, last)).withColumn("chunk_id", plan.number(first, last))
              .write.mode("overwrite").parquet(f"{out}/{name}/wave={first}"))
             record = spark.createDataFrame([(name, first, last)], FINISHED)

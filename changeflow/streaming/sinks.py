@@ -65,13 +65,17 @@ class TimePartitionSink:
     A partition is committed once the newest event time passes its start plus
     the delay. Each batch stores the partitions still open and the newest time,
     so the next one reads nothing older. Rows that come late open their
-    partition again and it is committed anew.
+    partition again and it is committed anew. ``on_commit`` is called with the
+    partitions a batch commits, for example to add them to a catalog; it may be
+    called again for the same batch.
     """
 
     STATE = "dt string, hr string, newest bigint"
 
     def __init__(self, spark: SparkSession, path: str, ms_col: str, zone: str = "UTC",
-                 delay_ms: int = COMMIT_DELAY_MS, tasks: int | None = None):
+                 delay_ms: int = COMMIT_DELAY_MS, tasks: int | None = None,
+                 on_commit: Sink | None = None):
+        self.on_commit = on_commit
         self.spark, self.path, self.ms_col = spark, path, ms_col
         self.zone, self.delay_ms = zone, delay_ms
         self._data = file_sink(f"{path}/data", ["dt", "hr"], tasks=tasks)
@@ -100,6 +104,11 @@ class TimePartitionSink:
         carry = self.spark.createDataFrame([(None, None, newest)], self.STATE)
         (named.where(due).select("dt", "hr").coalesce(1).write.mode("overwrite")
          .parquet(f"{self.path}/commits/batch={batch_id}"))
+        if self.on_commit is not None:
+            marks = self.spark.read.schema("dt string, hr string").parquet(
+                f"{self.path}/commits/batch={batch_id}")
+            if not marks.isEmpty():
+                self.on_commit(marks, batch_id)
         (named.where(~due).unionByName(carry).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.path}/open/batch={batch_id}"))
 
@@ -109,5 +118,12 @@ class TimePartitionSink:
         return self.spark.read.schema(schema).parquet(f"{self.path}/commits") \
             .select("dt", "hr").distinct()
 
-    def rows(self) -> DataFrame:
-        return read_files(self.spark, f"{self.path}/data")
+    def rows(self, committed: bool = False) -> DataFrame:
+        """The rows written, or only those of committed partitions."""
+        rows = read_files(self.spark, f"{self.path}/data") \
+            .withColumns({c: F.col(c).cast("string") for c in ("dt", "hr")})
+        if not committed:
+            return rows
+        marks = self.committed()
+        return rows.join(marks, [F.lpad(rows["hr"], 2, "0") == marks["hr"],
+                                 rows["dt"] == marks["dt"]], "left_semi")

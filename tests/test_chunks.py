@@ -28,8 +28,8 @@ def step_by_step(keys, size):
 
 
 def test_even_ends():
-    assert even_ends(0, 14999, 15000, 4000) == [4000, 8000, 12000]
-    assert even_ends(0, 10, 5, 5) == []
+    assert list(even_ends(0, 14999, 15000, 4000)) == [4000, 8000, 12000]
+    assert list(even_ends(0, 10, 5, 5)) == []
     assert distribution_factor(0, 14999, 15000) == 1.0
     assert distribution_factor(1, 10, 3) == 3.3334
 
@@ -68,14 +68,25 @@ def test_sparse_key_goes_by_rank(spark):
 
 
 def test_numbering_agrees_with_filters(spark):
-    for plan in (ChunkPlan("k", tuple(range(10, 95, 10)), True), ChunkPlan("k", (3, 4, 50, 77))):
-        df = spark.range(-20, 120).select(F.col("id").alias("k"))
+    keys = spark.range(-20, 120).select(F.col("id").alias("k"))
+    df = keys.unionAll(spark.createDataFrame([(None,)], "k bigint"))
+    many = tuple(k for k in range(-19, 119) if k % 3)
+    for plan in (ChunkPlan("k", range(10, 95, 10)), ChunkPlan("k", (3, 4, 50, 77)),
+                 ChunkPlan("k", range(5, 6)), ChunkPlan("k", many)):
         numbered = df.withColumn("c", plan.number()).cache()
         for chunk in range(len(plan)):
             inside = {r["k"] for r in df.where(plan.rows(chunk)).collect()}
             assert inside == {r["k"] for r in numbered.where(F.col("c") == chunk).collect()}
 
 
+def test_many_text_chunks_are_searched(spark):
+    ends = tuple(f"k{i:05d}" for i in range(0, 2000, 2))
+    df = spark.range(2000).select(F.format_string("k%05d", "id").alias("k"), "id")
+    df = df.unionAll(spark.createDataFrame([(None, -1), ("é", 9999)], "k string, id bigint"))
+    got = {r["id"]: r["c"] for r in df.select("id", ChunkPlan("k", ends).number().alias("c")).collect()}
+    assert got == {**{i: i // 2 + 1 for i in range(2000)}, -1: 0, 9999: 1000}
+
+
 def test_snapshot_restart(spark, sf_dir):
     out = fresh_dir(spark, "snapshot-test")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
@@ -99,18 +110,18 @@ def test_snapshot_restart(spark, sf_dir):
             return self.df.where(condition)
 
     with pytest.raises(Stop):
-        snapshot(spark, {"orders": (Breaking(orders), "o_orderkey")}, out, size=200, wave=2)
+        snapshot(spark, {"orders": (Breaking(orders), "o_orderkey")}, out, size=200, waves=4)
     written = read_snapshot(spark, out, "orders").count()
     assert 0 < written < orders.count()
     # the table grows before the restart, and a second table joins the list
     grown = orders.unionAll(orders.withColumn("o_orderkey", F.col("o_orderkey") + 10**6))
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     plans = snapshot(spark, {"orders": (grown, "o_orderkey"), "nation": (nation, "n_name")}, out,
-                     size=200, wave=2)
+                     size=200, waves=4)
     done = read_snapshot(spark, out, "orders")
     assert done.count() == grown.count() and done.select("o_orderkey").distinct().count() == done.count()
     assert done.select("chunk_id").distinct().count() == len(plans["orders"])
     assert read_snapshot(spark, out, "nation").count() == 25
     # everything is recorded: a third run writes nothing
-    again = snapshot(spark, {"orders": (grown, "o_orderkey")}, out, size=200, wave=2)
+    again = snapshot(spark, {"orders": (grown, "o_orderkey")}, out, size=200, waves=4)
     assert again["orders"].ends == plans["orders"].ends

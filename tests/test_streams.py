@@ -190,7 +190,9 @@ def test_unreadable_changes(spark):
 
 def test_partition_commits(spark):
     hour = 3_600_000
-    sink = TimePartitionSink(spark, fresh_dir(spark, "commits"), "ms", "Asia/Shanghai")
+    told = []
+    sink = TimePartitionSink(spark, fresh_dir(spark, "commits"), "ms", "Asia/Shanghai",
+                             on_commit=lambda marks, n: told.append((n, marks.count())))
 
     def send(number, *times):
         sink(spark.createDataFrame([(t,) for t in times], "ms bigint"), number)
@@ -202,7 +204,10 @@ def test_partition_commits(spark):
     assert send(2, hour + 10_001) == [first, second]
     assert send(2, hour + 10_001) == [first, second]  # replay
     assert send(3, 7_000) == [first, second]         # late rows are written and marked again
-    assert sink.rows().count() == 4
+    assert sink.rows().count() == 4 and sink.rows(committed=True).count() == 4
+    assert told == [(1, 1), (2, 1), (2, 1), (3, 1)]
+    send(4, 3 * hour)
+    assert sink.rows().count() == 5 and sink.rows(committed=True).count() == 4
 
 
 def test_pipeline_stops_at_the_first_failure(spark):
