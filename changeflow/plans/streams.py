@@ -20,7 +20,7 @@ from changeflow.session import fresh_dir
 from changeflow.sinks.files import index_name, routed, write_index
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
 from changeflow.streaming.sinks import (
-    TimePartitionSink, file_sink, read_files, run_stream, write_all)
+    TimePartitionSink, file_sink, read_files, run_stream, run_to_files, write_all)
 from changeflow.streaming.sources import (
     change_stream, json_stream, queue_stream, table_stream, text_stream)
 
@@ -50,8 +50,8 @@ def stream_json_topic(spark, sf_dir):
     source = _messages(spark, sf_dir)
     rows = json_stream(spark, D.EVENT_ITEM, source, options={"maxFilesPerTrigger": "1"})
     out = fresh_dir(spark, "topic-rows")
-    run_stream(rows, file_sink(out), f"{out}-checkpoint").awaitTermination()
-    return read_files(spark, out)
+    run_to_files(rows, out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.parquet(out)
 
 
 @query("stream_array_messages", """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type,
@@ -77,8 +77,8 @@ def stream_table_source(spark, sf_dir):
     load(spark, sf_dir, "events").select("event_id", F.date_format("ts", DAY).alias("dt")) \
         .write.partitionBy("dt").parquet(source)
     rows = table_stream(spark, source, "event_id bigint, dt string", 10)
-    run_stream(rows, file_sink(out), f"{out}-checkpoint").awaitTermination()
-    return read_files(spark, out).groupBy("dt").agg(
+    run_to_files(rows, out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.parquet(out).groupBy("dt").agg(
         F.count("*").alias("n"), F.max("event_id").alias("last_id"))
 
 
@@ -89,8 +89,8 @@ def stream_dedupe(spark, sf_dir):
     events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     replay(events.unionAll(events), source, "event_id")
     once = queue_stream(table_stream(spark, source, events.schema, 2), "event_id")
-    run_stream(once, file_sink(out), f"{out}-checkpoint").awaitTermination()
-    return read_files(spark, out)
+    run_to_files(once, out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.parquet(out)
 
 
 @query("stream_dedupe_in_delay", "SELECT event_id, event_type FROM events")

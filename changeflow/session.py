@@ -71,3 +71,10 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(f"{base}/changeflow", "zip", package.parent, package.name)
     context.addPyFile(archive)
     context._changeflow_shipped = True
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever file system holds it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

@@ -86,14 +86,18 @@ def save_table(df: DataFrame, name: str, partitions: Sequence[str] = (),
 
 def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int,
                   path: str | None = None) -> None:
-    """Write with rows hashed and sorted by key, so later joins on it need no shuffle."""
+    """Write with rows hashed and sorted by key, so later joins on it need no shuffle.
+
+    Rows come to the writers hashed the same way, so a bucket is one file, or
+    several where a hot key made AQE split it.
+    """
     missing = [k for k in keys if k not in df.columns]
     if not keys or missing:
         raise ValueError(f"bucketing needs key columns of the table, not {list(keys)}")
     guarded = df.where(F.when(any_null(keys), F.raise_error(
         F.lit("null in a key column")).cast("boolean")).otherwise(True))
     first, *others = keys
-    writer = (guarded.repartition(buckets, *keys).write.format("parquet").mode("overwrite")
+    writer = (guarded.hint("rebalance", buckets, *[F.col(k) for k in keys]).write.format("parquet").mode("overwrite")
               .bucketBy(buckets, first, *others).sortBy(first, *others))
     (writer.option("path", path) if path else writer).saveAsTable(name)
 

@@ -3,7 +3,8 @@
 A ledger is a folder of parquet: ``batch=<id>`` holds what one micro-batch
 added. A replayed batch replaces its folder, so every batch counts once. Old
 batches are folded into ``base`` folders from time to time; a one-row record
-makes a finished base known, so a torn one is never read.
+makes a finished base known, so a torn one is never read. A ledger belongs to
+one stream checkpoint, whose batch numbers it uses.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from changeflow.session import remove_dir
+
 BASES = "upto long"
 
 
@@ -51,17 +54,18 @@ class Ledger:
     def batch(self, batch_id: int) -> DataFrame:
         return self._read("batches", "batch").where(F.col("batch") == batch_id).drop("batch")
 
-    def _last_base(self, batch_id: int) -> int:
+    def _bases(self, batch_id: int) -> list[int]:
+        """The finished bases that hold only batches before ``batch_id``, in order."""
         try:
             known = self.spark.read.schema(BASES).json(f"{self.path}/bases")
         except AnalysisException:  # never folded
-            return -1
-        last = known.where(F.col("upto") < batch_id).agg(F.max("upto")).first()[0]
-        return -1 if last is None else last
+            return []
+        rows = known.where(F.col("upto") < batch_id).distinct().orderBy("upto").collect()
+        return [r["upto"] for r in rows]
 
     def before(self, batch_id: int) -> DataFrame:
         """All increments of earlier batches; keys may repeat."""
-        base = self._last_base(batch_id)
+        base = (self._bases(batch_id) or [-1])[-1]
         batches = self._read("batches", "batch").where(
             (F.col("batch") > base) & (F.col("batch") < batch_id)).drop("batch")
         if base < 0:
@@ -75,7 +79,14 @@ class Ledger:
         return self.before(batch_id).groupBy(*self.keys).agg(*sums)
 
     def fold(self, batch_id: int) -> None:
-        """Sum all batches before ``batch_id`` into a new base; empty sums drop out."""
+        """Sum all batches before ``batch_id`` into a new base; empty sums drop out.
+
+        Files that only the last but one base stands for are removed, so the
+        ledger's size follows its keys and the batches of two rounds, while a
+        reader that began before this fold still finds its files.
+        """
+        if batch_id - 1 in self._bases(batch_id):
+            return  # a repeated batch must not rewrite the base it reads
         some = F.lit(False)
         for measure in self.measures:
             some = some | (F.col(measure) != 0)
@@ -83,5 +94,17 @@ class Ledger:
         (self.totals(batch_id).where(some).select(*self.schema.fieldNames())
          .repartitionByRange(self.part, *rest).sortWithinPartitions(self.part)
          .write.mode("overwrite").parquet(f"{self.path}/base/upto={batch_id - 1}"))
+        earlier = self._bases(batch_id - 1)
         self.spark.createDataFrame([(batch_id - 1,)], BASES).coalesce(1) \
             .write.mode("append").json(f"{self.path}/bases")
+        self._trim(earlier)
+
+    def _trim(self, earlier: list[int]) -> None:
+        """Drop what ``earlier[-1]``, the base before the newest, has summed up."""
+        if not earlier:
+            return
+        start = earlier[-2] if len(earlier) > 1 else -1
+        for batch in range(start + 1, earlier[-1] + 1):
+            remove_dir(self.spark, f"{self.path}/batches/batch={batch}")
+        if len(earlier) > 1:
+            remove_dir(self.spark, f"{self.path}/base/upto={earlier[-2]}")

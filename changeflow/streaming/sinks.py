@@ -31,6 +31,22 @@ def file_sink(path: str, partitions: Sequence[str] = (), fmt: str = "parquet",
     return write
 
 
+def run_to_files(rows: DataFrame, path: str, checkpoint: str, partitions: Sequence[str] = (),
+                 every_seconds: int | None = None, fmt: str = "parquet") -> StreamingQuery:
+    """Stream into one file table with Spark's own sink, which counts every row once.
+
+    Its log of finished files is what readers of ``path`` go by.
+    """
+    writer = rows.writeStream.format(fmt).option("checkpointLocation", checkpoint)
+    writer = writer.partitionBy(*partitions) if partitions else writer
+    return writer.trigger(**_pace(every_seconds)).start(path)
+
+
+def _pace(every_seconds: int | None) -> dict:
+    return {"processingTime": f"{every_seconds} seconds"} if every_seconds else \
+        {"availableNow": True}
+
+
 def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path).drop("batch")
 
@@ -54,9 +70,7 @@ def run_stream(rows: DataFrame, sink: Sink, checkpoint: str,
     ``sink`` returned, so rows are written before the checkpoint moves on.
     """
     writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": f"{every_seconds} seconds"} if every_seconds else \
-        {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return writer.trigger(**_pace(every_seconds)).start()
 
 
 class TimePartitionSink:

@@ -77,6 +77,23 @@ def test_hot_partition_is_split_not_dropped(spark):
     assert back.count() == 30_000 and back.select("id").distinct().count() == 30_000
 
 
+def test_hot_partition_goes_to_several_tasks(spark):
+    """With pieces of 64 kB, the hot value's folder gets several files, others one."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    path, before = fresh_dir(spark, "hot-files"), spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        rows = spark.range(0, 300_000, 1, 8).select(
+            "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).alias("p"))
+        W.write_partitioned(rows, path, ["p"])
+    finally:
+        spark.conf.set(size, before)
+    files = spark.read.parquet(path).select("p", F.input_file_name().alias("file")) \
+        .groupBy("p").agg(F.count_distinct("file").alias("files")).collect()
+    hot = next(r["files"] for r in files if r["p"] == 0)
+    assert hot >= 3 and spark.read.parquet(path).count() == 300_000
+
+
 def test_bucketing_refuses_null_keys(spark):
     df = spark.createDataFrame([(1,), (None,)], "k int")
     with pytest.raises(PySparkException, match="null in a key column"):
