@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from changeflow.functions import text as X
 from changeflow.functions.time import SECOND, format_ms
@@ -17,39 +17,57 @@ BAD = "_corrupt"
 # ---- JSON -------------------------------------------------------------------
 
 
-def _guard(parsed: str, source: Column, on_error: str) -> Column:
-    """What to do with text that did not parse: stop the job or drop the row."""
-    broken = source.isNotNull() & (F.trim(source) != "null") & F.col(parsed).isNull()
-    if on_error == "fail":
-        stop = F.raise_error(F.concat(F.lit("unreadable JSON: "), source)).cast("boolean")
-        return F.when(broken, stop).otherwise(True)
-    return ~broken
-
-
 def _check_mode(on_error: str) -> None:
     if on_error not in ("fail", "quarantine"):
         raise ValueError(f"on_error must be fail or quarantine, not {on_error!r}")
 
 
+def _schema(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
+def _with_items(df: DataFrame, column: str, row: StructType) -> DataFrame:
+    """Add the typed items of an array message and whether the message is damaged.
+
+    A second reading as plain string maps shows fields that were given but did
+    not fit their type, which the typed reading alone turns into nulls.
+    """
+    body = F.trim(column)
+    as_array = F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
+    read = df.withColumns({
+        "_items": F.from_json(column, ArrayType(row)),
+        "_texts": F.from_json(as_array, "array<map<string,string>>")})
+
+    def lost(item: Column, text: Column) -> Column:
+        found = item.isNull()
+        for name in row.fieldNames():
+            given = F.try_element_at(text, F.lit(name)).isNotNull()
+            found = found | (given & item[name].isNull())
+        return found
+
+    sent = body.isNotNull() & (body != "null")
+    torn = F.coalesce(F.exists(F.zip_with("_items", "_texts", lost), lambda x: x), F.lit(True))
+    return read.withColumn("_damaged", sent & torn).drop("_texts")
+
+
 def explode_json(df: DataFrame, column: str, schema: StructType | str,
                  on_error: str = "fail") -> DataFrame:
     """Each message is a JSON array of objects; one row per object.
 
     Empty and null arrays give no rows, unknown keys are ignored and missing
-    ones are null. ``on_error='quarantine'`` leaves unreadable messages out;
+    ones are null; a lone object counts as an array of one. Damaged text, or a
+    value that does not fit its type, stops the job. With
+    ``on_error='quarantine'`` such messages are left out whole;
     :func:`unreadable_json` returns them.
     """
     _check_mode(on_error)
-    rest = [c for c in df.columns if c != column]
-    parsed = df.withColumn("_items", F.from_json(column, f"array<struct<{_struct(schema)}>>"))
-    return (parsed.where(_guard("_items", F.col(column), on_error))
-            .select(*rest, F.inline("_items")))
-
-
-def _struct(schema: StructType | str) -> str:
-    if isinstance(schema, str):
-        return StructType.fromDDL(schema).simpleString()[len("struct<"):-1]
-    return schema.simpleString()[len("struct<"):-1]
+    rest, row = [c for c in df.columns if c != column], _schema(schema)
+    if on_error == "fail":
+        sent = F.nullif(F.trim(column), F.lit("null"))
+        strict = F.from_json(sent, ArrayType(row), {"mode": "FAILFAST"})
+        return df.select(*rest, F.inline(strict))
+    kept = _with_items(df, column, row).where(~F.col("_damaged"))
+    return kept.select(*rest, F.inline("_items"))
 
 
 def parse_json(df: DataFrame, column: str, schema: StructType | str,
@@ -61,7 +79,7 @@ def parse_json(df: DataFrame, column: str, schema: StructType | str,
     """
     _check_mode(on_error)
     rest = [c for c in df.columns if c != column]
-    ddl = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    ddl = _schema(schema)
     if on_error == "fail":
         parsed = F.from_json(column, ddl, {"mode": "FAILFAST"})
         return df.select(*rest, parsed.alias("_r")).select(*rest, "_r.*")
@@ -74,10 +92,9 @@ def parse_json(df: DataFrame, column: str, schema: StructType | str,
 def unreadable_json(df: DataFrame, column: str, schema: StructType | str,
                     array: bool = False) -> DataFrame:
     """The messages the tolerant readers leave out."""
+    ddl = _schema(schema)
     if array:
-        parsed = df.withColumn("_items", F.from_json(column, f"array<struct<{_struct(schema)}>>"))
-        return parsed.where(~_guard("_items", F.col(column), "quarantine")).drop("_items")
-    ddl = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        return _with_items(df, column, ddl).where("_damaged").drop("_items", "_damaged")
     marked = StructType(list(ddl.fields)).add(BAD, "string")
     parsed = F.from_json(column, marked, {"columnNameOfCorruptRecord": BAD})
     return df.withColumn("_r", parsed).where(F.col(f"_r.{BAD}").isNotNull()).drop("_r")

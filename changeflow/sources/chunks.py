@@ -77,12 +77,24 @@ class ChunkPlan:
         return F.when(key >= start, F.least(at, F.lit(len(self.ends)))).otherwise(0).cast("int")
 
     def _tree(self, low: int, high: int) -> Column:
+        if all(isinstance(end, (int, str)) for end in self.ends[low:high]):
+            return F.expr(self._tree_text(low, high))  # one call instead of some per end
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
         return F.when(F.col(self.key) >= F.lit(self.ends[middle]), self._tree(middle + 1, high)) \
             .otherwise(self._tree(low, middle))
 
+    def _tree_text(self, low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high) // 2
+        end, key = self.ends[middle], self.key.replace("`", "``")
+        if isinstance(end, str):
+            end = "'" + end.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return (f"CASE WHEN `{key}` >= {end} THEN {self._tree_text(middle + 1, high)} "
+                f"ELSE {self._tree_text(low, middle)} END")
+
     def _search(self, first: int, last: int) -> Column:
         ends = np.array(self.ends[first:last], dtype=object)
 

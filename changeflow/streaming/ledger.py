@@ -90,9 +90,8 @@ class Ledger:
         some = F.lit(False)
         for measure in self.measures:
             some = some | (F.col(measure) != 0)
-        rest = [k for k in self.keys if k != self.part]
         (self.totals(batch_id).where(some).select(*self.schema.fieldNames())
-         .repartitionByRange(self.part, *rest).sortWithinPartitions(self.part)
+         .sortWithinPartitions(self.part)
          .write.mode("overwrite").parquet(f"{self.path}/base/upto={batch_id - 1}"))
         earlier = self._bases(batch_id - 1)
         self.spark.createDataFrame([(batch_id - 1,)], BASES).coalesce(1) \

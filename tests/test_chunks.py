@@ -87,6 +87,18 @@ def test_many_text_chunks_are_searched(spark):
     assert got == {**{i: i // 2 + 1 for i in range(2000)}, -1: 0, 9999: 1000}
 
 
+def test_odd_text_and_other_key_types(spark):
+    texts = ["", "a'b", "a\\c", "b`\"", "zz", "é"]
+    df = spark.createDataFrame([(t,) for t in texts], "`odd ``key` string")
+    plan = ChunkPlan("odd `key", ("a'b", "a\\c", "b`\""))
+    assert [r[0] for r in df.select(plan.number()).collect()] == [0, 1, 2, 3, 3, 3]
+    days = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-10')) as d")
+    plan = plan_by_rank(spark, days, "d", 4)
+    assert [e.day for e in plan.ends] == [4, 7]
+    assert [r[0] for r in days.orderBy("d").select(plan.number()).collect()] == \
+        [0, 0, 0, 1, 1, 1, 2, 2, 2, 2]
+
+
 def test_snapshot_restart(spark, sf_dir):
     out = fresh_dir(spark, "snapshot-test")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")

@@ -1,7 +1,6 @@
 """JSON, envelopes, traces, text and time."""
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from changeflow.functions import text as X
@@ -77,10 +76,19 @@ def test_explode_json(spark):
 
 def test_unreadable_messages(spark):
     df = spark.createDataFrame([("[{]",), ('[{"a":2}]',)], "body string")
-    with pytest.raises(PySparkException, match="unreadable JSON"):
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
         S.explode_json(df, "body", ITEM).collect()
     assert S.explode_json(df, "body", ITEM, "quarantine").count() == 1
     assert S.unreadable_json(df, "body", ITEM, array=True).first()["body"] == "[{]"
+    typed = spark.createDataFrame(
+        [('[{"a":1},{"a":"no"}]',), ('[{"a":3},{"b":null}]',), ("[5]",), ('{"a":4}',), ("[]",),
+         ("null",), (None,), ('[{"a":6}',)], "body string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        S.explode_json(typed.limit(1), "body", ITEM).collect()
+    kept = S.explode_json(typed, "body", ITEM, "quarantine").collect()
+    assert sorted((r["a"] is None, r["a"]) for r in kept) == [(False, 3), (False, 4), (True, None)]
+    bad = {r["body"] for r in S.unreadable_json(typed, "body", ITEM, array=True).collect()}
+    assert bad == {'[{"a":1},{"a":"no"}]', "[5]", '[{"a":6}'}
     objects = spark.createDataFrame([("{",), ('{"a":2}',), ('{"a":"no"}',)], "body string")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         S.parse_json(objects, "body", ITEM).collect()
