@@ -145,6 +145,17 @@ def normalize_map_envelope(df: DataFrame, now_ms: int | Column) -> DataFrame:
         F.to_json(F.map_concat(F.coalesce("after", "before"), extra)).alias("table_details"))
 
 
+def as_envelopes(df: DataFrame, db: str | Column, table: str | Column,
+                 ts_ms: int = 0) -> DataFrame:
+    """Rows of a snapshot as envelopes of inserts."""
+    names = [c if isinstance(c, Column) else F.lit(c) for c in (db, table)]
+    row = F.struct(*df.columns)
+    return df.select(
+        F.when(F.lit(False), row).alias("before"), row.alias("after"),
+        F.struct(F.lit(ts_ms).cast("bigint").alias("ts_ms"), names[0].alias("db"),
+                 names[1].alias("table")).alias("source"))
+
+
 def envelope_images(df: DataFrame) -> DataFrame:
     """Both images of a change as JSON, in one column per kind.
 

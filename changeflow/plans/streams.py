@@ -10,7 +10,7 @@ from changeflow.functions.time import DAY, epoch_ms
 from changeflow.operators import changelog as L
 from changeflow.operators.counting import pv_uv
 from changeflow.operators.shaping import (
-    explode_json, extract_attributes, flatten_trace, normalize_envelope, parse_json)
+    as_envelopes, explode_json, extract_attributes, flatten_trace, normalize_envelope, parse_json)
 from changeflow.plans import derived as D
 from changeflow.plans.changes import ORDER, replay_sql
 from changeflow.plans.jobs import run_pipeline
@@ -18,7 +18,9 @@ from changeflow.plans.registry import load, query
 from changeflow.plans.shapes import NOW_MS
 from changeflow.session import fresh_dir
 from changeflow.sinks.files import index_name, routed, write_index
+from changeflow.sources.splits import split_range
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
+from changeflow.streaming.ledger import UpsertTable
 from changeflow.streaming.sinks import (
     TimePartitionSink, file_sink, read_files, run_stream, run_to_files, write_all)
 from changeflow.streaming.sources import (
@@ -33,6 +35,13 @@ def replay(df, path, order, files=FILES, fmt="parquet"):
     return path
 
 
+def replay_in_order(df, path, order, files=FILES):
+    """The same with each file written after the one before, as a log grows."""
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    for first, last in split_range(low, high, files):
+        df.where(F.col(order).between(first, last)).coalesce(1).write.mode("append").parquet(path)
+
+
 def _messages(spark, sf_dir, name="messages"):
     path = fresh_dir(spark, name)
     rows = D.event_rows(spark, sf_dir)
@@ -127,12 +136,10 @@ def stream_changelog(spark, sf_dir):
     Of the snapshot only rows no change touches, or that were updated, remain.
     """
     source, out = _envelope_files(spark, sf_dir), fresh_dir(spark, "orders-changes")
-    old = load(spark, sf_dir, "orders").where("o_orderkey % 4 <> 0").select(
-        F.lit(None).cast(f"struct<{_IMAGE.replace(' ', ':').replace(',:', ',')}>").alias("before"),
-        F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").alias("after"),
-        F.struct(F.lit(0).cast("bigint").alias("ts_ms"),
-                 F.concat(F.lit("d"), (F.col("o_custkey") % 2).cast("string")).alias("db"),
-                 F.lit("orders").alias("table")).alias("source"))
+    rows = load(spark, sf_dir, "orders").where("o_orderkey % 4 <> 0").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    old = as_envelopes(rows, F.concat(F.lit("d"), (F.col("o_custkey") % 2).cast("string")),
+                       "orders")
     backfill = fresh_dir(spark, "orders-snapshot")
     old.select(F.to_json(F.struct("before", "after", "source")).alias("value")) \
         .write.text(backfill)
@@ -165,14 +172,16 @@ def stream_route_changes(spark, sf_dir):
 @query("stream_upsert", replay_sql("ch.op IN ('+I', '+U')", "ch.op IN ('+I', '+U')",
                                    "ch.op = '-D'"))
 def stream_upsert(spark, sf_dir):
-    """A streamed changelog applied to a table; every record lands in the log first."""
-    source, out = fresh_dir(spark, "customer-changes"), fresh_dir(spark, "customer-log")
-    changes = D.customer_changes(spark, sf_dir)
-    replay(changes, source, "ts")
-    stream = L.without_before(table_stream(spark, source, changes.schema, 1))
-    run_stream(stream, file_sink(out), f"{out}-checkpoint").awaitTermination()
-    return L.apply_changelog(load(spark, sf_dir, "customer"), read_files(spark, out),
-                             ["c_custkey"], ORDER, "insert", ignore_delete=False)
+    """A table that follows a streamed changelog, folded every second batch."""
+    source, out = fresh_dir(spark, "customer-changes"), fresh_dir(spark, "customer-table")
+    changes, customer = D.customer_changes(spark, sf_dir), load(spark, sf_dir, "customer")
+    replay_in_order(changes, source, "event_id")
+    table = UpsertTable(spark, out, customer.schema, ["c_custkey"], changes.schema, ORDER,
+                        "insert", ignore_delete=False, fold_every=2)
+    table.create(customer)
+    stream = table_stream(spark, source, changes.schema, 1)
+    run_stream(stream, table.process, f"{out}-checkpoint").awaitTermination()
+    return table.current()
 
 
 # ---- continuous counts ------------------------------------------------------

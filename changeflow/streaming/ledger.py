@@ -1,10 +1,10 @@
-"""Additive facts written per micro-batch.
+"""State kept as files: a folded base and the micro-batches after it.
 
-A ledger is a folder of parquet: ``batch=<id>`` holds what one micro-batch
-added. A replayed batch replaces its folder, so every batch counts once. Old
-batches are folded into ``base`` folders from time to time; a one-row record
-makes a finished base known, so a torn one is never read. A ledger belongs to
-one stream checkpoint, whose batch numbers it uses.
+``batches/batch=<id>`` holds what one micro-batch added. A replayed batch
+replaces its folder, so every batch counts once. Old batches are folded into
+``base/upto=<id>`` from time to time; a one-row record makes a finished base
+known, so a torn one is never read. The state belongs to one stream checkpoint,
+whose batch numbers it uses, and has one writer.
 """
 
 from __future__ import annotations
@@ -16,43 +16,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from changeflow.operators.changelog import BEFORE, apply_changelog
 from changeflow.session import remove_dir
 
 BASES = "upto long"
+NOW = 1 << 62
 
 
-class Ledger:
-    """Sums of ``measures`` per key, kept as increments.
-
-    Rows are stored sorted by the key column ``part``, so that a filter on it
-    skips the row groups of history a batch cannot touch. A folder per value
-    would make a file per value and batch.
-    """
+class BatchFiles:
+    """The files of a base and of the batches after it."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[StructField],
-                 measures: Sequence[str], part: str):
-        self.spark, self.path, self.part = spark, path, part
-        self.keys = [f.name for f in keys]
-        self.measures = list(measures)
-        self.schema = StructType([*[StructField(f.name, f.dataType) for f in keys],
-                                  *[StructField(m, LongType()) for m in measures]])
+    def __init__(self, spark: SparkSession, path: str, batch_schema: StructType,
+                 base_schema: StructType):
+        self.spark, self.path = spark, path
+        self.batch_schema, self.base_schema = batch_schema, base_schema
 
-    def _read(self, folder: str, extra: str) -> DataFrame:
-        schema = StructType(self.schema.fields + [StructField(extra, LongType())])
+    def _read(self, folder: str, schema: StructType, number: str) -> DataFrame:
+        numbered = StructType(schema.fields + [StructField(number, LongType())])
         try:
-            return self.spark.read.schema(schema).option("basePath", f"{self.path}/{folder}") \
-                .parquet(f"{self.path}/{folder}")
+            return self.spark.read.schema(numbered).parquet(f"{self.path}/{folder}")
         except AnalysisException:  # nothing written yet
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], numbered)
 
-    def append(self, increments: DataFrame, batch_id: int) -> DataFrame:
-        """Store one batch's increments and return them as stored."""
-        (increments.select(*self.schema.fieldNames()).sortWithinPartitions(self.part)
-         .write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}"))
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+
+    def add(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Store one batch and return it as stored."""
+        self._write(rows.select(*self.batch_schema.fieldNames()), f"batches/batch={batch_id}")
         return self.batch(batch_id)
 
     def batch(self, batch_id: int) -> DataFrame:
-        return self._read("batches", "batch").where(F.col("batch") == batch_id).drop("batch")
+        rows = self._read("batches", self.batch_schema, "batch")
+        return rows.where(F.col("batch") == batch_id).drop("batch")
 
     def _bases(self, batch_id: int) -> list[int]:
         """The finished bases that hold only batches before ``batch_id``, in order."""
@@ -63,47 +59,124 @@ class Ledger:
         rows = known.where(F.col("upto") < batch_id).distinct().orderBy("upto").collect()
         return [r["upto"] for r in rows]
 
-    def before(self, batch_id: int) -> DataFrame:
-        """All increments of earlier batches; keys may repeat."""
-        base = (self._bases(batch_id) or [-1])[-1]
-        batches = self._read("batches", "batch").where(
-            (F.col("batch") > base) & (F.col("batch") < batch_id)).drop("batch")
-        if base < 0:
-            return batches
-        folded = self._read("base", "upto").where(F.col("upto") == base).drop("upto")
-        return folded.unionByName(batches)
-
-    def totals(self, batch_id: int = (1 << 62)) -> DataFrame:
-        """The sums over all batches before ``batch_id``."""
-        sums = [F.sum(m).alias(m) for m in self.measures]
-        return self.before(batch_id).groupBy(*self.keys).agg(*sums)
-
-    def fold(self, batch_id: int) -> None:
-        """Sum all batches before ``batch_id`` into a new base; empty sums drop out.
+    def parts(self, batch_id: int = NOW) -> tuple[DataFrame | None, DataFrame]:
+        """The newest base before ``batch_id``, and the batches between, numbered ``batch``."""
+        bases = self._bases(batch_id)
+        newest = bases[-1] if bases else None
+        after = F.col("batch") < batch_id
+        if newest is None:
+            return None, self._read("batches", self.batch_schema, "batch").where(after)
+        batches = self._read("batches", self.batch_schema, "batch")
+        base = self._read("base", self.base_schema, "upto").where(F.col("upto") == newest)
+        return base.drop("upto"), batches.where(after & (F.col("batch") > newest))
+
+    def folded(self, batch_id: int) -> bool:
+        """Whether a base up to ``batch_id`` is there; a repeated batch must not
+        rewrite the base it reads."""
+        return batch_id - 1 in self._bases(batch_id)
+
+    def store_base(self, rows: DataFrame, batch_id: int) -> None:
+        """Make ``rows`` the state of all batches before ``batch_id``.
 
         Files that only the last but one base stands for are removed, so the
-        ledger's size follows its keys and the batches of two rounds, while a
-        reader that began before this fold still finds its files.
+        size follows the state and the batches of two rounds, while a reader
+        that began before still finds its files.
         """
-        if batch_id - 1 in self._bases(batch_id):
-            return  # a repeated batch must not rewrite the base it reads
-        some = F.lit(False)
-        for measure in self.measures:
-            some = some | (F.col(measure) != 0)
-        (self.totals(batch_id).where(some).select(*self.schema.fieldNames())
-         .sortWithinPartitions(self.part)
-         .write.mode("overwrite").parquet(f"{self.path}/base/upto={batch_id - 1}"))
+        self._write(rows.select(*self.base_schema.fieldNames()), f"base/upto={batch_id - 1}")
         earlier = self._bases(batch_id - 1)
         self.spark.createDataFrame([(batch_id - 1,)], BASES).coalesce(1) \
             .write.mode("append").json(f"{self.path}/bases")
-        self._trim(earlier)
-
-    def _trim(self, earlier: list[int]) -> None:
-        """Drop what ``earlier[-1]``, the base before the newest, has summed up."""
         if not earlier:
             return
         start = earlier[-2] if len(earlier) > 1 else -1
-        for batch in range(start + 1, earlier[-1] + 1):
+        for batch in range(max(start + 1, 0), earlier[-1] + 1):
             remove_dir(self.spark, f"{self.path}/batches/batch={batch}")
         if len(earlier) > 1:
             remove_dir(self.spark, f"{self.path}/base/upto={earlier[-2]}")
+
+
+class Ledger:
+    """Sums of ``measures`` per key, kept as increments.
+
+    Rows are stored sorted by the key column ``part``, so that a filter on it
+    skips the row groups of history a batch cannot touch. A folder per value
+    would make a file per value and batch.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[StructField],
+                 measures: Sequence[str], part: str):
+        self.part, self.path = part, path
+        self.keys = [f.name for f in keys]
+        self.measures = list(measures)
+        schema = StructType([*[StructField(f.name, f.dataType) for f in keys],
+                             *[StructField(m, LongType()) for m in measures]])
+        self.files = BatchFiles(spark, path, schema, schema)
+
+    def append(self, increments: DataFrame, batch_id: int) -> DataFrame:
+        """Store one batch's increments and return them as stored."""
+        return self.files.add(increments.sortWithinPartitions(self.part), batch_id)
+
+    def batch(self, batch_id: int) -> DataFrame:
+        return self.files.batch(batch_id)
+
+    def before(self, batch_id: int) -> DataFrame:
+        """All increments of earlier batches; keys may repeat."""
+        base, batches = self.files.parts(batch_id)
+        batches = batches.drop("batch")
+        return batches if base is None else base.unionByName(batches)
+
+    def totals(self, batch_id: int = NOW) -> DataFrame:
+        """The sums over all batches before ``batch_id``."""
+        sums = [F.sum(m).alias(m) for m in self.measures]
+        return self.before(batch_id).groupBy(*self.keys).agg(*sums)
+
+    def fold(self, batch_id: int) -> None:
+        """Sum all batches before ``batch_id`` into a new base; empty sums drop out."""
+        if self.files.folded(batch_id):
+            return
+        some = F.lit(False)
+        for measure in self.measures:
+            some = some | (F.col(measure) != 0)
+        self.files.store_base(
+            self.totals(batch_id).where(some).sortWithinPartitions(self.part), batch_id)
+
+
+class UpsertTable:
+    """A keyed table that follows a streamed changelog.
+
+    A micro-batch only appends its changes. Reading applies the changes since
+    the last fold to the base, and a fold writes the result as the next base, so
+    the table is rewritten once in ``fold_every`` batches and not for each.
+    Changes run in the order of their batches and by ``order`` inside one.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
+                 changes: StructType, order: Sequence[str], update_strategy: str = "update",
+                 ignore_delete: bool = True, fixed: Sequence[str] = (), few: bool = False,
+                 fold_every: int = 50, op: str = "op"):
+        absent = [c for c in (*schema.fieldNames(), *order, op) if c not in changes.fieldNames()]
+        if not keys or absent:
+            raise ValueError(f"an upsert table needs a key; the changes lack {absent}")
+        self.keys, self.order, self.op = list(keys), list(order), op
+        self.options = {"update_strategy": update_strategy, "ignore_delete": ignore_delete,
+                        "fixed": list(fixed), "few": few, "op": op}
+        self.fold_every = fold_every
+        self.files = BatchFiles(spark, path, changes, schema)
+
+    def create(self, rows: DataFrame) -> None:
+        """Start from ``rows``, before the first batch."""
+        if not self.files.folded(0):
+            self.files.store_base(rows, 0)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        """Take in one micro-batch; running the same one again changes nothing."""
+        self.files.add(batch.where(F.col(self.op) != BEFORE), batch_id)
+        if batch_id and batch_id % self.fold_every == 0 and not self.files.folded(batch_id):
+            self.files.store_base(self.current(batch_id), batch_id)
+
+    def current(self, batch_id: int = NOW) -> DataFrame:
+        """The table after all batches before ``batch_id``."""
+        base, batches = self.files.parts(batch_id)
+        if base is None:
+            base = self.files.spark.createDataFrame([], self.files.base_schema)
+        return apply_changelog(base, batches, self.keys, ["batch", *self.order], **self.options)

@@ -8,11 +8,12 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from changeflow.operators.changelog import apply_changelog
 from changeflow.operators.counting import pv_uv
 from changeflow.plans.jobs import run_pipeline
 from changeflow.session import fresh_dir
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
-from changeflow.streaming.ledger import Ledger
+from changeflow.streaming.ledger import Ledger, UpsertTable
 from changeflow.streaming.sinks import TimePartitionSink, file_sink, read_files, run_stream
 from changeflow.streaming.sources import change_stream, of_tables, queue_stream, table_stream
 
@@ -111,6 +112,31 @@ def test_ledger_stays_small(spark):
     assert len(batches) <= 4 and len(bases) <= 2
 
 
+@pytest.mark.parametrize("strategy, ignore_delete", [("update", False), ("insert", True)])
+def test_upsert_table_follows_batches(spark, strategy, ignore_delete):
+    """Replays, folds and a hot key; the same as all changes applied at once."""
+    row, draw = "k int, v string", random.Random(strategy)
+    start = spark.createDataFrame([(k, "start") for k in range(0, 20, 2)], row)
+    schema = spark.createDataFrame([], f"op string, at int, {row}").schema
+    table = UpsertTable(spark, fresh_dir(spark, "upsert"), start.schema, ["k"], schema, ["at"],
+                        strategy, ignore_delete, fold_every=2)
+    table.create(start)
+    table.create(start)
+    seen = []
+    for number in range(6):
+        made = [(draw.choice(["+I", "-U", "+U", "-D"]), i, 7 if i % 3 == 0 else draw.randrange(20),
+                 f"v{number}-{i}") for i in range(40)]
+        batch = spark.createDataFrame(made, schema)
+        for _ in range(2):
+            table.process(batch, number)
+        seen += [(op, number * 100 + at, k, v) for op, at, k, v in made]
+        at_once = apply_changelog(start, spark.createDataFrame(seen, schema), ["k"], ["at"],
+                                  strategy, ignore_delete)
+        assert sorted(map(tuple, table.current().collect())) == sorted(map(tuple, at_once.collect()))
+    with pytest.raises(ValueError):
+        UpsertTable(spark, "x", start.schema, ["k"], start.schema, ["at"])
+
+
 def write_parts(spark, path, parts, rows=100):
     for i in range(parts):
         spark.range(i * rows, (i + 1) * rows).coalesce(1).write.mode("append").parquet(path)
