@@ -22,7 +22,7 @@ HEADLINE = [
     "trace_full", "cookie_user", "compact", "materialize", "upsert_update_keep_delete",
     "upsert_insert_keep_delete", "op_upsert", "place_value", "write_sharded", "write_partitioned",
     "write_copy_text", "write_quarantine", "write_batched", "stream_json_topic", "stream_pv_uv",
-    "stream_dedupe",
+    "stream_dedupe", "stream_upsert", "upsert_few_changes",
 ]
 
 

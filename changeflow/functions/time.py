@@ -54,6 +54,13 @@ def with_time_parts(df: DataFrame, ms_col: str, zone: str = "UTC",
     return df.withColumns({day: format_ms(ms, DAY, zone), hour: format_ms(ms, HOUR, zone)})
 
 
+def with_processing_day(df: DataFrame, now_ms: int | None = None, zone: str = "UTC",
+                        day: str = "dt") -> DataFrame:
+    """Add the day the job runs, or the day of ``now_ms`` where a run must be repeatable."""
+    now = F.unix_millis(F.current_timestamp()) if now_ms is None else F.lit(now_ms)
+    return df.withColumn(day, format_ms(now, DAY, zone))
+
+
 def reformat(text: Column, pattern_in: str | None = None, pattern_out: str = SECOND) -> Column:
     """Parse a datetime string and render it again; unreadable text gives null."""
     parsed = (F.try_to_timestamp(text, F.lit(pattern_in)) if pattern_in

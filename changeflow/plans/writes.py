@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from changeflow.functions.time import DAY, epoch_ms
+from changeflow.functions.time import DAY, epoch_ms, with_processing_day
 from changeflow.operators.conform import conform, misfits
 from changeflow.operators.shaping import normalize_envelope
 from changeflow.plans import derived as D
@@ -79,6 +79,18 @@ def write_time_partitions(spark, sf_dir):
         F.count("*").alias("n"), F.min("event_id").alias("first_id"))
 
 
+@query("write_processing_day", """SELECT event_id, event_type, '2024-01-31' AS load_day,
+    '2024-01-31' AS local_day FROM events""")
+def write_processing_day(spark, sf_dir):
+    """Rows partitioned by the day they were taken in, for a fixed clock."""
+    path = fresh_dir(spark, "processing-day")
+    rows = load(spark, sf_dir, "events").select("event_id", "event_type")
+    days = with_processing_day(rows, NOW_MS, day="load_day")
+    both = with_processing_day(days, NOW_MS, "Asia/Shanghai", "local_day")
+    W.write_partitioned(both, path, ["load_day", "local_day"])
+    return spark.read.schema(both.schema).parquet(path)
+
+
 @query("write_sharded", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def write_sharded(spark, sf_dir):
     rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")

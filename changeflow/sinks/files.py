@@ -76,10 +76,10 @@ def write_sharded(df: DataFrame, path: str, strategy: str, n: int, key: str | No
 
 
 def save_table(df: DataFrame, name: str, partitions: Sequence[str] = (),
-               path: str | None = None) -> None:
+               path: str | None = None, fmt: str = "parquet") -> None:
     """Append to a table, creating it from the frame's schema when it is missing."""
     values = [c for c in df.columns if c not in partitions]
-    writer = df.select(*values, *partitions).write.format("parquet").mode("append")
+    writer = df.select(*values, *partitions).write.format(fmt).mode("append")
     writer = writer.partitionBy(*partitions) if partitions else writer
     (writer.option("path", path) if path else writer).saveAsTable(name)
 

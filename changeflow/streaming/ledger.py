@@ -53,11 +53,10 @@ class BatchFiles:
     def _bases(self, batch_id: int) -> list[int]:
         """The finished bases that hold only batches before ``batch_id``, in order."""
         try:
-            known = self.spark.read.schema(BASES).json(f"{self.path}/bases")
+            known = self.spark.read.schema(BASES).json(f"{self.path}/bases").collect()
         except AnalysisException:  # never folded
             return []
-        rows = known.where(F.col("upto") < batch_id).distinct().orderBy("upto").collect()
-        return [r["upto"] for r in rows]
+        return sorted({r["upto"] for r in known if r["upto"] < batch_id})
 
     def parts(self, batch_id: int = NOW) -> tuple[DataFrame | None, DataFrame]:
         """The newest base before ``batch_id``, and the batches between, numbered ``batch``."""

@@ -56,6 +56,12 @@ def test_times_do_not_follow_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_processing_day(spark):
+    days = C.with_processing_day(spark.range(1), 1_706_720_400_000, "Asia/Shanghai").first()
+    assert days["dt"] == "2024-02-01"
+    assert len(C.with_processing_day(spark.range(1)).first()["dt"]) == 10
+
+
 def test_recent(spark):
     now = 100 * C.MS_PER_DAY
     rows = [(now,), (now - 7 * C.MS_PER_DAY,), (now - 8 * C.MS_PER_DAY + 1,),
