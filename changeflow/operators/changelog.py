@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeflow.session import written
+
 INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
 ADDS = (INSERT, AFTER)
 RETRACTS = (BEFORE, DELETE)
@@ -98,13 +100,15 @@ def _meet(target: DataFrame, folded: DataFrame, keys: Sequence[str], few: bool)
     """All target rows (marked ``_there``) and all folded keys, matched by key.
 
     One full outer join moves both sides, unless the target is bucketed by key.
-    With ``few`` the target is never moved for it: its rows look up their change,
-    and the changes without a row are found by the keys that had one. Spark
-    broadcasts the changes there if their size allows, and shuffles if not.
+    With ``few`` the folded changes are written first, so that Spark knows their
+    size: if it is below the broadcast threshold, target rows look up their
+    change where they are, and the changes without a row are found by the keys
+    that had one. Above the threshold the same joins shuffle.
     """
     names, marked = list(keys), target.withColumn("_there", F.lit(True))
     if not few:
         return marked.join(folded, names, "full_outer")
+    folded = written(folded, "folded")
     matched = target.select(*names).join(folded.select(*names), names, "left_semi")
     fresh = folded.join(matched, names, "left_anti")
     return marked.join(folded, names, "left").unionByName(fresh, allowMissingColumns=True)
@@ -124,7 +128,7 @@ def apply_changelog(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     A key's history folds to three facts: the last row put or set, the time of
     the last put, and the time of the last delete. Both join sides then hold a
     key once, so no key is hot in the join. ``few`` plans for changes far smaller
-    than the target, see :func:`_meet`.
+    than the target and runs a job to fold them first, see :func:`_meet`.
     """
     if update_strategy not in ("update", "insert", "discard"):
         raise ValueError(f"unknown update strategy {update_strategy!r}")

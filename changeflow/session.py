@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants; partition counts stay with the cluster's operator,
 # AQE coalesces them at run time.
@@ -58,6 +58,17 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/changeflow/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    Later uses neither compute them again nor lose them with an executor, and
+    Spark plans with their size on disk instead of a guess.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python, once per session.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
 from changeflow.functions.number import whole_quotient
-from changeflow.session import fresh_dir
+from changeflow.session import written
 
 # Default rows per chunk and bounds of the distribution factor.
 CHUNK_ROWS = 8096
@@ -152,7 +152,7 @@ def plan_by_rank(spark: SparkSession, df: DataFrame, key: str, size: int = CHUNK
     later ends, which is what lets all ends be found at once instead of one
     after the other. Only the chunk ends come back to the driver.
     """
-    parts = sorted_counts(spark, df, key)
+    parts = sorted_counts(df, key)
     totals = parts.groupBy("part").agg(
         F.sum("n").alias("rows"), F.max_by("n", "key").alias("last_n"), F.max("key").alias("high")
     ).orderBy("part").collect()
@@ -163,7 +163,7 @@ def plan_by_rank(spark: SparkSession, df: DataFrame, key: str, size: int = CHUNK
     return ChunkPlan(key, tuple(r[0] for r in ends.orderBy("end").collect()))
 
 
-def sorted_counts(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+def sorted_counts(df: DataFrame, key: str) -> DataFrame:
     """Each distinct ``key`` with its row count ``n``, range-partitioned by ``part``.
 
     Counts are combined before they move. The result is written once, so that
@@ -171,10 +171,8 @@ def sorted_counts(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    path = fresh_dir(spark, "ranks")
-    (counts.repartitionByRange("key").withColumn("part", F.spark_partition_id())
-     .write.parquet(path))
-    return spark.read.parquet(path)
+    return written(counts.repartitionByRange("key")
+                   .withColumn("part", F.spark_partition_id()), "ranks")
 
 
 def with_ranks(spark: SparkSession, parts: DataFrame, totals: list) -> DataFrame:

@@ -138,3 +138,17 @@ def test_maps_can_be_compacted(spark):
                                "k int, at int, m map<string,string>")
     got = {r["k"]: r["m"] for r in L.compact(df, ["k"], ["at"]).collect()}
     assert got == {1: {"a": "y"}, 2: None}
+
+
+def test_few_changes_leave_the_target_in_place(spark, sf_dir):
+    """The target meets the changes in broadcast joins: it is not hashed to other tasks."""
+    target = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    changes = spark.createDataFrame([("+U", 5, 1, "x"), ("+I", 10**9, 2, "y"), ("-D", 7, 3, None)],
+                                    "op string, k bigint, at int, v string")
+    result = L.apply_changelog(target, changes, ["k"], ["at"], ignore_delete=False, few=True)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    got = {r["k"]: r["v"] for r in result.collect()}
+    assert got[5] == "x" and got[10**9] == "y" and 7 not in got
+    assert len(got) == target.count()

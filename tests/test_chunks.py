@@ -74,7 +74,7 @@ def test_numbering_agrees_with_filters(spark):
     for plan in (ChunkPlan("k", range(10, 95, 10)), ChunkPlan("k", (3, 4, 50, 77)),
                  ChunkPlan("k", range(5, 6)), ChunkPlan("k", many)):
         numbered = df.withColumn("c", plan.number()).cache()
-        for chunk in range(len(plan)):
+        for chunk in {0, 1, len(plan) // 2, len(plan) - 1}:
             inside = {r["k"] for r in df.where(plan.rows(chunk)).collect()}
             assert inside == {r["k"] for r in numbered.where(F.col("c") == chunk).collect()}
 
