@@ -51,8 +51,17 @@ def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path).drop("batch")
 
 
-def write_all(batch: DataFrame, sinks: Mapping[str, Sink], batch_id: int = 0) -> None:
-    """Every row to every sink; the rows are computed once."""
+def write_all(batch: DataFrame, sinks: Mapping[str, Sink], batch_id: int = 0,
+              hold: bool = True) -> None:
+    """Every row to every sink.
+
+    The rows are computed once and held in between. For a whole table that is
+    cheap to read but too large to hold, ``hold=False`` reads it for each sink.
+    """
+    if not hold:
+        for sink in sinks.values():
+            sink(batch, batch_id)
+        return
     held = batch.persist()
     try:
         for sink in sinks.values():
