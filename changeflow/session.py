@@ -84,8 +84,19 @@ def ship_package(spark: SparkSession) -> None:
     context._changeflow_shipped = True
 
 
-def remove_dir(spark: SparkSession, path: str) -> None:
-    """Delete a folder this library wrote, on whatever file system holds it."""
+def _file_system(spark: SparkSession, path: str):
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, on whatever file system."""
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever file system holds it."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.time import DAY, MONTH, with_time_parts
 from changeflow.operators.changelog import BEFORE, compact
 from changeflow.operators.placement import with_shard
+from changeflow.session import path_exists
 
 
 def rebalanced(df: DataFrame, columns: Sequence[str], tasks: int | None = None) -> DataFrame:
@@ -64,15 +65,16 @@ def write_time_partitioned(df: DataFrame, path: str, ms_col: str, zone: str = "U
 
 def write_sharded(df: DataFrame, path: str, strategy: str, n: int, key: str | None = None,
                   op: str | None = None) -> list[str]:
-    """Write each row to the folder of its shard; returns the shard folders.
+    """Write each row to the folder of its shard; returns the folders there are.
 
-    With an ``op`` column, -U rows are left out.
+    A shard without rows has none. With an ``op`` column, -U rows are left out.
     """
     if op is not None:
         df = df.where(F.col(op) != BEFORE)
     placed = with_shard(df, strategy, n, key)
     rebalanced(placed, ["shard"]).write.mode("append").partitionBy("shard").parquet(path)
-    return [f"{path}/shard={i}" for i in range(n)]
+    folders = [f"{path}/shard={i}" for i in range(n)]
+    return [folder for folder in folders if path_exists(df.sparkSession, folder)]
 
 
 def save_table(df: DataFrame, name: str, partitions: Sequence[str] = (),

@@ -153,14 +153,14 @@ def plan_by_rank(spark: SparkSession, df: DataFrame, key: str, size: int = CHUNK
     after the other. Only the chunk ends come back to the driver.
     """
     parts = sorted_counts(df, key)
-    totals = parts.groupBy("part").agg(
+    totals = sorted(parts.groupBy("part").agg(
         F.sum("n").alias("rows"), F.max_by("n", "key").alias("last_n"), F.max("key").alias("high")
-    ).orderBy("part").collect()
+    ).collect(), key=lambda total: total["part"])
     if not totals:
         return ChunkPlan(key, ())
     ends = rank_ends(with_ranks(spark, parts, totals), size).where(
         F.col("end") < F.lit(totals[-1]["high"]))
-    return ChunkPlan(key, tuple(r[0] for r in ends.orderBy("end").collect()))
+    return ChunkPlan(key, tuple(sorted(r["end"] for r in ends.collect())))
 
 
 def sorted_counts(df: DataFrame, key: str) -> DataFrame:

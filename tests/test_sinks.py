@@ -18,6 +18,7 @@ from changeflow.sinks import files as W
 from changeflow.sinks.copytext import copy_lines, read_copy_text, write_copy_text
 from changeflow.sinks.quarantine import (
     bad_rows, good_rows, raise_on_failure, write_with_quarantine)
+from changeflow.sources.scan import scan_shards
 
 # ---- placement --------------------------------------------------------------
 
@@ -63,6 +64,15 @@ def test_balanced_starts_at_one(spark):
 # ---- files ------------------------------------------------------------------
 
 
+def test_empty_shards_have_no_folder(spark):
+    paths = W.write_sharded(spark.range(20).where("id % 5 = 3"), fresh_dir(spark, "few"), "value",
+                            5, "id")
+    assert [p[-1] for p in paths] == ["3"]
+    assert sorted(r["id"] for r in scan_shards(spark, paths).collect()) == [3, 8, 13, 18]
+    with pytest.raises(ValueError):
+        scan_shards(spark, [])
+
+
 def test_partition_spec():
     assert W.partition_names("a, ${b=2},c") == ["a", "b", "c"]
 
