@@ -8,8 +8,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_points
+from changeflow.plans import catalog
 
-RUNS, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+RUNS, ORACLES = catalog.RUNS, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -46,5 +47,10 @@ def test_query(name, spark, sf_dir, oracle):
     assert rows(ours.toPandas()) == rows(theirs)
 
 
+def test_entry_offers_every_query():
+    assert set(RUNS) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["dt", "event_type", "pv", "uv"]
