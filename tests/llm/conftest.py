@@ -1,0 +1,9 @@
+import pytest
+
+
+@pytest.fixture
+def rows(spark):
+    """Rows of a frame as sorted tuples of text, nulls included."""
+    def shown(df, *names):
+        return sorted(map(str, (tuple(r) for r in df.select(*(names or df.columns)).collect())))
+    return shown
