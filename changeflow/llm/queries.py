@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changeflow.llm.simhash import near_duplicates
 from changeflow.llm.url_rules import judge
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +48,8 @@ SELECT s.page_id, s.host, s.path, f.best.rule AS rule,
 FROM split s LEFT JOIN fits f USING (page_id)""")
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark, load(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, load(spark, sf_dir, "documents"))
