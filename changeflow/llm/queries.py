@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from changeflow.llm.bpe import token_digests
 from changeflow.llm.simhash import near_duplicates
 from changeflow.llm.url_rules import judge
 
@@ -53,3 +55,9 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, load(spark, sf_dir, "documents"))
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(spark, load(spark, sf_dir, "documents"),
+                         public_tokenizers.path("byte_bpe_50k.json"))
