@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeflow.llm.bpe import token_digests
+from changeflow.llm.quality import HELD_OUT, KEEP_FROM, fit, fold, scored
 from changeflow.llm.simhash import near_duplicates
 from changeflow.llm.url_rules import judge
 
@@ -61,3 +63,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, load(spark, sf_dir, "documents"),
                          public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(spark, docs, load(spark, sf_dir, "labels"))
+    return scored(spark, docs, model, keep_text=False).select(
+        "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
+        (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
