@@ -23,6 +23,8 @@ SAMPLE_BYTES = 8 << 20  # and bytes of them
 DOC_BYTES = 1 << 15  # and bytes of one of them, so that long ones leave room
 DICTIONARY = 110 << 10  # bytes of a dictionary at most, and
 SAMPLE_SHARE = 16  # at most this part of the smaller sample
+SEGMENT = 200  # bytes that training copies at once; chosen, it gives steadier results
+MATCH = 8  # than letting training search for it
 LEVEL = 3
 PIECE = 2048  # texts are compressed in pieces, so that a dictionary matters everywhere
 LENGTHS = (64, 256)  # bytes at which calibration classes begin
@@ -143,7 +145,7 @@ def _dictionaries(good: list[bytes], bad: list[bytes]) -> tuple[bytes, bytes, bo
         return b"", b"", False
     size = min(DICTIONARY, *(sum(map(len, sample)) // SAMPLE_SHARE for sample in (good, bad)))
     try:
-        return *(zstandard.train_dictionary(size, sample, level=LEVEL).as_bytes()
+        return *(zstandard.train_dictionary(size, sample, k=SEGMENT, d=MATCH).as_bytes()
                  for sample in (good, bad)), True
     except zstandard.ZstdError:
         return *(b"\n".join(sample)[:max(size, PIECE)] for sample in (good, bad)), False

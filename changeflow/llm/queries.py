@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.bpe import token_digests
 from changeflow.llm.quality import HELD_OUT, KEEP_FROM, fit, fold, scored
+from changeflow.llm.secrets import scan, span_digests
 from changeflow.llm.simhash import near_duplicates
 from changeflow.llm.url_rules import judge
 
@@ -72,3 +73,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, docs, model, keep_text=False).select(
         "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return span_digests(scan(spark, docs, keep_text=False)).drop("secrets")

@@ -1,0 +1,94 @@
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+from changeflow.llm.queries import RUNS
+from changeflow.llm.secrets import DIGITS, Scanner, scan, span_digests
+
+PATTERNS = {
+    "assign": re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
+                         r"([A-Za-z0-9+/_.=-]+)", re.ASCII),
+    "access": re.compile("AKIA[A-Z0-9]+"),
+    "hex": re.compile("[0-9a-f]+"),
+}
+KEPT = {"assign": lambda m: len(m[2]) >= 6, "access": lambda m: len(m[0]) >= 20,
+        "hex": lambda m: len(m[0]) >= 24}
+ORDER = list(PATTERNS)
+
+
+def brute(text):
+    found = [(m.start(), ORDER.index(kind), m.end()) for kind, p in PATTERNS.items()
+             for m in p.finditer(text or "") if KEPT[kind](m)]
+    return [(ORDER[k], a, b) for a, k, b in sorted(found)]
+
+
+def digest(text):
+    spans = brute(text)
+    joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    return [sum(s[0] == kind for s in spans) for kind in ORDER] + [
+        hashlib.sha256(joined.encode()).hexdigest()]
+
+
+def with_checksum(prefix, body):
+    value, tail = zlib.crc32(body.encode()), ""
+    for _ in range(6):
+        value, digit = divmod(value, 62)
+        tail = DIGITS[digit] + tail
+    return prefix + body + tail
+
+
+def names(text):
+    from changeflow.llm.secrets import KINDS
+    return [(KINDS[k].name, text[a:b]) for a, b, k in Scanner().spans(text)]
+
+
+def test_random_texts():
+    seed = random.Random(5)
+    parts = ["password", "PassWD", "secret", "token", "api_key", "APIKEY", "AKIA", "akia", "'", '"', " ",
+             ":", "=", "-", "abc", "0123456789abcdef", "ABCDEFGH", "é", "ſ", "K", "\n", "x.y",
+             "/", "\U0001f600", "deadbeef", "secret=secret"]
+    scanner = Scanner()
+    for _ in range(20_000):
+        text = "".join(seed.choices(parts, k=seed.randrange(20)))
+        assert [s for s in scanner.spans(text) if s[2] < 3] == [
+            (a, b, ORDER.index(k)) for k, a, b in brute(text)], text
+
+
+def test_checksums():
+    body = "abcdefghijABCDEFGHIJ0123456789"
+    good = with_checksum("ghp_", body)
+    assert names(f"é {good}.") == [("github", good)]
+    assert names(good[:-1] + ("A" if good[-1] != "A" else "B")) == []
+    assert names(good + "x") == []
+    assert names("é" + with_checksum("npm_", body)) == [("npm", with_checksum("npm_", body))]
+    head = base64.urlsafe_b64encode(b'{"alg":"HS256"}').decode().rstrip("=")
+    assert names(f"a {head}.eyJhIjoxfQ.x-y_z") == [("jwt", f"{head}.eyJhIjoxfQ.x-y_z")]
+    assert names("eyJub3BlIjoxfQ.eyJhIjoxfQ.x") == []
+    key = "-----BEGIN RSA PRIVATE KEY-----\nMIIE\n-----END RSA PRIVATE KEY-----"
+    assert names(f"{key} token: {good}") == [
+        ("private_key", key), ("assign", f"token: {good}"), ("github", good)]
+
+
+def test_whole_table(spark, sf_dir):
+    got = {r["doc_id"]: r for r in RUNS["op8_secrets"](spark, sf_dir).collect()}
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert len(got) == len(rows)
+    for row in rows:
+        own = got[row["doc_id"]]
+        assert [own["n_assign"], own["n_access"], own["n_hex"], own["base_sha256"]] \
+            == digest(row["text"])
+
+
+def test_odd_rows(spark):
+    long = "x" * 99_999 + " token=abcdef " + "f" * 30
+    rows = [(1, None, "a", 1), (None, "", "b", 2), (3, long, None, 3), (3, long, None, 3)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, Secrets string, read int")
+    got = scan(spark, table)
+    assert got.columns == ["doc_id", "text", "read", "secrets"]
+    made = span_digests(got).collect()
+    assert len(made) == 4
+    assert {r["spans"] for r in made if r["doc_id"] != 3} == {""}
+    assert {r["spans"] for r in made if r["doc_id"] == 3} == {"assign:100000:100012,hex:100013:100043"}
+    assert scan(spark, table.limit(0)).collect() == []
