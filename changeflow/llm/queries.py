@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm.bpe import token_digests
+from changeflow.llm.html_text import extract
 from changeflow.llm.quality import HELD_OUT, KEEP_FROM, fit, fold, scored
 from changeflow.llm.secrets import scan, span_digests
 from changeflow.llm.simhash import near_duplicates
@@ -79,3 +80,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return span_digests(scan(spark, docs, keep_text=False)).drop("secrets")
+
+
+@query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark, load(spark, sf_dir, "pages").select("page_id", "url", "html"))
