@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm.bpe import token_digests
+from changeflow.llm.embeddings import near_vectors
 from changeflow.llm.html_text import extract
 from changeflow.llm.quality import HELD_OUT, KEEP_FROM, fit, fold, scored
 from changeflow.llm.secrets import scan, span_digests
@@ -85,3 +86,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_html_text")
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark, load(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op1_embeddings")
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark, load(spark, sf_dir, "embeddings"))
