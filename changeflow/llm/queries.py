@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from changeflow.llm.bpe import token_digests
 from changeflow.llm.embeddings import near_vectors
 from changeflow.llm.html_text import extract
+from changeflow.llm.line_dedup import without_repeats
 from changeflow.llm.mixing import mix
 from changeflow.llm.quality import HELD_OUT, KEEP_FROM, fit, fold, scored
 from changeflow.llm.secrets import scan, span_digests
@@ -99,3 +100,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "source")
     return mix(spark, docs).select("row.doc_id", "row.source", "epoch", "block", "release",
                                    "deadline", "slot")
+
+
+@query("op5_line_dedup")
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeats(spark, docs, dropped="n_dropped")
