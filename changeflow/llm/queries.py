@@ -14,6 +14,8 @@ from changeflow.llm.html_text import extract
 from changeflow.llm.line_dedup import without_repeats
 from changeflow.llm.mixing import mix
 from changeflow.llm.quality import HELD_OUT, KEEP_FROM, fit, fold, scored
+from changeflow.llm.quality_rules import judge_quality
+from changeflow.llm.quality_sql import ORACLE as QUALITY_SQL
 from changeflow.llm.secrets import scan, span_digests
 from changeflow.llm.simhash import near_duplicates
 from changeflow.llm.url_rules import judge
@@ -106,3 +108,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return without_repeats(spark, docs, dropped="n_dropped")
+
+
+@query("op4_quality_rules", QUALITY_SQL)
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return judge_quality(spark, docs).drop("lang", "class_distance", "word_distance")
