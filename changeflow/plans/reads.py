@@ -91,6 +91,18 @@ def range_scan(spark, sf_dir):
     return scan_ranges(orders, "o_orderkey", lower, upper, 7, "range_id")
 
 
+SPREAD_KEY = "(o_orderkey % 3000 - 1500) * 6148914691236517"
+
+
+@query("range_scan_wide", f"""SELECT o_orderkey, {SPREAD_KEY} AS key,
+    CASE WHEN {SPREAD_KEY} < -4611686018427387904 THEN 0 WHEN {SPREAD_KEY} < 0 THEN 1
+      WHEN {SPREAD_KEY} < 4611686018427387904 THEN 2 ELSE 3 END AS range_no FROM orders""")
+def range_scan_wide(spark, sf_dir):
+    """Keys spread over all bigints."""
+    orders = load(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{SPREAD_KEY} AS key")
+    return scan_ranges(orders, "key", -(1 << 63), (1 << 63) - 1, 4, "range_no")
+
+
 @query("range_scan_drops_outside",
        "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey BETWEEN 100 AND 600")
 def range_scan_drops_outside(spark, sf_dir):
@@ -129,47 +141,87 @@ def shard_range_scan(spark, sf_dir):
 @query("chunks_even", """WITH s AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi,
       greatest(CAST(floor(ceil((max(o_orderkey) - min(o_orderkey) + 1) * 10000 / count(*)) / 10000 * 4000)
         AS BIGINT), 1) AS step, count(*) AS n FROM orders)
-    SELECT CAST(CASE WHEN n <= step THEN 0 ELSE least((o_orderkey - lo) // step, (hi - lo) // step)
+    SELECT CAST(CASE WHEN n <= 4000 THEN 0 ELSE least((o_orderkey - lo) // step, (hi - lo) // step)
         END AS INTEGER) AS chunk_id, count(*) AS n, min(o_orderkey) AS first_key,
       max(o_orderkey) AS last_key FROM orders, s GROUP BY 1""")
 def chunks_even(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_orderkey")
-    plan = plan_chunks(spark, orders, "o_orderkey", 4000)
-    return label_chunks(orders, plan).groupBy("chunk_id").agg(
-        F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"),
-        F.max("o_orderkey").alias("last_key"))
+    return _chunk_sizes(orders, plan_chunks(spark, orders, "o_orderkey", 4000), "o_orderkey")
+
+
+def _chunk_sizes(df, plan, key):
+    return label_chunks(df, plan).groupBy("chunk_id").agg(
+        F.count("*").alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+
+
+@query("chunks_even_sparse", """WITH o AS (SELECT o_orderkey * 10 AS key FROM orders),
+    s AS (SELECT min(key) AS lo, max(key) AS hi, count(*) AS n, greatest(CAST(floor(
+        ceil((max(key) - min(key) + 1) * 10000 / count(*)) / 10000 * 300) AS BIGINT), 1) AS step FROM o)
+    SELECT CAST(CASE WHEN n <= 300 THEN 0 ELSE least((key - lo) // step, (hi - lo) // step)
+        END AS INTEGER) AS chunk_id, count(*) AS n, min(key) AS first_key, max(key) AS last_key
+    FROM o, s GROUP BY 1""")
+def chunks_even_sparse(spark, sf_dir):
+    """Keys ten apart: chunks go by rows, not by the span of the keys."""
+    orders = load(spark, sf_dir, "orders").select((F.col("o_orderkey") * 10).alias("key"))
+    return _chunk_sizes(orders, plan_chunks(spark, orders, "key", 300), "key")
 
 
 def _rank_chunks_sql(table: str, key: str, size: int) -> str:
     """Chunks by rank: a key starts one when it holds a step row or follows a heavy key."""
     step = size - 1
-    return f"""WITH k AS (SELECT {key} AS key, count(*) AS n FROM {table} GROUP BY 1),
+    return f"""WITH k AS (SELECT {key} AS key, count(*) AS n FROM {table}
+            WHERE {key} IS NOT NULL GROUP BY 1),
     r AS (SELECT key, n, CAST(sum(n) OVER (ORDER BY key) AS BIGINT) - n AS before,
             lag(n) OVER (ORDER BY key) AS previous, max(key) OVER () AS high FROM k),
     c AS (SELECT key, n, CAST(sum(CASE WHEN key < high AND before > 0 AND
             ((before + n - 1) // {step} > (before - 1) // {step} OR previous > {step})
             THEN 1 ELSE 0 END) OVER (ORDER BY key) AS INTEGER) AS chunk_id FROM r)
     SELECT chunk_id, CAST(sum(n) AS BIGINT) AS n, min(key) AS first_key, max(key) AS last_key
-    FROM c GROUP BY 1"""
+    FROM (SELECT chunk_id, n, key FROM c
+          UNION ALL SELECT 0, count(*), NULL FROM {table} WHERE {key} IS NULL HAVING count(*) > 0)
+    GROUP BY 1"""
 
 
 @query("chunks_uneven", _rank_chunks_sql("lineitem", "l_orderkey", 4000))
 def chunks_uneven(spark, sf_dir):
     """Repeated keys: the rows of one never part."""
     lines = load(spark, sf_dir, "lineitem").select("l_orderkey")
-    plan = plan_by_rank(spark, lines, "l_orderkey", 4000)
-    return label_chunks(lines, plan).groupBy("chunk_id").agg(
-        F.count("*").alias("n"), F.min("l_orderkey").alias("first_key"),
-        F.max("l_orderkey").alias("last_key"))
+    return _chunk_sizes(lines, plan_by_rank(spark, lines, "l_orderkey", 4000), "l_orderkey")
+
+
+@query("chunks_many", _rank_chunks_sql("lineitem", "l_orderkey", 20))
+def chunks_many(spark, sf_dir):
+    """Thousands of chunks go the same way as a few."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey")
+    return _chunk_sizes(lines, plan_by_rank(spark, lines, "l_orderkey", 20), "l_orderkey")
+
+
+WIDE_KEY = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderkey * 1099511627776 + 1 END"
+
+
+@query("chunks_wide_key", _rank_chunks_sql(
+    f"(SELECT {WIDE_KEY} AS key FROM orders)", "key", 4))
+def chunks_wide_key(spark, sf_dir):
+    """Keys beyond what a double holds, some of them null."""
+    orders = load(spark, sf_dir, "orders").selectExpr(f"{WIDE_KEY} AS key")
+    return _chunk_sizes(orders, plan_by_rank(spark, orders, "key", 4), "key")
+
+
+NAN_KEY = "CASE WHEN l_linenumber = 7 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice END"
+
+
+@query("chunks_nan_key", f"""SELECT chunk_id, n, first_key FROM ({_rank_chunks_sql(
+    f"(SELECT {NAN_KEY} AS key FROM lineitem)", "key", 100)})""")
+def chunks_nan_key(spark, sf_dir):
+    """A double key; not-a-number is the largest."""
+    lines = load(spark, sf_dir, "lineitem").selectExpr(f"{NAN_KEY} AS key")
+    return _chunk_sizes(lines, plan_by_rank(spark, lines, "key", 100), "key").drop("last_key")
 
 
 @query("chunks_text_key", _rank_chunks_sql("customer", "c_name", 400))
 def chunks_text_key(spark, sf_dir):
     customers = load(spark, sf_dir, "customer").select("c_name")
-    plan = plan_chunks(spark, customers, "c_name", 400)
-    return label_chunks(customers, plan).groupBy("chunk_id").agg(
-        F.count("*").alias("n"), F.min("c_name").alias("first_key"),
-        F.max("c_name").alias("last_key"))
+    return _chunk_sizes(customers, plan_chunks(spark, customers, "c_name", 400), "c_name")
 
 
 @query("chunk_snapshot", """SELECT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS key,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,14 +46,22 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType
 
 
 def range_number(key: Column, lower: int, upper: int, n: int) -> Column:
-    """Which of the ``n`` ranges of :func:`split_range` holds ``key``, as arithmetic."""
+    """Which of the ``n`` ranges of :func:`split_range` holds ``key``, as arithmetic.
+
+    Spans that a bigint cannot hold are counted in decimals.
+    """
     n, size, big = range_bounds(lower, upper, n)
-    at = key.cast("bigint") - F.lit(lower)
-    head = big * size
-    in_head = whole_quotient(at, size)
+    wide = upper - lower >= 1 << 62
+
+    def whole(value: int) -> Column:
+        return F.lit(Decimal(value)).cast("decimal(21,0)") if wide else F.lit(value)
+
+    at = key.cast("decimal(21,0)" if wide else "bigint") - whole(lower)
+    head = whole(big * size)
+    in_head = whole_quotient(at, whole(size))
     if big == n or size == 1:
         return in_head.cast("int")
-    in_tail = F.lit(big) + whole_quotient(at - head, size - 1)
+    in_tail = F.lit(big) + whole_quotient(at - head, whole(size - 1))
     return F.when(at < head, in_head).otherwise(in_tail).cast("int")
 
 

@@ -4,53 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from changeflow.sources.chunks import CHUNK_ROWS, ChunkPlan, plan_chunks
+from changeflow.session import path_exists
+from changeflow.sources.chunks import CHUNK_ROWS, ChunkPlan, EvenChunks, RankedChunks, plan_chunks
 
+EVEN = "first bigint, step bigint, n bigint"
 FINISHED = "table_name string, first int, last int"
 
 
 def label_chunks(df: DataFrame, plan: ChunkPlan, name: str = "chunk_id") -> DataFrame:
-    """Add each row's chunk; no row moves."""
-    return df.withColumn(name, plan.number())
+    """Add each row's chunk."""
+    return plan.label(df, name)
 
 
-def _kept_plan(spark: SparkSession, df: DataFrame, key: str, size: int, path: str) -> ChunkPlan:
-    """The plan a first run wrote to ``path``, or a new one, written there.
+def _kept_plan(spark: SparkSession, df: DataFrame, key: str, size: int,
+               path: str) -> tuple[ChunkPlan, bool]:
+    """The plan a first run wrote to ``path``, or a new one, written there; and whether
+    it was there.
 
-    A restart must cut the table where the first run did. Row -1 carries the
-    step of even chunks, which need only their first and last end; otherwise
-    each row is one chunk end.
+    A restart must cut the table where the first run did. Even chunks are kept as
+    their first end, step and number, ranked ones as their table of keys.
     """
-    try:
-        rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["i"])
-        ends = [r["end"] for r in rows[1:]]
-        if rows[0]["step"] is not None:
-            return ChunkPlan(key, range(ends[0], ends[1] + 1, rows[0]["step"]))
-        return ChunkPlan(key, tuple(ends))
-    except AnalysisException:
-        plan = plan_chunks(spark, df, key, size)
-    even = plan.even and len(plan.ends) > 0
-    kind = LongType() if plan.even else df.schema[key].dataType
-    schema = StructType([StructField("i", IntegerType()), StructField("step", LongType()),
-                         StructField("end", kind)])
-    ends = (plan.ends[0], plan.ends[-1]) if even else plan.ends
-    rows = [(-1, plan.ends.step if even else None, None),
-            *((i, None, end) for i, end in enumerate(ends))]
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
-    return plan
+    if path_exists(spark, f"{path}/even/_SUCCESS"):
+        first, step, n = spark.read.schema(EVEN).json(f"{path}/even").first()
+        return EvenChunks(key, range(first, first + step * n, step)), True
+    if path_exists(spark, f"{path}/keys/_SUCCESS"):
+        keys = spark.read.parquet(f"{path}/keys")
+        return RankedChunks(key, keys, (keys.agg(F.max("chunk")).first()[0] or 0) + 1), True
+    plan = plan_chunks(spark, df, key, size, path=f"{path}/keys")
+    if isinstance(plan, EvenChunks):
+        ends = plan.ends
+        kept = spark.createDataFrame([(ends[0] if ends else 0, ends.step, len(ends))], EVEN)
+        kept.coalesce(1).write.mode("overwrite").json(f"{path}/even")  # a single row
+    return plan, False
 
 
 def _finished(spark: SparkSession, out: str) -> set[tuple[str, int]]:
     """The waves recorded as done, as (table, first chunk)."""
-    try:
-        rows = spark.read.schema(FINISHED).json(f"{out}/_finished").collect()
-    except AnalysisException:  # nothing recorded yet
+    if not path_exists(spark, f"{out}/_finished"):
         return set()
+    rows = spark.read.schema(FINISHED).json(f"{out}/_finished").collect()
     return {(r["table_name"], r["first"]) for r in rows}
 
 
@@ -58,26 +53,30 @@ def snapshot(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str]], o
              size: int = CHUNK_ROWS, waves: int = 8) -> dict[str, ChunkPlan]:
     """Copy each table once into ``out/<table>``, then stop.
 
-    ``tables`` maps a name to (frame, key). The chunks of a table run in at most
-    ``waves`` waves: a wave reads its key range with one filter, writes its own
-    folder and is then recorded, one row per wave. More waves lose less work in
-    a failure, but a source that is not sorted by key is read once per wave. A
-    restart keeps the first run's cuts, skips recorded waves, rewrites a torn
-    one whole, and picks up tables added to the list.
+    ``tables`` maps a name to (frame, key). A table is read and labelled once and
+    written by wave: at most ``waves`` runs of chunks, a folder each, that are
+    recorded when they are written. A restart keeps the first run's cuts, skips
+    recorded waves, rewrites the others whole, and picks up tables added to the
+    list.
     """
     done = _finished(spark, out)
     plans = {}
     for name, (df, key) in tables.items():
-        plan = plans[name] = _kept_plan(spark, df, key, size, f"{out}/_plans/{name}")
+        plan, kept = _kept_plan(spark, df, key, size, f"{out}/_plans/{name}")
+        plans[name] = plan
         chunks = -(-len(plan) // waves)
-        for first in range(0, len(plan), chunks):
-            if (name, first) in done:
-                continue
-            last = min(first + chunks, len(plan)) - 1
-            (df.where(plan.rows(first, last)).withColumn("chunk_id", plan.number(first, last))
-             .write.mode("overwrite").parquet(f"{out}/{name}/wave={first}"))
-            record = spark.createDataFrame([(name, first, last)], FINISHED)
-            record.coalesce(1).write.mode("append").json(f"{out}/_finished")
+        firsts = [first for first in range(0, len(plan), chunks) if (name, first) not in done]
+        if not firsts:
+            continue
+        wave = F.col("chunk_id") - F.col("chunk_id") % chunks
+        todo = plan.label(df, later=kept).withColumn("wave", wave) \
+            .where(F.col("wave").isin(firsts))
+        todo.hint("rebalance", F.col("wave")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("wave") \
+            .parquet(f"{out}/{name}")
+        records = [(name, first, min(first + chunks, len(plan)) - 1) for first in firsts]
+        spark.createDataFrame(records, FINISHED).coalesce(1).write.mode("append") \
+            .json(f"{out}/_finished")  # a row per wave
     return plans
 
 

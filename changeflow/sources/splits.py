@@ -6,8 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
-MAX_LONG = (1 << 63) - 1
-
 
 @dataclass(frozen=True)
 class Split:
@@ -24,7 +22,7 @@ def range_bounds(lower: int, upper: int, n: int) -> tuple[int, int, int]:
         raise ValueError("upper must not be below lower")
     if n < 1:
         raise ValueError("the number of ranges must be positive")
-    elements = min(upper - lower + 1, MAX_LONG)
+    elements = upper - lower + 1
     n = min(n, elements)
     small, extra = divmod(elements, n)
     return (n, small + 1, extra) if extra else (n, small, n)
@@ -62,8 +60,6 @@ def plan_splits(shards: Sequence = (), n: int | None = None, lower: int | None =
         return [Split((), a, b) for a, b in split_range(lower, upper, n or 1)]
     count = len(shards)
     n = n or count
-    if bounded:
-        n = min(n, max(upper - lower, 1) * count + 1)
     if bounded and n >= count:
         return [Split((shard,), a, b)
                 for shard, pieces in zip(shards, share(n, count))

@@ -5,9 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from changeflow.session import fresh_dir
+from changeflow.session import fresh_dir, written
 from changeflow.sources.chunks import (
-    ChunkPlan, distribution_factor, even_ends, plan_by_rank, plan_chunks)
+    EvenChunks, chunk_rows, distribution_factor, even_ends, plan_by_rank, plan_chunks)
 from changeflow.sources.snapshot import label_chunks, read_snapshot, snapshot
 
 
@@ -27,9 +27,14 @@ def step_by_step(keys, size):
         end = following
 
 
+def ends_of(plan):
+    return [r["key"] for r in plan.starts().orderBy("chunk").collect()]
+
+
 def test_even_ends():
-    assert list(even_ends(0, 14999, 15000, 4000)) == [4000, 8000, 12000]
-    assert list(even_ends(0, 10, 5, 5)) == []
+    assert list(even_ends(0, 14999, 15000, 4000, 4000)) == [4000, 8000, 12000]
+    assert list(even_ends(0, 10, 5, 5, 5)) == []
+    assert len(even_ends(0, 4990, 500, 100, 998)) == 5
     assert distribution_factor(0, 14999, 15000) == 1.0
     assert distribution_factor(1, 10, 3) == 3.3334
 
@@ -38,20 +43,22 @@ def test_even_ends():
 def test_unique_keys_match_step_by_step(spark, size):
     keys = random.Random(size).sample(range(10**6), 200)
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    assert list(plan_by_rank(spark, df, "k", size).ends) == step_by_step(keys, size)
+    plan = plan_by_rank(spark, df, "k", size)
+    assert ends_of(plan) == step_by_step(keys, size) and len(plan) == len(ends_of(plan)) + 1
 
 
 def test_hot_key_gets_its_own_chunk(spark):
     keys = [50] * 300 + list(range(0, 600, 1)) + [None] * 3
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
     plan = plan_by_rank(spark, df, "k", 100)
-    assert 50 in plan.ends and 51 in plan.ends
+    ends = ends_of(plan)
+    assert 50 in ends and 51 in ends
     numbered = label_chunks(df, plan)
     counts = {r["chunk_id"]: r["count"] for r in numbered.groupBy("chunk_id").count().collect()}
     assert sum(counts.values()) == len(keys) and len(counts) == len(plan)
     for chunk, n in counts.items():
-        assert n <= 102 or chunk == list(plan.ends).index(50) + 1
-        assert df.where(plan.rows(chunk)).count() == n
+        assert n <= 102 or chunk == ends.index(50) + 1
+        assert df.where(chunk_rows(plan, chunk)).count() == n
 
 
 @pytest.mark.parametrize("rows, size, expected", [([], 5, 1), ([7, 7, 7], 1, 1), (range(5), 10, 1),
@@ -64,76 +71,116 @@ def test_plan_shapes(spark, rows, size, expected):
 def test_sparse_key_goes_by_rank(spark):
     df = spark.createDataFrame([(i * 10**7,) for i in range(100)], "k bigint")
     plan = plan_chunks(spark, df, "k", 10)
-    assert not plan.even and list(plan.ends) == step_by_step([i * 10**7 for i in range(100)], 10)
+    assert ends_of(plan) == step_by_step([i * 10**7 for i in range(100)], 10)
+
+
+def test_sparse_even_keys_are_cut_by_rows(spark):
+    df = spark.range(500).select((F.col("id") * 10).alias("k"))
+    assert len(plan_chunks(spark, df, "k", 100)) == 6  # about rows / size
+    df = spark.range(20_000).select((F.col("id") * 900).alias("k"))
+    assert len(plan_chunks(spark, df, "k", 8096)) == 3
 
 
-def test_numbering_agrees_with_filters(spark):
+def test_even_numbers_agree_with_filters(spark):
     keys = spark.range(-20, 120).select(F.col("id").alias("k"))
     df = keys.unionAll(spark.createDataFrame([(None,)], "k bigint"))
-    many = tuple(k for k in range(-19, 119) if k % 3)
-    for plan in (ChunkPlan("k", range(10, 95, 10)), ChunkPlan("k", (3, 4, 50, 77)),
-                 ChunkPlan("k", range(5, 6)), ChunkPlan("k", many)):
+    for plan in (EvenChunks("k", range(10, 95, 10)), EvenChunks("k", range(5, 6)), EvenChunks("k")):
         numbered = df.withColumn("c", plan.number()).cache()
         for chunk in {0, 1, len(plan) // 2, len(plan) - 1}:
-            inside = {r["k"] for r in df.where(plan.rows(chunk)).collect()}
+            inside = {r["k"] for r in df.where(chunk_rows(plan, chunk)).collect()} \
+                if chunk < len(plan) else set()
             assert inside == {r["k"] for r in numbered.where(F.col("c") == chunk).collect()}
 
 
-def test_many_text_chunks_are_searched(spark):
-    ends = tuple(f"k{i:05d}" for i in range(0, 2000, 2))
-    df = spark.range(2000).select(F.format_string("k%05d", "id").alias("k"), "id")
-    df = df.unionAll(spark.createDataFrame([(None, -1), ("é", 9999)], "k string, id bigint"))
-    got = {r["id"]: r["c"] for r in df.select("id", ChunkPlan("k", ends).number().alias("c")).collect()}
-    assert got == {**{i: i // 2 + 1 for i in range(2000)}, -1: 0, 9999: 1000}
+NAN = float("nan")
+
+
+@pytest.mark.parametrize("chunks", [1, 256, 257, 10_000])
+@pytest.mark.parametrize("kind", ["bigint", "double", "string"])
+def test_labels_of_any_number_of_chunks(spark, chunks, kind):
+    """Labels agree with the plan's filters, also for nulls, keys above 2^53 and NaN."""
+    make = {"bigint": lambda i: (1 << 60) + i, "double": lambda i: i / 3,
+            "string": lambda i: f"k{i:06d}"}[kind]
+    keys = [make(i) for i in range(chunks)]
+    extra = [None, None] + [NAN] * (kind == "double")
+    df = spark.createDataFrame([(k, i) for i, k in enumerate([*keys, *extra])], f"k {kind}, i int")
+    plan = plan_by_rank(spark, df, "k", 2)  # each key starts a chunk, but the first and the last
+    last = chunks if kind == "double" else chunks - 1
+    assert len(plan) == max(last, 1)
+    labels = {r["i"]: r["chunk_id"] for r in label_chunks(df, plan).collect()}
+    want = {i: min(i, len(plan) - 1) for i in range(chunks)}
+    want |= {chunks: 0, chunks + 1: 0, **({chunks + 2: len(plan) - 1} if kind == "double" else {})}
+    assert labels == want
+    for chunk in {0, 1, len(plan) // 2, len(plan) - 1}:
+        if chunk < len(plan):
+            inside = {r["i"] for r in df.where(chunk_rows(plan, chunk)).collect()}
+            assert inside == {i for i, c in want.items() if c == chunk}
+
+
+def test_later_keys_get_the_chunk_before_them(spark):
+    df = spark.range(0, 1000, 10).select(F.col("id").alias("k"))
+    plan = plan_by_rank(spark, df, "k", 5)
+    ends = ends_of(plan)
+    grown = spark.range(-50, 1100).select(F.col("id").alias("k")).unionAll(
+        spark.createDataFrame([(None,)], "k bigint"))
+    labels = {r["k"]: r["chunk_id"] for r in plan.label(grown, later=True).collect()}
+    assert labels == {None: 0, **{k: sum(k >= e for e in ends) for k in range(-50, 1100)}}
 
 
 def test_odd_text_and_other_key_types(spark):
     texts = ["", "a'b", "a\\c", "b`\"", "zz", "é"]
     df = spark.createDataFrame([(t,) for t in texts], "`odd ``key` string")
-    plan = ChunkPlan("odd `key", ("a'b", "a\\c", "b`\""))
-    assert [r[0] for r in df.select(plan.number()).collect()] == [0, 1, 2, 3, 3, 3]
+    plan = plan_by_rank(spark, df, "odd `key", 3)
+    assert ends_of(plan) == ["a\\c", "zz"]
+    assert dict(map(tuple, label_chunks(df, plan).collect())) == {
+        "": 0, "a'b": 0, "a\\c": 1, "b`\"": 1, "zz": 2, "é": 2}
     days = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-10')) as d")
     plan = plan_by_rank(spark, days, "d", 4)
-    assert [e.day for e in plan.ends] == [4, 7]
-    assert [r[0] for r in days.orderBy("d").select(plan.number()).collect()] == \
+    assert [e.day for e in ends_of(plan)] == [4, 7]
+    assert [r["chunk_id"] for r in label_chunks(days, plan).orderBy("d").collect()] == \
         [0, 0, 0, 1, 1, 1, 2, 2, 2, 2]
 
 
-def test_snapshot_restart(spark, sf_dir):
+@pytest.mark.parametrize("key", ["o_orderkey", "o_clerk_key"])
+def test_snapshot_restart(spark, sf_dir, key):
+    """Recorded waves are kept, the others written by the first run's cuts."""
     out = fresh_dir(spark, "snapshot-test")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
-
-    class Stop(Exception):
-        pass
-
-    class Breaking:
-        """A frame whose second wave fails."""
-
-        def __init__(self, df):
-            self.df, self.waves = df, 0
-
-        def __getattr__(self, name):
-            return getattr(self.df, name)
-
-        def where(self, condition):
-            self.waves += 1
-            if self.waves == 2:
-                raise Stop
-            return self.df.where(condition)
-
-    with pytest.raises(Stop):
-        snapshot(spark, {"orders": (Breaking(orders), "o_orderkey")}, out, size=200, waves=4)
-    written = read_snapshot(spark, out, "orders").count()
-    assert 0 < written < orders.count()
-    # the table grows before the restart, and a second table joins the list
-    grown = orders.unionAll(orders.withColumn("o_orderkey", F.col("o_orderkey") + 10**6))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_totalprice", F.format_string("k%08d", "o_orderkey").alias("o_clerk_key"))
+    plan = snapshot(spark, {"orders": (orders, key)}, out, size=200, waves=4)["orders"]
+    first = {r["o_orderkey"]: r["chunk_id"] for r in read_snapshot(spark, out, "orders").collect()}
+    assert len(first) == orders.count()
+    # one wave is taken as lost, the table has grown, and a second one joins the list
+    done = spark.read.json(f"{out}/_finished")
+    lost = done.orderBy(F.desc("first")).first()["first"]
+    kept = written(done.where(F.col("first") != lost), "kept")
+    kept.select("table_name", "first", "last").write.mode("overwrite").json(f"{out}/_finished")
+    grown = orders.unionAll(orders.withColumns({
+        "o_orderkey": F.col("o_orderkey") + 10**6, "o_clerk_key": F.concat("o_clerk_key", F.lit("x"))}))
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    plans = snapshot(spark, {"orders": (grown, "o_orderkey"), "nation": (nation, "n_name")}, out,
+    again = snapshot(spark, {"orders": (grown, key), "nation": (nation, "n_name")}, out,
                      size=200, waves=4)
-    done = read_snapshot(spark, out, "orders")
-    assert done.count() == grown.count() and done.select("o_orderkey").distinct().count() == done.count()
-    assert done.select("chunk_id").distinct().count() == len(plans["orders"])
+    assert len(again["orders"]) == len(plan)
+    rows = read_snapshot(spark, out, "orders").collect()
+    now = {r["o_orderkey"]: r["chunk_id"] for r in rows}
+    assert len(rows) == len(now)
+    assert {k: c for k, c in now.items() if k in first} == first
+    assert all(c >= lost for k, c in now.items() if k not in first) and len(now) > len(first)
     assert read_snapshot(spark, out, "nation").count() == 25
     # everything is recorded: a third run writes nothing
-    again = snapshot(spark, {"orders": (grown, "o_orderkey")}, out, size=200, waves=4)
-    assert again["orders"].ends == plans["orders"].ends
+    snapshot(spark, {"orders": (orders, key)}, out, size=200, waves=4)
+    assert len(read_snapshot(spark, out, "orders").collect()) == len(rows)
+
+
+def test_snapshot_reads_a_table_once(spark):
+    out, reads = fresh_dir(spark, "snapshot-once"), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).mapInArrow(seen, "id bigint")
+    snapshot(spark, {"t": (df, "id")}, out, size=50, waves=8)
+    assert reads.value == 2000  # once for the plan's aggregate, once for all waves
+    assert spark.read.parquet(f"{out}/t").select("wave").distinct().count() == 7

@@ -84,3 +84,25 @@ def test_range_number_matches_plan(spark, lower, upper, n):
     plan = split_range(lower, upper, n)
     for row in keys.collect():
         assert plan[row["r"]][0] <= row["id"] <= plan[row["r"]][1]
+
+
+LOW, HIGH = -(1 << 63), (1 << 63) - 1
+
+
+@given(st.integers(LOW, HIGH), st.integers(LOW, HIGH), st.integers(1, 40))
+def test_ranges_of_any_bigint_span(one, other, n):
+    lower, upper = min(one, other), max(one, other)
+    ranges = split_range(lower, upper, n)
+    assert ranges[0][0] == lower and ranges[-1][1] == upper
+    assert all(a[1] + 1 == b[0] for a, b in zip(ranges, ranges[1:]))
+    assert len(plan_splits(["a", "b"], n, lower, upper)) >= min(n, 2)
+
+
+@pytest.mark.parametrize("lower, upper, n", [(LOW, HIGH, 4), (LOW, HIGH, 7), (-5, HIGH, 3),
+                                             (LOW, 0, 1000), (LOW + 1, HIGH - 1, 2)])
+def test_range_number_of_wide_spans(spark, lower, upper, n):
+    plan = split_range(lower, upper, n)
+    keys = sorted({k for a, b in plan[:5] + plan[-5:] for k in (a, b, (a + b) // 2)})
+    df = spark.createDataFrame([(k,) for k in keys], "id bigint")
+    for row in df.select("id", range_number(F.col("id"), lower, upper, n).alias("r")).collect():
+        assert plan[row["r"]][0] <= row["id"] <= plan[row["r"]][1]
