@@ -17,7 +17,8 @@ from changeflow.plans.jobs import run_pipeline
 from changeflow.plans.registry import load, query
 from changeflow.plans.shapes import NOW_MS
 from changeflow.session import fresh_dir
-from changeflow.sinks.files import index_name, routed, write_index
+from changeflow.sinks.files import index_name, routed
+from changeflow.sinks.index import Index
 from changeflow.sources.splits import split_range
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
 from changeflow.streaming.ledger import UpsertTable
@@ -212,6 +213,29 @@ def stream_pv_uv(spark, sf_dir):
     return counts.current()
 
 
+_TIMELESS = "CASE WHEN event_id % 7 <> 0 AND event_id < (SELECT max(event_id) * 0.6 FROM events) THEN ts END"
+
+
+@query("stream_pv_uv_no_time", f"""WITH e AS (SELECT {_TIMELESS} AS ts, event_id % 5 AS app, user_id
+      FROM events)
+    SELECT strftime(ts, '%Y-%m-%d') AS dt, app, count(*) AS pv, count(DISTINCT user_id) AS uv
+    FROM e GROUP BY 1, 2""")
+def stream_pv_uv_no_time(spark, sf_dir):
+    """Rows without a time are counted too, also where a whole file has none."""
+    source, out = fresh_dir(spark, "timeless"), fresh_dir(spark, "timeless-pv-uv")
+    events = load(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0]
+    timed = (F.col("event_id") % 7 != 0) & (F.col("event_id") < last * 0.6)
+    rows = events.select("event_id", F.when(timed, F.col("ts")).alias("ts"),
+                         (F.col("event_id") % 5).alias("app"), "user_id")
+    replay(rows, source, "event_id")
+    counts = ContinuousPvUv(spark, out, rows.schema, "ts", ["app"], "user_id", op=None,
+                            fold_every=2)
+    counts.start(table_stream(spark, source, rows.schema, 1), f"{out}-checkpoint") \
+        .awaitTermination()
+    return counts.current()
+
+
 @query("stream_count_changes", """SELECT count(*) AS last_count, true AS telescopes FROM events""")
 def stream_count_changes(spark, sf_dir):
     """A count as changes: each batch takes the old value back before the new one."""
@@ -281,11 +305,10 @@ def stream_traces_to_index(spark, sf_dir):
     replay(bodies.unionAll(bodies), source, "value", fmt="text")
     messages = text_stream(spark, source, options={"maxFilesPerTrigger": "2"})
     flat = flatten_trace(parse_json(messages, "value", traces.schema))
-    run_stream(flat, file_sink(out), f"{out}-checkpoint").awaitTermination()
-    index = fresh_dir(spark, "trace-index")
-    write_index(read_files(spark, out), index, "id", ["visitTime"],
-                index_name(F.col("projectId"), F.col("visitTime")))
-    return spark.read.parquet(index).select(
+    index = Index(spark, out, flat.schema, "id", ["visitTime"],
+                  index_name(F.col("projectId"), F.col("visitTime")))
+    run_stream(flat, index.write, f"{out}-checkpoint").awaitTermination()
+    return index.read().select(
         "index_name", "id", F.col("eventName").alias("event_name"),
         F.col("visitUrl").alias("visit_url"))
 
@@ -326,18 +349,19 @@ def stream_pipeline(spark, sf_dir):
 
     def follow(session):
         rows = table_stream(session, places[src], columns).where("o_orderstatus <> 'P'")
-        sink = lambda batch, _: batch.write.insertInto(dst)
-        run_stream(rows, sink, f"{places[dst]}-checkpoint").awaitTermination()
+        run_stream(rows, file_sink(places[dst]), f"{places[dst]}-checkpoint").awaitTermination()
 
     return run_pipeline(spark, [
         "SET spark.sql.sources.default=parquet",
         f"CREATE TABLE {src} ({columns}) USING parquet LOCATION '{places[src]}'",
-        f"CREATE TABLE IF NOT EXISTS {dst} ({columns}) USING parquet LOCATION '{places[dst]}'",
+        f"CREATE TABLE IF NOT EXISTS {dst} ({columns}, batch BIGINT) USING parquet "
+        f"PARTITIONED BY (batch) LOCATION '{places[dst]}'",
         f"INSERT INTO {src} SELECT o_orderkey, o_custkey, o_orderstatus "
         f"FROM parquet.`{sf_dir}/orders.parquet`",
         follow,
         f"DROP TABLE {src}",
-        f"SELECT * FROM {dst}",
+        f"MSCK REPAIR TABLE {dst}",
+        f"SELECT o_orderkey, o_custkey, o_orderstatus FROM {dst}",
     ])
 
 

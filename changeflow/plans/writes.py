@@ -12,10 +12,11 @@ from changeflow.operators.shaping import normalize_envelope
 from changeflow.plans import derived as D
 from changeflow.plans.registry import load, query
 from changeflow.plans.shapes import NOW_MS
-from changeflow.session import fresh_dir
+from changeflow.session import fresh_dir, written
 from changeflow.sinks import files as W
 from changeflow.sinks.batched import write_batched
 from changeflow.sinks.copytext import read_copy_text, write_copy_text
+from changeflow.sinks.index import Index
 from changeflow.sinks.quarantine import bad_rows, good_rows, write_with_quarantine
 from changeflow.sources.scan import scan_shards
 from changeflow.streaming.sinks import file_sink, read_files, write_all
@@ -219,14 +220,46 @@ def write_fanout(spark, sf_dir):
     SELECT project || '-' || strftime(ts, '%Y-%m') AS index_name, id, event_id, value FROM last""")
 def write_index(spark, sf_dir):
     """Documents upserted by id into an index per project and month."""
-    path = fresh_dir(spark, "index")
-    docs = load(spark, sf_dir, "events").select(
+    docs = _documents(load(spark, sf_dir, "events"))
+    index = _index(spark, docs)
+    index.write(docs, 0)
+    return index.read().select("index_name", "id", "event_id", "value")
+
+
+def _documents(events):
+    return events.select(
         (F.col("user_id") * 31 + F.col("event_id") % 31).alias("id"),
         F.concat(F.lit("p"), (F.col("user_id") % 3).cast("string")).alias("project"),
         "ts", "event_id", "value")
+
+
+def _index(spark, docs):
     name = W.index_name(F.col("project"), F.date_format("ts", DAY))
-    W.write_index(docs, path, "id", ["ts", "event_id"], name)
-    return spark.read.parquet(path).select("index_name", "id", "event_id", "value")
+    return Index(spark, fresh_dir(spark, "index"), docs.schema, "id", ["ts", "event_id"], name)
+
+
+@query("write_index_again", """WITH doc AS (
+      SELECT user_id * 31 + event_id % 31 AS id, 'p' || (user_id % 3) AS project, ts, event_id, value
+      FROM events),
+    last AS (SELECT * FROM doc QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) = 1),
+    now AS (SELECT id, CASE WHEN id % 4 = 0 THEN 'moved' ELSE project END AS project, ts, event_id,
+              CASE WHEN id % 2 = 0 THEN value + 1 ELSE value END AS value FROM last
+            UNION ALL SELECT -1 - event_id, 'new', ts, event_id, value FROM events WHERE event_id < 10)
+    SELECT project || '-' || strftime(ts, '%Y-%m') AS index_name, id, event_id, value FROM now""")
+def write_index_again(spark, sf_dir):
+    """A second write changes documents, moves some to another index and adds some."""
+    events = load(spark, sf_dir, "events")
+    docs = _documents(events)
+    index = _index(spark, docs)
+    index.write(docs, 0)
+    project = F.when(F.col("id") % 4 == 0, "moved").otherwise(F.col("project"))
+    changed = index.read().where("id % 2 = 0").withColumns(
+        {"value": F.col("value") + 1, "project": project}).drop("index_name")
+    added = events.where("event_id < 10").select(
+        (-1 - F.col("event_id")).alias("id"), F.lit("new").alias("project"), "ts", "event_id",
+        "value")
+    index.write(written(changed.unionByName(added), "second-write"), 1)
+    return index.read().select("index_name", "id", "event_id", "value")
 
 
 # ---- bad rows and batches ---------------------------------------------------

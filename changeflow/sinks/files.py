@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.time import DAY, MONTH, with_time_parts
-from changeflow.operators.changelog import BEFORE, compact
+from changeflow.operators.changelog import BEFORE
 from changeflow.operators.placement import with_shard
 from changeflow.session import path_exists
 
@@ -140,13 +140,3 @@ def index_name(project: Column, day_text: Column) -> Column:
     """``project-yyyy-MM`` for a ``yyyy-MM-dd...`` text; null if either is null."""
     month = F.date_format(F.to_date(F.substring(day_text, 1, 10), DAY), MONTH)
     return F.concat(project, F.lit("-"), month)
-
-
-def write_index(df: DataFrame, path: str, doc_id: str, order: Sequence[str],
-                index: Column) -> None:
-    """Upsert documents by id, the last in ``order`` counting, by index folder."""
-    latest = compact(df, [doc_id], order).withColumn("index_name", index)
-    rebalanced(latest, ["index_name"]).write.mode("append") \
-        .partitionBy("index_name").parquet(path)
-
-

@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from changeflow.operators.changelog import RETRACTS
 from changeflow.operators.counting import bucket_of, bucket_text
+from changeflow.session import path_exists
 from changeflow.streaming.ledger import Ledger
 
 
@@ -52,23 +52,24 @@ class ContinuousPvUv:
                   .agg(F.sum(weight(self.op)).cast("bigint").alias("n"))
                   .withColumn("dt", bucket_text("_bucket", self.grain)).drop("_bucket"))
         added = self.visits.append(summed, batch_id)
-        span = added.agg(F.min("dt"), F.max("dt")).first()
-        if span[0] is None:
-            return
+        # The days or hours of one batch are few; rows without a time are a group too.
+        found = [r["dt"] for r in added.select("dt").distinct().collect()]
+        there = F.col("dt").isin([dt for dt in found if dt is not None])
+        met = (there | F.col("dt").isNull()) if None in found else there
 
         def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
             return reduce(and_, (left[c].eqNullSafe(right[c]) for c in names))
 
         names = [*self._group(), "who"]
-        earlier = self.visits.before(batch_id).where(F.col("dt").between(span[0], span[1]))
+        earlier = self.visits.before(batch_id).where(met)
         touched = added.select(*names)
         known = (earlier.join(touched, same(earlier, touched, names), "left_semi")
                  .groupBy(*names).agg(F.sum("n").alias("had")))
         joined = added.join(known, same(added, known, names), "left").select(
             *[added[c] for c in names], "n", F.coalesce("had", F.lit(0)).alias("had"))
-        there = F.col("who").isNotNull()
-        gained = (there & (F.col("had") + F.col("n") > 0)).cast("bigint") \
-            - (there & (F.col("had") > 0)).cast("bigint")
+        somebody = F.col("who").isNotNull()
+        gained = (somebody & (F.col("had") + F.col("n") > 0)).cast("bigint") \
+            - (somebody & (F.col("had") > 0)).cast("bigint")
         self.results.append(
             joined.groupBy(*self._group()).agg(F.sum("n").alias("pv"), F.sum(gained).alias("uv")),
             batch_id)
@@ -123,10 +124,9 @@ class CountChanges:
     def changes(self) -> DataFrame:
         """All changes, with the batch that made them."""
         schema = StructType.fromDDL(self.SCHEMA + ", batch bigint")
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/changes")
-        except AnalysisException:  # no batch yet
+        if not path_exists(self.spark, f"{self.path}/changes"):  # no batch yet
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/changes")
 
     def start(self, rows: DataFrame, checkpoint: str) -> StreamingQuery:
         return (rows.writeStream.foreachBatch(self.process)

@@ -11,13 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from changeflow.operators.changelog import BEFORE, apply_changelog
-from changeflow.session import remove_dir
+from changeflow.session import path_exists, remove_dir
 
 BASES = "upto long"
 NOW = 1 << 62
@@ -33,10 +32,9 @@ class BatchFiles:
 
     def _read(self, folder: str, schema: StructType, number: str) -> DataFrame:
         numbered = StructType(schema.fields + [StructField(number, LongType())])
-        try:
-            return self.spark.read.schema(numbered).parquet(f"{self.path}/{folder}")
-        except AnalysisException:  # nothing written yet
+        if not path_exists(self.spark, f"{self.path}/{folder}"):  # nothing written yet
             return self.spark.createDataFrame([], numbered)
+        return self.spark.read.schema(numbered).parquet(f"{self.path}/{folder}")
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
@@ -52,10 +50,9 @@ class BatchFiles:
 
     def _bases(self, batch_id: int) -> list[int]:
         """The finished bases that hold only batches before ``batch_id``, in order."""
-        try:
-            known = self.spark.read.schema(BASES).json(f"{self.path}/bases").collect()
-        except AnalysisException:  # never folded
+        if not path_exists(self.spark, f"{self.path}/bases"):  # never folded
             return []
+        known = self.spark.read.schema(BASES).json(f"{self.path}/bases").collect()
         return sorted({r["upto"] for r in known if r["upto"] < batch_id})
 
     def parts(self, batch_id: int = NOW) -> tuple[DataFrame | None, DataFrame]:
