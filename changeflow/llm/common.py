@@ -13,19 +13,24 @@ from changeflow.session import written
 
 WORD_GAP = "[ \\t-\\r]+"  # the white space between words: blank, tab to carriage return
 PAIRS_AT_ONCE = 1 << 21
+FEW_GROUPS = 1 << 17  # rows of a key and a count that may be broadcast, about 4 MB
 
 
-def spread(members: DataFrame, keys: list[str], ident: str, block: int) -> DataFrame:
+def spread(members: DataFrame, keys: list[str], ident: str, block: int,
+           groups: int | None = None) -> DataFrame:
     """Members of groups of two or more, dealt to pairs of blocks of their group.
 
     A group of up to ``block`` members is one task's work. A larger one is cut by
     a hash of ``ident`` into blocks of about that size, and each pair of blocks
     (``lo`` <= ``hi``) becomes a group of its own, so that no task holds more than
     two blocks. ``mine`` is the member's block: where ``lo`` < ``hi``, only pairs
-    from different blocks are to be looked at.
+    from different blocks are to be looked at. If there can be no more than
+    ``groups`` groups and that is few, their sizes are broadcast.
     """
     sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")) \
         .where(F.col("members") > 1)
+    if groups is not None and groups <= FEW_GROUPS:
+        sizes = F.broadcast(sizes)
     blocks = F.ceil(F.col("members") / block)
     dealt = members.join(sizes, keys).withColumn("mine", F.pmod(F.xxhash64(ident), blocks)
                                                  .cast("int"))
@@ -88,6 +93,8 @@ def column(table: pa.Table, name: str) -> np.ndarray:
 def pairs_in(starts: np.ndarray, total: int,
              most: int = PAIRS_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers (i < j) of all pairs inside the groups, about ``most`` at once."""
+    if total == 0:
+        return
     ends = np.append(starts[1:], total)
     after = np.repeat(ends, ends - starts) - np.arange(total) - 1  # partners behind each row
     done = np.concatenate([[0], np.cumsum(after)])
