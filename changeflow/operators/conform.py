@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,23 +12,31 @@ from pyspark.sql import types as T
 
 # Foreign type names by the Spark type that holds them. Unsigned
 # integers take the next wider type; intervals are counts of their unit.
-_PLAIN = {
-    T.ByteType(): "Int8",
-    T.ShortType(): "Int16 UInt8 SHORT",
-    T.IntegerType(): "Int32 UInt16 INT IntervalYear IntervalQuarter IntervalMonth IntervalWeek "
-                     "IntervalDay IntervalHour IntervalMinute IntervalSecond",
-    T.LongType(): "Int64 UInt32 BIGINT",
-    T.DecimalType(38, 0): "Int128 Int256 UInt64 UInt128 UInt256",
-    T.DecimalType(38, 18): "BIGDECIMAL",
-    T.FloatType(): "Float32 FLOAT",
-    T.DoubleType(): "Float64 DOUBLE",
-    T.BooleanType(): "BOOL BOOLEAN",
-    T.BinaryType(): "BINARY BYTE",
-    T.StringType(): "String Enum8 Enum16 FixedString IPv4 IPv6 UUID CHAR",
-    T.DateType(): "Date",
-    T.TimestampNTZType(): "DateTime DateTime32 DateTime64 TIMESTAMP UNIXTIME_MICROS TIME",
+_BY_NAME = {
+    "INT8": T.ByteType(),
+    "INT16": T.ShortType(), "UINT8": T.ShortType(), "SHORT": T.ShortType(),
+    "INT32": T.IntegerType(), "UINT16": T.IntegerType(), "INT": T.IntegerType(),
+    "INTERVALYEAR": T.IntegerType(), "INTERVALQUARTER": T.IntegerType(),
+    "INTERVALMONTH": T.IntegerType(), "INTERVALWEEK": T.IntegerType(),
+    "INTERVALDAY": T.IntegerType(), "INTERVALHOUR": T.IntegerType(),
+    "INTERVALMINUTE": T.IntegerType(), "INTERVALSECOND": T.IntegerType(),
+    "INT64": T.LongType(), "UINT32": T.LongType(), "BIGINT": T.LongType(),
+    "INT128": T.DecimalType(38, 0), "INT256": T.DecimalType(38, 0),
+    "UINT64": T.DecimalType(38, 0), "UINT128": T.DecimalType(38, 0),
+    "UINT256": T.DecimalType(38, 0),
+    "BIGDECIMAL": T.DecimalType(38, 18),
+    "FLOAT32": T.FloatType(), "FLOAT": T.FloatType(),
+    "FLOAT64": T.DoubleType(), "DOUBLE": T.DoubleType(),
+    "BOOL": T.BooleanType(), "BOOLEAN": T.BooleanType(),
+    "BINARY": T.BinaryType(), "BYTE": T.BinaryType(),
+    "STRING": T.StringType(), "ENUM8": T.StringType(), "ENUM16": T.StringType(),
+    "FIXEDSTRING": T.StringType(), "IPV4": T.StringType(), "IPV6": T.StringType(),
+    "UUID": T.StringType(), "CHAR": T.StringType(),
+    "DATE": T.DateType(),
+    "DATETIME": T.TimestampNTZType(), "DATETIME32": T.TimestampNTZType(),
+    "DATETIME64": T.TimestampNTZType(), "TIMESTAMP": T.TimestampNTZType(),
+    "UNIXTIME_MICROS": T.TimestampNTZType(), "TIME": T.TimestampNTZType(),
 }
-_BY_NAME = {name.upper(): kind for kind, names in _PLAIN.items() for name in names.split()}
 _DECIMAL_DIGITS = {"DECIMAL32": 9, "DECIMAL64": 18, "DECIMAL128": 38, "DECIMAL256": 38}
 MAX_DIGITS = 38
 
@@ -86,28 +95,62 @@ def truncate_to_ms(ts: Column) -> Column:
     return F.date_trunc("millisecond", ts).cast("timestamp_ntz")
 
 
-def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+def conform(df: DataFrame, columns: Mapping[str, str], keys: Sequence[str] = ()) -> DataFrame:
     """Cast to the declared types, in the declared order; misfits become null.
 
-    Numbers stored for booleans are true when 1. Pair with a quarantine rule to
-    keep rows whose cast lost a value.
+    Numbers stored for booleans are true when 1. Key columns are not nullable: a
+    row without its key, or whose key does not fit, stops the job. Pair with a
+    quarantine rule to keep rows whose cast lost a value.
     """
     def cast(name: str, kind: T.DataType) -> Column:
         have = df.schema[name].dataType
         if isinstance(kind, T.BooleanType) and isinstance(have, T.NumericType):
-            return number_to_bool(F.col(name)).alias(name)
-        return F.col(name).try_cast(kind).alias(name)
+            return number_to_bool(F.col(name))
+        return F.col(name).try_cast(kind)
 
-    return df.select(*[cast(f.name, f.dataType) for f in foreign_schema(columns).fields])
+    def stored(field: T.StructField) -> Column:
+        value = cast(field.name, field.dataType)
+        if field.nullable:
+            return value.alias(field.name)
+        # The literal is never used; it tells Spark that the column has no nulls.
+        stop = F.raise_error(F.lit(f"no value for the key column {field.name}"))
+        filled = F.when(value.isNull(), stop.cast(field.dataType)).otherwise(value)
+        return F.coalesce(filled, _any_value(field.dataType)).alias(field.name)
+
+    return df.select(*[stored(f) for f in foreign_schema(columns, keys).fields])
+
+
+def _any_value(kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        return F.make_date(F.lit(1970), F.lit(1), F.lit(1))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(datetime(1970, 1, 1)).cast(kind)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit("").cast(kind)
+    return F.lit(False) if isinstance(kind, T.BooleanType) else F.lit(0).cast(kind)
+
+
+EXACT = T.DecimalType(38, 18)
 
 
 def misfits(df: DataFrame, columns: Mapping[str, str]) -> Column:
-    """True where a non-null value does not survive its cast."""
+    """True where a non-null value does not survive its cast.
+
+    A number, or a text that is one, must come out of a cast to whole numbers or
+    decimals as it went in: lost fractions and digits count as misfits.
+    """
     lost = F.lit(False)
     for field in foreign_schema(columns).fields:
-        value = F.col(field.name)
-        if isinstance(field.dataType, T.BooleanType) and isinstance(
-                df.schema[field.name].dataType, T.NumericType):
+        value, have = F.col(field.name), df.schema[field.name].dataType
+        if isinstance(field.dataType, T.BooleanType) and isinstance(have, T.NumericType):
             continue
-        lost = lost | (value.isNotNull() & value.try_cast(field.dataType).isNull())
+        cast = value.try_cast(field.dataType)
+        lost = lost | (value.isNotNull() & cast.isNull())
+        if isinstance(field.dataType, (T.IntegralType, T.DecimalType)) and isinstance(
+                have, (T.NumericType, T.StringType)):
+            changed = value.try_cast(EXACT) != cast.try_cast(EXACT)
+            if isinstance(have, T.FractionalType):
+                changed = F.coalesce(changed, F.lit(False)) | (
+                    value.cast("double") != cast.cast("double"))
+            lost = lost | F.coalesce(changed, F.lit(False))
     return lost

@@ -45,18 +45,25 @@ def _with_items(df: DataFrame, column: str, row: StructType) -> DataFrame:
             found = found | (given & item[name].isNull())
         return found
 
-    sent = body.isNotNull() & (body != "null")
     torn = F.coalesce(F.exists(F.zip_with("_items", "_texts", lost), lambda x: x), F.lit(True))
-    return read.withColumn("_damaged", sent & torn).drop("_texts")
+    nothing = F.coalesce(body == "null", F.lit(False))
+    return read.withColumn("_damaged", X.missing(F.col(column)) | (~nothing & torn)).drop("_texts")
+
+
+def _refuse(missing: Column, parsed: Column) -> Column:
+    """``parsed``, but a message that is not there stops the job."""
+    stop = F.raise_error(F.lit("blank or missing message"))
+    return F.when(missing, stop).otherwise(parsed)
 
 
 def explode_json(df: DataFrame, column: str, schema: StructType | str,
                  on_error: str = "fail") -> DataFrame:
     """Each message is a JSON array of objects; one row per object.
 
-    Empty and null arrays give no rows, unknown keys are ignored and missing
-    ones are null; a lone object counts as an array of one. Damaged text, or a
-    value that does not fit its type, stops the job. With
+    Empty arrays and JSON ``null`` give no rows, unknown keys are ignored and
+    missing ones are null; a lone object counts as an array of one. Damaged text,
+    a blank or missing message, or a value that does not fit its type stops the
+    job. With
     ``on_error='quarantine'`` such messages are left out whole;
     :func:`unreadable_json` returns them.
     """
@@ -65,7 +72,7 @@ def explode_json(df: DataFrame, column: str, schema: StructType | str,
     if on_error == "fail":
         sent = F.nullif(F.trim(column), F.lit("null"))
         strict = F.from_json(sent, ArrayType(row), {"mode": "FAILFAST"})
-        return df.select(*rest, F.inline(strict))
+        return df.select(*rest, F.inline(_refuse(X.missing(F.col(column)), strict)))
     kept = _with_items(df, column, row).where(~F.col("_damaged"))
     return kept.select(*rest, F.inline("_items"))
 
@@ -74,18 +81,18 @@ def parse_json(df: DataFrame, column: str, schema: StructType | str,
                on_error: str = "fail") -> DataFrame:
     """Each message is one JSON object; its fields become columns.
 
-    FAILFAST stops on damage anywhere in a record; the tolerant form keeps only
-    records whose text is a readable object.
+    Damage anywhere in a record, or a blank or missing message, stops the job. With
+    ``on_error='quarantine'`` only records whose text is a readable object are kept;
+    :func:`unreadable_json` returns the others.
     """
     _check_mode(on_error)
     rest = [c for c in df.columns if c != column]
     ddl = _schema(schema)
     if on_error == "fail":
         parsed = F.from_json(column, ddl, {"mode": "FAILFAST"})
-        return df.select(*rest, parsed.alias("_r")).select(*rest, "_r.*")
-    marked = StructType(list(ddl.fields)).add(BAD, "string")
-    parsed = F.from_json(column, marked, {"columnNameOfCorruptRecord": BAD})
-    return (df.withColumn("_r", parsed).where(F.col(f"_r.{BAD}").isNull())
+        whole = _refuse(X.missing(F.col(column)), parsed)
+        return df.select(*rest, whole.alias("_r")).select(*rest, "_r.*")
+    return (_with_record(df, column, ddl).where(~F.col("_damaged"))
             .select(*rest, *[F.col(f"_r.{f.name}").alias(f.name) for f in ddl.fields]))
 
 
@@ -95,9 +102,15 @@ def unreadable_json(df: DataFrame, column: str, schema: StructType | str,
     ddl = _schema(schema)
     if array:
         return _with_items(df, column, ddl).where("_damaged").drop("_items", "_damaged")
+    return _with_record(df, column, ddl).where("_damaged").drop("_r", "_damaged")
+
+
+def _with_record(df: DataFrame, column: str, ddl: StructType) -> DataFrame:
+    """Add the typed record of a message and whether the message is damaged."""
     marked = StructType(list(ddl.fields)).add(BAD, "string")
     parsed = F.from_json(column, marked, {"columnNameOfCorruptRecord": BAD})
-    return df.withColumn("_r", parsed).where(F.col(f"_r.{BAD}").isNotNull()).drop("_r")
+    return df.withColumn("_r", parsed).withColumn(
+        "_damaged", X.missing(F.col(column)) | F.col(f"_r.{BAD}").isNotNull())
 
 
 def render_json(df: DataFrame, columns: Sequence[str] | None = None,
@@ -232,13 +245,19 @@ _DETAIL_KEYS = {
 }
 
 
-def flatten_trace(df: DataFrame, full: bool = False) -> DataFrame:
+def flatten_trace(df: DataFrame, full: bool = False, on_error: str = "fail") -> DataFrame:
     """Trace events to flat user events; events without a project drop out.
 
-    ``value`` is parsed once into a map and all keys are looked up there.
+    ``value`` is parsed once into a map and all keys are looked up there. A blank
+    one has no details; a damaged one stops the job or, with
+    ``on_error='quarantine'``, leaves its event out: :func:`unreadable_traces`
+    returns those.
     """
-    parsed = (df.where(F.col("projectId").isNotNull())
-              .withColumn("_v", X.json_map(F.col("value"))))
+    _check_mode(on_error)
+    named = df.where(F.col("projectId").isNotNull())
+    if on_error == "quarantine":
+        named = named.where(~X.damaged_map(F.col("value")))
+    parsed = named.withColumn("_v", X.json_map(F.col("value"), on_error))
 
     def detail(key: str) -> Column:
         return F.try_element_at("_v", F.lit(key))
@@ -265,3 +284,8 @@ def flatten_trace(df: DataFrame, full: bool = False) -> DataFrame:
         *[detail(key).alias(name) for name, key in _DETAIL_KEYS.items()],
     ]
     return parsed.select(*lite, *more)
+
+
+def unreadable_traces(df: DataFrame) -> DataFrame:
+    """The trace events with a project whose ``value`` is damaged."""
+    return df.where(F.col("projectId").isNotNull() & X.damaged_map(F.col("value")))

@@ -23,7 +23,7 @@ from changeflow.sources.splits import split_range
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
 from changeflow.streaming.ledger import UpsertTable
 from changeflow.streaming.sinks import (
-    TimePartitionSink, file_sink, read_files, run_stream, run_to_files, write_all)
+    TimePartitionSink, file_sink, parsed_sink, read_files, run_stream, run_to_files, write_all)
 from changeflow.streaming.sources import (
     change_stream, json_stream, queue_stream, table_stream, text_stream)
 
@@ -64,6 +64,30 @@ def stream_json_topic(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_torn_messages", """SELECT CASE event_id % 5 WHEN 0 THEN 'torn' WHEN 1 THEN 'blank'
+      WHEN 2 THEN 'null' ELSE 'row' END AS kind, count(*) AS n,
+    CAST(sum(CASE WHEN event_id % 5 > 2 THEN event_id ELSE 0 END) AS BIGINT) AS ids FROM events GROUP BY 1""")
+def stream_torn_messages(spark, sf_dir):
+    """Torn, blank and null messages are set apart; with the rows they add up to the input."""
+    source, out = fresh_dir(spark, "torn-messages"), fresh_dir(spark, "torn")
+    rows = D.event_rows(spark, sf_dir)
+    body, at = F.to_json(F.struct(*rows.columns)), F.col("event_id") % 5
+    texts = rows.select("event_id", F.when(at == 0, F.expr(
+        "substring(to_json(struct(*)), 1, 12)")).when(at == 1, "  ").when(at == 2, "null")
+        .otherwise(body).alias("value"))
+    replay(texts, source, "event_id")
+    stream = table_stream(spark, source, texts.schema, 1).select("value")
+    sink = parsed_sink(D.EVENT_ITEM, file_sink(f"{out}/good"), file_sink(f"{out}/bad"))
+    run_stream(stream, sink, f"{out}-checkpoint").awaitTermination()
+    good = read_files(spark, f"{out}/good").select(F.lit("row").alias("kind"), "event_id")
+    text = F.trim("value")
+    bad = read_files(spark, f"{out}/bad").select(
+        F.when(text == "", "blank").when(text == "null", "null").otherwise("torn").alias("kind"),
+        F.lit(0).cast("bigint").alias("event_id"))
+    return good.unionByName(bad).groupBy("kind").agg(
+        F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
 @query("stream_array_messages", """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type,
     count(*) AS pv, count(DISTINCT user_id) AS uv FROM events GROUP BY 1, 2""")
 def stream_array_messages(spark, sf_dir):

@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from changeflow.functions.time import DAY, epoch_ms, with_processing_day
-from changeflow.operators.conform import conform, misfits
+from changeflow.functions.time import DAY, with_processing_day
+from changeflow.operators.conform import conform, misfits, truncate_to_ms
 from changeflow.operators.shaping import normalize_envelope
 from changeflow.plans import derived as D
 from changeflow.plans.registry import load, query
@@ -281,6 +281,27 @@ def write_quarantine(spark, sf_dir):
     return good.unionByName(bad)
 
 
+@query("write_quarantine_lossy", """WITH e AS (SELECT event_id, CASE event_id % 4
+      WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 1 THEN event_id || '.9' WHEN 2 THEN event_id || '.0'
+      ELSE 'x' END AS amount FROM events)
+    SELECT event_id, event_id % 4 IN (1, 3) AS bad,
+      CASE WHEN event_id % 4 IN (0, 2) THEN event_id END AS amount,
+      (SELECT count(*) FROM e WHERE event_id % 4 IN (1, 3)) AS counted_bad FROM e""")
+def write_quarantine_lossy(spark, sf_dir):
+    """A value whose fraction a cast would cut is bad; good and bad rows are counted."""
+    path, types = fresh_dir(spark, "lossy"), {"amount": "Decimal(18, 0)"}
+    at, text = F.col("event_id") % 4, F.col("event_id").cast("string")
+    rows = load(spark, sf_dir, "events").select("event_id", F.when(at == 0, text).when(
+        at == 1, F.concat(text, F.lit(".9"))).when(at == 2, F.concat(text, F.lit(".0")))
+        .otherwise("x").alias("amount"))
+    numbers = write_with_quarantine(rows, path, types)
+    good = good_rows(spark, path, types).select(
+        "event_id", F.lit(False).alias("bad"), F.col("amount").cast("bigint").alias("amount"))
+    bad = bad_rows(spark, path).select(
+        "event_id", F.lit(True).alias("bad"), F.lit(None).cast("bigint").alias("amount"))
+    return good.unionByName(bad).withColumn("counted_bad", F.lit(numbers["bad"]).cast("bigint"))
+
+
 @query("write_batched", """SELECT count(*) AS rows, true AS batches_full FROM lineitem""")
 def write_batched_query(spark, sf_dir):
     """Rows handed to a writer in batches of 1000: all once, only the last one short."""
@@ -336,5 +357,19 @@ def conform_types(spark, sf_dir):
 @query("timestamps_to_ms", """SELECT event_id, (epoch_us(ts) // 1000) * 1000 AS stored_us FROM events""")
 def timestamps_to_ms(spark, sf_dir):
     """Stores with millisecond times drop the finer digits."""
-    stored = F.timestamp_millis(epoch_ms(F.col("ts")))
-    return load(spark, sf_dir, "events").select("event_id", F.unix_micros(stored).alias("stored_us"))
+    stored = truncate_to_ms(F.col("ts"))
+    return load(spark, sf_dir, "events").select(
+        "event_id", F.unix_micros(stored.cast("timestamp")).alias("stored_us"))
+
+
+@query("conform_lossy", """SELECT o_orderkey AS id, CAST(trunc(o_totalprice) AS INTEGER) AS whole,
+    o_totalprice <> trunc(o_totalprice) AS lossy FROM orders""")
+def conform_lossy(spark, sf_dir):
+    """A price cut to whole numbers is a misfit unless it is one; the key is not nullable."""
+    rows = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("whole"))
+    types = {"id": "Int64", "whole": "Int32"}
+    marked = rows.withColumn("lossy", misfits(rows, types))
+    typed = conform(marked, {**types, "lossy": "BOOL"}, keys=["id"])
+    assert not typed.schema["id"].nullable
+    return typed

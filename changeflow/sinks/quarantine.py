@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators.conform import foreign_type, misfits
+from changeflow.operators.metrics import counted
 
 REASON = "_reason"
 
@@ -30,19 +31,22 @@ def judge(df: DataFrame, columns: Mapping[str, str] | None = None,
 
 def write_with_quarantine(df: DataFrame, path: str, columns: Mapping[str, str] | None = None,
                           rules: Mapping[str, Column] | None = None,
-                          on_failure: Callable[[DataFrame], object] | None = None) -> None:
+                          on_failure: Callable[[DataFrame], object] | None = None) -> dict:
     """Write good rows and bad rows in one pass, in folders ``is_bad=0`` and ``is_bad=1``.
 
     Rows keep their raw values; :func:`good_rows` applies the types on reading.
-    ``on_failure`` then gets the bad rows, if there are any.
+    ``on_failure`` then gets the bad rows, if there are any. Returns how many rows
+    were ``good`` and ``bad``, counted on their way.
     """
-    judged = judge(df, columns, rules)
-    (judged.withColumn("is_bad", F.col(REASON).isNotNull().cast("int"))
+    bad = F.col(REASON).isNotNull()
+    judged, seen = counted(judge(df, columns, rules), "judged", {
+        "good": F.count(F.when(~bad, 1)), "bad": F.count(F.when(bad, 1))})
+    (judged.withColumn("is_bad", bad.cast("int"))
      .write.mode("append").partitionBy("is_bad").parquet(path))
-    if on_failure is not None:
-        bad = bad_rows(df.sparkSession, path)
-        if not bad.isEmpty():
-            on_failure(bad)
+    numbers = {name: seen.get[name] for name in ("good", "bad")}
+    if on_failure is not None and numbers["bad"]:
+        on_failure(bad_rows(df.sparkSession, path))
+    return numbers
 
 
 def good_rows(spark: SparkSession, path: str,

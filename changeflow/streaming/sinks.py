@@ -10,14 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from changeflow.functions.time import epoch_ms, with_time_parts
+from changeflow.operators.shaping import explode_json, parse_json, unreadable_json
 from changeflow.sinks.files import rebalanced
 
 Sink = Callable[[DataFrame, int], object]
 
-# How long after a partition's time it is committed, in
-# milliseconds, and the seconds between micro-batches.
+# Fixed value: how long after a partition's time it is committed, in milliseconds.
 COMMIT_DELAY_MS = 10_000
-FLUSH_SECONDS = 1
 
 
 def file_sink(path: str, partitions: Sequence[str] = (), fmt: str = "parquet",
@@ -70,6 +69,19 @@ def write_all(batch: DataFrame, sinks: Mapping[str, Sink], batch_id: int = 0,
         held.unpersist()
 
 
+def parsed_sink(schema: StructType | str, good: Sink, bad: Sink, column: str = "value",
+                array: bool = False) -> Sink:
+    """For a stream of raw JSON messages: rows to ``good``, unreadable messages to ``bad``.
+
+    Every message is in one of the two. Blank and missing messages are unreadable.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        read = explode_json if array else parse_json
+        good(read(batch, column, schema, on_error="quarantine"), batch_id)
+        bad(unreadable_json(batch, column, schema, array), batch_id)
+    return write
+
+
 def run_stream(rows: DataFrame, sink: Sink, checkpoint: str,
                every_seconds: int | None = None) -> StreamingQuery:
     """Start a stream into ``sink``.

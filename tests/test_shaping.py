@@ -74,7 +74,7 @@ ITEM = "a int, b string"
 
 
 def test_explode_json(spark):
-    bodies = ['[{"a":1,"z":9},{"b":"x"}]', "[]", None, "null", '{"a":5}']
+    bodies = ['[{"a":1,"z":9},{"b":"x"}]', "[]", " [] ", "null", '{"a":5}']
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string")
     got = [tuple(r) for r in S.explode_json(df, "body", ITEM).orderBy("i", "a").collect()]
     assert sorted(got, key=str) == sorted([(0, 1, None), (0, None, "x"), (4, 5, None)], key=str)
@@ -94,7 +94,7 @@ def test_unreadable_messages(spark):
     kept = S.explode_json(typed, "body", ITEM, "quarantine").collect()
     assert sorted((r["a"] is None, r["a"]) for r in kept) == [(False, 3), (False, 4), (True, None)]
     bad = {r["body"] for r in S.unreadable_json(typed, "body", ITEM, array=True).collect()}
-    assert bad == {'[{"a":1},{"a":"no"}]', "[5]", '[{"a":6}'}
+    assert bad == {'[{"a":1},{"a":"no"}]', "[5]", '[{"a":6}', None}
     objects = spark.createDataFrame([("{",), ('{"a":2}',), ('{"a":"no"}',)], "body string")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         S.parse_json(objects, "body", ITEM).collect()
@@ -137,3 +137,41 @@ def test_trace_without_cost_or_value(spark):
                                  None)], ", ".join(f"{f} string" for f in fields))
     row = S.flatten_trace(df).first()
     assert row["requestCostTime"] is None and row["url"] == "http://x" and row["visitByChannel"] == ""
+
+
+def test_blank_and_missing_messages_are_unreadable(spark):
+    texts = ['{"a": 1}', "", "  ", None, "null", '{"a": ', "[]", '[{"a": 2}]']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, m string")
+    one = S.parse_json(df.where("i <> 6 AND i <> 7"), "m", "a int", "quarantine")
+    lost = S.unreadable_json(df.where("i <> 6 AND i <> 7"), "m", "a int")
+    assert {r["i"] for r in lost.collect()} >= {1, 2, 3, 5}
+    assert {r["i"] for r in one.collect()} | {r["i"] for r in lost.collect()} == {0, 1, 2, 3, 4, 5}
+    many = S.unreadable_json(df, "m", "a int", array=True)
+    assert {r["i"] for r in many.collect()} == {1, 2, 3, 5}
+    assert sorted(r["a"] for r in S.explode_json(df, "m", "a int", "quarantine").collect()) == [1, 2]
+    for bad in ("", "  ", None):
+        torn = spark.createDataFrame([(bad,)], "m string")
+        for read in (S.parse_json, S.explode_json):
+            with pytest.raises(Exception, match="blank or missing"):
+                read(torn, "m", "a int").collect()
+
+
+def test_damaged_values_and_cookies(spark):
+    df = spark.createDataFrame(
+        [("p", "u1", '{"appId": "7"}', '{"mulri_skin_id": "s"}'), ("p", "u2", '{"appId": ', '{"mul'),
+         ("p", "u3", "", None), (None, "u4", "{", "{}")],
+        "projectId string, uuid string, value string, cookie string")
+    for name in ("event", "userId", "url", "createTime", "iPv4", "queryString"):
+        df = df.withColumn(name, F.lit(None).cast("string"))
+    kept = S.flatten_trace(df, on_error="quarantine")
+    assert {r["id"]: r["appId"] for r in kept.collect()} == {"u1": "7", "u3": None}
+    assert [r["uuid"] for r in S.unreadable_traces(df).collect()] == ["u2"]
+    with pytest.raises(Exception, match="damaged JSON"):
+        S.flatten_trace(df).collect()
+    skins = df.select("uuid", X.cookie_skin(F.col("cookie"), "quarantine").alias("skin"),
+                      X.cookie_user(F.col("userId"), F.col("cookie"), "quarantine").alias("who"))
+    assert {r["uuid"]: (r["skin"], r["who"]) for r in skins.collect()} == {
+        "u1": ("s", ""), "u2": (None, None), "u3": ("未知", None), "u4": ("未知", "")}
+    for column in (X.cookie_skin(F.col("cookie")), X.cookie_user(F.col("userId"), F.col("cookie"))):
+        with pytest.raises(Exception, match="damaged JSON"):
+            df.select(column).collect()
