@@ -10,8 +10,3 @@ def whole_quotient(value: Column, divisor: int | Column) -> Column:
     """The integer quotient, cut towards zero."""
     divisor = divisor if isinstance(divisor, Column) else F.lit(divisor)
     return F.call_function("div", value, divisor)
-
-
-def abs_residue(value: Column, n: int) -> Column:
-    """The absolute value of the truncated residue."""
-    return F.abs(value % F.lit(n))

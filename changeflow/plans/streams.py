@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.time import DAY, epoch_ms
 from changeflow.operators import changelog as L
 from changeflow.operators.counting import pv_uv
+from changeflow.operators.metrics import watched
 from changeflow.operators.shaping import (
     as_envelopes, explode_json, extract_attributes, flatten_trace, normalize_envelope, parse_json)
 from changeflow.plans import derived as D
@@ -16,7 +17,7 @@ from changeflow.plans.changes import ORDER, replay_sql
 from changeflow.plans.jobs import run_pipeline
 from changeflow.plans.registry import load, query
 from changeflow.plans.shapes import NOW_MS
-from changeflow.session import fresh_dir
+from changeflow.session import fresh_dir, written
 from changeflow.sinks.files import index_name, routed
 from changeflow.sinks.index import Index
 from changeflow.sources.splits import split_range
@@ -27,28 +28,39 @@ from changeflow.streaming.sinks import (
 from changeflow.streaming.sources import (
     change_stream, json_stream, queue_stream, table_stream, text_stream)
 
-FILES = 4
+FILES, FILE_ROWS = 4, 250_000
 
 
-def replay(df, path, order, files=FILES, fmt="parquet"):
-    """Write a table as ``files`` files, each a range of ``order``."""
-    df.repartitionByRange(files, order).write.format(fmt).save(path)
+def file_count(df):
+    """Files for a replayed table: a few, and more as it grows."""
+    return max(FILES, -(-df.count() // FILE_ROWS))
+
+
+def replay(df, path, order, fmt="parquet"):
+    """Write a table as files that are each a range of ``order``."""
+    df.repartitionByRange(file_count(df), order).write.format(fmt).save(path)
     return path
 
 
-def replay_in_order(df, path, order, files=FILES):
-    """The same with each file written after the one before, as a log grows."""
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    for first, last in split_range(low, high, files):
-        df.where(F.col(order).between(first, last)).coalesce(1).write.mode("append").parquet(path)
+def replay_in_order(df, path, order):
+    """The same with each file written after the one before, as a log grows.
+
+    A file has a bounded part of the rows, so one task writes it.
+    """
+    rows = written(df, "log")
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    for first, last in split_range(low, high, file_count(rows)):
+        rows.where(F.col(order).between(first, last)).coalesce(1) \
+            .write.mode("append").parquet(path)
 
 
 def _messages(spark, sf_dir, name="messages"):
     path = fresh_dir(spark, name)
     rows = D.event_rows(spark, sf_dir)
     body = F.to_json(F.struct(*rows.columns))
-    return replay(rows.select("ts_ms", body.alias("value")).repartitionByRange(FILES, "ts_ms")
-                  .select("value"), path, "value", fmt="text")
+    texts = rows.select("ts_ms", body.alias("value"))
+    texts.repartitionByRange(file_count(rows), "ts_ms").select("value").write.text(path)
+    return path
 
 
 _EVENT_ROWS_SQL = "SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS ts_ms FROM events"
@@ -274,6 +286,23 @@ def stream_count_changes(spark, sf_dir):
                       (F.sum("d") == F.max("n")).alias("telescopes"))
 
 
+@query("stream_watched", """SELECT count(*) AS n, count(CASE WHEN event_type = 'error' THEN 1 END)
+    AS errors FROM events""")
+def stream_watched(spark, sf_dir):
+    """Rows counted on their way through a stream, from its progress."""
+    source, out = fresh_dir(spark, "watched"), fresh_dir(spark, "watched-rows")
+    events = load(spark, sf_dir, "events").select("event_id", "event_type")
+    replay(events, source, "event_id")
+    seen = watched(table_stream(spark, source, events.schema, 1), "seen", {
+        "errors": F.count(F.when(F.col("event_type") == "error", 1))})
+    following = run_to_files(seen, out, f"{out}-checkpoint")
+    following.awaitTermination()
+    batches = [p.observedMetrics["seen"] for p in following.recentProgress
+               if "seen" in p.observedMetrics]
+    return spark.createDataFrame([(sum(b["n"] for b in batches), sum(b["errors"] for b in batches))],
+                                 "n bigint, errors bigint")
+
+
 # ---- sinks ------------------------------------------------------------------
 
 
@@ -288,7 +317,7 @@ def stream_time_partitions(spark, sf_dir):
     packed = D.packed_events(spark, sf_dir)
     replay(packed, source, "message_id")
     rows = explode_json(table_stream(spark, source, packed.schema, 1), "body", D.EVENT_ITEM)
-    sink = TimePartitionSink(spark, out, "ts_ms", tasks=spark.sparkContext.defaultParallelism)
+    sink = TimePartitionSink(spark, out, "ts_ms")
     run_stream(rows, sink, f"{out}-checkpoint").awaitTermination()
     parts = spark.read.schema("event_id bigint, dt string, hr string") \
         .parquet(f"{out}/data").groupBy("dt", "hr").agg(F.count("*").alias("n"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import functions as F
 
 from changeflow.functions.time import DAY, with_processing_day
@@ -73,8 +76,7 @@ def write_grouped(spark, sf_dir):
     count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1, 2""")
 def write_time_partitions(spark, sf_dir):
     path = fresh_dir(spark, "timed")
-    W.write_time_partitioned(D.event_rows(spark, sf_dir), path, "ts_ms", day="day", hour="hour",
-                             tasks=spark.sparkContext.defaultParallelism)
+    W.write_time_partitioned(D.event_rows(spark, sf_dir), path, "ts_ms", day="day", hour="hour")
     schema = "event_id bigint, day string, hour string"
     return spark.read.schema(schema).parquet(path).groupBy("day", "hour").agg(
         F.count("*").alias("n"), F.min("event_id").alias("first_id"))
@@ -302,33 +304,43 @@ def write_quarantine_lossy(spark, sf_dir):
     return good.unionByName(bad).withColumn("counted_bad", F.lit(numbers["bad"]).cast("bigint"))
 
 
-@query("write_batched", """SELECT count(*) AS rows, true AS batches_full FROM lineitem""")
+def _store(path):
+    """A writer that keeps each batch as a file of its own; safe to repeat."""
+    def send(batch, task, number):
+        system, folder = FileSystem.from_uri(path)
+        system.create_dir(folder, recursive=True)
+        pq.write_table(pa.Table.from_pandas(batch, preserve_index=False),
+                       f"{folder}/{task}-{number}.parquet", filesystem=system)
+    return send
+
+
+@query("write_batched", """SELECT l_orderkey, l_linenumber, true AS batches_full FROM lineitem""")
 def write_batched_query(spark, sf_dir):
-    """Rows handed to a writer in batches of 1000: all once, only the last one short."""
+    """Rows handed to a store in batches of 1000: all once, only the last one short."""
+    path = fresh_dir(spark, "batched")
     rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    report = write_batched(rows, lambda batch, task, number: None, 1000)
-    return report.agg(
-        F.sum("rows").alias("rows"),
-        F.bool_and(F.col("batches") == F.ceil(F.col("rows") / 1000)).alias("batches_full"))
+    report = write_batched(rows, _store(path), 1000)
+    full = report.agg(F.bool_and(F.col("batches") == F.ceil(F.col("rows") / 1000))).first()[0]
+    return spark.read.parquet(path).withColumn("batches_full", F.lit(full))
 
 
-@query("write_batched_with_retry", """SELECT count(*) AS rows, true AS batches_full,
-    true AS tried_twice FROM lineitem""")
+@query("write_batched_with_retry", """SELECT l_orderkey, l_linenumber, true AS tried_twice
+    FROM lineitem""")
 def write_batched_with_retry(spark, sf_dir):
-    """The first try of every batch fails; each is sent again and counts once."""
-    failed = set()
+    """The first try of every batch fails; each is sent again and its rows count once."""
+    path, failed = fresh_dir(spark, "batched-again"), set()
+    store = _store(path)
 
     def send(batch, task, number):
+        store(batch, task, number)
         if (task, number) not in failed:
             failed.add((task, number))
             raise OSError("store is down")
 
     rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    report = write_batched(rows, send, 1000, base=0.0)
-    return report.agg(
-        F.sum("rows").alias("rows"),
-        F.bool_and(F.col("batches") == F.ceil(F.col("rows") / 1000)).alias("batches_full"),
-        F.bool_and(F.col("attempts") == F.col("batches") * 2).alias("tried_twice"))
+    report = write_batched(rows, send, 1000, base=0.0, seconds=60)
+    twice = report.agg(F.bool_and(F.col("attempts") == F.col("batches") * 2)).first()[0]
+    return spark.read.parquet(path).withColumn("tried_twice", F.lit(twice))
 
 
 @query("conform_types", """SELECT CAST(o_orderkey % 120 AS TINYINT) AS small,

@@ -44,12 +44,21 @@ def with_retry(call: Callable[[], object], retries: int = RETRIES, base: float =
     raise AssertionError("unreachable")
 
 
-def regroup(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """The same rows in frames of ``size`` rows, the last one shorter."""
+def regroup(frames: Iterator[pd.DataFrame], size: int, seconds: float | None = None,
+            clock: Callable[[], float] = time.monotonic) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of ``size`` rows, the last one shorter.
+
+    With ``seconds``, rows that have waited that long when more arrive go out in a
+    shorter frame.
+    """
     held: list[pd.DataFrame] = []
-    rows = 0
+    rows, since = 0, clock()
     for frame in frames:
+        if held and seconds is not None and clock() - since >= seconds:
+            yield pd.concat(held, ignore_index=True)
+            held, rows = [], 0
         while len(frame):
+            since = since if held else clock()
             part, frame = frame.iloc[:size - rows], frame.iloc[size - rows:]
             held.append(part)
             rows += len(part)
@@ -63,8 +72,10 @@ def regroup(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]
 def write_batched(df: DataFrame, send: Callable[[pd.DataFrame, int, int], object],
                   size: int = BATCH_ROWS, retries: int = RETRIES, base: float = PAUSE,
                   exponential: bool = False,
-                  only: tuple[type[BaseException], ...] = (Exception,)) -> DataFrame:
-    """Hand every task's rows to ``send(rows, task, batch)`` in batches of ``size``.
+                  only: tuple[type[BaseException], ...] = (Exception,),
+                  seconds: float | None = None) -> DataFrame:
+    """Hand every task's rows to ``send(rows, task, batch)`` in batches of ``size``,
+    or, with ``seconds``, sooner if rows come slowly.
 
     Returns one report row per non-empty task; acting on it runs the write. A
     lost task is run again by Spark, so ``send`` must be safe to repeat for the
@@ -73,7 +84,7 @@ def write_batched(df: DataFrame, send: Callable[[pd.DataFrame, int, int], object
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get().partitionId()
         batches = rows = attempts = 0
-        for batch in regroup(frames, size):
+        for batch in regroup(frames, size, seconds):
             number = batches
             attempts += with_retry(lambda: send(batch, task, number), retries, base,
                                    exponential, only)

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructType
 
-# The format's characters and the default rows per file.
+# The format's characters.
 DELIMITER = "|"
 QUOTE = '"'
 ESCAPE = "\\"
-BATCH_ROWS = 500
 
 
 def quoted(text: Column) -> Column:
@@ -49,9 +48,9 @@ def copy_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(DELIMITER, *[field(c) for c in df.columns]).alias("value"))
 
 
-def write_copy_text(df: DataFrame, path: str, max_rows: int = BATCH_ROWS,
+def write_copy_text(df: DataFrame, path: str, max_rows: int = 0,
                     mode: str = "errorifexists") -> None:
-    """Write bulk-load files of at most ``max_rows`` rows each."""
+    """Write bulk-load files, one for a task, or of at most ``max_rows`` rows each."""
     copy_lines(df).write.mode(mode).option("maxRecordsPerFile", max_rows).text(path)
 
 

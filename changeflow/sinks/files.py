@@ -18,14 +18,9 @@ from changeflow.operators.placement import with_shard
 from changeflow.session import path_exists
 
 
-def rebalanced(df: DataFrame, columns: Sequence[str], tasks: int | None = None) -> DataFrame:
-    """Rows of a partition value together, but never a hot value on one task.
-
-    With ``tasks`` rows are hashed over that many tasks instead, which suits
-    many small partitions that are known to be even.
-    """
-    keys = [F.col(c) for c in columns]
-    return df.repartition(tasks, *keys) if tasks else df.hint("rebalance", *keys)
+def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a partition value together, but never a hot value on one task."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
 def partition_names(spec: str) -> list[str]:
@@ -39,28 +34,27 @@ def partition_names(spec: str) -> list[str]:
 
 def write_partitioned(df: DataFrame, path: str, spec: str | Sequence[str],
                       static: Mapping[str, object] | None = None, mode: str = "append",
-                      max_records: int = 0, tasks: int | None = None) -> None:
+                      max_records: int = 0) -> None:
     """Write by partition columns, which go last and leave the value columns.
 
     ``static`` sets a partition column to one literal. ``mode='overwrite'``
-    replaces only the partitions the rows touch.
+    replaces only the partitions the rows touch, and may be run again; an append
+    that is run again adds its rows again.
     """
     columns = partition_names(spec) if isinstance(spec, str) else list(spec)
     if static:
         df = df.withColumns({c: F.lit(v) for c, v in static.items()})
         columns += [c for c in static if c not in columns]
     values = [c for c in df.columns if c not in columns]
-    writer = rebalanced(df.select(*values, *columns), columns, tasks).write.mode(mode)
+    writer = rebalanced(df.select(*values, *columns), columns).write.mode(mode)
     (writer.option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records)
      .partitionBy(*columns).parquet(path))
 
 
 def write_time_partitioned(df: DataFrame, path: str, ms_col: str, zone: str = "UTC",
-                           day: str = "dt", hour: str = "hr", mode: str = "append",
-                           tasks: int | None = None) -> None:
+                           day: str = "dt", hour: str = "hr", mode: str = "append") -> None:
     """Write by the day and hour of an epoch-ms column; finishes with ``_SUCCESS``."""
-    write_partitioned(with_time_parts(df, ms_col, zone, day, hour), path, [day, hour], mode=mode,
-                      tasks=tasks)
+    write_partitioned(with_time_parts(df, ms_col, zone, day, hour), path, [day, hour], mode=mode)
 
 
 def write_sharded(df: DataFrame, path: str, strategy: str, n: int, key: str | None = None,
@@ -81,7 +75,9 @@ def save_table(df: DataFrame, name: str, partitions: Sequence[str] = (),
                path: str | None = None, fmt: str = "parquet") -> None:
     """Append to a table, creating it from the frame's schema when it is missing."""
     values = [c for c in df.columns if c not in partitions]
-    writer = df.select(*values, *partitions).write.format(fmt).mode("append")
+    rows = df.select(*values, *partitions)
+    rows = rebalanced(rows, partitions) if partitions else rows
+    writer = rows.write.format(fmt).mode("append")
     writer = writer.partitionBy(*partitions) if partitions else writer
     (writer.option("path", path) if path else writer).saveAsTable(name)
 

@@ -54,6 +54,9 @@ def jdbc_scan_shards(spark: SparkSession, urls: Sequence[str], table: str,
 
 def jdbc_write(df: DataFrame, url: str, table: str, batch: int = 1000, connections: int = 32,
                properties: Mapping[str, str] | None = None) -> None:
-    """Append rows in batches, over at most ``connections`` connections."""
-    df.coalesce(connections).write.jdbc(
+    """Append rows in batches, over ``connections`` connections.
+
+    The exchange keeps the work before it as parallel as it was.
+    """
+    df.repartition(connections).write.jdbc(
         url, table, mode="append", properties={"batchsize": str(batch), **(properties or {})})

@@ -13,13 +13,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from changeflow.operators.changelog import BEFORE, apply_changelog
 from changeflow.session import path_exists, remove_dir
 
 BASES = "upto long"
 NOW = 1 << 62
+BUCKETS = 32  # of an upsert table's base
 
 
 class BatchFiles:
@@ -91,6 +92,87 @@ class BatchFiles:
             remove_dir(self.spark, f"{self.path}/base/upto={earlier[-2]}")
 
 
+class BucketFiles(BatchFiles):
+    """The same with a base cut into hash buckets of a key.
+
+    A new base holds only the buckets it changed, as ``base/upto=<id>/bucket=<n>``;
+    the record of a base names them, and the files of the others stay in use.
+    """
+
+    RECORD = "upto long, buckets array<int>"
+
+    def __init__(self, spark: SparkSession, path: str, batch_schema: StructType,
+                 base_schema: StructType, keys: Sequence[str], buckets: int):
+        super().__init__(spark, path, batch_schema, base_schema)
+        self.buckets = buckets
+        self.bucket = F.pmod(F.hash(*keys), F.lit(buckets))
+
+    def _records(self, batch_id: int) -> list[tuple[int, list[int]]]:
+        """The finished bases before ``batch_id`` in order, with the buckets they changed."""
+        if not path_exists(self.spark, f"{self.path}/bases"):
+            return []
+        known = self.spark.read.schema(self.RECORD).json(f"{self.path}/bases").collect()
+        return sorted({r["upto"]: r["buckets"] for r in known if r["upto"] < batch_id}.items())
+
+    def _bases(self, batch_id: int) -> list[int]:
+        return [upto for upto, _ in self._records(batch_id)]
+
+    @staticmethod
+    def _places(records: list[tuple[int, list[int]]]) -> dict[int, int]:
+        """The base that holds each bucket's rows."""
+        return {bucket: upto for upto, changed in records for bucket in changed}
+
+    def base(self, batch_id: int, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The rows of the newest base before ``batch_id``, or of some of its buckets."""
+        places = self._places(self._records(batch_id))
+        wanted: dict[int, list[int]] = {}
+        for bucket, upto in places.items():
+            if buckets is None or bucket in buckets:
+                wanted.setdefault(upto, []).append(bucket)
+        numbered = StructType([*self.base_schema.fields, StructField("upto", LongType()),
+                               StructField("bucket", IntegerType())])
+        there = F.lit(False)
+        for upto, own in wanted.items():
+            there = there | ((F.col("upto") == upto) & F.col("bucket").isin(own))
+        if not wanted or not path_exists(self.spark, f"{self.path}/base"):
+            return self.spark.createDataFrame([], self.base_schema)
+        return self.spark.read.schema(numbered).parquet(f"{self.path}/base") \
+            .where(there).drop("upto", "bucket")
+
+    def changes(self, batch_id: int) -> DataFrame:
+        """The batches after the newest base before ``batch_id``, numbered ``batch``."""
+        bases = self._bases(batch_id)
+        newest = bases[-1] if bases else -1
+        return self._read("batches", self.batch_schema, "batch").where(
+            (F.col("batch") < batch_id) & (F.col("batch") > newest))
+
+    def touched(self, changes: DataFrame) -> list[int]:
+        """The buckets of the changes' keys."""
+        return sorted(r[0] for r in changes.select(self.bucket.alias("bucket")).distinct().collect())
+
+    def store(self, rows: DataFrame, batch_id: int, buckets: Sequence[int]) -> None:
+        """Make ``rows`` the state of ``buckets`` after all batches before ``batch_id``.
+
+        Files are removed once the last two bases can do without them.
+        """
+        known = self._records(batch_id - 1)
+        rows.select(*self.base_schema.fieldNames(), self.bucket.alias("bucket")) \
+            .hint("rebalance", F.col("bucket")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").partitionBy("bucket") \
+            .parquet(f"{self.path}/base/upto={batch_id - 1}")
+        self.spark.createDataFrame([(batch_id - 1, list(buckets))], self.RECORD).coalesce(1) \
+            .write.mode("append").json(f"{self.path}/bases")  # a single row
+        if not known:
+            return
+        before = known[-2][0] if len(known) > 1 else -1
+        for batch in range(max(before + 1, 0), known[-1][0] + 1):
+            remove_dir(self.spark, f"{self.path}/batches/batch={batch}")
+        now, last = self._places(known), self._places(known[:-1])
+        for bucket, upto in last.items():
+            if now[bucket] != upto:
+                remove_dir(self.spark, f"{self.path}/base/upto={upto}/bucket={bucket}")
+
+
 class Ledger:
     """Sums of ``measures`` per key, kept as increments.
 
@@ -141,15 +223,16 @@ class UpsertTable:
     """A keyed table that follows a streamed changelog.
 
     A micro-batch only appends its changes. Reading applies the changes since
-    the last fold to the base, and a fold writes the result as the next base, so
-    the table is rewritten once in ``fold_every`` batches and not for each.
-    Changes run in the order of their batches and by ``order`` inside one.
+    the last fold to the base. Once in ``fold_every`` batches a fold reads and
+    writes those of the base's hash buckets whose keys changed; the files of the
+    others stay as they are. Changes run in the order of their batches and by
+    ``order`` inside one.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
                  changes: StructType, order: Sequence[str], update_strategy: str = "update",
                  ignore_delete: bool = True, fixed: Sequence[str] = (), few: bool = False,
-                 fold_every: int = 50, op: str = "op"):
+                 fold_every: int = 50, op: str = "op", buckets: int = BUCKETS):
         absent = [c for c in (*schema.fieldNames(), *order, op) if c not in changes.fieldNames()]
         if not keys or absent:
             raise ValueError(f"an upsert table needs a key; the changes lack {absent}")
@@ -157,22 +240,25 @@ class UpsertTable:
         self.options = {"update_strategy": update_strategy, "ignore_delete": ignore_delete,
                         "fixed": list(fixed), "few": few, "op": op}
         self.fold_every = fold_every
-        self.files = BatchFiles(spark, path, changes, schema)
+        self.files = BucketFiles(spark, path, changes, schema, keys, buckets)
 
     def create(self, rows: DataFrame) -> None:
         """Start from ``rows``, before the first batch."""
         if not self.files.folded(0):
-            self.files.store_base(rows, 0)
+            self.files.store(rows, 0, range(self.files.buckets))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Take in one micro-batch; running the same one again changes nothing."""
         self.files.add(batch.where(F.col(self.op) != BEFORE), batch_id)
         if batch_id and batch_id % self.fold_every == 0 and not self.files.folded(batch_id):
-            self.files.store_base(self.current(batch_id), batch_id)
+            changes = self.files.changes(batch_id)
+            touched = self.files.touched(changes)
+            self.files.store(self._applied(self.files.base(batch_id, touched), changes), batch_id,
+                             touched)
+
+    def _applied(self, base: DataFrame, changes: DataFrame) -> DataFrame:
+        return apply_changelog(base, changes, self.keys, ["batch", *self.order], **self.options)
 
     def current(self, batch_id: int = NOW) -> DataFrame:
         """The table after all batches before ``batch_id``."""
-        base, batches = self.files.parts(batch_id)
-        if base is None:
-            base = self.files.spark.createDataFrame([], self.files.base_schema)
-        return apply_changelog(base, batches, self.keys, ["batch", *self.order], **self.options)
+        return self._applied(self.files.base(batch_id), self.files.changes(batch_id))

@@ -19,11 +19,10 @@ Sink = Callable[[DataFrame, int], object]
 COMMIT_DELAY_MS = 10_000
 
 
-def file_sink(path: str, partitions: Sequence[str] = (), fmt: str = "parquet",
-              tasks: int | None = None) -> Sink:
+def file_sink(path: str, partitions: Sequence[str] = (), fmt: str = "parquet") -> Sink:
     """Write each batch to its own folder, which a repeated batch replaces."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = (rebalanced(batch, partitions, tasks) if partitions else batch).write.mode("overwrite")
+        writer = (rebalanced(batch, partitions) if partitions else batch).write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "static")
         writer = writer.partitionBy(*partitions) if partitions else writer
         writer.format(fmt).save(f"{path}/batch={batch_id}")
@@ -108,12 +107,11 @@ class TimePartitionSink:
     STATE = "dt string, hr string, newest bigint"
 
     def __init__(self, spark: SparkSession, path: str, ms_col: str, zone: str = "UTC",
-                 delay_ms: int = COMMIT_DELAY_MS, tasks: int | None = None,
-                 on_commit: Sink | None = None):
+                 delay_ms: int = COMMIT_DELAY_MS, on_commit: Sink | None = None):
         self.on_commit = on_commit
         self.spark, self.path, self.ms_col = spark, path, ms_col
         self.zone, self.delay_ms = zone, delay_ms
-        self._data = file_sink(f"{path}/data", ["dt", "hr"], tasks=tasks)
+        self._data = file_sink(f"{path}/data", ["dt", "hr"])
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         parted = with_time_parts(batch, self.ms_col, self.zone).persist()

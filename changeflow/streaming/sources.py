@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from changeflow.operators.predicates import union_streams
@@ -49,35 +49,41 @@ def envelope_type(image: StructType | str) -> StructType:
     return StructType().add("before", row).add("after", row).add("source", source)
 
 
-def change_stream(spark: SparkSession, image: StructType | str, path: str,
+def change_stream(spark: SparkSession, image: StructType | str, path: str | None = None,
                   databases: Sequence[str] = (".*",), tables: Sequence[str] = (".*",),
                   startup: str = "initial", snapshot: str | None = None,
                   since: datetime | None = None, on_error: str = "fail",
-                  files_per_batch: int | None = None) -> DataFrame:
+                  files_per_batch: int | None = None, fmt: str = "text",
+                  options: Mapping[str, str] | None = None) -> DataFrame:
     """Change envelopes of the databases and tables whose names match.
 
-    ``initial`` reads everything, after the inserts in folder ``snapshot`` when
-    given; ``latest`` only what arrived after ``since``. Names are regular
-    expressions for the whole name.
+    ``fmt`` and ``options`` name any source with a column ``value``: text files in
+    ``path``, or a broker's topics. ``initial`` reads everything, after the inserts
+    in folder ``snapshot`` (text files) when given; ``latest`` only what arrived
+    after ``since``, which a source other than files takes as one of its options.
+    Names are regular expressions for the whole name.
     """
     if startup not in ("initial", "latest"):
         raise ValueError(f"startup must be initial or latest, not {startup!r}")
-    if startup == "latest" and (since is None or snapshot is not None):
+    if startup == "latest" and (snapshot is not None or fmt == "text" and since is None):
         raise ValueError("startup latest needs a start time and takes no snapshot")
     schema = envelope_type(image)
+    asked = dict(options or {})
+    if files_per_batch:
+        asked["maxFilesPerTrigger"] = str(files_per_batch)
 
-    def read(folder: str) -> DataFrame:
-        reader = spark.readStream.format("text")
-        if files_per_batch:
-            reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        raw = reader.load(folder)
-        if startup == "latest":
+    def read(folder: str | None, kind: str, given: Mapping[str, str]) -> DataFrame:
+        reader = spark.readStream.format(kind).options(**given)
+        raw = reader.load(folder) if folder else reader.load()
+        if startup == "latest" and since is not None:
             raw = raw.where(F.col("_metadata.file_modification_time") > F.lit(since))
-        return parse_json(raw.select("value"), "value", schema, on_error)
+        return parse_json(raw.select(F.col("value").cast("string").alias("value")), "value",
+                          schema, on_error)
 
-    events = read(path)
+    events = read(path, fmt, asked)
     if snapshot is not None:
-        events = union_streams(read(snapshot), events)
+        paced = {k: v for k, v in asked.items() if k == "maxFilesPerTrigger"}
+        events = union_streams(read(snapshot, "text", paced), events)
     return of_tables(events, databases, tables)
 
 
@@ -89,30 +95,23 @@ def of_tables(events: DataFrame, databases: Sequence[str], tables: Sequence[str]
     return events.where(matches("source.db", databases) & matches("source.table", tables))
 
 
-def _local_unique(column: str):
-    """Drop repeated ids inside each Arrow batch, before rows move to their id's task."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            at = pa.table({"id": batch.column(batch.schema.get_field_index(column)),
-                           "row": pa.array(range(batch.num_rows))})
-            first = at.group_by("id").aggregate([("row", "min")]).column("row_min")
-            yield batch.take(first.combine_chunks())
-    return run
-
-
 def queue_stream(messages: DataFrame, id_col: str, event_time: str | None = None,
                  delay: str | None = None) -> DataFrame:
     """Each message once, by id; a message without an id stops the stream.
 
     The checkpoint's replayable offsets stand in for acknowledgements. With
-    ``event_time`` and ``delay`` ids are forgotten after the delay, else never.
-    Copies of one id are first thinned out where they arrive.
+    ``event_time`` and ``delay`` ids are forgotten after the delay, and messages
+    later than that are left out: :func:`late_messages` counts them. Without, ids
+    are kept for ever and none is late.
     """
     stop = F.raise_error(F.lit("message without an id")).cast("boolean")
     checked = messages.where(F.when(F.col(id_col).isNull(), stop).otherwise(True))
-    thinned = checked.mapInArrow(_local_unique(id_col), checked.schema)
     if event_time is None:
-        return thinned.dropDuplicates([id_col])
-    return thinned.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([id_col])
+        return checked.dropDuplicates([id_col])
+    return checked.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([id_col])
+
+
+def late_messages(query: StreamingQuery) -> int:
+    """How many messages a query's recent batches left out as too late."""
+    return sum(state.numRowsDroppedByWatermark
+               for progress in query.recentProgress for state in progress.stateOperators)

@@ -30,6 +30,6 @@ def test_every_shard_is_read_over_the_whole_range():
 def test_write_appends_in_batches():
     df = MagicMock()
     jdbc_write(df, "jdbc:x", "t", batch=500, connections=4)
-    df.coalesce.assert_called_once_with(4)
-    df.coalesce.return_value.write.jdbc.assert_called_once_with(
+    df.repartition.assert_called_once_with(4)
+    df.repartition.return_value.write.jdbc.assert_called_once_with(
         "jdbc:x", "t", mode="append", properties={"batchsize": "500"})

@@ -287,3 +287,25 @@ def test_counted(spark):
     rows, seen = counted(spark.range(10), "passed", {"high": F.max("id")})
     rows.write.format("noop").mode("overwrite").save()
     assert seen.get == {"n": 10, "high": 9}
+
+
+def test_hot_hour_goes_to_several_tasks(spark):
+    rows = spark.range(200_000).select((F.col("id") % 1000).alias("ts_ms"), F.col("id"),
+                                       F.uuid().alias("text"))
+    path = fresh_dir(spark, "hot-hour")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        W.write_time_partitioned(rows.repartition(8), path, "ts_ms")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    assert files > 1 and spark.read.parquet(path).count() == 200_000
+
+
+def test_slow_rows_are_flushed(spark):
+    ticks = iter([0.0, 0.0, 5.0, 5.0, 6.0, 20.0, 20.0])
+    frames = [pd.DataFrame({"a": [i]}) for i in range(4)]
+    sizes = [len(f) for f in B.regroup(iter(frames), 10, 5.0, lambda: next(ticks))]
+    assert sum(sizes) == 4 and len(sizes) > 1
+    assert [len(f) for f in B.regroup(iter(frames), 3)] == [3, 1]

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from changeflow.operators.changelog import apply_changelog
 from changeflow.operators.counting import pv_uv
@@ -14,8 +15,10 @@ from changeflow.plans.jobs import run_pipeline
 from changeflow.session import fresh_dir
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
 from changeflow.streaming.ledger import Ledger, UpsertTable
-from changeflow.streaming.sinks import TimePartitionSink, file_sink, read_files, run_stream
-from changeflow.streaming.sources import change_stream, of_tables, queue_stream, table_stream
+from changeflow.streaming.sinks import (
+    TimePartitionSink, file_sink, read_files, run_stream, run_to_files)
+from changeflow.streaming.sources import (
+    change_stream, late_messages, of_tables, queue_stream, table_stream)
 
 CHANGES = "op string, ts timestamp_ntz, app string, who bigint"
 
@@ -262,3 +265,52 @@ def test_pipeline_stops_at_the_first_failure(spark):
     assert ran == [1]
     assert run_pipeline(spark, ["CREATE OR REPLACE TEMP VIEW v AS SELECT 7 AS x",
                                 "SELECT x FROM v"]).first()["x"] == 7
+
+
+def test_a_fold_rewrites_touched_buckets_only(spark):
+    start = spark.range(1000).select(F.col("id").alias("k"), F.lit(0).cast("bigint").alias("v"))
+    schema = StructType.fromDDL("k bigint, v bigint, op string, at bigint")
+    path = fresh_dir(spark, "buckets")
+    table = UpsertTable(spark, path, start.schema, ["k"], schema, ["at"], "insert",
+                        ignore_delete=False, fold_every=1, buckets=8)
+
+    def files(bucket):
+        return {os.path.join(d, f) for d, _, names in os.walk(f"{path}/base") for f in names
+                if f.endswith(".parquet") and f"bucket={bucket}" in d}
+
+    table.create(start)
+    touched = table.files.touched(start.where("k IN (3, 5)"))
+    before = {b: files(b) for b in range(8)}
+    expected = {k: 0 for k in range(1000)}
+    for batch, rows in enumerate([[(3, 7, "+U", 1)], [(5, 9, "+U", 2), (3, 0, "-D", 3)], [],
+                                  [(5, 1, "+U", 4)]]):
+        for _ in range(2):  # each batch is delivered twice
+            table.process(spark.createDataFrame(rows, schema), batch)
+        for k, v, op, _ in rows:
+            expected.pop(k) if op == "-D" else expected.update({k: v})
+        assert {r["k"]: r["v"] for r in table.current().collect()} == expected
+    assert all(files(b) == before[b] for b in range(8) if b not in touched)
+    assert all(files(b) != before[b] for b in touched)
+
+
+def test_a_replayed_pipeline_batch_replaces_its_rows(spark):
+    path = fresh_dir(spark, "replayed")
+    sink = file_sink(path)
+    for _ in range(3):
+        sink(spark.range(10), 0)
+    sink(spark.range(10, 15), 1)
+    assert sorted(r["id"] for r in read_files(spark, path).collect()) == list(range(15))
+
+
+def test_late_messages_are_counted(spark):
+    source, out = fresh_dir(spark, "late-source"), fresh_dir(spark, "late-out")
+    schema = "id bigint, at timestamp"
+    for rows in ([(1, "2024-01-10"), (1, "2024-01-10")], [(2, "2024-01-20")], [(3, "2024-01-01")],
+                 [(4, "2024-01-21")]):
+        spark.createDataFrame(rows, "id bigint, day string").select(
+            "id", F.to_timestamp("day").alias("at")).coalesce(1).write.mode("append").parquet(source)
+    once = queue_stream(table_stream(spark, source, schema, 1), "id", "at", "1 day")
+    query = run_to_files(once, out, f"{out}-checkpoint")
+    query.awaitTermination()
+    kept = {r["id"] for r in spark.read.parquet(out).collect()}
+    assert kept | {3} == {1, 2, 3, 4} and late_messages(query) == 4 - len(kept)
