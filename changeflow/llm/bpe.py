@@ -16,8 +16,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import one_name, texts
-from changeflow.session import ship_package
+from changeflow.llm.common import one_name, ready, slices, texts
 
 # How byte-level BPE cuts a text before it merges, the characters
 # that are white space to it, and the bytes that stand for themselves in a vocabulary.
@@ -26,7 +25,7 @@ SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (
     0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-CACHED = 1 << 20  # chunks and pieces a worker remembers, about 200 bytes each
+CACHED = 1 << 18  # chunks and pieces a worker remembers, about 200 bytes each
 FOREVER = 1 << 62
 
 
@@ -245,7 +244,7 @@ def _digests(bpe: Bpe, values: list) -> list[pa.Array]:
 
 def _mapped(spark: SparkSession, docs: DataFrame, tokenizer: str, text: str, made: list,
             work) -> DataFrame:
-    ship_package(spark)
+    ready(spark)
     source = spark.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     new = {name.lower() for name, _, _ in made}
     kept = [c for c in docs.columns if c.lower() not in new]
@@ -256,8 +255,7 @@ def _mapped(spark: SparkSession, docs: DataFrame, tokenizer: str, text: str, mad
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(source.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
+            for rows in slices(batch):
                 out = rows.drop_columns([reads])
                 for (name, kind, _), values in zip(made, work(bpe, texts(rows, reads))):
                     out = out.append_column(pa.field(name, kind), values)

@@ -6,13 +6,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.session import written
+from changeflow.session import ship_package, written
 
 WORD_GAP = "[ \\t-\\r]+"  # the white space between words: blank, tab to carriage return
-PAIRS_AT_ONCE = 1 << 21
+PAIRS_AT_ONCE = 1 << 18
+ARROW_BYTES = "8m"
 FEW_GROUPS = 1 << 17  # rows of a key and a count that may be broadcast, about 4 MB
 
 
@@ -46,7 +47,7 @@ def gathered(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str],
-                 rows: int = 1 << 14) -> Iterator[tuple[pa.Table, np.ndarray]]:
+                 rows: int = 1 << 13) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of complete groups of a gathered partition, with the groups' starts.
 
     Groups are collected until there are about ``rows`` rows; a group that spans
@@ -201,11 +202,35 @@ def majority_bits(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def ready(spark: SparkSession) -> None:
+    """Prepare a session for operators that run Python over whole texts.
+
+    Ships the package, and bounds the bytes of an Arrow batch, since rows of long
+    texts make batches of ten thousand rows too large for a worker.
+    """
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
 def texts(batch: pa.RecordBatch, name: str) -> list:
     """A string column as Python values."""
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def slices(batch: pa.RecordBatch, rows: int = 256, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most ``rows`` rows and about ``size`` bytes.
+
+    A row larger than that is a piece of its own.
+    """
+    step = max(min(rows, batch.num_rows * size // max(batch.get_total_buffer_size(), 1)), 1)
+    for at in range(0, batch.num_rows, step):
+        piece = batch.slice(at, step)
+        if piece.num_rows > 1 and piece.nbytes > 2 * size:
+            yield from slices(piece, piece.num_rows // 2, size)
+        else:
+            yield piece
+
+
 def one_name(df: DataFrame, want: str) -> str:
     """``want``, or a name like it that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

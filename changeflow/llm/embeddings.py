@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import column, components, forest, gathered, pairs_in, spread, \
+from changeflow.llm.common import column, components, forest, gathered, pairs_in, ready, spread, \
     whole_groups
-from changeflow.session import ship_package, written
+from changeflow.session import written
 
 AT_LEAST = 0.95
 SEED = 20_240
@@ -119,7 +119,7 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, ident: str = "vec_id",
     repeated row is a further vector. Other columns are left aside; an empty
     table gives no rows.
     """
-    ship_package(spark)
+    ready(spark)
     rows = vectors.select(F.col(ident).alias("ident"), F.col(vector).alias("vector")) \
         .withColumn("ok", usable(F.col("vector")))
     # Two independent 64-bit hashes stand for the vector where rows are matched.

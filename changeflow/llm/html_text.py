@@ -13,8 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import one_name, texts
-from changeflow.session import ship_package
+from changeflow.llm.common import one_name, ready, texts
 
 # What HTML and common page designs call things.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -237,7 +236,7 @@ def extract(spark: SparkSession, pages: DataFrame, html: str = "html",
     far as they go. Repeated rows give the same text. Columns named like the new
     ones are replaced; an empty table gives no rows.
     """
-    ship_package(spark)
+    ready(spark)
     reads = one_name(pages, "read")
     kept = [c for c in pages.columns
             if c.lower() not in (text.lower(), "n_chars") and (keep_html or c != html)]

@@ -12,8 +12,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import one_name, texts
-from changeflow.session import ship_package
+from changeflow.llm.common import one_name, ready, texts
 
 FOLDS = 4  # rows fall by crc32 of their id: 0 and 1 train, 3 calibrates, 2 is held out
 HELD_OUT = 2
@@ -91,7 +90,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, ident: str = "d
     0 and 1 are passed over; a repeated label row counts again. Without rows of
     either label every score is the overall share (0.5 if there is none).
     """
-    ship_package(spark)
+    ready(spark)
     labels = labels.where(F.col(label).isin(0, 1)).select(
         F.col(ident).alias("ident"), F.col(label).alias("label"), fold(F.col(ident)).alias("fold"))
     docs = docs.select(F.col(ident).alias("ident"), F.col(text).alias("text"))
@@ -185,7 +184,7 @@ def scored(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text
     the shortest. Repeated rows score alike. A column named like the score is
     replaced; an empty table gives no rows.
     """
-    ship_package(spark)
+    ready(spark)
     reads = one_name(docs, "read")
     kept = [c for c in docs.columns if c.lower() != into.lower() and (keep_text or c != text)]
     shared = spark.sparkContext.broadcast(model)

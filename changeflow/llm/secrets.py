@@ -15,8 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import one_name, texts
-from changeflow.session import ship_package
+from changeflow.llm.common import one_name, ready, texts
 
 # The kinds of secrets, what they look like and their keywords.
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -130,7 +129,7 @@ def scan(spark: SparkSession, docs: DataFrame, text: str = "text", into: str = "
     gives no rows. Base kinds are kept whatever checksums say; tokens of the
     other kinds only if what is built into them fits.
     """
-    ship_package(spark)
+    ready(spark)
     reads = one_name(docs, "read")
     kept = [c for c in docs.columns if c.lower() != into.lower() and (keep_text or c != text)]
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])

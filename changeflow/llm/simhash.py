@@ -11,9 +11,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import column, components, forest, gathered, majority_bits, \
-    one_name, pairs_in, spread, texts, whole_groups
-from changeflow.session import ship_package, written
+from changeflow.llm.common import column, components, forest, gathered, majority_bits, one_name, \
+    pairs_in, ready, spread, texts, whole_groups
+from changeflow.session import written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -171,7 +171,7 @@ def _text_hash(text: str) -> Column:
 def _groups(spark: SparkSession, docs: DataFrame, ident: str, text: str, shingle: int,
             max_bits: int) -> DataFrame:
     """Each row's ident, fp, and its group's ``head``: (no ident, ident, text_hash)."""
-    ship_package(spark)
+    ready(spark)
     small = docs.select(F.col(ident).alias("ident"), _text_hash(text).alias("text_hash"),
                         F.col(text).alias("text"))
     rows = written(with_fingerprint(small, "text", "fp", shingle), "fingerprints")

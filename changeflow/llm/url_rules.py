@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import one_name, texts
-from changeflow.session import ship_package, written
+from changeflow.llm.common import one_name, ready, texts
+from changeflow.session import written
 
 
 @dataclass(frozen=True)
@@ -76,7 +76,7 @@ def judge(spark: SparkSession, urls: DataFrame, rules: tuple[Rule, ...] | DataFr
     are judged alike. Columns of ``urls`` are kept; of those named like a result
     column only the url survives. An empty table gives no rows.
     """
-    ship_package(spark)
+    ready(spark)
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame([(r.host, r.path, r.verdict) for r in rules],
                                       "host string, path string, verdict string")
