@@ -214,7 +214,7 @@ def stream_upsert(spark, sf_dir):
     changes, customer = D.customer_changes(spark, sf_dir), load(spark, sf_dir, "customer")
     replay_in_order(changes, source, "event_id")
     table = UpsertTable(spark, out, customer.schema, ["c_custkey"], changes.schema, ORDER,
-                        "insert", ignore_delete=False, fold_every=2)
+                        "insert", ignore_delete=False, fold_every=2, buckets=8)
     table.create(customer)
     stream = table_stream(spark, source, changes.schema, 1)
     run_stream(stream, table.process, f"{out}-checkpoint").awaitTermination()
