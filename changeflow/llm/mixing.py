@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left
 from collections.abc import Mapping
 from fractions import Fraction
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from changeflow.session import written
 
 BLOCK_ROWS = 100
-PERIOD = 10_000  # slots after which the order of sources repeats
+PERIOD = 10_000  # slots that weights are rounded to at least
 POWER = 0.8  # default weights: the power of a source's row count
 
 
@@ -33,6 +34,12 @@ def slots_of_period(weights: list[Fraction], period: int = PERIOD) -> list[int]:
     return slots
 
 
+def whole_period(weights: list[Fraction], blocks: list[int]) -> int:
+    """A period in which each weight is due all its blocks, so that the mix ends within it."""
+    total = sum(weights)
+    return max(PERIOD, *(math.ceil(n * total / w) for n, w in zip(blocks, weights)))
+
+
 def release(block: int, slots: int, period: int) -> int:
     """The first slot in which a source's ``block`` may run."""
     return block * period // slots
@@ -70,25 +77,28 @@ def slot_of(block: int, runs: list[int], period: int) -> int:
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights: Mapping[str | None, float] | None = None,
-        source: str = "source", block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+        source: str = "source", block_rows: int = BLOCK_ROWS, period: int | None = None) -> DataFrame:
     """The mix as rows (row, epoch, block, release, deadline, slot).
 
     ``row`` is a row of ``docs``. A source's rows, in the order of a hash, are cut
     into blocks of about ``block_rows`` that differ by one row at most. The mix
     is a row of slots, each filled with one block: after any number of slots, a
-    source's blocks are less than one away from its share. It ends when every
+    source's blocks are less than two away from its share, one for the order of
+    blocks and one for the weight's rounding. It ends when every
     block has run once; sources that are through by then start over, which
     ``epoch`` counts. So no row is left out, and the whole mix has the target
-    shares, a block more or less.
+    shares, two blocks more or less.
 
     ``weights`` are shares of any sum for the sources named; without them, and
     for sources they do not name, the weight is the row count to the power
     ``POWER`` (not named: scaled so that the named ones keep their sum's part).
-    Weights are rounded to whole slots of ``period``, at least one; weights that
-    are not above zero are refused. Sources without rows take no slots. Null is a
-    source of its own. Repeated rows are rows of their own. An empty table gives
-    no rows. The driver holds one count for each source and the schedule of a
-    period, whatever the number of rows.
+    Weights are rounded once, to whole slots of a period that holds the whole mix,
+    so no error adds up and no source is raised; weights that
+    are not above zero are refused. A ``period``, if given, repeats: its rounding
+    adds up, and each source gets at least one of its slots. Sources without rows
+    take no slots. Null is a source of its own. Repeated rows are rows of their own.
+    An empty table gives no rows. The driver holds one count for each source and one
+    number for each slot of the mix, which is a block of rows.
     """
     packed = docs.select(F.struct("*").alias("row"), F.col(source).cast("string").alias("source"),
                          F.xxhash64(*docs.columns).alias("order"))
@@ -130,7 +140,8 @@ def mix(spark: SparkSession, docs: DataFrame, weights: Mapping[str | None, float
         F.expr("turn DIV size(runs) * period + runs[CAST(turn % size(runs) AS int)]").alias("slot"))
 
 
-def _plan(counts: dict, weights: Mapping | None, block_rows: int, period: int) -> list[tuple]:
+def _plan(counts: dict, weights: Mapping | None, block_rows: int,
+          period: int | None = None) -> list[tuple]:
     """For each source (source, rows, blocks, blocks run in the mix, slots of a period, period)."""
     if not counts:
         return []
@@ -140,9 +151,10 @@ def _plan(counts: dict, weights: Mapping | None, block_rows: int, period: int) -
         raise ValueError("weights must be above zero")
     own = {n: Fraction(counts[n] ** POWER) for n in names}
     scale = sum(given.values()) / sum(own[n] for n in given) if given else 1
-    shares = slots_of_period([given.get(n, own[n] * scale) for n in names], period)
-    runs, period = schedule(shares), sum(shares)
+    exact = [given.get(n, own[n] * scale) for n in names]
     blocks = {n: -(-counts[n] // block_rows) for n in names}
+    shares = slots_of_period(exact, period or whole_period(exact, list(blocks.values())))
+    runs, period = schedule(shares), sum(shares)
     end = max(slot_of(blocks[n] - 1, r, period) for n, r in zip(names, runs)) + 1
     ran = [end // period * len(r) + bisect_left(r, end % period) for r in runs]
     return [(n, counts[n], blocks[n], k, r, period) for n, k, r in zip(names, ran, runs)]

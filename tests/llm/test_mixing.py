@@ -3,7 +3,7 @@ from fractions import Fraction
 
 import pytest
 
-from changeflow.llm.mixing import POWER, mix, mixed, schedule, slots_of_period
+from changeflow.llm.mixing import PERIOD, POWER, _plan, mix, mixed, schedule, slot_of, slots_of_period
 from changeflow.llm.queries import RUNS
 
 
@@ -97,3 +97,30 @@ def test_unnamed_sources_repeats_and_empty_tables(spark):
     assert mixed(spark, docs.limit(0)).collect() == []
     with pytest.raises(ValueError):
         mix(spark, docs, {"a": 0})
+
+
+@pytest.mark.parametrize("counts, weights, block_rows", [
+    ({"a": 3_000_000, "b": 900_000, "c": 70_001, "d": 10}, None, 100),
+    ({"a": 40_000, "b": 5_000, "c": 7}, {"a": 1, "b": 0.3, "c": 1e-5}, 10),
+])
+def test_long_mix_follows_the_unrounded_weights(counts, weights, block_rows):
+    exact = {n: Fraction((weights or {}).get(n, counts[n] ** POWER)) for n in counts}
+    plan = _plan(counts, weights, block_rows, None)
+    end = max(slot_of(blocks - 1, runs, period) for _, _, blocks, _, runs, period in plan) + 1
+    assert end > 2 * PERIOD and min(exact.values()) * 2 * PERIOD < sum(exact.values())
+    assert sum(ran for _, _, _, ran, _, _ in plan) == end
+    for name, _, blocks, ran, runs, period in plan:
+        share = exact[name] / sum(exact.values())
+        assert ran >= blocks
+        for k in range(ran):  # just before and just after its k-th block
+            slot = slot_of(k, runs, period)
+            assert abs(k - share * slot) < 2 and abs(k + 1 - share * (slot + 1)) < 2
+
+
+def test_a_tiny_source_is_not_raised(spark):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "IF(id = 7, 'y', 'x') AS source")
+    got = mix(spark, docs, {"x": 1, "y": 0.00003}, block_rows=1).select(
+        "row.doc_id", "row.source", "slot").collect()
+    assert sorted(r["slot"] for r in got) == list(range(len(got)))
+    assert sum(r["source"] == "y" for r in got) == 1
+    assert len({r["doc_id"] for r in got}) == 30_000
