@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -25,10 +26,10 @@ SPACED = frozenset("br td th img input button".split())  # white space where the
 REGIONS = frozenset("article main section div td body html".split())
 TEXTS = frozenset(("article", "main"))
 SKIPPED = frozenset(
-    "script style noscript template head title nav footer aside form fieldset button select option "
+    "script style noscript template head title nav footer aside fieldset button select option "
     "textarea label input iframe object canvas svg math menu dialog search".split())
 SKIPPED_ROLES = frozenset(
-    "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
+    "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
     "toolbar status".split())
 SKIPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner banners sponsor sponsored "
@@ -37,6 +38,12 @@ SKIPPED_NAMES = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended comment comments commentlist disqus respond replies widget widgets pagination pager "
     "skiplink".split())
+# Words that say of a name's other words only where or in what they stand.
+FILLERS = frozenset(
+    "site page main global top bottom left right center upper lower primary secondary mobile desktop "
+    "sticky fixed box wrap wrapper container inner outer area block section row col column columns "
+    "bar list item items links link content contents text icons buttons button posts articles stories "
+    "unit slot zone panel form policy message".split())
 CLOSES = {  # a start tag that ends an open element of these kinds
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"},
@@ -51,21 +58,26 @@ SHARE = 0.9  # of the selected text that the chosen region holds
 
 @dataclass(slots=True)
 class Element:
-    """An open element; ``region`` is the number of the innermost region it is or is in."""
+    """An open element, and the numbers of the innermost region and mark it is or is in.
+
+    A mark is a name that says an element is no content; 0 is none.
+    """
 
     tag: str
     region: int
     skipped: bool
+    mark: int
 
 
 @dataclass(slots=True)
 class Line:
-    """A block of text: its innermost region, and how many tags were met in it."""
+    """A block of text: its innermost region and mark, and how many tags were met in it."""
 
     text: str
     tags: int
     skipped: bool
     region: int
+    mark: int
 
 
 class Events(HTMLParser):
@@ -75,7 +87,8 @@ class Events(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.regions: list[tuple[str, int]] = [("page", -1)]  # tag, region around it
-        self.open: list[Element] = [Element("page", 0, False)]
+        self.marks: list[tuple[int, bool]] = [(0, True)]  # mark around it, whether it is in a text
+        self.open: list[Element] = [Element("page", 0, False, 0)]
         self.depth: Counter[str] = Counter()  # open elements by tag
         self.pieces: list[str] = []
         self.tags = 0
@@ -84,7 +97,7 @@ class Events(HTMLParser):
         text = " ".join("".join(self.pieces).split())
         if text:
             here = self.open[-1]
-            self.lines.append(Line(text, self.tags, here.skipped, here.region))
+            self.lines.append(Line(text, self.tags, here.skipped, here.region, here.mark))
         if self.pieces:
             self.pieces, self.tags = [], 0
 
@@ -100,14 +113,17 @@ class Events(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        skipped, region = self._skips(tag, attrs), self.open[-1].region
-        if skipped != self.open[-1].skipped:
+        skipped, region, mark = self._skips(tag, attrs), self.open[-1].region, self.open[-1].mark
+        if not skipped and self._marked(tag, attrs):
+            self.marks.append((mark, any(self.depth[t] for t in TEXTS)))
+            mark = len(self.marks) - 1
+        if (skipped, mark) != (self.open[-1].skipped, self.open[-1].mark):
             self.flush()  # text before is not of the same kind
         if tag in REGIONS:
             self.regions.append((tag, region))
             region = len(self.regions) - 1
         self.depth[tag] += 1
-        self.open.append(Element(tag, region, skipped))
+        self.open.append(Element(tag, region, skipped, mark))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -134,7 +150,8 @@ class Events(HTMLParser):
             if self.open[at].tag in shields:
                 return
             at -= 1
-        if self.open[-1].skipped != self.open[at - 1].skipped:
+        if (self.open[-1].skipped, self.open[-1].mark) \
+                != (self.open[at - 1].skipped, self.open[at - 1].mark):
             self.flush()
         self.depth.subtract(e.tag for e in self.open[at:])
         del self.open[at:]
@@ -147,17 +164,33 @@ class Events(HTMLParser):
         if tag == "header" and not any(self.depth[t] for t in TEXTS):
             return True
         values = {name: value or "" for name, value in attrs}
-        if "hidden" in values or values.get("aria-hidden") == "true" \
-                or "display:none" in values.get("style", "").replace(" ", "").lower() \
-                or values.get("role", "").lower() in SKIPPED_ROLES:
-            return True
-        named = re.sub(r"([a-z])([A-Z])", r"\1 \2",
-                       f"{values.get('class', '')} {values.get('id', '')}")
-        return not SKIPPED_NAMES.isdisjoint(re.split(r"[^a-z]+", named.lower()))
+        return "hidden" in values or values.get("aria-hidden") == "true" \
+            or "display:none" in values.get("style", "").replace(" ", "").lower() \
+            or values.get("role", "").lower() in SKIPPED_ROLES
 
+    def _marked(self, tag: str, attrs: list) -> bool:
+        """Whether an element is a form or one of its class names or its id is no content's."""
+        if tag in TEXTS or tag == "body" or tag == "html":
+            return False
+        values = {name: value or "" for name, value in attrs}
+        return tag == "form" or values.get("role", "").lower() == "form" \
+            or any(map(no_content, f"{values.get('class', '')} {values.get('id', '')}".split()))
+
+
+@lru_cache(maxsize=1 << 14)
+def no_content(name: str) -> bool:
+    """Whether a class name or id as a whole is one of ``SKIPPED_NAMES`` or a compound of them.
+
+    All its words are, but for ``FILLERS`` beside them: "cookie-notice", "sideBar" and
+    "ad_box_2" are; "has-sidebar" and "ad-free" say something else.
+    """
+    words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
+    return "".join(words) in SKIPPED_NAMES or not SKIPPED_NAMES.isdisjoint(words) \
+        and all(w in SKIPPED_NAMES or w in FILLERS for w in words)
 
-def lines_of(html: str) -> tuple[list[Line], list[tuple[str, int]]]:
-    """The lines of a page in order, and the tag and parent of each region."""
+
+def lines_of(html: str) -> tuple[list[Line], list[tuple[str, int]], list[tuple[int, bool]]]:
+    """The lines of a page in order, and the regions and marks that ``Events`` has met."""
     events = Events()
     last = html.rfind("<")
     if last > html.rfind(">") and re.match("[/!?a-zA-Z]", html[last + 1:]):
@@ -165,7 +198,7 @@ def lines_of(html: str) -> tuple[list[Line], list[tuple[str, int]]]:
     events.feed(html)
     events.close()
     events.flush()
-    return events.lines, events.regions
+    return events.lines, events.regions, events.marks
 
 
 def ratios(lines: list[Line]) -> np.ndarray:
@@ -192,24 +225,56 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2 if high >= CONTRAST * low else values.min()
 
 
+def believed(marks: list[tuple[int, bool]], lines: list[Line], above: np.ndarray,
+             regions: list[tuple[str, int]]) -> list[bool]:
+    """For each mark whether its text is set aside, by it or by one around it.
+
+    A mark around more than half of the text in the upper cluster (``above``) is
+    wrong: what it is on is the page's content. Only where an article or main has
+    such text outside of marks, marks beside it are always right.
+    """
+    in_text = [False] * len(regions)
+    for number, (tag, parent) in enumerate(regions):
+        in_text[number] = tag in TEXTS or parent >= 0 and in_text[parent]
+    outside = [False] * len(marks)
+    for number, (parent, inside) in enumerate(marks):
+        outside[number] = outside[parent] or not inside
+    held, sure = [0] * len(marks), False
+    for line, high in zip(lines, above):
+        if high and not line.skipped:
+            held[line.mark] += len(line.text)
+            sure = sure or in_text[line.region] and not outside[line.mark]
+    for number in range(len(marks) - 1, 0, -1):
+        held[marks[number][0]] += held[number]
+    aside = [False] * len(marks)
+    for number, (parent, inside) in enumerate(marks[1:], 1):
+        aside[number] = aside[parent] or 2 * held[number] <= held[0] or sure and not inside
+    return aside
+
+
 def main_text(html: str) -> str:
     """The main text of a page, a line for each block.
 
     Lines inside menus, headers, footers, sidebars, notices, adverts, forms,
-    comments, scripts and styles (by element, role, class or id) are set aside.
-    Of the others, those whose smoothed text-to-tag ratio lies in the upper
+    comments, scripts and styles (by element, role, class or id) are set aside; a
+    class, an id or a form sets nothing aside that is an article or main or holds
+    most of the text in the upper cluster (see below). Of the others, those whose smoothed text-to-tag ratio lies in the upper
     cluster of all lines show where the content is: the smallest region (article,
     main, section, div, cell or body) that holds most of their text, or the whole
     article it is part of. All lines of that region that are not set aside are the
     text, short ones too. If no line is in the upper cluster, all of them count.
     """
-    lines, regions = lines_of(html)
-    usable = [line for line in lines if not line.skipped]
-    if not usable:
+    lines, regions, marks = lines_of(html)
+    if all(line.skipped for line in lines):
         return ""
     smooth = ratios(lines)
     above = smooth >= threshold(smooth)
-    chosen = [line for line, high in zip(lines, above) if high and not line.skipped] or usable
+    aside = believed(marks, lines, above, regions)
+    usable = [line for line in lines if not line.skipped and not aside[line.mark]]
+    if not usable:
+        return ""
+    chosen = [line for line, high in zip(lines, above)
+              if high and not line.skipped and not aside[line.mark]] or usable
     held = [0] * len(regions)
     for line in chosen:
         held[line.region] += len(line.text)

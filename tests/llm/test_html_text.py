@@ -76,3 +76,30 @@ def test_odd_rows(spark):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
         (1, "u", 1, "", 0), (None, None, 2, "", 0), (3, "v", 3, "a", 1), (3, "v", 3, "a", 1)]))
     assert extract(spark, table.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("page", [
+    "<article class='post has-sidebar'>{}</article>", "<main class='content no-banner'>{}</main>",
+    "<div class='elementor-widget-container'>{}</div>", "<div id='related-work'>{}</div>",
+    "<article class='status-publish comments'>{}</article>", "<div class='ad-free'>{}</div>",
+    "<form id=aspnetForm>{}</form>", "<div class='widget'><main>{}</main></div>",
+    "<div id=page-header><div class=promo>{}</div></div>", "<div class=overlay>{}</div>",
+])
+def test_names_do_not_hide_the_content(page):
+    text = f"<h1>T</h1><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p>"
+    notice = f"<div class='cookie-notice'><p>{PROSE}</p></div>"
+    want = f"T\n{PROSE.strip()}\nShort.\n{PROSE.strip()}"
+    assert main_text(page.format(text)) == want
+    assert main_text(f"<nav>{MENU}</nav>{notice}<div>{page.format(text)}</div><footer>F</footer>") == want
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-box", "sideBar", "site_footer", "nav-main", "related-posts",
+                                  "cookieNotice", "x comments y", "widget-area-2"])
+def test_names_of_the_rest(name):
+    page = f"<div><p>{PROSE}</p><div class='{name}'><p>{PROSE}</p></div><p>{PROSE}</p></div>"
+    assert main_text(page) == f"{PROSE.strip()}\n{PROSE.strip()}"
+
+
+def test_a_long_advert_beside_a_short_article():
+    page = f"<div class=ad>{PROSE}</div><article class=ad-free><p>One.</p></article>"
+    assert main_text(page) == "One."
