@@ -48,12 +48,13 @@ CLOSES = {  # a start tag that ends an open element of these kinds
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"},
 }
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 LISTS = frozenset("ul ol dl table select article section div".split())  # they shield what is outside
 
 SIGMA = 1.0
 SPREAD = 3  # lines on each side that smoothing reaches
 CONTRAST = 2.0  # times that the ratios of content exceed those of the rest at least
-SHARE = 0.9  # of the selected text that the chosen region holds
+SHARE = 0.9  # of the selected text that an article holds that is taken alone
 
 
 @dataclass(slots=True)
@@ -71,13 +72,19 @@ class Element:
 
 @dataclass(slots=True)
 class Line:
-    """A block of text: its innermost region and mark, and how many tags were met in it."""
+    """A block of text: its innermost region and mark, and how many tags were met in it.
+
+    ``heading`` tells whether it is in a heading, ``own`` how many of the tags are not
+    those of regions, which only hold blocks.
+    """
 
     text: str
     tags: int
     skipped: bool
     region: int
     mark: int
+    heading: bool
+    own: int
 
 
 class Events(HTMLParser):
@@ -91,15 +98,16 @@ class Events(HTMLParser):
         self.open: list[Element] = [Element("page", 0, False, 0)]
         self.depth: Counter[str] = Counter()  # open elements by tag
         self.pieces: list[str] = []
-        self.tags = 0
+        self.tags = self.own = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
             here = self.open[-1]
-            self.lines.append(Line(text, self.tags, here.skipped, here.region, here.mark))
+            self.lines.append(Line(text, self.tags, here.skipped, here.region, here.mark,
+                                   any(self.depth[t] for t in HEADINGS), self.own))
         if self.pieces:
-            self.pieces, self.tags = [], 0
+            self.pieces, self.tags, self.own = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
@@ -111,6 +119,7 @@ class Events(HTMLParser):
         if tag in SPACED:
             self.pieces.append(" ")
         self.tags += 1
+        self.own += tag not in REGIONS
         if tag in VOID:
             return
         skipped, region, mark = self._skips(tag, attrs), self.open[-1].region, self.open[-1].mark
@@ -136,6 +145,7 @@ class Events(HTMLParser):
         if tag in SPACED:
             self.pieces.append(" ")
         self.tags += 1
+        self.own += tag not in REGIONS
         self._close(tag, frozenset() if tag in BLOCKS else BLOCKS)
 
     def handle_data(self, data: str) -> None:
@@ -252,6 +262,31 @@ def believed(marks: list[tuple[int, bool]], lines: list[Line], above: np.ndarray
     return aside
 
 
+def smallest(chosen: list[Line], regions: list[tuple[str, int]], share: float = 1) -> int:
+    """The smallest region that holds a share of the chosen lines' text."""
+    held = [0] * len(regions)
+    for line in chosen:
+        held[line.region] += len(line.text)
+    for number in range(len(regions) - 1, 0, -1):  # what a region holds, its parent does
+        held[regions[number][1]] += held[number]
+    return max(r for r, n in enumerate(held) if n >= share * held[0])
+
+
+def firm(lines: list[Line], smooth: np.ndarray, cut: float, aside: list[bool]) -> list[Line]:
+    """The usable lines that their own ratio puts in the upper cluster, with their headings."""
+    low = smooth[smooth < cut]
+    least = CONTRAST * low.mean() if len(low) else 0
+    found, follows = [], False
+    for line, near in zip(reversed(lines), reversed(smooth)):
+        if line.skipped or aside[line.mark]:
+            continue
+        ratio = len(line.text) / max(line.own, 1)
+        follows = ratio >= cut or near >= cut and ratio >= least or follows and line.heading
+        if follows:
+            found.append(line)
+    return found
+
+
 def main_text(html: str) -> str:
     """The main text of a page, a line for each block.
 
@@ -259,29 +294,31 @@ def main_text(html: str) -> str:
     comments, scripts and styles (by element, role, class or id) are set aside; a
     class, an id or a form sets nothing aside that is an article or main or holds
     most of the text in the upper cluster (see below). Of the others, those whose smoothed text-to-tag ratio lies in the upper
-    cluster of all lines show where the content is: the smallest region (article,
-    main, section, div, cell or body) that holds most of their text, or the whole
-    article it is part of. All lines of that region that are not set aside are the
+    cluster of all lines show where the content is: the whole article or main that
+    holds nearly all of their text, or else the smallest region (section, div, cell
+    or body) that holds all of them and the headings before them. There a line counts
+    by its own ratio too, without the tags of regions: one that reaches the upper
+    cluster is in, one like the lower cluster that only its neighbours lift is not.
+    All lines of that region that are not set aside are the
     text, short ones too. If no line is in the upper cluster, all of them count.
     """
     lines, regions, marks = lines_of(html)
     if all(line.skipped for line in lines):
         return ""
     smooth = ratios(lines)
-    above = smooth >= threshold(smooth)
+    cut = threshold(smooth)
+    above = smooth >= cut
     aside = believed(marks, lines, above, regions)
     usable = [line for line in lines if not line.skipped and not aside[line.mark]]
     if not usable:
         return ""
     chosen = [line for line, high in zip(lines, above)
               if high and not line.skipped and not aside[line.mark]] or usable
-    held = [0] * len(regions)
-    for line in chosen:
-        held[line.region] += len(line.text)
-    for number in range(len(regions) - 1, 0, -1):  # what a region holds, its parent does
-        held[regions[number][1]] += held[number]
-    region = max(r for r, n in enumerate(held) if n >= SHARE * held[0])
-    around = region
+    region = around = smallest(chosen, regions, SHARE)
+    while around >= 0 and regions[around][0] not in TEXTS:
+        around = regions[around][1]
+    if around < 0:
+        region = smallest(firm(lines, smooth, cut, aside) or chosen, regions)
     while around >= 0:
         region = around if regions[around][0] in TEXTS else region
         around = regions[around][1]

@@ -103,3 +103,21 @@ def test_names_of_the_rest(name):
 def test_a_long_advert_beside_a_short_article():
     page = f"<div class=ad>{PROSE}</div><article class=ad-free><p>One.</p></article>"
     assert main_text(page) == "One."
+
+
+LEAD, TEXT = PROSE[:70] * 5, "".join(f"<p>{PROSE}{i}</p>" for i in range(20))
+
+
+@pytest.mark.parametrize("page", [
+    f"<div id=content><div class=lead><p>{LEAD}</p></div><div class=text><p>{PROSE * 20}</p></div></div>",
+    f"<div id=content><div class=lead><p>{LEAD}</p></div><div class=text>{TEXT}</div></div>",
+    f"<div><div class=title><h1>T</h1><h2>U</h2></div><div class=text>{TEXT}</div></div>",
+    f"<div><div>{TEXT}</div><div><p>Short.</p></div><div><p>{PROSE}</p></div></div>",
+    f"<div><section><h2>T</h2>{TEXT}</section><section><h2>U</h2><p>{PROSE}</p></section></div>",
+    f"<table><tr><td><p>{PROSE}</p></td></tr><tr><td>{TEXT}</td></tr></table>",
+])
+def test_content_in_several_containers(page):
+    blocks = re.split(r"<[^>]*>", page)
+    want = "\n".join(" ".join(b.split()) for b in blocks if b.strip())
+    assert main_text(page) == want
+    assert main_text(f"<nav>{MENU}</nav><div>{MENU}</div><div>{page}</div><div>{MENU}</div>") == want
