@@ -242,3 +242,24 @@ def one_name(df: DataFrame, want: str) -> str:
 def whole_text(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))
+
+
+HOT = 1_000  # at most so many keys can hold more than a thousandth of all rows
+SALTS = 64
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Left join of ``left`` (of ``rows`` rows) with ``right``, whose keys are its own.
+
+    The keys that hold more than a thousandth of the left rows, fewer than a
+    thousand, are broadcast; their rows are dealt over salts and their partners
+    repeated for each salt, so that no task gets all rows of a key.
+    """
+    hot = F.broadcast(left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+                      .where(F.col("_rows") > rows / HOT).select(*keys, F.lit(True).alias("_hot")))
+    salted = left.withColumn("_place", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")) \
+        .join(hot, keys, "left") \
+        .withColumn("_salt", F.when(F.col("_hot"), F.col("_place")).otherwise(0))
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt", "_hot", "_place")

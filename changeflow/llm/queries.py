@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.bpe import token_digests
 from changeflow.llm.embeddings import near_vectors
+from changeflow.llm.filter_audit import ORACLE as FILTER_SQL
+from changeflow.llm.filter_audit import audit
 from changeflow.llm.html_text import extract
 from changeflow.llm.line_dedup import without_repeats
 from changeflow.llm.mixing import mix
@@ -19,6 +21,8 @@ from changeflow.llm.quality_rules import judge_quality
 from changeflow.llm.quality_sql import ORACLE as QUALITY_SQL
 from changeflow.llm.secrets import scan, span_digests
 from changeflow.llm.simhash import near_duplicates
+from changeflow.llm.source_divergence import ORACLE as DIVERGENCE_SQL
+from changeflow.llm.source_divergence import divergence
 from changeflow.llm.url_rules import judge
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -117,4 +121,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(spark, docs).drop("lang", "class_distance", "word_distance")
 
 
+@query("op11_filter_audit", FILTER_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(spark, load(spark, sf_dir, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
