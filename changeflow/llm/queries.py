@@ -16,6 +16,7 @@ from changeflow.llm.filter_audit import audit
 from changeflow.llm.html_text import extract
 from changeflow.llm.line_dedup import without_repeats
 from changeflow.llm.mixing import mix
+from changeflow.llm.nearest import nearest
 from changeflow.llm.quality import HELD_OUT, KEEP_FROM, fit, fold, scored
 from changeflow.llm.quality_rules import judge_quality
 from changeflow.llm.quality_sql import ORACLE as QUALITY_SQL
@@ -126,6 +127,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+@query("op12_nearest")
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark, load(spark, sf_dir, "embeddings"))
+
+
 @query("op13_source_divergence", DIVERGENCE_SQL)
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(spark, load(spark, sf_dir, "documents"))
