@@ -25,7 +25,11 @@ HEX = rb"[0-9a-f]+"
 GITHUB = rb"gh[pousr]_[0-9A-Za-z]{36}(?![0-9A-Za-z])"
 NPM = rb"npm_[0-9A-Za-z]{36}(?![0-9A-Za-z])"
 JWT = rb"eyJ[0-9A-Za-z_-]+\.eyJ[0-9A-Za-z_-]+\.[0-9A-Za-z_-]*"
-PEM = rb"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----[\s0-9A-Za-z+/=,:-]*?-----END [A-Z0-9 ]*PRIVATE KEY-----"
+BODY = rb"(?:(?!-----BEGIN )[\s0-9A-Za-z+/=,:-])"
+PEM = rb"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----" + BODY + rb"*?-----END [A-Z0-9 ]*PRIVATE KEY-----"
+# What the last two have looked through where they fail.
+JWT_RUN = rb"eyJ(?:[0-9A-Za-z_-]+(?:\.eyJ[0-9A-Za-z_-]*)?)?"
+PEM_RUN = rb"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----" + BODY + rb"*"
 LONGEST_RUN = 24  # hex digits that make a secret
 
 
@@ -49,14 +53,29 @@ def names_algorithm(found: re.Match) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str)
 
 
+def is_armoured(found: re.Match) -> bool:
+    """Whether a key's two labels agree and what is between them, behind headers, is base 64."""
+    _, first, body, last, _ = re.split(rb"-----(?:BEGIN|END) ([A-Z0-9 ]*)-----", found.group())
+    lines = b"".join(line.strip() for line in body.splitlines() if b":" not in line)
+    try:
+        return first == last and len(base64.b64decode(lines, validate=True)) > 0
+    except binascii.Error:
+        return False
+
+
 @dataclass(frozen=True)
 class Kind:
-    """A pattern that is tried where one of its keywords (lower case) begins."""
+    """A pattern that is tried where one of its keywords (lower case) begins.
+
+    Where it fails after having looked through all of ``run``, no keyword that begins
+    inside that run can do better: a later start only sees less of it.
+    """
 
     name: str
     pattern: re.Pattern
     keywords: tuple[str, ...]
     valid: Callable[[re.Match], bool]
+    run: re.Pattern | None = None
 
 
 KINDS = (
@@ -67,8 +86,8 @@ KINDS = (
     Kind("hex", re.compile(HEX), (), lambda m: len(m.group()) >= LONGEST_RUN),
     Kind("github", re.compile(GITHUB), ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), checksum_fits),
     Kind("npm", re.compile(NPM), ("npm_",), checksum_fits),
-    Kind("jwt", re.compile(JWT), ("eyj",), names_algorithm),
-    Kind("private_key", re.compile(PEM), ("-----begin ",), lambda m: True),
+    Kind("jwt", re.compile(JWT), ("eyj",), names_algorithm, re.compile(JWT_RUN)),
+    Kind("private_key", re.compile(PEM), ("-----begin ",), is_armoured, re.compile(PEM_RUN)),
 )
 BASE = ("assign", "access", "hex")
 
@@ -89,7 +108,8 @@ class Scanner:
         """(start, end, kind number) in code points, by start, then kind.
 
         Matches of a kind are the leftmost ones that do not overlap; those that
-        fail the kind's test still cover what they matched.
+        fail the kind's test still cover what they matched. What a failed match has
+        looked through is not looked at again, so time grows with the text.
         """
         raw = text.encode("utf-8", "replace")
         found, covered = [], [0] * len(KINDS)
@@ -98,7 +118,10 @@ class Scanner:
             if start < covered[k]:
                 continue
             match = KINDS[k].pattern.match(raw, start)
-            if match:
+            if match is None and KINDS[k].run is not None:
+                run = KINDS[k].run.match(raw, start)
+                covered[k] = run.end() if run else start
+            elif match:
                 covered[k] = match.end()
                 if KINDS[k].valid(match):
                     found.append((start, match.end(), k))
@@ -125,9 +148,10 @@ def scan(spark: SparkSession, docs: DataFrame, text: str = "text", into: str = "
 
     Positions are code points, the end exclusive; spans are ordered by start, then
     as ``KINDS`` are listed. A null or empty text has none; repeated rows are
-    scanned alike. A column named like the new one is replaced; an empty table
+    scanned alike. Texts are scanned whole, in time that grows with their length. A column named like the new one is replaced; an empty table
     gives no rows. Base kinds are kept whatever checksums say; tokens of the
-    other kinds only if what is built into them fits.
+    other kinds only if what is built into them fits: a CRC-32, a header that names its
+    algorithm, or labels that agree around base 64.
     """
     ready(spark)
     reads = one_name(docs, "read")

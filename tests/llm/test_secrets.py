@@ -71,6 +71,46 @@ def test_checksums():
         ("private_key", key), ("assign", f"token: {good}"), ("github", good)]
 
 
+def test_keys_need_labels_that_agree_around_base_64():
+    label = "-----{} {}PRIVATE KEY-----"
+    begin, end = label.format("BEGIN", "EC "), label.format("END", "EC ")
+    good = f"{begin}\nProc-Type: 4,ENCRYPTED\n\nAAAA\nBBB=\n{end}"
+    assert names(f"x {begin}\nAAAA {good}") == [("private_key", good)]
+    for bad in (f"{begin}\nAAA\n{end}", f"{begin}\nAAAA\n{label.format('END', '')}",
+                f"{begin}\n{end}", f"{begin}\nAAAA"):
+        assert names(bad) == []
+
+
+def test_failed_matches_hide_no_later_ones():
+    """Against every leftmost match of the whole patterns, on texts made of their parts."""
+    from changeflow.llm.secrets import JWT, PEM, names_algorithm, is_armoured
+    seed = random.Random(9)
+    head = base64.urlsafe_b64encode(b'{"alg":"H"}').decode().rstrip("=")
+    parts = ["eyJ", ".", "eyJ.", "a", "_-", " ", head, f"{head}.eyJa.", "EYJ", "-----BEGIN ",
+             "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----", "AAAA", "\n", "é",
+             "-----BEGIN X PRIVATE KEY-----", "-----END X PRIVATE KEY-----", "-----"]
+    for _ in range(20_000):
+        text = "".join(seed.choices(parts, k=seed.randrange(14)))
+        want = [(kind, m.group().decode()) for kind, p, valid in (
+            ("jwt", JWT, names_algorithm), ("private_key", PEM, is_armoured))
+            for m in re.finditer(p, text.encode()) if valid(m)]
+        assert sorted(names(text)) == sorted(want), text
+
+
+def test_time_grows_with_the_text():
+    import time
+    for part in ("eyJ", "eyJa.", "eyJa.eyJ", "-----BEGIN PRIVATE KEY-----", "-----BEGIN ", "-----END ",
+                 "-----BEGIN PRIVATE KEY-----A", "-----BEGIN A", "password ", "AKIA", "ghp_"):
+        text = part * (2_000_000 // len(part))
+        start = time.monotonic()
+        Scanner().spans(text)
+        assert time.monotonic() - start < 10, part
+    text = "eyJ" * 600_000 + "-----BEGIN PRIVATE KEY-----" + "A" * 2_000_000
+    start = time.monotonic()
+    assert [s for s in Scanner().spans(text) if s[2] > 4] == []
+    assert time.monotonic() - start < 10
+
+
 def test_whole_table(spark, sf_dir):
     got = {r["doc_id"]: r for r in RUNS["op8_secrets"](spark, sf_dir).collect()}
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
