@@ -84,6 +84,7 @@ def judge(spark: SparkSession, urls: DataFrame, rules: tuple[Rule, ...] | DataFr
             or c == url]
     key = one_name(urls, "key")
     part = one_name(urls, "part")
+    rule = one_name(urls, "rule_row")
     keyed = urls.select(*keep).withColumns({"host": host_of(F.col(url)),
                                             "path": path_of(F.col(url))}) \
         .withColumn(key, F.concat(reversed_host(F.col("host")), F.col("path")))
@@ -93,15 +94,15 @@ def judge(spark: SparkSession, urls: DataFrame, rules: tuple[Rule, ...] | DataFr
     ends = sorted_urls.groupBy(part).agg(F.min(key).alias("low"), F.max(key).alias("high"))
     reached = _reach(rules, ends, part)
     # Rule rows sort before the urls of the same key.
-    both = sorted_urls.withColumn("_rule", F.lit(None).cast(
+    both = sorted_urls.withColumn(rule, F.lit(None).cast(
         "struct<key:string,host:string,path:string,verdict:string>")).unionByName(
-        reached.select(part, F.col("rule.key").alias(key), F.col("rule").alias("_rule")),
+        reached.select(part, F.col("rule.key").alias(key), F.col("rule").alias(rule)),
         allowMissingColumns=True)
-    order = [F.col(part), F.col(key), F.col("_rule").isNull()]
+    order = [F.col(part), F.col(key), F.col(rule).isNull()]
     swept = both.repartition(part).sortWithinPartitions(*order)
     schema = sorted_urls.drop(part, key).withColumns({
         "rule": F.lit(None).cast("string"), "verdict": F.lit(None).cast("string")}).schema
-    return swept.mapInArrow(_sweeper(part, key, default), schema)
+    return swept.mapInArrow(_sweeper(part, key, rule, default), schema)
 
 
 def _reach(rules: DataFrame, ends: DataFrame, part: str) -> DataFrame:
@@ -120,12 +121,12 @@ def _reach(rules: DataFrame, ends: DataFrame, part: str) -> DataFrame:
         .select(part, "rule")
 
 
-def _sweeper(part: str, key: str, default: str):
+def _sweeper(part: str, key: str, rule_row: str, default: str):
     def sweep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stack: list[tuple[str, Paths]] = []
         here = None
         for batch in batches:
-            rules = batch.column(batch.schema.get_field_index("_rule"))
+            rules = batch.column(batch.schema.get_field_index(rule_row))
             parts, keys = texts(batch, part), texts(batch, key)
             hosts, paths = texts(batch, "host"), texts(batch, "path")
             is_rule = rules.is_valid().to_numpy(zero_copy_only=False)
@@ -145,7 +146,7 @@ def _sweeper(part: str, key: str, default: str):
                 named.append(name)
                 verdicts.append(verdict if name is not None else default)
             out = batch.filter(pa.array(np.logical_not(is_rule)))
-            out = out.drop_columns([part, key, "_rule"])
+            out = out.drop_columns([part, key, rule_row])
             yield out.append_column("rule", pa.array(named, pa.string())) \
                 .append_column("verdict", pa.array(verdicts, pa.string()))
     return sweep

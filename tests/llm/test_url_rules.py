@@ -68,3 +68,11 @@ def test_one_host_and_one_url_fill_many_ranges(spark):
     found = judge(spark, table).groupBy("rule", "verdict").count().collect()
     assert {(r["rule"], r["verdict"]): r["count"] for r in found} == {
         ("www.example.com/en/", "allow"): 1334, ("net/es/", "block"): 1333, (None, "allow"): 1333}
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    urls = spark.createDataFrame([("http://a.com/x", 1, 2, 3, 4, 5)],
+                                 "url string, _rule int, rule_row int, key int, part int, other int")
+    row = judge(spark, urls).first()
+    assert (row["_rule"], row["rule_row"], row["key"], row["part"], row["verdict"]) == (
+        1, 2, 3, 4, "allow")
