@@ -20,7 +20,9 @@ from changeflow.session import written
 K = 5
 EVERY = 50  # vectors whose id this divides are the queries
 TREES = 4
-LEAF = 256  # vectors a leaf should hold
+LEAVES = 128  # leaves a tree has, so that a search makes a bounded number of visits
+LEAF = 64  # vectors a leaf should hold at least
+LEAF_BYTES = 1 << 23  # and at most, in double precision; a larger table has more leaves
 SAMPLE_ROWS = 1 << 16  # vectors the trees are fitted on, at most
 SAMPLE_BYTES = 1 << 25
 SAMPLE_LEAF = 8  # sample vectors a leaf holds at least
@@ -54,9 +56,13 @@ class Tree:
 
 @dataclass
 class Forest:
-    """The trees for vectors of one size, the vectors in each leaf, and how many a search looks at."""
+    """The trees for vectors of one size, the vectors in each leaf, and how many a search looks at.
+
+    A leaf of more than ``block`` vectors is dealt to blocks.
+    """
 
     trees: list[Tree]
+    block: int = 4 * LEAF
     rows: list[dict[int, int]] = field(default_factory=list)
     budget: float = math.inf
 
@@ -74,6 +80,9 @@ class Forest:
             heapq.heappush(queue, (far, t, int(near[node])))
             heapq.heappush(queue, (max(far, abs(margin)), t, int(other[node])))
 
+    def blocks(self, rows: int) -> int:
+        return -(-rows // self.block)
+
     def search(self, vector: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """The leaves that a search looks at: as many as hold the budget's vectors."""
         seen = 0
@@ -230,10 +239,13 @@ def _fitted(classes: DataFrame) -> dict[int, Forest]:
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
             data = unit(_lists(batch, rows))
-            leaf = max(SAMPLE_LEAF, LEAF * batch.num_rows // total)
+            whole = len(rows) * total // batch.num_rows  # vectors of this size, about
+            wanted = max(LEAF, min(whole // LEAVES, LEAF_BYTES // (8 * int(size))))
+            leaf = max(SAMPLE_LEAF, wanted * batch.num_rows // total)
             trees = TREES if len(rows) > leaf else 1
             forests[int(size)] = Forest([
-                fit_tree(data, leaf, np.random.default_rng([SEED, int(size), t])) for t in range(trees)])
+                fit_tree(data, leaf, np.random.default_rng([SEED, int(size), t]))
+                for t in range(trees)], 2 * wanted)
     return forests
 
 
@@ -241,7 +253,7 @@ def _forest(forests: dict[int, Forest], size: int) -> Forest:
     """The size's forest; vectors of a size that is not in the sample share one leaf."""
     if size not in forests:
         nothing = np.zeros(0, "i8")
-        return Forest([Tree(np.zeros((0, size)), np.zeros(0), nothing, nothing)], [{}])
+        return Forest([Tree(np.zeros((0, size)), np.zeros(0), nothing, nothing)], rows=[{}])
     return forests[size]
 
 
@@ -323,16 +335,13 @@ def _set_budgets(classes: DataFrame, placed: DataFrame, forests: dict[int, Fores
         needed.sort()
         if needed:
             forests[size].budget = max(needed[min(math.ceil(recall * len(needed)), len(needed)) - 1],
-                                       4 * LEAF, 8 * (k + 1) * len(forests[size].trees))
+                                       2 * LEAF, 8 * (k + 1) * len(forests[size].trees))
 
 
 def _search(classes: DataFrame, placed: DataFrame, forests, k: int) -> DataFrame:
     """(query, cid, first, score): the best of each block of a leaf for each query that visits it."""
     keys = ["size", "tree", "leaf", "block"]
 
-    def blocks_of(rows):
-        return -(-rows // (4 * LEAF))
-
     def visit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cids = batch.column("cid").to_numpy(zero_copy_only=False)
@@ -340,7 +349,7 @@ def _search(classes: DataFrame, placed: DataFrame, forests, k: int) -> DataFrame
                 forest = _forest(forests.value, size)
                 for row, vector in zip(rows, unit(_lists(batch, rows))):
                     to = [(size, t, leaf, block) for t, leaf, n in forest.search(vector)
-                          for block in range(blocks_of(n))]
+                          for block in range(forest.blocks(n))]
                     for at in range(0, len(to), 1 << 10):
                         part = list(zip(*to[at:at + (1 << 10)]))
                         yield pa.RecordBatch.from_arrays([
@@ -353,7 +362,7 @@ def _search(classes: DataFrame, placed: DataFrame, forests, k: int) -> DataFrame
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, tree, leaf, cid = (batch.column(c).to_pylist() for c in ("size", "tree", "leaf", "cid"))
-            block = [c % blocks_of(_forest(forests.value, s).rows[t][n])
+            block = [c % forests.value[s].blocks(forests.value[s].rows[t][n])
                      for s, t, n, c in zip(size, tree, leaf, cid)]
             yield batch.append_column("block", pa.array(block, pa.int32()))
 

@@ -129,7 +129,7 @@ def test_a_search_without_budget_visits_every_leaf_once():
     data /= np.linalg.norm(data, axis=1)[:, None]
     trees = [fit_tree(data, 20, np.random.default_rng(t)) for t in range(3)]
     rows = [dict(zip(*map(list, np.unique(t.leaves(data), return_counts=True)))) for t in trees]
-    visits = list(Forest(trees, rows).search(data[7]))
+    visits = list(Forest(trees, rows=rows).search(data[7]))
     assert len(visits) == len({v[:2] for v in visits}) == sum(map(len, rows))
     assert all(sum(r.values()) == 500 and max(r.values()) <= 20 for r in rows)
     assert {t: leaf for t, leaf, _ in reversed(visits)} == {
