@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from changeflow.functions.time import DAY, epoch_ms
 from changeflow.operators import changelog as L
@@ -22,6 +23,7 @@ from changeflow.sinks.files import index_name, routed
 from changeflow.sinks.index import Index
 from changeflow.sources.splits import split_range
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
+from changeflow.streaming.feed import POSITIONS, InitialFeed, row_changes
 from changeflow.streaming.ledger import UpsertTable
 from changeflow.streaming.sinks import (
     TimePartitionSink, file_sink, parsed_sink, read_files, run_stream, run_to_files, write_all)
@@ -180,17 +182,58 @@ def stream_changelog(spark, sf_dir):
     backfill = fresh_dir(spark, "orders-snapshot")
     old.select(F.to_json(F.struct("before", "after", "source")).alias("value")) \
         .write.text(backfill)
-    stream = change_stream(spark, _IMAGE, source, ["d0"], ["ord.*"], snapshot=backfill,
-                           files_per_batch=2)
-    touched = stream.where("before is not null or after is not null").select(
-        F.when(F.col("after").isNull(), L.DELETE).when(F.col("before").isNull(), L.INSERT)
-         .otherwise(L.AFTER).alias("op"),
-        "source.ts_ms", F.coalesce("after", "before").alias("row")).select("op", "ts_ms", "row.*")
-    run_stream(touched, file_sink(out), f"{out}-checkpoint").awaitTermination()
-    return L.materialize(read_files(spark, out), ["o_orderkey"], ["ts_ms"]) \
+    feed = InitialFeed(spark, _IMAGE, f"{out}-checkpoint", backfill, source, ["d0"], ["ord.*"],
+                       files_per_batch=2)
+    write = file_sink(out)
+    feed.run(lambda batch, number: write(row_changes(batch), number)).awaitTermination()
+    rows = spark.read.parquet(out)
+    return L.materialize(rows, ["o_orderkey"], ["batch", "position"]) \
         .select("o_orderkey", "o_totalprice")
 
 
+@query("stream_initial_changes", """SELECT o_orderkey, o_custkey,
+    CASE o_orderkey % 6 WHEN 0 THEN 'one' WHEN 1 THEN 'two' WHEN 3 THEN 'back' WHEN 4 THEN 'new'
+      ELSE 'old' END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 6 <> 2""")
+def stream_initial_changes(spark, sf_dir):
+    """A table kept from its snapshot on, both in several files and one file a batch.
+
+    Keys are changed up to three times, in different files, all at one time. By key
+    modulo 6: changed once, twice, deleted, deleted and put back, new, untouched.
+    """
+    out = fresh_dir(spark, "initial")
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.lit("old").alias("o_orderstatus"), "o_totalprice")
+    key = F.col("o_orderkey") % 6
+
+    def write(path, rows, before, after):
+        image = F.struct(*orders.columns)
+        named = {"before": before, "after": after}
+        sides = [F.lit(None).cast(orders.select(image.alias("r")).schema["r"].dataType).alias(side)
+                 if status is None else
+                 image.withField("o_orderstatus", F.lit(status)).alias(side)
+                 for side, status in named.items()]
+        source = F.struct(F.lit(0).cast("bigint").alias("ts_ms"), F.lit("d0").alias("db"),
+                          F.lit("orders").alias("table")).alias("source")
+        rows.repartition(2, "o_orderkey").select(F.to_json(F.struct(*sides, source)).alias("value")) \
+            .write.mode("append").text(path)
+
+    snapshot, log = f"{out}/snapshot", f"{out}/log"
+    for part in range(3):
+        write(snapshot, orders.where((key != 4) & (F.col("o_custkey") % 3 == part)), None, "old")
+    write(log, orders.where(key.isin(0, 1)), "old", "one")
+    write(log, orders.where(key.isin(2, 3)), "old", None)
+    write(log, orders.where(key == 1), "one", "two")
+    write(log, orders.where(key == 4), None, "new")
+    write(log, orders.where(key == 3), None, "back")
+    feed = InitialFeed(spark, _IMAGE, f"{out}/checkpoint", snapshot, log, files_per_batch=3)
+    changes = StructType([StructField("op", StringType()), StructField("position", POSITIONS),
+                          *orders.schema.fields])
+    table = UpsertTable(spark, f"{out}/table", orders.schema, ["o_orderkey"], changes, ["position"],
+                        "insert", ignore_delete=False, fold_every=3, buckets=8)
+    feed.run(lambda batch, number: table.process(row_changes(batch), number)).awaitTermination()
+    return table.current()
+
+
 @query("stream_route_changes", f"""WITH {D.ENVELOPES_SQL}
     SELECT 'cdc.' || db || '.orders' AS topic, count(*) AS n,
       count(CASE WHEN kind = 1 THEN 1 END) AS updates FROM env WHERE kind < 3 GROUP BY 1""")

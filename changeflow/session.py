@@ -96,6 +96,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, none if it is not there."""
+    system, place = _file_system(spark, path)
+    return [f.getPath().getName() for f in system.listStatus(place)] if system.exists(place) else []
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote, on whatever file system holds it."""
     system, place = _file_system(spark, path)

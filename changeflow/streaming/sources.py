@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from changeflow.operators.predicates import union_streams
 from changeflow.operators.shaping import parse_json
 
 
@@ -51,22 +50,21 @@ def envelope_type(image: StructType | str) -> StructType:
 
 def change_stream(spark: SparkSession, image: StructType | str, path: str | None = None,
                   databases: Sequence[str] = (".*",), tables: Sequence[str] = (".*",),
-                  startup: str = "initial", snapshot: str | None = None,
-                  since: datetime | None = None, on_error: str = "fail",
-                  files_per_batch: int | None = None, fmt: str = "text",
+                  startup: str = "initial", since: datetime | None = None,
+                  on_error: str = "fail", files_per_batch: int | None = None, fmt: str = "text",
                   options: Mapping[str, str] | None = None) -> DataFrame:
     """Change envelopes of the databases and tables whose names match.
 
     ``fmt`` and ``options`` name any source with a column ``value``: text files in
-    ``path``, or a broker's topics. ``initial`` reads everything, after the inserts
-    in folder ``snapshot`` (text files) when given; ``latest`` only what arrived
-    after ``since``, which a source other than files takes as one of its options.
-    Names are regular expressions for the whole name.
+    ``path``, or a broker's topics. ``initial`` reads the whole log (after a
+    snapshot of the tables: :class:`changeflow.streaming.feed.InitialFeed`);
+    ``latest`` only what arrived after ``since``, which a source other than files
+    takes as one of its options. Names are regular expressions for the whole name.
     """
     if startup not in ("initial", "latest"):
         raise ValueError(f"startup must be initial or latest, not {startup!r}")
-    if startup == "latest" and (snapshot is not None or fmt == "text" and since is None):
-        raise ValueError("startup latest needs a start time and takes no snapshot")
+    if startup == "latest" and fmt == "text" and since is None:
+        raise ValueError("startup latest needs a start time")
     schema = envelope_type(image)
     asked = dict(options or {})
     if files_per_batch:
@@ -80,11 +78,7 @@ def change_stream(spark: SparkSession, image: StructType | str, path: str | None
         return parse_json(raw.select(F.col("value").cast("string").alias("value")), "value",
                           schema, on_error)
 
-    events = read(path, fmt, asked)
-    if snapshot is not None:
-        paced = {k: v for k, v in asked.items() if k == "maxFilesPerTrigger"}
-        events = union_streams(read(snapshot, "text", paced), events)
-    return of_tables(events, databases, tables)
+    return of_tables(read(path, fmt, asked), databases, tables)
 
 
 def of_tables(events: DataFrame, databases: Sequence[str], tables: Sequence[str]) -> DataFrame:
