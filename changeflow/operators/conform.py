@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,26 +133,76 @@ def _any_value(kind: T.DataType) -> Column:
 
 
 EXACT = T.DecimalType(38, 18)
+WHOLE = T.DecimalType(38, 0)
+_NUMBERS = (T.IntegralType, T.DecimalType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
 
 
 def misfits(df: DataFrame, columns: Mapping[str, str]) -> Column:
-    """True where a non-null value does not survive its cast.
+    """True where a non-null value, or one nested in it, does not survive its cast.
 
-    A number, or a text that is one, must come out of a cast to whole numbers or
-    decimals as it went in: lost fractions and digits count as misfits.
+    See :func:`lossy` for what counts.
     """
     lost = F.lit(False)
     for field in foreign_schema(columns).fields:
-        value, have = F.col(field.name), df.schema[field.name].dataType
-        if isinstance(field.dataType, T.BooleanType) and isinstance(have, T.NumericType):
-            continue
-        cast = value.try_cast(field.dataType)
-        lost = lost | (value.isNotNull() & cast.isNull())
-        if isinstance(field.dataType, (T.IntegralType, T.DecimalType)) and isinstance(
-                have, (T.NumericType, T.StringType)):
-            changed = value.try_cast(EXACT) != cast.try_cast(EXACT)
-            if isinstance(have, T.FractionalType):
-                changed = F.coalesce(changed, F.lit(False)) | (
-                    value.cast("double") != cast.cast("double"))
-            lost = lost | F.coalesce(changed, F.lit(False))
+        lost = lost | lossy(F.col(field.name), df.schema[field.name].dataType, field.dataType)
     return lost
+
+
+def lossy(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Whether a value of one type loses something by a cast to another; never null.
+
+    A value is lost if the cast gives none. Whole numbers and decimals must come
+    back the same from whatever numbers they are cast to; binary fractions from whole
+    numbers and decimals. A double as a float is only lost where it is too large,
+    since all but a few are rounded. Texts that are numbers lose nonzero digits behind
+    the scale, and whole ones the digits a float has no room for. Times lose their
+    time of day as dates. Numbers for booleans fit always. Elements of arrays, keys
+    and values of maps and fields of structs are looked at one by one.
+    """
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return _either(F.exists(value, lambda x: lossy(x, have.elementType, want.elementType)))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return _either(F.exists(F.map_entries(value), lambda e:
+                                lossy(e["key"], have.keyType, want.keyType)
+                                | lossy(e["value"], have.valueType, want.valueType)))
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        parts = [lossy(value[h.name], h.dataType, w.dataType)
+                 for h, w in zip(have.fields, want.fields)]
+        return _either(reduce(or_, parts, F.lit(len(have.fields) != len(want.fields))))
+    if isinstance(want, T.BooleanType) and isinstance(have, T.NumericType):
+        return F.lit(False)
+    cast = value.try_cast(want)
+    return value.isNotNull() & (cast.isNull() | _either(_changed(value, cast, have, want)))
+
+
+def _either(found: Column) -> Column:
+    return F.coalesce(found, F.lit(False))
+
+
+def _changed(value: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Whether a cast that gave a value gave another one than it was."""
+    if isinstance(want, T.NumericType) and isinstance(have, _NUMBERS):
+        back = cast.try_cast(have)
+        return back.isNull() | (back != value)
+    if isinstance(have, T.FractionalType) and isinstance(want, _NUMBERS):
+        return cast.cast("double") != value.cast("double")
+    if isinstance(have, T.DoubleType) and isinstance(want, T.FloatType):
+        return (F.abs(cast) == float("inf")) & (F.abs(value) != float("inf"))
+    if isinstance(have, T.StringType):
+        text = F.trim(value)
+        if isinstance(want, T.DecimalType):
+            behind = text.rlike(f"^[+-]?[0-9]*[.][0-9]{{{want.scale}}}[0-9]*[1-9][0-9]*$")
+            shifted = text.rlike("[eE]") & _either(
+                (value.try_cast(EXACT) != cast.try_cast(EXACT))
+                | (value.try_cast("double") != cast.cast("double")))
+            return behind | shifted
+        if isinstance(want, T.FractionalType):
+            back = cast.try_cast(WHOLE)
+            return text.rlike("^[+-]?[0-9]+$") & _either(
+                back.isNull() | (value.try_cast(WHOLE) != back))
+        if isinstance(want, T.DateType):
+            return value.try_cast("timestamp_ntz") != cast.cast("timestamp_ntz")
+    if isinstance(have, _TIMES) and isinstance(want, T.DateType):
+        return cast.cast(have) != value
+    return F.lit(False)

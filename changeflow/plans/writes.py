@@ -17,10 +17,11 @@ from changeflow.plans.registry import load, query
 from changeflow.plans.shapes import NOW_MS
 from changeflow.session import fresh_dir, written
 from changeflow.sinks import files as W
-from changeflow.sinks.batched import write_batched
+from changeflow.sinks.batched import refused_rows, write_batched, write_isolated
 from changeflow.sinks.copytext import read_copy_text, write_copy_text
 from changeflow.sinks.index import Index
 from changeflow.sinks.quarantine import bad_rows, good_rows, write_with_quarantine
+from changeflow.sinks.store import FolderStore, store_format
 from changeflow.sources.scan import scan_shards
 from changeflow.streaming.sinks import file_sink, read_files, write_all
 
@@ -343,6 +344,39 @@ def write_batched_with_retry(spark, sf_dir):
     return spark.read.parquet(path).withColumn("tried_twice", F.lit(twice))
 
 
+@query("write_isolated", """SELECT l_orderkey, l_linenumber,
+      (l_orderkey * 7 + l_linenumber) % 499 = 0 AS refused, true AS counted FROM lineitem""")
+def write_isolated_query(spark, sf_dir):
+    """A store that refuses batches with certain rows: these are set apart, the others stored."""
+    path = fresh_dir(spark, "isolated")
+    store = _store(f"{path}/good")
+
+    def send(batch, task, name):
+        rows = batch.to_pandas()
+        at_fault = (rows["l_orderkey"] * 7 + rows["l_linenumber"]) % 499 == 0
+        if at_fault.any():
+            raise ValueError(f"{at_fault.sum()} rows refused")
+        store(rows, task, name)
+
+    rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    numbers = write_isolated(rows, send, f"{path}/bad")
+    good, bad = spark.read.parquet(f"{path}/good"), refused_rows(spark, f"{path}/bad")
+    right = numbers["stored"] == good.count() and numbers["refused"] == bad.count() \
+        and numbers["sends"] < numbers["stored"]
+    return good.withColumn("refused", F.lit(False)).unionByName(
+        bad.drop("_reason").withColumn("refused", F.lit(True))).withColumn("counted", F.lit(right))
+
+
+@query("write_store", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def write_store(spark, sf_dir):
+    """Rows into a store that takes batches, by a data source that publishes whole jobs."""
+    store = FolderStore(fresh_dir(spark, "store"))
+    name = store_format(spark, store, f"store_{uuid.uuid4().hex}", 1000, 1.0)
+    rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    rows.write.format(name).mode("append").save()
+    return store.rows(spark, rows.schema)
+
+
 @query("conform_types", """SELECT CAST(o_orderkey % 120 AS TINYINT) AS small,
     CAST(TRY_CAST(o_orderkey AS TINYINT) AS VARCHAR) AS narrowed, CAST(o_custkey AS INTEGER) AS customer,
     CAST(o_totalprice AS FLOAT) AS price, o_orderkey % 3 = 1 AS flag,
@@ -375,13 +409,26 @@ def timestamps_to_ms(spark, sf_dir):
 
 
 @query("conform_lossy", """SELECT o_orderkey AS id, CAST(trunc(o_totalprice) AS INTEGER) AS whole,
-    o_totalprice <> trunc(o_totalprice) AS lossy FROM orders""")
+    o_totalprice <> trunc(o_totalprice) AS whole_lost, o_orderkey % 2 = 1 AS wide_lost,
+    o_orderkey <> 0 AS float_lost, o_orderkey % 10 <> 0 AS digits_lost,
+    o_totalprice <> trunc(o_totalprice) AS list_lost, o_totalprice <> trunc(o_totalprice) AS map_lost,
+    o_orderkey % 2 = 1 AS day_lost, o_orderkey % 3 = 0 AS text_lost FROM orders""")
 def conform_lossy(spark, sf_dir):
-    """A price cut to whole numbers is a misfit unless it is one; the key is not nullable."""
+    """What each cast would lose, also inside arrays and maps; the key is not nullable."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    above = (F.lit(1 << 53) + key)
     rows = load(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("whole"))
-    types = {"id": "Int64", "whole": "Int32"}
-    marked = rows.withColumn("lossy", misfits(rows, types))
-    typed = conform(marked, {**types, "lossy": "BOOL"}, keys=["id"])
+        key.alias("id"), price.alias("whole"), above.alias("wide"), above.alias("float"),
+        F.concat(F.lit("0."), F.lpad(key.cast("string"), 21, "0")).cast("decimal(38,21)")
+        .alias("digits"), F.array(price, F.lit(2.0)).alias("list"),
+        F.create_map(F.lit("k"), price).alias("map"),
+        (F.date_trunc("day", "o_orderdate") + F.make_dt_interval(hours=key % 2)).alias("day"),
+        F.concat(key.cast("string"), F.when(key % 3 == 0, ".0001").otherwise(".0000")).alias("text"))
+    types = {"whole": "Int32", "wide": "Float64", "float": "Float32", "digits": "Decimal(38, 20)",
+             "list": "Array(Int32)", "map": "Map(String, Int32)", "day": "Date",
+             "text": "Decimal(18, 3)"}
+    marked = rows.withColumns({f"{c}_lost": misfits(rows, {c: t}) for c, t in types.items()})
+    flags = {f"{c}_lost": "BOOL" for c in types}
+    typed = conform(marked, {"id": "Int64", "whole": "Int32", **flags}, keys=["id"])
     assert not typed.schema["id"].nullable
     return typed

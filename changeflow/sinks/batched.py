@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from changeflow.session import ship_package
 
@@ -96,3 +100,111 @@ def write_batched(df: DataFrame, send: Callable[[pd.DataFrame, int, int], object
 
     ship_package(df.sparkSession)
     return df.mapInPandas(write, REPORT)
+
+
+REFUSED = "row {row}, error string, task int, stored bigint, sends bigint"
+
+
+def tables_of(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The same rows in tables of ``size`` rows, the last one shorter."""
+    held, rows = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, size - rows)
+            batch = batch.slice(part.num_rows)
+            held.append(part)
+            rows += part.num_rows
+            if rows == size:
+                yield pa.Table.from_batches(held)
+                held, rows = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def halves(batch: pa.Table, send: Callable[[pa.Table, str], object], name: str,
+           refused: tuple[type[BaseException], ...]) -> Iterator[tuple[pa.Table, str]]:
+    """Send a batch; where the store refuses it, its halves, down to the rows it refuses.
+
+    Yields those, a row each, with the error. Pieces go out in the order of their
+    rows. A piece's name is its batch's and, for each cut, 0 or 1 for the half: the
+    same rows have the same name when a task is run again.
+    """
+    waiting = [(batch, name)]
+    while waiting:
+        piece, place = waiting.pop()
+        try:
+            send(piece, place)
+        except refused as error:
+            if piece.num_rows == 1:
+                yield piece, f"{type(error).__name__}: {error}"
+                continue
+            half = piece.num_rows // 2
+            waiting += [(piece.slice(half), f"{place}.1"), (piece.slice(0, half), f"{place}.0")]
+
+
+def write_isolated(df: DataFrame, send: Callable[[pa.Table, int, str], object], bad: str,
+                   refused: tuple[type[BaseException], ...] = (ValueError,),
+                   size: int = BATCH_ROWS, retries: int = RETRIES, base: float = PAUSE,
+                   exponential: bool = False,
+                   only: tuple[type[BaseException], ...] = (OSError,),
+                   on_failure: Callable[[DataFrame], object] | None = None) -> dict[str, int]:
+    """Hand rows to a store in batches of ``size``; rows it refuses go to the folder ``bad``.
+
+    ``send(table, task, name)`` stores all rows of an Arrow table or, raising one of
+    ``refused``, none; such a batch is cut in half until the rows at fault are alone, so
+    k bad rows among n cost about 2 k log2(n / k) sends and not n. Errors of ``only``
+    are tried again as in :func:`write_batched`; others stop the job. A lost task is
+    run again by Spark with the same rows and names, so ``send`` must be safe to repeat
+    for a (task, name).
+
+    Returns the numbers ``stored``, ``refused`` and ``sends``. ``on_failure`` then gets
+    the refused rows, if any; :func:`refused_rows` reads them later.
+    """
+    schema = StructType.fromDDL(REFUSED.format(row="int")).fields
+    schema = StructType([StructField("row", df.schema), *schema[1:]])
+    arrow = to_arrow_schema(schema)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        stored = sends = 0
+
+        def attempt(rows: pa.Table, name: str) -> None:
+            nonlocal stored, sends
+            refusal = []
+
+            def call() -> None:
+                try:
+                    send(rows, task, name)
+                except refused as error:
+                    refusal.append(error)
+
+            sends += with_retry(call, retries, base, exponential, only)
+            if refusal:
+                raise refusal[-1]
+            stored += rows.num_rows
+
+        def report(**values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"task": task, **values}], arrow)
+
+        for number, batch in enumerate(tables_of(batches, size)):
+            for row, error in halves(batch, attempt, str(number), refused):
+                yield report(row=row.to_pylist()[0], error=error)
+        if sends:
+            yield report(stored=stored, sends=sends)
+
+    ship_package(df.sparkSession)
+    df.mapInArrow(write, schema).write.mode("overwrite").parquet(bad)
+    spark = df.sparkSession
+    numbers = spark.read.parquet(bad).agg(
+        F.sum("stored").alias("stored"), F.count("row").alias("refused"),
+        F.sum("sends").alias("sends")).first().asDict()
+    numbers = {name: number or 0 for name, number in numbers.items()}
+    if on_failure is not None and numbers["refused"]:
+        on_failure(refused_rows(spark, bad))
+    return numbers
+
+
+def refused_rows(spark: SparkSession, bad: str) -> DataFrame:
+    """The rows a store refused, with the ``_reason`` it gave."""
+    return spark.read.parquet(bad).where("row IS NOT NULL") \
+        .select("row.*", F.col("error").alias("_reason"))

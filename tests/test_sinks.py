@@ -309,3 +309,40 @@ def test_slow_rows_are_flushed(spark):
     sizes = [len(f) for f in B.regroup(iter(frames), 10, 5.0, lambda: next(ticks))]
     assert sum(sizes) == 4 and len(sizes) > 1
     assert [len(f) for f in B.regroup(iter(frames), 3)] == [3, 1]
+
+
+LOSSY = [
+    ("bigint", "9007199254740993L", "Float32", True), ("bigint", "9007199254740993L", "Float64", True),
+    ("bigint", "9007199254740992L", "Float64", False), ("int", "16777217", "Float32", True),
+    ("decimal(38,21)", "0.000000000000000000001BD", "Decimal(38, 20)", True),
+    ("decimal(38,21)", "0.000000000000000000010BD", "Decimal(38, 20)", False),
+    ("double", "1.5D", "Int32", True), ("double", "2.0D", "Int32", False),
+    ("double", "double('NaN')", "Int32", True), ("double", "1e300D", "Float32", True),
+    ("double", "0.1D", "Float32", False), ("double", "1.005D", "Decimal(9, 2)", True),
+    ("array<double>", "array(1.9D, 2.0D)", "Array(Int32)", True),
+    ("array<double>", "array(1.0D, null)", "Array(Int32)", False),
+    ("array<array<double>>", "array(array(1.0D), array(1.9D))", "Array(Array(Int8))", True),
+    ("array<double>", "null", "Array(Int32)", False),
+    ("map<string,double>", "map('k', 1.9D)", "Map(String, Int32)", True),
+    ("map<string,double>", "map('k', 1.0D, 'l', null)", "Map(String, Int32)", False),
+    ("map<string,int>", "map('x', 1)", "Map(Int32, Int32)", True),
+    ("timestamp_ntz", "timestamp_ntz'2024-01-02 03:00:00'", "Date", True),
+    ("timestamp_ntz", "timestamp_ntz'2024-01-02 00:00:00'", "Date", False),
+    ("string", "'2024-01-02 03:00:00'", "Date", True), ("string", "'2024-01-02'", "Date", False),
+    ("string", "'0.1234567890123456789012'", "Decimal(38, 21)", True),
+    ("string", "'0.1234567890123456789010'", "Decimal(38, 21)", False),
+    ("string", "' 12.50 '", "Decimal(9, 1)", False), ("string", "'12.55'", "Decimal(9, 1)", True),
+    ("string", "'1.25e1'", "Decimal(9, 1)", False), ("string", "'1.255e1'", "Decimal(9, 1)", True),
+    ("string", "'9007199254740993'", "Float64", True), ("string", "'0.1'", "Float64", False),
+    ("string", "'x'", "Int32", True), ("int", "7", "BOOL", False), ("int", "300", "Int8", True),
+    ("bigint", "null", "Float32", False), ("int", "7", "String", False),
+]
+
+
+def test_what_a_cast_loses(spark):
+    cells = ", ".join(f"cast({value} as {have}) as c{i}" for i, (have, value, _, _) in enumerate(LOSSY))
+    df = spark.sql(f"select {cells}")
+    flags = df.select(*[K.misfits(df, {f"c{i}": want}).alias(f"c{i}")
+                        for i, (_, _, want, _) in enumerate(LOSSY)]).first()
+    wrong = [(case, flags[i]) for i, case in enumerate(LOSSY) if flags[i] is not case[3]]
+    assert wrong == []
