@@ -18,13 +18,15 @@ from changeflow.plans.changes import ORDER, replay_sql
 from changeflow.plans.jobs import run_pipeline
 from changeflow.plans.registry import load, query
 from changeflow.plans.shapes import NOW_MS
-from changeflow.session import fresh_dir, written
+from changeflow.session import fresh_dir, ship_package, written
 from changeflow.sinks.files import index_name, routed
 from changeflow.sinks.index import Index
 from changeflow.sources.splits import split_range
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
 from changeflow.streaming.feed import POSITIONS, InitialFeed, row_changes
 from changeflow.streaming.ledger import UpsertTable
+from changeflow.streaming.once import OnceSink
+from changeflow.streaming.queue import SpoolQueue, queue_messages
 from changeflow.streaming.sinks import (
     TimePartitionSink, file_sink, parsed_sink, read_files, run_stream, run_to_files, write_all)
 from changeflow.streaming.sources import (
@@ -369,6 +371,87 @@ def stream_time_partitions(spark, sf_dir):
         "dt", "hr", "n", F.coalesce("committed", F.lit(False)).alias("committed"))
 
 
+@query("stream_slowest_source", """WITH e AS (SELECT event_id, ts, epoch_us(ts) // 1000 AS ms,
+      event_id % 3 AS source, event_id % 3 = 0 AND ts >= (SELECT min(ts) + (max(ts) - min(ts)) / 2
+        FROM events) AS lags FROM events),
+    progress AS (SELECT (SELECT min(m) FROM (SELECT max(ms) AS m FROM e WHERE NOT lags GROUP BY source)) AS one,
+      (SELECT min(m) FROM (SELECT max(ms) AS m FROM e GROUP BY source)) AS two)
+    SELECT strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr, count(*) AS n,
+      (epoch_us(date_trunc('hour', min(ts))) // 1000 + 10000 < (SELECT one FROM progress)
+         AND count(*) FILTER (NOT lags) > 0)::INT
+      + (epoch_us(date_trunc('hour', min(ts))) // 1000 + 10000 < (SELECT two FROM progress)
+         AND (epoch_us(date_trunc('hour', min(ts))) // 1000 + 10000 >= (SELECT one FROM progress)
+              OR count(*) FILTER (lags) > 0))::INT AS commits
+    FROM e GROUP BY 1, 2""")
+def stream_slowest_source(spark, sf_dir):
+    """Three partitions of a topic, one far behind: its hours are committed when it is through."""
+    source, out = fresh_dir(spark, "slow-source"), fresh_dir(spark, "slow-hours")
+    events = load(spark, sf_dir, "events")
+    span = events.agg((F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("middle"))
+    rows = events.join(F.broadcast(span)).select(
+        "event_id", epoch_ms(F.col("ts")).alias("ts_ms"), (F.col("event_id") % 3).alias("source"),
+        ((F.col("event_id") % 3 == 0) & (F.col("ts") >= F.col("middle"))).alias("lags"))
+    sink = TimePartitionSink(spark, out, "ts_ms", source_col="source", sources=["0", "1", "2"])
+    for lags in (False, True):  # the second run has what the slow partition held back
+        rows.where(F.col("lags") == lags).drop("lags").coalesce(1).write.mode("append").parquet(source)
+        stream = table_stream(spark, source, rows.drop("lags").schema)
+        run_stream(stream, sink, f"{out}-checkpoint").awaitTermination()
+    parts = sink.rows().groupBy("dt", F.lpad("hr", 2, "0").alias("hr")).agg(F.count("*").alias("n"))
+    marks = spark.read.schema("dt string, hr string").parquet(f"{out}/commits") \
+        .groupBy("dt", "hr").agg(F.count("*").alias("commits"))
+    return parts.join(marks, ["dt", "hr"], "left").select(
+        "dt", "hr", "n", F.coalesce("commits", F.lit(0)).cast("int").alias("commits"))
+
+
+_ONCE_CUT = """(SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_id % 3 <> 0) - 864000000"""
+
+
+@query("stream_acknowledged", f"""SELECT event_id, 'good' AS output, true AS acknowledged FROM events
+      WHERE event_id % 3 <> 0 OR epoch_us(ts) // 1000 >= {_ONCE_CUT}
+    UNION ALL SELECT event_id, 'late', true FROM events WHERE epoch_us(ts) // 1000 < {_ONCE_CUT}""")
+def stream_acknowledged(spark, sf_dir):
+    """A queue of three shards: two thirds of the events, then all of them again.
+
+    Repeated messages are dropped within ten days of the newest one, older ones come out
+    as late, and what a finished batch has read is gone from the queue.
+    """
+    out = fresh_dir(spark, "acknowledged")
+    queue = SpoolQueue(f"{out}/queue")
+    rows = D.event_rows(spark, sf_dir)
+    body = rows.select("event_id", F.to_json(F.struct("*")).alias("value"))
+
+    def deliver(messages):
+        def put(batches):
+            for batch in batches:
+                shards, values = batch.column("shard").to_pylist(), batch.column("value").to_pylist()
+                for shard in set(shards):  # a shard's messages are all in one task
+                    queue.put(shard, [v for s, v in zip(shards, values) if s == shard])
+                yield batch.slice(0, 0)
+
+        ship_package(spark)
+        dealt = messages.select((F.col("event_id") % 3).cast("string").alias("shard"), "value")
+        dealt.repartition(3, "shard").mapInArrow(put, dealt.schema) \
+            .write.format("noop").mode("overwrite").save()
+
+    once = OnceSink(spark, f"{out}/state", "event_id", file_sink(f"{out}/good"),
+                    file_sink(f"{out}/late"), "ts", 864_000_000)
+    waiting = []
+    for part in (body.where("event_id % 3 <> 0"), body):
+        deliver(part)
+        messages = queue_messages(spark, queue, f"queue_{uuid.uuid4().hex}", 5000)
+        timed = parse_json(messages, "value", D.EVENT_ITEM).withColumn(
+            "ts", F.timestamp_millis("ts_ms"))
+        run_stream(timed, once, f"{out}/checkpoint").awaitTermination()
+        waiting.append(sum(queue.waiting(shard) for shard in queue.shards()))
+    seen = once.counts()
+    # All but the last batch are acknowledged; no message is lost between the outputs.
+    right = waiting[1] <= rows.count() and seen["messages"] == \
+        seen["good"] + seen["late"] + seen["repeated"]
+    both = [read_files(spark, f"{out}/{name}").select("event_id", F.lit(name).alias("output"))
+            for name in ("good", "late")]
+    return both[0].unionByName(both[1]).withColumn("acknowledged", F.lit(right))
+
+
 @query("stream_fanout", """SELECT 'rows' AS sink, event_type, count(*) AS n FROM events GROUP BY 2
     UNION ALL SELECT 'alerts', event_type, count(*) FROM events WHERE event_type = 'error' GROUP BY 2""")
 def stream_fanout(spark, sf_dir):

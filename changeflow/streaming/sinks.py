@@ -96,45 +96,72 @@ def run_stream(rows: DataFrame, sink: Sink, checkpoint: str,
 class TimePartitionSink:
     """Day/hour partitioned files with a commit mark per finished partition.
 
-    A partition is committed once the newest event time passes its start plus
-    the delay. Each batch stores the partitions still open and the newest time,
-    so the next one reads nothing older. Rows that come late open their
-    partition again and it is committed anew. ``on_commit`` is called with the
-    partitions a batch commits, for example to add them to a catalog; it may be
-    called again for the same batch.
+    A partition is committed once the event time all sources have reached passes
+    its start plus the delay. With ``source_col`` (a broker's partition, say) the
+    slowest source counts: a fast one does not commit hours that another still
+    fills. ``sources``, if given, must all have been seen before anything is
+    committed. With ``idle_ms`` a source that is further than that behind the
+    newest one holds nothing up until it goes on. Without ``source_col`` there is
+    one source.
+
+    Each batch stores the partitions still open and how far each source is, so the
+    next one reads nothing older. Rows that come late open their partition again
+    and it is committed anew. ``on_commit`` is called with the partitions a batch
+    commits, for example to add them to a catalog; it may be called again for the
+    same batch.
     """
 
-    STATE = "dt string, hr string, newest bigint"
+    STATE = "dt string, hr string, newest bigint, source string"
 
     def __init__(self, spark: SparkSession, path: str, ms_col: str, zone: str = "UTC",
-                 delay_ms: int = COMMIT_DELAY_MS, on_commit: Sink | None = None):
+                 delay_ms: int = COMMIT_DELAY_MS, on_commit: Sink | None = None,
+                 source_col: str | None = None, sources: Sequence[str] | None = None,
+                 idle_ms: int | None = None):
         self.on_commit = on_commit
         self.spark, self.path, self.ms_col = spark, path, ms_col
         self.zone, self.delay_ms = zone, delay_ms
+        self.source_col, self.sources, self.idle_ms = source_col, sources, idle_ms
         self._data = file_sink(f"{path}/data", ["dt", "hr"])
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         parted = with_time_parts(batch, self.ms_col, self.zone).persist()
         try:
             self._data(parted, batch_id)
-            seen = parted.groupBy("dt", "hr").agg(
-                F.max(F.col(self.ms_col).cast("bigint")).alias("newest"))
-            self._advance(seen, batch_id)
+            newest = F.max(F.col(self.ms_col).cast("bigint")).alias("newest")
+            source = F.lit("") if self.source_col is None else \
+                F.coalesce(F.col(self.source_col).cast("string"), F.lit(""))
+            none = F.lit(None).cast("string")
+            seen = parted.groupBy("dt", "hr").agg(newest).withColumn("source", none)
+            reached = parted.groupBy(source.alias("source")).agg(newest) \
+                .where(F.col("newest").isNotNull()).select(
+                none.alias("dt"), none.alias("hr"), "newest", "source")
+            self._advance(seen.unionByName(reached), batch_id)
         finally:
             parted.unpersist()
 
+    def _slowest(self, progress: DataFrame) -> int | None:
+        """The time that all sources have reached; a row for each source comes here."""
+        if self.idle_ms is not None:
+            last = progress.agg(F.max("newest").alias("last"))
+            progress = progress.join(F.broadcast(last), F.col("newest") >= F.col("last") - self.idle_ms)
+        found = progress.agg(F.min("newest"), F.collect_set("source")).first()
+        if self.sources is not None and not set(self.sources) <= set(found[1]):
+            return None
+        return found[0]
+
     def _advance(self, seen: DataFrame, batch_id: int) -> None:
         state = self.spark.createDataFrame([], self.STATE)
         if batch_id > 0:
             state = self.spark.read.schema(self.STATE).parquet(
                 f"{self.path}/open/batch={batch_id - 1}")
-        merged = seen.unionByName(state).groupBy("dt", "hr").agg(F.max("newest").alias("newest"))
-        newest = merged.agg(F.max("newest")).first()[0]
+        merged = seen.unionByName(state).groupBy("dt", "hr", "source") \
+            .agg(F.max("newest").alias("newest"))
+        progress = merged.where(F.col("source").isNotNull())
+        slowest = self._slowest(progress)
         starts = F.to_timestamp_ntz(F.concat_ws(" ", "dt", "hr"), F.lit("yyyy-MM-dd HH"))
-        due = epoch_ms(starts, self.zone) + self.delay_ms < F.lit(newest)
+        due = F.coalesce(epoch_ms(starts, self.zone) + self.delay_ms < F.lit(slowest).cast("bigint"),
+                         F.lit(False))
         named = merged.where(F.col("dt").isNotNull() & F.col("hr").isNotNull())
-        # one row per open partition, plus one that carries the newest time
-        carry = self.spark.createDataFrame([(None, None, newest)], self.STATE)
         (named.where(due).select("dt", "hr").coalesce(1).write.mode("overwrite")
          .parquet(f"{self.path}/commits/batch={batch_id}"))
         if self.on_commit is not None:
@@ -142,8 +169,9 @@ class TimePartitionSink:
                 f"{self.path}/commits/batch={batch_id}")
             if not marks.isEmpty():
                 self.on_commit(marks, batch_id)
-        (named.where(~due).unionByName(carry).coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.path}/open/batch={batch_id}"))
+        # a row per open partition, and a row per source
+        (named.where(~due).unionByName(progress).select("dt", "hr", "newest", "source").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/open/batch={batch_id}"))
 
     def committed(self) -> DataFrame:
         """The committed partitions."""
