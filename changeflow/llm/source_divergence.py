@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +16,9 @@ from changeflow.session import written
 MIN_DOCS = 3
 SCALE = 1_000_000_000
 TOP = 200
-BLOCK_ENTRIES = 1 << 19  # different (group, term) pairs a block holds before it is spilled
-BLOCK_BYTES = 1 << 26  # and the bytes of text it has seen, which bound the terms' own bytes
-ROWS_OUT = 1 << 15
+BLOCK_WORDS = 1 << 22  # words a block holds before it is spilled
+BLOCK_BYTES = 1 << 25  # and the bytes of text, which bound the terms' own bytes
+ROWS_OUT = 1 << 16
 
 # Lower-cases A-Z; other ASCII characters part terms, bytes of other characters stay.
 _FOLD = bytes(b if b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A else 0x20
@@ -31,36 +31,60 @@ def terms(text: bytes) -> list[bytes]:
 
 
 class Block:
-    """Postings in memory: how often each term is in each (lang, source), and in how many texts."""
+    """Postings in memory: the terms of many texts, counted together when it is spilled."""
 
     def __init__(self) -> None:
-        self.times: dict[tuple, Counter] = defaultdict(Counter)
-        self.texts: dict[tuple, Counter] = defaultdict(Counter)
-        self.entries = 0
-        self.seen = 0
-
-    def add(self, group: tuple, text: bytes) -> None:
-        found, times = terms(text), self.times[group]
-        self.entries -= len(times)
-        times.update(found)
-        self.entries += len(times)
-        self.texts[group].update(set(found))
-        self.seen += len(text)
+        self.words: list[pa.Array] = []
+        self.groups: list[tuple] = []
+        self.sizes: list[int] = []
+        self.count = self.seen = 0
+
+    def add(self, groups: list[tuple], texts: list[bytes]) -> None:
+        """Take in texts, each with its (lang, source)."""
+        found = [terms(t) for t in texts]
+        self.words.append(pa.array([w for doc in found for w in doc], pa.binary()))
+        self.groups += groups
+        self.sizes += map(len, found)
+        self.count += len(self.words[-1])
+        self.seen += sum(map(len, texts))
 
     def full(self) -> bool:
-        return self.seen >= BLOCK_BYTES or self.entries >= BLOCK_ENTRIES
+        return self.seen >= BLOCK_BYTES or self.count >= BLOCK_WORDS
 
     def run(self) -> Iterator[pa.RecordBatch]:
-        """The block as rows sorted by lang, term and source."""
-        rows = sorted((lang, term, source, n, self.texts[lang, source][term])
-                      for (lang, source), counts in self.times.items()
-                      for term, n in counts.items())
-        for at in range(0, len(rows), ROWS_OUT):
-            lang, term, source, n, texts = zip(*rows[at:at + ROWS_OUT])
+        """The block as rows (lang, term, source, n, texts), sorted by the first three."""
+        if not self.count:
+            return
+        coded = pa.chunked_array(self.words).combine_chunks().dictionary_encode()
+        order = pc.sort_indices(coded.dictionary)
+        known = coded.dictionary.take(order)
+        rank = np.empty(len(known), "i8")
+        rank[order.to_numpy()] = np.arange(len(known))
+        term = rank[coded.indices.to_numpy(zero_copy_only=False)]
+        langs, lang = _numbered([g[0] for g in self.groups])
+        sources, source = _numbered([g[1] for g in self.groups])
+        # One number for (lang, term, source) that sorts like them, from a text's and a term's.
+        base = lang * len(known) * len(sources) + source
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        keys, n = np.unique(base[doc] + term * len(sources), return_counts=True)
+        once = np.unique(doc * len(known) + term)
+        doc, term = np.divmod(once, len(known))
+        texts = np.unique(base[doc] + term * len(sources), return_counts=True)[1]
+        for at in range(0, len(keys), ROWS_OUT):
+            some = slice(at, at + ROWS_OUT)
+            rest, source = np.divmod(keys[some], len(sources))
+            lang, term = np.divmod(rest, len(known))
             yield pa.RecordBatch.from_arrays([
-                pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()),
-                pa.array(source, pa.string()), pa.array(n, pa.int64()),
-                pa.array(texts, pa.int64())], ["lang", "term", "source", "n", "texts"])
+                langs.take(pa.array(lang)), known.take(pa.array(term)).cast(pa.string()),
+                sources.take(pa.array(source)), pa.array(n[some].astype("i8")),
+                pa.array(texts[some].astype("i8"))], ["lang", "term", "source", "n", "texts"])
+
+
+def _numbered(names: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The different names in order, and which of them each name is."""
+    found = sorted(set(names))
+    at = {name: i for i, name in enumerate(found)}
+    return pa.array(found, pa.string()), np.array([at[name] for name in names], "i8")
 
 
 def runs(docs: DataFrame) -> DataFrame:
@@ -69,11 +93,11 @@ def runs(docs: DataFrame) -> DataFrame:
         block = Block()
         for batch in batches:
             for piece in slices(batch):
-                for lang, source, text in zip(*(c.to_pylist() for c in piece.columns)):
-                    block.add((lang, source), text)
-                    if block.full():
-                        yield from block.run()
-                        block = Block()
+                lang, source, text = (c.to_pylist() for c in piece.columns)
+                block.add(list(zip(lang, source)), text)
+                if block.full():
+                    yield from block.run()
+                    block = Block()
         yield from block.run()
 
     return docs.select("lang", "source", "text").mapInArrow(

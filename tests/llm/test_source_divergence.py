@@ -77,7 +77,7 @@ def test_empty_table(spark):
 
 
 def test_many_runs_and_a_cut_of_ranks(spark, monkeypatch):
-    monkeypatch.setattr(source_divergence, "BLOCK_ENTRIES", 50)
+    monkeypatch.setattr(source_divergence, "BLOCK_WORDS", 200)
     monkeypatch.setattr(source_divergence, "ROWS_OUT", 16)
     monkeypatch.setattr(common, "PAIRS_AT_ONCE", 64)
     make = np.random.default_rng(4)
@@ -90,10 +90,9 @@ def test_many_runs_and_a_cut_of_ranks(spark, monkeypatch):
 
 def test_a_run_is_sorted_and_whole():
     block = Block()
-    block.add(("en", "b"), b"b a a")
-    block.add(("en", "a"), b"a \xc3\xa9")
-    block.add(("de", "a"), b"a")
-    block.add(("en", "b"), b"a")
+    block.add([("en", "b"), ("en", "a")], [b"b a a", b"a \xc3\xa9"])
+    block.add([("de", "a"), ("en", "b"), ("en", "b"), ("fr\x00", "c\x00")], [b"a", b"a", b"1", b"a"])
     assert [tuple(r.values()) for batch in block.run() for r in batch.to_pylist()] == [
         ("de", "a", "a", 1, 1), ("en", "a", "a", 1, 1), ("en", "a", "b", 3, 2),
-        ("en", "b", "b", 1, 1), ("en", "é", "a", 1, 1)]
+        ("en", "b", "b", 1, 1), ("en", "é", "a", 1, 1), ("fr\x00", "a", "c\x00", 1, 1)]
+    assert list(Block().run()) == []
