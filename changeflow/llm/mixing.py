@@ -4,102 +4,96 @@ from __future__ import annotations
 
 import heapq
 import math
-from bisect import bisect_left
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from changeflow.llm.common import ready as prepare
 from changeflow.session import written
 
 BLOCK_ROWS = 100
-PERIOD = 10_000  # slots that weights are rounded to at least
 POWER = 0.8  # default weights: the power of a source's row count
+PIECE = 1 << 16  # slots of the schedule that are held at once
 
 
-def slots_of_period(weights: list[Fraction], period: int = PERIOD) -> list[int]:
-    """How many of a period's slots each weight gets: whole shares, at least one each."""
-    period = max(period, 8 * len(weights))
-    total = sum(weights)
-    exact = [w * period / total for w in weights]
-    slots = [max(int(e), 1) for e in exact]
-    for i in sorted(range(len(slots)), key=lambda i: slots[i] - exact[i]):
-        if sum(slots) >= period:
-            break
-        slots[i] += 1
-    while (over := sum(slots) - period) > 0:
-        largest = max(range(len(slots)), key=slots.__getitem__)
-        slots[largest] -= min(over, slots[largest] - 1)
-    return slots
+def whole(weights: list[Fraction]) -> list[int]:
+    """Whole numbers in exactly the same proportions."""
+    scale = math.lcm(*(w.denominator for w in weights))
+    numbers = [int(w * scale) for w in weights]
+    shared = math.gcd(*numbers)
+    return [n // shared for n in numbers]
 
 
-def whole_period(weights: list[Fraction], blocks: list[int]) -> int:
-    """A period in which each weight is due all its blocks, so that the mix ends within it."""
-    total = sum(weights)
-    return max(PERIOD, *(math.ceil(n * total / w) for n, w in zip(blocks, weights)))
+def schedule(weights: list[Fraction], blocks: list[int]) -> Iterator[tuple[int, int, int, int]]:
+    """(source, turn, release, deadline) of slot after slot, earliest deadline first.
 
-
-def release(block: int, slots: int, period: int) -> int:
-    """The first slot in which a source's ``block`` may run."""
-    return block * period // slots
-
-
-def deadline(block: int, slots: int, period: int) -> int:
-    """The slot before which a source's ``block`` must have run."""
-    return -(-(block + 1) * period // slots)
-
-
-def schedule(slots: list[int]) -> list[list[int]]:
-    """For each source the slots of its blocks in one period, earliest deadline first.
-
-    A block may run from its release on. As the shares fill the period, each slot
-    has a block that fits and no deadline is missed: after t slots, a source with
-    share w has run between w * t - 1 and w * t + 1 blocks, both ends left out.
+    A source of share w has its k-th turn between the slots floor(k / w), its release,
+    and ceil((k + 1) / w), its deadline; both are taken from the exact weights. As the
+    shares add up to one, each slot has a turn that is released and no deadline is
+    missed: after t slots a source has run between w * t - 1 and w * t + 1 blocks, both
+    ends left out, however long the schedule is. It ends when every source has run as
+    many turns as it has blocks. Two heaps of one entry a source are all it holds.
     """
-    period = sum(slots)
-    runs: list[list[int]] = [[] for _ in slots]
-    waiting = [(0, i) for i in range(len(slots))]
-    ready: list[tuple[int, int]] = []
-    for slot in range(period):
+    shares = whole(weights)
+    total = sum(shares)
+    ran = [0] * len(shares)
+    short = sum(n > 0 for n in blocks)
+    waiting = [(0, i) for i in range(len(shares))]
+    released: list[tuple[int, int, int]] = []
+    slot = 0
+    while short:
         while waiting and waiting[0][0] <= slot:
-            i = heapq.heappop(waiting)[1]
-            heapq.heappush(ready, (deadline(len(runs[i]), slots[i], period), i))
-        i = heapq.heappop(ready)[1]
-        runs[i].append(slot)
-        if len(runs[i]) < slots[i]:
-            heapq.heappush(waiting, (release(len(runs[i]), slots[i], period), i))
-    return runs
-
-
-def slot_of(block: int, runs: list[int], period: int) -> int:
-    return block // len(runs) * period + runs[block % len(runs)]
+            start, i = heapq.heappop(waiting)
+            heapq.heappush(released, (-(-(ran[i] + 1) * total // shares[i]), i, start))
+        end, i, start = heapq.heappop(released)
+        yield i, ran[i], start, end
+        ran[i] += 1
+        short -= ran[i] == blocks[i]
+        heapq.heappush(waiting, (ran[i] * total // shares[i], i))
+        slot += 1
+
+
+def exact_weights(counts: Mapping[str | None, int],
+                  weights: Mapping[str | None, float] | None) -> list[Fraction]:
+    """The weight of each counted source; see ``mix`` for sources that are not named."""
+    given = {n: Fraction(w) for n, w in (weights or {}).items() if n in counts}
+    own = {n: Fraction(counts[n] ** POWER) for n in counts}
+    scale = sum(given.values()) / sum(own[n] for n in given) if given else 1
+    return [given.get(n, own[n] * scale) for n in counts]
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights: Mapping[str | None, float] | None = None,
-        source: str = "source", block_rows: int = BLOCK_ROWS, period: int | None = None) -> DataFrame:
+        source: str = "source", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The mix as rows (row, epoch, block, release, deadline, slot).
 
     ``row`` is a row of ``docs``. A source's rows, in the order of a hash, are cut
     into blocks of about ``block_rows`` that differ by one row at most. The mix
     is a row of slots, each filled with one block: after any number of slots, a
-    source's blocks are less than two away from its share, one for the order of
-    blocks and one for the weight's rounding. It ends when every
+    source's blocks are less than one away from its share. It ends when every
     block has run once; sources that are through by then start over, which
     ``epoch`` counts. So no row is left out, and the whole mix has the target
-    shares, two blocks more or less.
+    shares, one block more or less.
 
     ``weights`` are shares of any sum for the sources named; without them, and
     for sources they do not name, the weight is the row count to the power
     ``POWER`` (not named: scaled so that the named ones keep their sum's part).
-    Weights are rounded once, to whole slots of a period that holds the whole mix,
-    so no error adds up and no source is raised; weights that
-    are not above zero are refused. A ``period``, if given, repeats: its rounding
-    adds up, and each source gets at least one of its slots. Sources without rows
-    take no slots. Null is a source of its own. Repeated rows are rows of their own.
-    An empty table gives no rows. The driver holds one count for each source and one
-    number for each slot of the mix, which is a block of rows.
+    No weight is rounded, however small; weights that are not above zero are refused.
+    Sources without rows take no slots. Null is a source of its own. Repeated rows are
+    rows of their own; texts are moved, not read, however long. Columns keep their
+    names inside ``row``, so none can clash. Ties of deadlines go to the source whose
+    name sorts first, null last. An empty table gives no rows.
+
+    The slots follow from each other, so one task makes them, a slot for each block of
+    the mix, from one count a source; it holds ``PIECE`` of them at once and writes them
+    to the shared folder, where rows are joined with them by source and block. Nothing
+    of it passes through the driver.
     """
+    if any(w <= 0 for w in (weights or {}).values()):
+        raise ValueError("weights must be above zero")
+    prepare(spark)
     packed = docs.select(F.struct("*").alias("row"), F.col(source).cast("string").alias("source"),
                          F.xxhash64(*docs.columns).alias("order"))
     # One sort; a row's number in its source follows from its place in the sorted table.
@@ -109,55 +103,55 @@ def mix(spark: SparkSession, docs: DataFrame, weights: Mapping[str | None, float
     part = F.shiftright("place", 33)
     parts = placed.groupBy("source", part.alias("part")).agg(
         F.count(F.lit(1)).alias("rows"), F.min("place").alias("first"))
-    before = Window.partitionBy("source").orderBy("part") \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    of_source = Window.partitionBy("source")
+    before = of_source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # A row for each source and partition that has some of it.
-    starts = written(parts.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))),
-                     "starts")
-    counts = {r["source"]: r["rows"] for r in
-              starts.groupBy("source").agg(F.sum("rows").alias("rows")).collect()}
-    plan = spark.createDataFrame(
-        _plan(counts, weights, block_rows, period),
-        "source string, rows bigint, blocks bigint, ran bigint, runs array<bigint>, period bigint")
-    same = [F.col("p.source").eqNullSafe(F.col("s.source"))]
-    ranges = starts.alias("s").join(F.broadcast(plan.alias("p")), same).select(
-        "s.source", "s.part", "s.first", "s.before", "p.rows", "p.blocks", "p.ran", "p.runs",
-        "p.period")
+    starts = written(parts.select(
+        "source", "part", "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"),
+        F.sum("rows").over(of_source).alias("rows"))
+        .withColumn("blocks", F.expr(f"(rows + {block_rows - 1}) DIV {block_rows}")), "starts")
+    slots = written(_slots(starts.select("source", "rows", "blocks").distinct(), weights), "slots")
     ranked = placed.alias("d").join(
-        ranges.drop("runs").alias("r"), (F.shiftright("d.place", 33) == F.col("r.part"))
+        starts.alias("r"), (F.shiftright("d.place", 33) == F.col("r.part"))
         & F.col("d.source").eqNullSafe(F.col("r.source"))) \
-        .select("row", "d.source", "order", "ran", "blocks",
-                F.expr("(place - first + before) * blocks DIV rows").alias("block"))
-    again = F.explode(F.expr("sequence(0L, (ran - 1 - block) DIV blocks)")).alias("epoch")
-    turns = ranked.select("row", "source", "order", "block", "blocks", again) \
-        .withColumn("turn", F.expr("block + epoch * blocks"))
-    return turns.alias("t").join(
-        F.broadcast(plan.select("source", "runs", "period").alias("p")),
-        F.col("t.source").eqNullSafe(F.col("p.source"))).select(
-        "row", "order", "epoch", "block",
-        F.expr("turn * period DIV size(runs)").alias("release"),
-        F.expr("((turn + 1) * period + size(runs) - 1) DIV size(runs)").alias("deadline"),
-        F.expr("turn DIV size(runs) * period + runs[CAST(turn % size(runs) AS int)]").alias("slot"))
-
-
-def _plan(counts: dict, weights: Mapping | None, block_rows: int,
-          period: int | None = None) -> list[tuple]:
-    """For each source (source, rows, blocks, blocks run in the mix, slots of a period, period)."""
-    if not counts:
-        return []
-    names = sorted(counts, key=lambda n: (n is None, n or ""))
-    given = {n: Fraction(w) for n, w in (weights or {}).items() if n in counts}
-    if any(w <= 0 for w in given.values()):
-        raise ValueError("weights must be above zero")
-    own = {n: Fraction(counts[n] ** POWER) for n in names}
-    scale = sum(given.values()) / sum(own[n] for n in given) if given else 1
-    exact = [given.get(n, own[n] * scale) for n in names]
-    blocks = {n: -(-counts[n] // block_rows) for n in names}
-    shares = slots_of_period(exact, period or whole_period(exact, list(blocks.values())))
-    runs, period = schedule(shares), sum(shares)
-    end = max(slot_of(blocks[n] - 1, r, period) for n, r in zip(names, runs)) + 1
-    ran = [end // period * len(r) + bisect_left(r, end % period) for r in runs]
-    return [(n, counts[n], blocks[n], k, r, period) for n, k, r in zip(names, ran, runs)]
+        .select("row", "d.source", "order", F.expr(
+            "(place - first + before) * blocks DIV rows").alias("block"))
+    return ranked.alias("t").join(
+        slots.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source"))
+        & (F.col("t.block") == F.col("s.block"))).select(
+        "row", "order", "epoch", "t.block", "release", "deadline", "slot")
+
+
+def _slots(sources: DataFrame, weights: Mapping[str | None, float] | None) -> DataFrame:
+    """(source, block, epoch, release, deadline, slot) of the whole mix."""
+    names = ["source", "block", "epoch", "release", "deadline", "slot"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [row for batch in batches for row in batch.to_pylist()]
+        found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
+        counts = {r["source"]: r["rows"] for r in found}
+        blocks = [r["blocks"] for r in found]
+        known = pa.array(list(counts), pa.string())
+        held: list[tuple] = []
+
+        def piece(first: int) -> pa.RecordBatch:
+            at, turn, release, deadline = zip(*held)
+            return pa.RecordBatch.from_arrays([
+                known.take(pa.array(at)), pa.array([t % blocks[i] for i, t in zip(at, turn)]),
+                pa.array([t // blocks[i] for i, t in zip(at, turn)]), pa.array(release),
+                pa.array(deadline), pa.array(range(first, first + len(held)), pa.int64())], names)
+
+        first = 0
+        for slot in schedule(exact_weights(counts, weights), blocks) if counts else ():
+            held.append(slot)
+            if len(held) == PIECE:
+                yield piece(first)
+                first, held = first + PIECE, []
+        if held:
+            yield piece(first)
+
+    return sources.repartition(1).mapInArrow(
+        run, "source string, block bigint, epoch bigint, release bigint, deadline bigint, slot bigint")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, weights: Mapping[str | None, float] | None = None,

@@ -1,45 +1,61 @@
+import math
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from changeflow.llm.mixing import PERIOD, POWER, _plan, mix, mixed, schedule, slot_of, slots_of_period
+from changeflow.llm import mixing
+from changeflow.llm.mixing import POWER, mix, mixed, schedule
 from changeflow.llm.queries import RUNS
 
 
+def shares_of(weights):
+    weights = [Fraction(w) for w in weights]
+    return [w / sum(weights) for w in weights]
+
+
 @pytest.mark.parametrize("weights", [[1], [1, 1], [3, 2, 1], [97, 1, 1, 1], [5, 7, 11, 13, 1, 1, 60],
-                                     [1] * 30, [0.001, 5, 2.5]])
+                                     [1] * 30, [0.001, 5, 2.5], [1e-7, 1, 2 ** 0.5, 3 ** 0.5]])
 def test_no_prefix_is_a_block_away(weights):
-    slots = slots_of_period([Fraction(w) for w in weights], 200)
-    assert sum(slots) >= 200 and min(slots) >= 1
-    runs, period = schedule(slots), sum(slots)
-    assert sorted(s for r in runs for s in r) == list(range(period))
-    assert [len(r) for r in runs] == slots
-    for share, own in zip(slots, runs):
-        for t in range(period + 1):
-            done = sum(s < t for s in own)
-            assert abs(done - Fraction(share * t, period)) < 1
-
-
-def simulate(sizes, weights, block_rows, period):
+    exact, ran = shares_of(weights), [0] * len(weights)
+    for t, (i, turn, release, deadline) in enumerate(schedule(exact, [300] + [1] * len(weights[1:])), 1):
+        assert turn == ran[i] and release <= t - 1 < deadline
+        ran[i] += 1
+        assert all(abs(done - share * t) < 1 for done, share in zip(ran, exact))
+        if t > 2000:
+            break
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.floats(1e-6, 1e3), min_size=2, max_size=12))
+def test_random_mixes_stay_below_one_block(weights):
+    exact, ran = shares_of(weights), [0] * len(weights)
+    for t, (i, *_) in enumerate(schedule(exact, [10 ** 9] * len(weights)), 1):
+        ran[i] += 1
+        assert all(abs(done - share * t) < 1 for done, share in zip(ran, exact))
+        if t == 400:
+            break
+
+
+def simulate(sizes, weights, block_rows):
     """Slot by slot over all blocks: (source, block, epoch, release, deadline) of each slot."""
     names = sorted(sizes, key=lambda n: (n is None, n or ""))
-    slots = dict(zip(names, slots_of_period([Fraction(weights[n]) for n in names], period)))
-    period = sum(slots.values())
+    shares = dict(zip(names, shares_of([weights[n] for n in names])))
     blocks = {n: -(-sizes[n] // block_rows) for n in names}
     ran, out = Counter(), []
     while any(ran[n] < blocks[n] for n in names):
-        t = len(out)
-        ready = [(-(-(ran[n] + 1) * period // slots[n]), i, n) for i, n in enumerate(names)
-                 if ran[n] * period // slots[n] <= t]
+        ready = [(math.ceil((ran[n] + 1) / shares[n]), i, n) for i, n in enumerate(names)
+                 if math.floor(ran[n] / shares[n]) <= len(out)]
         end, _, n = min(ready)
-        out.append((n, ran[n] % blocks[n], ran[n] // blocks[n], ran[n] * period // slots[n], end))
+        out.append((n, ran[n] % blocks[n], ran[n] // blocks[n], math.floor(ran[n] / shares[n]), end))
         ran[n] += 1
     return out, blocks
 
 
-def check(rows, sizes, weights, block_rows, period):
-    want, blocks = simulate(sizes, weights, block_rows, period)
+def check(rows, sizes, weights, block_rows):
+    want, blocks = simulate(sizes, weights, block_rows)
     by_slot = defaultdict(list)
     for r in rows:
         by_slot[r["slot"]].append(r)
@@ -58,9 +74,9 @@ def test_against_a_simulation(spark):
     docs = spark.createDataFrame(data, "doc_id string, source string").selectExpr(
         "*", "1 AS slot0", "2 AS block", "3 AS row", "4 AS runs", "5 AS place")
     weights = {"a": 1, "b": 4, "c": 2, None: 1, "": 0.25}
-    got = mix(spark, docs, weights, block_rows=20, period=100).select(
+    got = mix(spark, docs, weights, block_rows=20).select(
         "row.doc_id", "row.source", "epoch", "block", "release", "deadline", "slot").collect()
-    check(got, sizes, weights, 20, 100)
+    check(got, sizes, weights, 20)
     first = Counter((r["doc_id"], r["source"]) for r in got if r["epoch"] == 0)
     assert first == Counter(data)
     assert max(Counter((r["doc_id"], r["source"], r["epoch"]) for r in got).values()) == 1
@@ -70,7 +86,7 @@ def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = RUNS["op6_mixing"](spark, sf_dir).collect()
     sizes = Counter(r["source"] for r in docs.collect())
-    check(got, sizes, {s: n ** POWER for s, n in sizes.items()}, 100, 10_000)
+    check(got, sizes, {s: n ** POWER for s, n in sizes.items()}, 100)
     assert {r["doc_id"] for r in got} == {r["doc_id"] for r in docs.collect()}
 
 
@@ -101,20 +117,25 @@ def test_unnamed_sources_repeats_and_empty_tables(spark):
 
 @pytest.mark.parametrize("counts, weights, block_rows", [
     ({"a": 3_000_000, "b": 900_000, "c": 70_001, "d": 10}, None, 100),
-    ({"a": 40_000, "b": 5_000, "c": 7}, {"a": 1, "b": 0.3, "c": 1e-5}, 10),
+    ({"a": 40_000, "b": 5_000, "c": 7}, {"a": 1, "b": 0.3, "c": 1e-6}, 10),
 ])
-def test_long_mix_follows_the_unrounded_weights(counts, weights, block_rows):
-    exact = {n: Fraction((weights or {}).get(n, counts[n] ** POWER)) for n in counts}
-    plan = _plan(counts, weights, block_rows, None)
-    end = max(slot_of(blocks - 1, runs, period) for _, _, blocks, _, runs, period in plan) + 1
-    assert end > 2 * PERIOD and min(exact.values()) * 2 * PERIOD < sum(exact.values())
-    assert sum(ran for _, _, _, ran, _, _ in plan) == end
-    for name, _, blocks, ran, runs, period in plan:
-        share = exact[name] / sum(exact.values())
-        assert ran >= blocks
-        for k in range(ran):  # just before and just after its k-th block
-            slot = slot_of(k, runs, period)
-            assert abs(k - share * slot) < 2 and abs(k + 1 - share * (slot + 1)) < 2
+def test_long_mix_follows_the_unrounded_weights(counts, weights, block_rows, spark, monkeypatch):
+    """Over many pieces, with a source that is due far less than one slot in 10,000."""
+    monkeypatch.setattr(mixing, "PIECE", 1 << 10)
+    rows = spark.createDataFrame([(n, c, -(-c // block_rows)) for n, c in counts.items()],
+                                 "source string, rows bigint, blocks bigint")
+    slots = mixing._slots(rows, weights).orderBy("slot").toPandas()
+    assert slots["slot"].tolist() == list(range(len(slots))) and len(slots) > 3 << 10
+    names = sorted(counts)
+    exact = dict(zip(names, shares_of([(weights or {}).get(n, counts[n] ** POWER) for n in names])))
+    assert min(exact.values()) < Fraction(1, 10_000) and min(exact.values()) * 3000 < 1
+    for name in names:
+        own = slots[slots["source"] == name]
+        assert len(own) >= -(-counts[name] // block_rows)
+        for k, slot in enumerate(own["slot"].tolist()):  # just before and just after its k-th block
+            assert abs(k - exact[name] * slot) < 1 and abs(k + 1 - exact[name] * (slot + 1)) < 1
+        last = len(slots)
+        assert abs(len(own) - exact[name] * last) < 1
 
 
 def test_a_tiny_source_is_not_raised(spark):
