@@ -21,13 +21,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
-    "nav ol option p pre search section select summary table tbody tfoot thead title tr ul".split())
+    "nav ol p pre search section summary table tbody tfoot thead title tr ul".split())
 SPACED = frozenset("br td th img input button".split())  # white space where they stand
 REGIONS = frozenset("article main section div td body html".split())
 TEXTS = frozenset(("article", "main"))
 SKIPPED = frozenset(
     "script style noscript template head title nav footer aside fieldset button select option "
-    "textarea label input iframe object canvas svg math menu dialog search".split())
+    "textarea label input iframe object canvas svg menu dialog search".split())
+PARTING = frozenset("script style noscript template title".split())  # skipped between two blocks
+OPEN_ENDED = frozenset(("label", "button"))  # often not ended; blocks other than div end them
 SKIPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
     "toolbar status".split())
@@ -36,14 +38,18 @@ SKIPPED_NAMES = frozenset(
     "sponsors promo promos promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar "
     "sidebars footer footnav header masthead topbar toolbar notice notices cookie cookies consent gdpr "
     "popup modal overlay newsletter subscribe subscription signup login share sharing social related "
-    "recommended comment comments commentlist disqus respond replies widget widgets pagination pager "
-    "skiplink".split())
+    "recommended comment comments commentlist disqus respond reply replies reaction reactions response "
+    "responses widget widgets pagination pager skiplink".split())
+# Names of what readers write, which may be longer than what they write about.
+READERS_NAMES = frozenset("comment comments commentlist disqus respond reply replies reaction reactions "
+                          "response responses".split())
 # Words that say of a name's other words only where or in what they stand.
 FILLERS = frozenset(
     "site page main global top bottom left right center upper lower primary secondary mobile desktop "
     "sticky fixed box wrap wrapper container inner outer area block section row col column columns "
     "bar list item items links link content contents text icons buttons button posts articles stories "
-    "unit slot zone panel form policy message".split())
+    "unit slot zone panel form policy message user users reader readers visitor visitors post article "
+    "entry blog thread leave".split())
 CLOSES = {  # a start tag that ends an open element of these kinds
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"},
@@ -54,7 +60,7 @@ LISTS = frozenset("ul ol dl table select article section div".split())  # they s
 SIGMA = 1.0
 SPREAD = 3  # lines on each side that smoothing reaches
 CONTRAST = 2.0  # times that the ratios of content exceed those of the rest at least
-SHARE = 0.9  # of the selected text that an article holds that is taken alone
+SHARE = 0.9  # of the selected text that an article or main holds where it is taken for the content
 
 
 @dataclass(slots=True)
@@ -68,6 +74,7 @@ class Element:
     region: int
     skipped: bool
     mark: int
+    mute: bool = False  # skipped inside of a block: its text is left out, the block goes on
 
 
 @dataclass(slots=True)
@@ -94,13 +101,22 @@ class Events(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.regions: list[tuple[str, int]] = [("page", -1)]  # tag, region around it
-        self.marks: list[tuple[int, bool]] = [(0, True)]  # mark around it, whether it is in a text
+        # Mark around it, whether it is in a text, whether it is the readers'.
+        self.marks: list[tuple[int, bool, bool]] = [(0, True, False)]
         self.open: list[Element] = [Element("page", 0, False, 0)]
         self.depth: Counter[str] = Counter()  # open elements by tag
         self.pieces: list[str] = []
-        self.tags = self.own = 0
+        self.tags = self.own = self.mute = 0
+        self.ending = False
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """A comment that nothing ends goes on to the end of the page."""
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 and self.ending else end
 
     def flush(self) -> None:
+        if self.mute:
+            return
         text = " ".join("".join(self.pieces).split())
         if text:
             here = self.open[-1]
@@ -111,6 +127,9 @@ class Events(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
+            if tag != "div":
+                for ended in OPEN_ENDED:
+                    self._close(ended, LISTS)
             self.flush()
             self._close("p", LISTS)
         if tag in CLOSES:
@@ -123,16 +142,18 @@ class Events(HTMLParser):
         if tag in VOID:
             return
         skipped, region, mark = self._skips(tag, attrs), self.open[-1].region, self.open[-1].mark
-        if not skipped and self._marked(tag, attrs):
-            self.marks.append((mark, any(self.depth[t] for t in TEXTS)))
+        if not skipped and (named := self._marked(tag, attrs)):
+            self.marks.append((mark, any(self.depth[t] for t in TEXTS), named == "readers"))
             mark = len(self.marks) - 1
-        if (skipped, mark) != (self.open[-1].skipped, self.open[-1].mark):
+        mute = skipped and tag not in BLOCKS and tag not in PARTING and not self.open[-1].skipped
+        if not mute and (skipped, mark) != (self.open[-1].skipped, self.open[-1].mark):
             self.flush()  # text before is not of the same kind
         if tag in REGIONS:
             self.regions.append((tag, region))
             region = len(self.regions) - 1
         self.depth[tag] += 1
-        self.open.append(Element(tag, region, skipped, mark))
+        self.open.append(Element(tag, region, skipped, mark, mute))
+        self.mute += mute
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -149,7 +170,8 @@ class Events(HTMLParser):
         self._close(tag, frozenset() if tag in BLOCKS else BLOCKS)
 
     def handle_data(self, data: str) -> None:
-        self.pieces.append(data)
+        if not self.mute:
+            self.pieces.append(data)
 
     def _close(self, tag: str, shields: frozenset) -> None:
         """End the innermost open ``tag``, with what is open in it, unless a shield is in between."""
@@ -160,8 +182,10 @@ class Events(HTMLParser):
             if self.open[at].tag in shields:
                 return
             at -= 1
-        if (self.open[-1].skipped, self.open[-1].mark) \
-                != (self.open[at - 1].skipped, self.open[at - 1].mark):
+        self.mute -= sum(e.mute for e in self.open[at:])
+        first = next((i for i in range(at, len(self.open)) if self.open[i].mute), len(self.open))
+        inner = self.open[first - 1]  # what is muted has nothing to flush
+        if (inner.skipped, inner.mark) != (self.open[at - 1].skipped, self.open[at - 1].mark):
             self.flush()
         self.depth.subtract(e.tag for e in self.open[at:])
         del self.open[at:]
@@ -178,35 +202,46 @@ class Events(HTMLParser):
             or "display:none" in values.get("style", "").replace(" ", "").lower() \
             or values.get("role", "").lower() in SKIPPED_ROLES
 
-    def _marked(self, tag: str, attrs: list) -> bool:
-        """Whether an element is a form or one of its class names or its id is no content's."""
+    def _marked(self, tag: str, attrs: list) -> str:
+        """Whether an element is a form or one of its class names or its id is no content's:
+        ``readers``, ``other`` or nothing."""
         if tag in TEXTS or tag == "body" or tag == "html":
-            return False
+            return ""
         values = {name: value or "" for name, value in attrs}
-        return tag == "form" or values.get("role", "").lower() == "form" \
-            or any(map(no_content, f"{values.get('class', '')} {values.get('id', '')}".split()))
+        found = {no_content(n) for n in f"{values.get('class', '')} {values.get('id', '')}".split()}
+        if "readers" in found:
+            return "readers"
+        form = tag == "form" or values.get("role", "").lower() == "form"
+        return "other" if form or "other" in found else ""
 
 
 @lru_cache(maxsize=1 << 14)
-def no_content(name: str) -> bool:
-    """Whether a class name or id as a whole is one of ``SKIPPED_NAMES`` or a compound of them.
+def no_content(name: str) -> str:
+    """Whether a class name or id as a whole is one of ``SKIPPED_NAMES`` or a compound of them:
+    ``readers`` if it names what readers write, ``other`` or nothing.
 
     All its words are, but for ``FILLERS`` beside them: "cookie-notice", "sideBar" and
     "ad_box_2" are; "has-sidebar" and "ad-free" say something else.
     """
     words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
-    return "".join(words) in SKIPPED_NAMES or not SKIPPED_NAMES.isdisjoint(words) \
-        and all(w in SKIPPED_NAMES or w in FILLERS for w in words)
+    known = [w for w in words if w in SKIPPED_NAMES]
+    if "".join(words) in SKIPPED_NAMES:
+        known = words = ["".join(words)]
+    if not known or not all(w in SKIPPED_NAMES or w in FILLERS for w in words):
+        return ""
+    return "readers" if READERS_NAMES.issuperset(known) else "other"
 
 
-def lines_of(html: str) -> tuple[list[Line], list[tuple[str, int]], list[tuple[int, bool]]]:
+def lines_of(html: str) -> tuple[list[Line], list[tuple[str, int]], list[tuple[int, bool, bool]]]:
     """The lines of a page in order, and the regions and marks that ``Events`` has met."""
     events = Events()
     last = html.rfind("<")
     if last > html.rfind(">") and re.match("[/!?a-zA-Z]", html[last + 1:]):
         html = html[:last]  # the page breaks off inside a tag
     events.feed(html)
+    events.ending = True
     events.close()
+    events.mute = 0
     events.flush()
     return events.lines, events.regions, events.marks
 
@@ -235,30 +270,37 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2 if high >= CONTRAST * low else values.min()
 
 
-def believed(marks: list[tuple[int, bool]], lines: list[Line], above: np.ndarray,
+def believed(marks: list[tuple[int, bool, bool]], lines: list[Line], above: np.ndarray,
              regions: list[tuple[str, int]]) -> list[bool]:
     """For each mark whether its text is set aside, by it or by one around it.
 
     A mark around more than half of the text in the upper cluster (``above``) is
     wrong: what it is on is the page's content. Only where an article or main has
-    such text outside of marks, marks beside it are always right.
+    such text outside of marks, marks beside it are always right; and a mark that names
+    what readers write is, however much they write, if anything else is left.
     """
     in_text = [False] * len(regions)
     for number, (tag, parent) in enumerate(regions):
         in_text[number] = tag in TEXTS or parent >= 0 and in_text[parent]
     outside = [False] * len(marks)
-    for number, (parent, inside) in enumerate(marks):
+    for number, (parent, inside, _) in enumerate(marks):
         outside[number] = outside[parent] or not inside
+    theirs = [False] * len(marks)
+    for number, (parent, _, readers) in enumerate(marks):
+        theirs[number] = theirs[parent] or readers
+    if not any(not line.skipped and not theirs[line.mark] for line in lines):
+        theirs = [False] * len(marks)
     held, sure = [0] * len(marks), False
     for line, high in zip(lines, above):
-        if high and not line.skipped:
+        if high and not line.skipped and not theirs[line.mark]:
             held[line.mark] += len(line.text)
             sure = sure or in_text[line.region] and not outside[line.mark]
     for number in range(len(marks) - 1, 0, -1):
         held[marks[number][0]] += held[number]
     aside = [False] * len(marks)
-    for number, (parent, inside) in enumerate(marks[1:], 1):
-        aside[number] = aside[parent] or 2 * held[number] <= held[0] or sure and not inside
+    for number, (parent, inside, _) in enumerate(marks[1:], 1):
+        aside[number] = aside[parent] or theirs[number] or 2 * held[number] <= held[0] \
+            or sure and not inside
     return aside
 
 
@@ -322,9 +364,17 @@ def main_text(html: str) -> str:
     while around >= 0:
         region = around if regions[around][0] in TEXTS else region
         around = regions[around][1]
+    wanted = {region}
+    if regions[region][0] in TEXTS:  # and others beside it that hold content, a second article say
+        for line in firm(lines, smooth, cut, aside):
+            outermost, at = -1, line.region
+            while at >= 0:
+                outermost = at if regions[at][0] in TEXTS else outermost
+                at = regions[at][1]
+            wanted.add(outermost)
     inside = [False] * len(regions)
     for number, (_, parent) in enumerate(regions):
-        inside[number] = number == region or parent >= 0 and inside[parent]
+        inside[number] = number in wanted or parent >= 0 and inside[parent]
     return "\n".join(line.text for line in usable if inside[line.region])
 
 

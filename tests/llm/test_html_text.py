@@ -121,3 +121,48 @@ def test_content_in_several_containers(page):
     want = "\n".join(" ".join(b.split()) for b in blocks if b.strip())
     assert main_text(page) == want
     assert main_text(f"<nav>{MENU}</nav><div>{MENU}</div><div>{page}</div><div>{MENU}</div>") == want
+
+
+ARTICLE = "".join(f"<p>{PROSE}{i}</p>" for i in range(4))
+COMMENTS = "".join(f"<div><b>reader {i}</b><p>{PROSE}said {i}</p></div>" for i in range(12))
+SAID = "\n".join(f"{PROSE}{i}" for i in range(4))
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class=post>{ARTICLE}</div><div id=comments>{COMMENTS}</div>",
+    f"<article>{ARTICLE}<section class=comments>{COMMENTS}</section></article>",
+    f"<div class=post>{ARTICLE}</div><div class='user-comments'>{COMMENTS}</div>",
+    f"<div class=post>{ARTICLE}</div><section id=reader-reactions>{COMMENTS}</section>",
+    f"<main>{ARTICLE}<ol class=commentlist>{COMMENTS}</ol><div id=respond><form>{PROSE}</form></div></main>",
+    f"<div><div class=text>{ARTICLE}</div><div id=disqus_thread>{COMMENTS}</div></div>",
+    f"<body><div class=x>{ARTICLE}</div><div class='post-comments'>{COMMENTS}</div></body>",
+])
+def test_comments_longer_than_the_article(page):
+    assert main_text(page) == SAID
+    assert main_text(f"<nav>{MENU}</nav>{page}<footer>F</footer>") == SAID
+
+
+def test_a_short_article_beside_long_comments():
+    assert main_text(f"<article><p>One line.</p></article><div class=comments>{COMMENTS}</div>") == "One line."
+    # A page that has nothing but comments gives these.
+    assert main_text(f"<div class=comments><p>{PROSE}</p></div>") == PROSE.strip()
+
+
+@pytest.mark.parametrize("inner, want", [
+    ("<p>a<button>b</button>c</p>", "a c"), ("<p>a <math><mi>x</mi>=<mn>1</mn></math> c</p>", "a x=1 c"),
+    ("<p>a<svg><text>t</text></svg>b</p>", "ab"), ("<p>a<span hidden>h</span>b</p>", "ab"),
+    ("<p>a <label>l<p>b</p><p>c</p>", "a\nb\nc"), ("<label>open <h2>T</h2><p>b</p>", "T\nb"),
+    ("<p>a<button>b<p>c</p>", "a\nc"), ("<p>a</p><!-- <b>x</b> <p>y</p>", "a"),
+    ("<p>a</p><script>s = '<!--';</script><p>b</p>", "a\nb"), ("<p>a<!-- x --> b</p>", "a b"),
+    ("<p>a<select><option>x<option>y</select>b</p>", "a b"),
+])
+def test_inside_of_blocks(inner, want):
+    assert main_text(f"<article>{inner}") == want
+
+
+def test_two_unequal_articles():
+    short, long = f"<article><h2>S</h2><p>{PROSE}</p></article>", f"<article>{TEXT}</article>"
+    want = "\n".join(f"{PROSE}{i}" for i in range(20))
+    for page in (f"<nav>{MENU}</nav>{long}{short}<footer>F</footer>", f"<div>{long}</div><div>{short}</div>"):
+        assert main_text(page) == f"{want}\nS\n{PROSE.strip()}"
+    assert main_text(f"<article>{TEXT}</article><aside>{short}</aside>") == want
