@@ -22,7 +22,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
     "nav ol p pre search section summary table tbody tfoot thead title tr ul".split())
-SPACED = frozenset("br td th img input button".split())  # white space where they stand
+SPACED = frozenset("br td th img input button select".split())  # white space where they stand
 REGIONS = frozenset("article main section div td body html".split())
 TEXTS = frozenset(("article", "main"))
 SKIPPED = frozenset(
@@ -263,6 +263,8 @@ def threshold(values: np.ndarray) -> float:
     low, high = values.min(), values.max()
     for _ in range(50):
         upper = np.abs(values - high) <= np.abs(values - low)
+        if not upper.any():  # means of equal values, rounded
+            break
         means = values[~upper].mean() if not upper.all() else low, values[upper].mean()
         if means == (low, high):
             break
