@@ -288,7 +288,7 @@ def stream_pv_uv(spark, sf_dir):
     changes = _app_changes(spark, sf_dir)
     # spread over time, so that batches meet the same days again
     replay(changes, source, "user_id")
-    counts = ContinuousPvUv(spark, out, changes.schema, "ts", ["app"], "user_id", fold_every=2)
+    counts = ContinuousPvUv(spark, out, changes.schema, "ts", ["app"], "user_id", fan=2)
     stream = table_stream(spark, source, changes.schema, 1)
     counts.start(stream, f"{out}-checkpoint").awaitTermination()
     return counts.current()
@@ -311,7 +311,7 @@ def stream_pv_uv_no_time(spark, sf_dir):
                          (F.col("event_id") % 5).alias("app"), "user_id")
     replay(rows, source, "event_id")
     counts = ContinuousPvUv(spark, out, rows.schema, "ts", ["app"], "user_id", op=None,
-                            fold_every=2)
+                            fan=2)
     counts.start(table_stream(spark, source, rows.schema, 1), f"{out}-checkpoint") \
         .awaitTermination()
     return counts.current()

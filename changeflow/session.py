@@ -106,3 +106,13 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote, on whatever file system holds it."""
     system, place = _file_system(spark, path)
     system.delete(place, True)
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    """Delete a file this library wrote, and its folder if that holds no other rows."""
+    system, place = _file_system(spark, path)
+    system.delete(place, False)
+    folder = place.getParent()
+    if system.exists(folder) and not any(
+            f.getPath().getName().startswith("part-") for f in system.listStatus(folder)):
+        system.delete(folder, True)

@@ -9,12 +9,11 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from changeflow.operators.changelog import RETRACTS
 from changeflow.operators.counting import bucket_of, bucket_text
-from changeflow.session import path_exists
-from changeflow.streaming.ledger import Ledger
+from changeflow.streaming.ledger import Ledger, Segments
 
 
 def weight(op: str | None = "op") -> Column:
@@ -28,19 +27,20 @@ class ContinuousPvUv:
     Two ledgers hold the state: rows per (bucket, group, who), and the pv/uv of
     each (bucket, group). A batch is summed per (bucket, group, who) first, so a
     hot group or visitor is combined before it moves, and looks up only earlier
-    counts of the buckets and visitors it contains.
+    counts of the buckets and visitors it contains, in the files whose range of
+    buckets meets the batch's. ``fan`` batches are merged at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, ts: str,
                  by: Sequence[str], who: str, grain: str = "day", op: str | None = "op",
-                 fold_every: int = 50,
+                 fan: int = 8, small: int = 1 << 16,
                  on_update: Callable[[DataFrame, int], object] | None = None):
         self.ts, self.by, self.who, self.grain, self.op = ts, list(by), who, grain, op
-        self.fold_every, self.on_update = fold_every, on_update
+        self.on_update = on_update
         groups = [StructField("dt", StringType()), *[schema[c] for c in by]]
         person = StructField("who", schema[who].dataType)
-        self.visits = Ledger(spark, f"{path}/visits", [*groups, person], ["n"], "dt")
-        self.results = Ledger(spark, f"{path}/results", groups, ["pv", "uv"], "dt")
+        self.visits = Ledger(spark, f"{path}/visits", [*groups, person], ["n"], "dt", fan, small)
+        self.results = Ledger(spark, f"{path}/results", groups, ["pv", "uv"], "dt", fan, small)
 
     def _group(self) -> list[str]:
         return ["dt", *self.by]
@@ -61,7 +61,7 @@ class ContinuousPvUv:
             return reduce(and_, (left[c].eqNullSafe(right[c]) for c in names))
 
         names = [*self._group(), "who"]
-        earlier = self.visits.before(batch_id).where(met)
+        earlier = self.visits.before(batch_id, found).where(met)
         touched = added.select(*names)
         known = (earlier.join(touched, same(earlier, touched, names), "left_semi")
                  .groupBy(*names).agg(F.sum("n").alias("had")))
@@ -70,16 +70,13 @@ class ContinuousPvUv:
         somebody = F.col("who").isNotNull()
         gained = (somebody & (F.col("had") + F.col("n") > 0)).cast("bigint") \
             - (somebody & (F.col("had") > 0)).cast("bigint")
-        self.results.append(
+        stored = self.results.append(
             joined.groupBy(*self._group()).agg(F.sum("n").alias("pv"), F.sum(gained).alias("uv")),
             batch_id)
         if self.on_update is not None:
             now = self.current(batch_id + 1)
-            fresh = self.results.batch(batch_id).select(*self._group())
+            fresh = stored.select(*self._group())
             self.on_update(now.join(fresh, same(now, fresh, self._group()), "left_semi"), batch_id)
-        if batch_id and batch_id % self.fold_every == 0:
-            self.visits.fold(batch_id)
-            self.results.fold(batch_id)
 
     def current(self, before: int = (1 << 62)) -> DataFrame:
         """``dt``, the group, ``pv`` and ``uv``; groups without rows are gone."""
@@ -94,39 +91,27 @@ class ContinuousPvUv:
 class CountChanges:
     """A running count as changes: first (+, n), then (-, old) and (+, new).
 
-    Each micro-batch is one change of the count. The running total of a batch is
-    stored with it, so a batch needs only the one before.
+    Each micro-batch is one change of the count. The running total is noted with each
+    batch, so a batch needs only the one before. The changes are runs of files merged
+    by level, ``fan`` at a time, so that their number stays small for ever.
     """
 
-    SCHEMA = "is_add boolean, n bigint"
-
-    def __init__(self, spark: SparkSession, path: str, op: str | None = None):
-        self.spark, self.path, self.op = spark, path, op
-
-    def _folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.path}/{kind}/batch={batch_id}"
-
-    def _total(self, batch_id: int) -> int:
-        if batch_id < 0:
-            return 0
-        return self.spark.read.schema("n bigint").parquet(self._folder("totals", batch_id)) \
-            .first()["n"]
+    def __init__(self, spark: SparkSession, path: str, op: str | None = None, fan: int = 8):
+        self.spark, self.op = spark, op
+        schema = StructType([StructField("is_add", BooleanType()), StructField("n", LongType()),
+                             StructField("batch", LongType())])
+        self.files = Segments(spark, path, schema, "batch", lambda rows: rows, fan)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        old = self._total(batch_id - 1)
+        old = int(self.files.note(batch_id) or 0)
         new = old + (batch.agg(F.sum(weight(self.op))).first()[0] or 0)
-        rows = [] if new == old else [(False, old)] * (old != 0) + [(True, new)] * (new != 0)
-        frame = self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1)
-        frame.write.mode("overwrite").parquet(self._folder("changes", batch_id))
-        self.spark.createDataFrame([(new,)], "n bigint").coalesce(1).write.mode("overwrite") \
-            .parquet(self._folder("totals", batch_id))
+        rows = [] if new == old else [(False, old, batch_id)] * (old != 0) \
+            + [(True, new, batch_id)] * (new != 0)
+        self.files.add(self.spark.createDataFrame(rows, self.files.schema), batch_id, str(new))
 
     def changes(self) -> DataFrame:
         """All changes, with the batch that made them."""
-        schema = StructType.fromDDL(self.SCHEMA + ", batch bigint")
-        if not path_exists(self.spark, f"{self.path}/changes"):  # no batch yet
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/changes")
+        return self.files.read()
 
     def start(self, rows: DataFrame, checkpoint: str) -> StreamingQuery:
         return (rows.writeStream.foreachBatch(self.process)

@@ -1,22 +1,23 @@
-"""State kept as files: a folded base and the micro-batches after it.
-
-``batches/batch=<id>`` holds what one micro-batch added. A replayed batch
-replaces its folder, so every batch counts once. Old batches are folded into
-``base/upto=<id>`` from time to time; a one-row record makes a finished base
-known, so a torn one is never read. The state belongs to one stream checkpoint,
-whose batch numbers it uses, and has one writer.
+"""State kept as files. It belongs to one stream checkpoint, whose batch numbers it
+uses, and has one writer.
+
+Sums are runs of files, merged by level. An upsert table is a folded base and the
+micro-batches after it: ``batches/batch=<id>`` holds what one micro-batch added. A
+replayed batch replaces its folder, so every batch counts once. Old batches are
+folded into ``base/upto=<id>`` from time to time; a one-row record makes a finished
+base known, so a torn one is never read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from changeflow.operators.changelog import BEFORE, apply_changelog
-from changeflow.session import path_exists, remove_dir
+from changeflow.session import child_names, path_exists, remove_dir, remove_file
 
 BASES = "upto long"
 NOW = 1 << 62
@@ -40,14 +41,9 @@ class BatchFiles:
     def _write(self, rows: DataFrame, folder: str) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
 
-    def add(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Store one batch and return it as stored."""
+    def add(self, rows: DataFrame, batch_id: int) -> None:
+        """Store one batch."""
         self._write(rows.select(*self.batch_schema.fieldNames()), f"batches/batch={batch_id}")
-        return self.batch(batch_id)
-
-    def batch(self, batch_id: int) -> DataFrame:
-        rows = self._read("batches", self.batch_schema, "batch")
-        return rows.where(F.col("batch") == batch_id).drop("batch")
 
     def _bases(self, batch_id: int) -> list[int]:
         """The finished bases that hold only batches before ``batch_id``, in order."""
@@ -56,41 +52,11 @@ class BatchFiles:
         known = self.spark.read.schema(BASES).json(f"{self.path}/bases").collect()
         return sorted({r["upto"] for r in known if r["upto"] < batch_id})
 
-    def parts(self, batch_id: int = NOW) -> tuple[DataFrame | None, DataFrame]:
-        """The newest base before ``batch_id``, and the batches between, numbered ``batch``."""
-        bases = self._bases(batch_id)
-        newest = bases[-1] if bases else None
-        after = F.col("batch") < batch_id
-        if newest is None:
-            return None, self._read("batches", self.batch_schema, "batch").where(after)
-        batches = self._read("batches", self.batch_schema, "batch")
-        base = self._read("base", self.base_schema, "upto").where(F.col("upto") == newest)
-        return base.drop("upto"), batches.where(after & (F.col("batch") > newest))
-
     def folded(self, batch_id: int) -> bool:
         """Whether a base up to ``batch_id`` is there; a repeated batch must not
         rewrite the base it reads."""
         return batch_id - 1 in self._bases(batch_id)
 
-    def store_base(self, rows: DataFrame, batch_id: int) -> None:
-        """Make ``rows`` the state of all batches before ``batch_id``.
-
-        Files that only the last but one base stands for are removed, so the
-        size follows the state and the batches of two rounds, while a reader
-        that began before still finds its files.
-        """
-        self._write(rows.select(*self.base_schema.fieldNames()), f"base/upto={batch_id - 1}")
-        earlier = self._bases(batch_id - 1)
-        self.spark.createDataFrame([(batch_id - 1,)], BASES).coalesce(1) \
-            .write.mode("append").json(f"{self.path}/bases")
-        if not earlier:
-            return
-        start = earlier[-2] if len(earlier) > 1 else -1
-        for batch in range(max(start + 1, 0), earlier[-1] + 1):
-            remove_dir(self.spark, f"{self.path}/batches/batch={batch}")
-        if len(earlier) > 1:
-            remove_dir(self.spark, f"{self.path}/base/upto={earlier[-2]}")
-
 
 class BucketFiles(BatchFiles):
     """The same with a base cut into hash buckets of a key.
@@ -173,51 +139,175 @@ class BucketFiles(BatchFiles):
                 remove_dir(self.spark, f"{self.path}/base/upto={upto}/bucket={bucket}")
 
 
+class Segments:
+    """Rows kept as runs of files, merged upwards by level, each file with its range of ``part``.
+
+    A micro-batch is a run of level 0. When a level has ``fan`` runs they become one
+    run of the next: files whose ranges overlap are read, put through ``merge`` and
+    written anew, neighbours of fewer than ``small`` rows too; a file that overlaps no
+    other one moves up as it is. So a row is rewritten once a level at most, files of
+    ranges that no later batch touches keep their names, and the number of runs
+    grows with the logarithm of the number of batches.
+
+    A list of the files that make up the state is written for each batch, after its
+    files; what is not in a list is never read. A batch that is run again starts
+    from the list before it. Lists, and files that only they name, are removed when
+    they are ``keep`` batches old, for the sake of readers under way.
+    """
+
+    LIST = "level int, run bigint, file string, rows bigint, low {0}, high {0}, note string"
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, part: str,
+                 merge: Callable[[DataFrame], DataFrame], fan: int = 8, small: int = 1 << 16,
+                 keep: int | None = None):
+        self.spark, self.path, self.schema, self.part = spark, path, schema, part
+        self.merge, self.fan, self.small = merge, max(fan, 2), small
+        self.keep = 2 * self.fan if keep is None else keep
+        self.listed = self.LIST.format(schema[part].dataType.simpleString())
+
+    def list(self, batch_id: int) -> list:
+        """The files after a batch, with a first row that has only the batch's note."""
+        place = f"{self.path}/lists/batch={batch_id}"
+        if batch_id < 0 or not path_exists(self.spark, f"{place}/_SUCCESS"):
+            return []
+        return self.spark.read.schema(self.listed).json(place).collect()
+
+    def last(self, before: int = NOW) -> int:
+        """The last batch before ``before`` that has a list, or -1."""
+        done = [int(n.removeprefix("batch=")) for n in child_names(self.spark, f"{self.path}/lists")
+                if n.startswith("batch=")]
+        return max((n for n in done if n < before and path_exists(
+            self.spark, f"{self.path}/lists/batch={n}/_SUCCESS")), default=-1)
+
+    def note(self, before: int = NOW) -> str | None:
+        """What the last batch before ``before`` noted."""
+        return next((r["note"] for r in self.list(self.last(before)) if r["file"] is None), None)
+
+    def read(self, before: int = NOW, values: Sequence | None = None) -> DataFrame:
+        """The rows of all batches before ``before``; of the files that can hold some of the
+        ``values`` of ``part`` (None is one), if these are given."""
+        found = [r for r in self.list(self.last(before)) if r["file"] is not None]
+        if values is not None:
+            found = [r for r in found if any(
+                r["low"] is None if v is None else r["high"] is not None
+                and (r["low"] is None or r["low"] <= v) and v <= r["high"] for v in values)]
+        return self._rows([r["file"] for r in found])
+
+    def _rows(self, files: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*files) if files else \
+            self.spark.createDataFrame([], self.schema)
+
+    def add(self, rows: DataFrame, batch_id: int, note: str | None = None) -> DataFrame:
+        """Store one batch and return it as stored; the same batch again replaces it."""
+        known = [r.asDict() for r in self.list(self.last(batch_id)) if r["file"] is not None]
+        own = self._write(rows, f"run={batch_id}", 0, batch_id)
+        known += own
+        level = 0
+        while len({r["run"] for r in known if r["level"] == level}) >= self.fan:
+            known = [r for r in known if r["level"] != level] + self._merged(
+                [r for r in known if r["level"] == level], batch_id, level + 1)
+            level += 1
+        head = {"level": None, "run": None, "file": None, "rows": None, "low": None, "high": None,
+                "note": note}
+        self.spark.createDataFrame([head, *known], self.listed).coalesce(1).write \
+            .mode("overwrite").json(f"{self.path}/lists/batch={batch_id}")  # a row per file
+        self._forget(batch_id)
+        return self._rows([r["file"] for r in own])
+
+    def _write(self, rows: DataFrame, name: str, level: int, run: int) -> list[dict]:
+        """Write rows in ranges of ``part``; the files with their ranges."""
+        place = f"{self.path}/files/{name}"
+        rows.select(*self.schema.fieldNames()).repartitionByRange(self.part) \
+            .sortWithinPartitions(self.part).write.mode("overwrite").parquet(place)
+        value = F.col(self.part)
+        found = self.spark.read.schema(self.schema).parquet(place).groupBy(
+            F.col("_metadata.file_path").alias("file")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(value).alias("low"), F.max(value).alias("high"),
+            F.count(F.when(value.isNull(), 1)).alias("nulls")).collect()
+        return [{"level": level, "run": run, "file": r["file"], "rows": r["rows"], "note": None,
+                 "low": None if r["nulls"] else r["low"], "high": r["high"]} for r in found]
+
+    def _merged(self, files: list[dict], batch_id: int, level: int) -> list[dict]:
+        """The files of one level as one run of the next."""
+        run = min(r["run"] for r in files)
+        # Without a low end a file holds nulls, which come first; it may hold nothing else.
+        files.sort(key=lambda r: (r["low"] is not None, r["low"] if r["low"] is not None else 0))
+        groups: list[list[dict]] = []
+        for r in files:
+            last = groups[-1] if groups else None
+            ends = [g["high"] for g in last if g["high"] is not None] if last else []
+            overlaps = last is not None and (
+                r["low"] is None or bool(ends) and r["low"] <= max(ends))
+            tiny = last is not None and sum(g["rows"] for g in last) + r["rows"] < self.small
+            if overlaps or tiny:
+                last.append(r)
+            else:
+                groups.append([r])
+        out = []
+        for number, group in enumerate(groups):
+            if len(group) == 1:
+                out.append({**group[0], "level": level, "run": run})
+                continue
+            rows = self.merge(self._rows([r["file"] for r in group]))
+            out += self._write(rows, f"merged={batch_id}-{level}-{number}", level, run)
+        return out
+
+    def _forget(self, batch_id: int) -> None:
+        """Remove lists older than ``keep`` batches, and the files that no later one names."""
+        old = sorted(int(n.removeprefix("batch=")) for n in child_names(
+            self.spark, f"{self.path}/lists") if n.startswith("batch="))
+        old = [n for n in old if n <= batch_id - self.keep]
+        for n in old:
+            later = {r["file"] for r in self.list(self._next(n))}
+            for row in self.list(n):
+                if row["file"] is not None and row["file"] not in later:
+                    remove_file(self.spark, row["file"])
+            remove_dir(self.spark, f"{self.path}/lists/batch={n}")
+
+    def _next(self, batch_id: int) -> int:
+        return min(int(n.removeprefix("batch=")) for n in child_names(
+            self.spark, f"{self.path}/lists") if n.startswith("batch=")
+            and int(n.removeprefix("batch=")) > batch_id)
+
+
 class Ledger:
-    """Sums of ``measures`` per key, kept as increments.
+    """Sums of ``measures`` per key, kept as increments in :class:`Segments`.
 
-    Rows are stored sorted by the key column ``part``, so that a filter on it
-    skips the row groups of history a batch cannot touch. A folder per value
-    would make a file per value and batch.
+    Files are ranges of the key column ``part``, so a batch reads, and a merge rewrites,
+    only what overlaps its values. ``fan`` batches are merged at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[StructField],
-                 measures: Sequence[str], part: str):
+                 measures: Sequence[str], part: str, fan: int = 8, small: int = 1 << 16):
         self.part, self.path = part, path
         self.keys = [f.name for f in keys]
         self.measures = list(measures)
         schema = StructType([*[StructField(f.name, f.dataType) for f in keys],
                              *[StructField(m, LongType()) for m in measures]])
-        self.files = BatchFiles(spark, path, schema, schema)
+        self.files = Segments(spark, path, schema, part, self._summed, fan, small)
+
+    def _summed(self, rows: DataFrame) -> DataFrame:
+        """One row a key; those whose sums are all zero drop out."""
+        some = F.lit(False)
+        for measure in self.measures:
+            some = some | (F.col(measure) != 0)
+        return rows.groupBy(*self.keys).agg(
+            *[F.sum(m).alias(m) for m in self.measures]).where(some)
 
     def append(self, increments: DataFrame, batch_id: int) -> DataFrame:
         """Store one batch's increments and return them as stored."""
-        return self.files.add(increments.sortWithinPartitions(self.part), batch_id)
-
-    def batch(self, batch_id: int) -> DataFrame:
-        return self.files.batch(batch_id)
+        return self.files.add(increments, batch_id)
 
-    def before(self, batch_id: int) -> DataFrame:
-        """All increments of earlier batches; keys may repeat."""
-        base, batches = self.files.parts(batch_id)
-        batches = batches.drop("batch")
-        return batches if base is None else base.unionByName(batches)
+    def before(self, batch_id: int, values: Sequence | None = None) -> DataFrame:
+        """All increments of earlier batches; keys may repeat. With ``values`` at least
+        those that have one of them in ``part``."""
+        return self.files.read(batch_id, values)
 
     def totals(self, batch_id: int = NOW) -> DataFrame:
         """The sums over all batches before ``batch_id``."""
         sums = [F.sum(m).alias(m) for m in self.measures]
         return self.before(batch_id).groupBy(*self.keys).agg(*sums)
 
-    def fold(self, batch_id: int) -> None:
-        """Sum all batches before ``batch_id`` into a new base; empty sums drop out."""
-        if self.files.folded(batch_id):
-            return
-        some = F.lit(False)
-        for measure in self.measures:
-            some = some | (F.col(measure) != 0)
-        self.files.store_base(
-            self.totals(batch_id).where(some).sortWithinPartitions(self.part), batch_id)
-
 
 class UpsertTable:
     """A keyed table that follows a streamed changelog.

@@ -53,7 +53,7 @@ def as_map(df):
 def test_counts_follow_retractions_replays_and_folding(spark):
     batches = [changes(spark, seed) for seed in range(5)]
     counts = ContinuousPvUv(spark, fresh_dir(spark, "counts"), batches[0].schema, "ts", ["app"],
-                            "who", fold_every=2)
+                            "who", fan=2)
     seen = batches[0].limit(0)
     for number, batch in enumerate(batches):
         counts.process(batch, number)
@@ -84,35 +84,82 @@ def test_count_changes(spark):
     assert rows == [(True, 1), (False, 1), (True, 2)]
 
 
-def test_ledger_ignores_a_torn_base(spark):
+def test_many_count_changes_stay_in_few_folders(spark):
+    counter = CountChanges(spark, fresh_dir(spark, "count-many"), fan=3)
+    for number in range(10):
+        counter.process(spark.range(1), number)
+    rows = [(r["batch"], r["n"]) for r in counter.changes().where("is_add").orderBy("batch").collect()]
+    assert rows == [(n, n + 1) for n in range(10)]
+    assert counter.changes().count() == 19
+    files = [r for r in counter.files.list(9) if r["file"] is not None]
+    assert len(files) <= 6
+
+
+def ledger_of(spark, label, fan=2, small=1 << 16):
     fields = changes(spark, 0).schema
-    ledger = Ledger(spark, fresh_dir(spark, "ledger"), [fields["app"]], ["n"], "app")
-    rows = spark.createDataFrame([("a", 1), ("b", 2)], "app string, n bigint")
+    return Ledger(spark, fresh_dir(spark, label), [fields["app"]], ["n"], "app", fan, small)
+
+
+def sums(ledger, before=None):
+    rows = ledger.totals() if before is None else ledger.totals(before)
+    return {r["app"]: r["n"] for r in rows.collect()}
+
+
+def test_ledger_ignores_files_without_a_list(spark):
+    ledger = ledger_of(spark, "ledger")
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 5)], "app string, n bigint")
     for number in range(3):
-        ledger.append(rows, number)
-    # files of a base that was never recorded as finished
-    rows.write.parquet(f"{ledger.path}/base/upto=1")
-    assert {r["app"]: r["n"] for r in ledger.totals().collect()} == {"a": 3, "b": 6}
-    ledger.fold(2)
-    assert {r["app"]: r["n"] for r in ledger.totals().collect()} == {"a": 3, "b": 6}
-    assert {r["app"]: r["n"] for r in ledger.totals(1).collect()} == {"a": 1, "b": 2}
+        for _ in range(2):  # a batch that is run again
+            ledger.append(rows, number)
+    rows.write.parquet(f"{ledger.path}/files/run=3")  # a batch that was lost before its list
+    assert sums(ledger) == {"a": 3, "b": 6, None: 15}
+    assert sums(ledger, 1) == {"a": 1, "b": 2, None: 5}
+    assert sums(ledger, 0) == {}
+    ledger.append(rows, 3)
+    assert sums(ledger) == {"a": 4, "b": 8, None: 20}
 
 
-def test_ledger_stays_small(spark):
-    fields = changes(spark, 0).schema
-    ledger = Ledger(spark, fresh_dir(spark, "ledger-trim"), [fields["app"]], ["n"], "app")
-    rows = spark.createDataFrame([("a", 1)], "app string, n bigint")
-    for number in range(9):
+def live(ledger):
+    return [r for r in ledger.files.list(ledger.files.last()) if r["file"] is not None]
+
+
+def test_runs_grow_with_the_logarithm_of_the_batches(spark):
+    ledger = ledger_of(spark, "ledger-levels", fan=3)
+    rows = spark.createDataFrame([("a", 1), ("b", -1), ("b", 1)], "app string, n bigint").coalesce(1)
+    for number in range(13):
         ledger.append(rows, number)
-        if number and number % 2 == 0:
-            ledger.fold(number)
-        assert ledger.totals().first()["n"] == number + 1
-        # the batch that is now running may be asked for again
-        assert number == 0 or ledger.totals(number).first()["n"] == number
+        assert sums(ledger) == {"a": number + 1, "b": 0} or sums(ledger) == {"a": number + 1}
+        runs = {(r["level"], r["run"]) for r in live(ledger)}
+        assert len(runs) <= 2 * 3  # fewer than three a level, three levels for 13 batches
     folder = ledger.path.removeprefix("file:")
-    batches = [f for f in os.listdir(f"{folder}/batches") if f.startswith("batch=")]
-    bases = [f for f in os.listdir(f"{folder}/base") if f.startswith("upto=")]
-    assert len(batches) <= 4 and len(bases) <= 2
+    assert len(os.listdir(f"{folder}/lists")) <= 2 * (ledger.files.keep + 1)
+    assert len([f for f in os.listdir(f"{folder}/files") if "=" in f]) <= 4 * ledger.files.keep
+
+
+def test_files_of_untouched_days_keep_their_names(spark):
+    """Old days are written once; merges of later batches do not touch their files."""
+    ledger = ledger_of(spark, "ledger-days", fan=2, small=0)
+    kept = None
+    for number in range(8):
+        days = [f"2024-01-0{1 + number % 2}"] if number < 2 else [f"2024-02-{number:02}", "2024-03-01"]
+        ledger.append(spark.createDataFrame([(d, 1) for d in days], "app string, n bigint"), number)
+        old = {r["file"] for r in live(ledger) if r["high"] is not None and r["high"] < "2024-02"}
+        assert len(old) == min(number + 1, 2) and (kept is None or number < 2 or old == kept)
+        kept = old
+    assert sums(ledger)["2024-03-01"] == 6 and sums(ledger)["2024-01-01"] == 1
+    met = ledger.before(8, ["2024-01-02"]).inputFiles()
+    assert len(met) == 1 and ledger.before(8, ["2023-01-01"]).count() == 0
+    march = [r for r in live(ledger) if r["high"] == "2024-03-01"]
+    assert len({r["run"] for r in march}) <= 4
+
+
+def test_nulls_have_a_file_with_an_open_end(spark):
+    ledger = ledger_of(spark, "ledger-nulls", fan=2, small=0)
+    for number in range(5):
+        ledger.append(spark.createDataFrame([(None, 1), ("x", 1)], "app string, n bigint"), number)
+    assert sums(ledger) == {None: 5, "x": 5}
+    assert ledger.before(5, [None]).where("app IS NULL").agg({"n": "sum"}).first()[0] == 5
+    assert ledger.before(5, ["x"]).where("app = 'x'").agg({"n": "sum"}).first()[0] == 5
 
 
 @pytest.mark.parametrize("strategy, ignore_delete", [("update", False), ("insert", True)])
