@@ -44,6 +44,11 @@ def key_stats(df: DataFrame, key: str) -> DataFrame:
     """
     base = df.agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"),
                   F.count(F.lit(1)).alias("row_count"))
+    return base.withColumn("factor", factor_of())
+
+
+def factor_of() -> Column:
+    """The distribution factor from min_key, max_key and row_count."""
     span = (F.col("max_key").cast("decimal(38,0)") - F.col("min_key") + 1) * 10_000
     steps = F.floor((span + F.col("row_count") - 1) / F.nullif("row_count", F.lit(0)))
-    return base.withColumn("factor", steps.cast("double") / 10_000)
+    return steps.cast("double") / 10_000

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from changeflow.operators.counting import key_stats, pv_uv
 from changeflow.operators.predicates import all_of
+from changeflow.operators.profile import KeyProfile
 from changeflow.operators.shaping import explode_json
 from changeflow.functions.time import local_time
 from changeflow.plans.derived import EVENT_ITEM, packed_events
 from changeflow.plans.registry import load, query
+from changeflow.session import fresh_dir
 
 
 def _pv_uv_sql(pattern: str, who: str = "user_id") -> str:
@@ -60,6 +62,28 @@ def key_stats_query(spark, sf_dir):
     return key_stats(load(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
+@query("key_profile", """SELECT min(l_orderkey) AS min_key, max(l_orderkey) AS max_key,
+    count(*) AS row_count, ceil((max(l_orderkey) - min(l_orderkey) + 1) * 10000 / count(*)) / 10000 AS factor,
+    true AS distinct_close, true AS median_close, true AS chunks_close FROM lineitem""")
+def key_profile(spark, sf_dir):
+    """A key's profile from sketches of three parts, added one after the other."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey")
+    profile = KeyProfile(spark, fresh_dir(spark, "profile"), "l_orderkey",
+                         lines.schema["l_orderkey"].dataType)
+    for part in range(3):
+        profile.add(lines.where(F.col("l_orderkey") % 3 == part), str(part))
+    exact = lines.agg(F.count_distinct("l_orderkey").alias("distinct"), F.count("*").alias("rows")).first()
+    median, ends = profile.quantiles([0.5])[0], profile.chunk_ends(max(exact["rows"] // 10, 1))
+    below = lines.agg(F.count(F.when(F.col("l_orderkey") <= median, 1))).first()[0] / exact["rows"]
+    chunk = sum((F.col("l_orderkey") >= e).cast("int") for e in ends)
+    largest = lines.groupBy(chunk.alias("chunk")).count().agg(F.max("count")).first()[0]
+    stats = profile.stats()
+    return stats.select("min_key", "max_key", "row_count", "factor",
+                        (F.abs(F.col("distinct_count") / exact["distinct"] - 1) < 0.04).alias("distinct_close"),
+                        F.lit(abs(below - 0.5) < 0.02).alias("median_close"),
+                        F.lit(largest < 1.2 * exact["rows"] / 10).alias("chunks_close"))
+
+
 @query("messages_to_daily_pv_uv", _pv_uv_sql("%Y-%m-%d"))
 def messages_to_daily_pv_uv(spark, sf_dir):
     """The flagship job: JSON array messages to rows to daily counts."""

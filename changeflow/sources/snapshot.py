@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.session import path_exists
+from changeflow.session import path_exists, remove_dir
 from changeflow.sources.chunks import CHUNK_ROWS, ChunkPlan, EvenChunks, RankedChunks, plan_chunks
 
 EVEN = "first bigint, step bigint, n bigint"
@@ -50,14 +50,17 @@ def _finished(spark: SparkSession, out: str) -> set[tuple[str, int]]:
 
 
 def snapshot(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str]], out: str,
-             size: int = CHUNK_ROWS, waves: int = 8) -> dict[str, ChunkPlan]:
+             size: int = CHUNK_ROWS, waves: int = 8,
+             on_wave: Callable[[str, int], object] | None = None) -> dict[str, ChunkPlan]:
     """Copy each table once into ``out/<table>``, then stop.
 
-    ``tables`` maps a name to (frame, key). A table is read and labelled once and
-    written by wave: at most ``waves`` runs of chunks, a folder each, that are
-    recorded when they are written. A restart keeps the first run's cuts, skips
-    recorded waves, rewrites the others whole, and picks up tables added to the
-    list.
+    ``tables`` maps a name to (frame, key). A table is read and labelled once, into a
+    staged copy with a folder for each wave, a run of chunks; there are at most
+    ``waves``. Then each wave is a job of its own that reads only its folder, writes
+    the wave and is recorded, in the order of keys, and ``on_wave`` is called. A
+    restart keeps the first run's cuts and its staged copy, skips recorded waves, begins
+    with the first one that is missing, and picks up tables added to the list. A
+    staged copy goes when all of its table's waves are recorded.
     """
     done = _finished(spark, out)
     plans = {}
@@ -68,15 +71,24 @@ def snapshot(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str]], o
         firsts = [first for first in range(0, len(plan), chunks) if (name, first) not in done]
         if not firsts:
             continue
-        wave = F.col("chunk_id") - F.col("chunk_id") % chunks
-        todo = plan.label(df, later=kept).withColumn("wave", wave) \
-            .where(F.col("wave").isin(firsts))
-        todo.hint("rebalance", F.col("wave")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("wave") \
-            .parquet(f"{out}/{name}")
-        records = [(name, first, min(first + chunks, len(plan)) - 1) for first in firsts]
-        spark.createDataFrame(records, FINISHED).coalesce(1).write.mode("append") \
-            .json(f"{out}/_finished")  # a row per wave
+        staged = f"{out}/_staged/{name}"
+        if not path_exists(spark, f"{staged}/_SUCCESS"):
+            wave = F.col("chunk_id") - F.col("chunk_id") % chunks
+            plan.label(df, later=kept).withColumn("wave", wave).where(F.col("wave").isin(firsts)) \
+                .hint("rebalance", F.col("wave")).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "static").partitionBy("wave").parquet(staged)
+        schema = df.withColumn("chunk_id", F.lit(0)).schema
+        for first in firsts:
+            rows = spark.read.schema(schema).parquet(f"{staged}/wave={first}") \
+                if path_exists(spark, f"{staged}/wave={first}") else spark.createDataFrame([], schema)
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+                .parquet(f"{out}/{name}/wave={first}")
+            record = [(name, first, min(first + chunks, len(plan)) - 1)]
+            spark.createDataFrame(record, FINISHED).coalesce(1).write.mode("append") \
+                .json(f"{out}/_finished")  # a single row
+            if on_wave is not None:
+                on_wave(name, first)
+        remove_dir(spark, staged)
     return plans
 
 

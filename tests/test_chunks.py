@@ -1,5 +1,6 @@
 """Key chunks and snapshots."""
 
+import glob
 import random
 
 import pytest
@@ -184,3 +185,26 @@ def test_snapshot_reads_a_table_once(spark):
     snapshot(spark, {"t": (df, "id")}, out, size=50, waves=8)
     assert reads.value == 2000  # once for the plan's aggregate, once for all waves
     assert spark.read.parquet(f"{out}/t").select("wave").distinct().count() == 7
+
+
+def test_a_crash_after_a_wave_goes_on_with_the_next(spark):
+    """After wave 3 of 8 is recorded the job dies: a restart writes the other five only."""
+    out, waves = fresh_dir(spark, "snapshot-crash"), []
+    df = spark.range(1600).select("id", (F.col("id") * 2).alias("v"))
+
+    def crash(name, first):
+        waves.append(first)
+        if len(waves) == 3:
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        snapshot(spark, {"t": (df, "id")}, out, size=100, waves=8, on_wave=crash)
+    before = {f for f in glob.glob(f"{out}/t/wave=*/*.parquet")}
+    assert len({f.split("wave=")[1].split("/")[0] for f in before}) == 3
+    changed = df.withColumn("v", F.col("v") + 1)  # what is read was staged by the first run
+    plan = snapshot(spark, {"t": (changed, "id")}, out, size=100, waves=8, on_wave=crash)["t"]
+    assert len(plan) == 16 and waves == list(range(0, 16, 2))
+    rows = {r["id"]: r["v"] for r in read_snapshot(spark, out, "t").collect()}
+    assert rows == {i: 2 * i for i in range(1600)}
+    assert before < {f for f in glob.glob(f"{out}/t/wave=*/*.parquet")}
+    assert glob.glob(f"{out}/_staged/*") == []

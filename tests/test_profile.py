@@ -1,0 +1,84 @@
+"""Sketched key profiles against exact values."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow.operators.counting import key_stats
+from changeflow.operators.profile import KeyProfile
+from changeflow.session import fresh_dir
+
+
+def profiled(spark, df, key, parts):
+    profile = KeyProfile(spark, fresh_dir(spark, "profile"), key, df.schema[key].dataType)
+    for n in range(parts):
+        profile.add(df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == n), str(n))
+    return profile
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """A key whose value 7 has a third of the rows; nulls; a long tail."""
+    i = F.col("id")
+    return spark.range(60_000).select(
+        F.when(i % 3 == 0, 7).when(i % 100 == 1, None).otherwise(i * i % 50_021).cast("bigint").alias("k"),
+        (i / 7).alias("x"), F.format_string("name-%d", i % 5_000).alias("name")).cache()
+
+
+def test_merged_parts_are_like_one_pass(spark, rows):
+    parts, whole = profiled(spark, rows, "k", 4), profiled(spark, rows, "k", 1)
+    one, other = parts.stats().first(), whole.stats().first()
+    assert one == other  # exact figures, and the merged distinct counts too
+    exact = key_stats(rows, "k").first()
+    assert (one["min_key"], one["max_key"], one["factor"]) == (
+        exact["min_key"], exact["max_key"], exact["factor"])
+    assert one["row_count"] == 60_000 and one["null_count"] == rows.where("k is null").count()
+    distinct = rows.select("k").distinct().where("k is not null").count()
+    assert abs(one["distinct_count"] / distinct - 1) < 0.03
+
+
+@pytest.mark.parametrize("key", ["k", "x"])
+def test_quantiles_are_within_their_error(spark, rows, key):
+    keyed = sorted(r[0] for r in rows.select(key).where(F.col(key).isNotNull()).collect())
+    for profile in (profiled(spark, rows, key, 3), profiled(spark, rows, key, 1)):
+        fractions = [0.0, 0.1, 0.4, 0.5, 0.9, 1.0]
+        for fraction, value in zip(fractions, profile.quantiles(fractions)):
+            low = sum(v < value for v in keyed) / len(keyed)
+            high = sum(v <= value for v in keyed) / len(keyed)
+            assert low - 0.01 <= fraction <= high + 0.01
+
+
+def test_parts_follow_without_another_scan(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).mapInArrow(seen, "id bigint")
+    profile = KeyProfile(spark, fresh_dir(spark, "profile"), "id", df.schema["id"].dataType)
+    assert profile.stats().first()["row_count"] == 0 and profile.quantiles([0.5]) == []
+    assert profile.chunk_ends(10) == []
+    profile.add(df, "a")
+    profile.add(spark.range(1000, 3000), "b")
+    profile.add(spark.range(1000, 2000), "b")  # replaces what was added under that name
+    stats = profile.stats().first()
+    assert (stats["row_count"], stats["min_key"], stats["max_key"], stats["factor"]) == (2000, 0, 1999, 1.0)
+    ends = profile.chunk_ends(500)
+    assert len(ends) == 3 and all(abs(e - want) < 20 for e, want in zip(ends, (500, 1000, 1500)))
+    assert reads.value == 1000
+
+
+def test_keys_that_are_no_numbers(spark, rows):
+    profile = profiled(spark, rows, "name", 2)
+    stats = profile.stats().first()
+    assert abs(stats["distinct_count"] / 5_000 - 1) < 0.03 and stats["min_key"] == "name-0"
+    with pytest.raises(ValueError):
+        profile.quantiles([0.5])
+    with pytest.raises(ValueError):
+        profile.add(spark.range(3).withColumnRenamed("id", "name"), "x")
+
+
+def test_a_hot_key_is_one_chunk(spark, rows):
+    ends = profiled(spark, rows, "k", 2).chunk_ends(6_000)
+    assert 7 not in ends[1:] and len(ends) == len(set(ends)) and len(ends) <= 10
