@@ -108,15 +108,29 @@ def any_null(columns: Sequence[str]) -> Column:
 
 
 def insert(df: DataFrame, table: str, overwrite: bool = False) -> None:
-    """Insert by position; overwriting replaces the partitions the rows touch."""
-    # inserts by position take the overwrite mode from the session only
-    setting, conf = "spark.sql.sources.partitionOverwriteMode", df.sparkSession.conf
-    before = conf.get(setting)
-    conf.set(setting, "dynamic")
-    try:
+    """Insert by position; overwriting replaces the partitions the rows touch.
+
+    Spark's own insert takes the mode of an overwrite from the session, which other
+    writes share. So a partitioned table is overwritten in its folder, with the mode
+    as an option of this write alone, and its new partitions are made known.
+    """
+    spark = df.sparkSession
+    columns = spark.catalog.listColumns(table)
+    parts = [c.name for c in columns if c.isPartition]
+    if not overwrite or not parts:
         df.write.insertInto(table, overwrite=overwrite)
-    finally:
-        conf.set(setting, before)
+        return
+    names = [c.name for c in columns]
+    if len(df.columns) != len(names):
+        raise ValueError(f"{table} has {len(names)} columns, not {len(df.columns)}")
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    kinds = spark.table(table).schema
+    rows = df.select(*[F.col(f"`{have}`").cast(kinds[name].dataType).alias(name)
+                       for have, name in zip(df.columns, names)])
+    rebalanced(rows, parts).write.format(said["Provider"]).mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(said["Location"])
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def routed(df: DataFrame, prefix: str, db: str = "dbName", table: str = "tableName",

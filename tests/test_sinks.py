@@ -2,6 +2,8 @@
 
 import decimal
 import os
+import threading
+import uuid
 
 import pandas as pd
 import pytest
@@ -346,3 +348,37 @@ def test_what_a_cast_loses(spark):
                         for i, (_, _, want, _) in enumerate(LOSSY)]).first()
     wrong = [(case, flags[i]) for i, case in enumerate(LOSSY) if flags[i] is not case[3]]
     assert wrong == []
+
+
+def test_an_overwriting_insert_leaves_the_session_alone(spark):
+    """It replaces touched partitions also where the session says otherwise, and while another
+    write in the session replaces whole tables."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before, names = spark.conf.get(setting), [f"overwritten_{uuid.uuid4().hex}" for _ in range(2)]
+    rows = spark.range(30).selectExpr("id", "cast(id % 3 as int) as p")
+    for name in names:
+        rows.write.partitionBy("p").option("path", fresh_dir(spark, name)).saveAsTable(name)
+    spark.conf.set(setting, "static")
+    try:
+        seen = []
+
+        def other():
+            for _ in range(3):
+                spark.range(3).selectExpr("id", "7 as p").write.insertInto(names[1], overwrite=True)
+                seen.append(sorted(r["p"] for r in spark.table(names[1]).select("p").distinct().collect()))
+
+        thread = threading.Thread(target=other)
+        thread.start()
+        for n in range(3):
+            W.insert(spark.range(100, 102 + n).selectExpr("id as x", "1 as y"), names[0], overwrite=True)
+        W.insert(spark.range(1).selectExpr("id", "9"), names[0], overwrite=True)
+        thread.join()
+        assert seen == [[7]] * 3 and spark.conf.get(setting) == "static"
+        assert {r["p"]: r["n"] for r in spark.table(names[0]).groupBy("p").agg(
+            F.count("*").alias("n")).collect()} == {0: 10, 1: 4, 2: 10, 9: 1}
+        with pytest.raises(ValueError):
+            W.insert(spark.range(1), names[0], overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
