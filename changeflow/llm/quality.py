@@ -19,7 +19,7 @@ HELD_OUT = 2
 KEEP_FROM = 0.7
 SAMPLE_DOCS = 6000  # labelled documents of each class the dictionaries may see
 SAMPLE_BYTES = 8 << 20  # and bytes of them
-DOC_BYTES = 1 << 15  # and bytes of one of them, so that long ones leave room
+DOC_BYTES = 1 << 15  # and bytes of one of them, in pieces from all over it
 DICTIONARY = 110 << 10  # bytes of a dictionary at most, and
 SAMPLE_SHARE = 16  # at most this part of the smaller sample
 SEGMENT = 200  # bytes that training copies at once; chosen, it gives steadier results
@@ -83,7 +83,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, ident: str = "d
 
     Dictionaries are trained on a sample of at most ``SAMPLE_DOCS`` documents and
     ``SAMPLE_BYTES`` bytes of each label from folds 0 and 1, the first by a hash
-    of the id. All labelled rows of fold 3 calibrate: their differences are
+    of the id; of a text of more than ``DOC_BYTES`` bytes pieces from its start to its end. All labelled rows of fold 3 calibrate: their differences are
     counted in bins, and for each class of lengths the share of label 1 is made
     to rise with the difference (isotonic regression, with a row of the overall
     share added to each level). Null ids, null labels and labels other than
@@ -118,7 +118,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> list[bytes]:
     chosen = labels.where(F.col("fold").isin(0, 1)).select("ident").distinct() \
         .orderBy(F.xxhash64("ident"), "ident").limit(SAMPLE_DOCS)
     found = docs.join(F.broadcast(chosen), "ident") \
-        .select("ident", F.substring(F.encode("text", "UTF-8"), 1, DOC_BYTES).alias("head"))
+        .select("ident", F.encode("text", "UTF-8").alias("raw")) \
+        .select("ident", _all_over("raw").alias("head"))
     first = found.withColumn("size", F.length("head")).where("size > 0") \
         .withColumn("order", F.xxhash64("ident"))
     # The bound: at most SAMPLE_DOCS rows of at most DOC_BYTES bytes, cut to SAMPLE_BYTES.
@@ -138,6 +139,15 @@ def _sample(docs: DataFrame, labels: DataFrame) -> list[bytes]:
             for at in range(0, len(r["head"]), PIECE)]
 
 
+def _all_over(raw: str) -> Column:
+    """All of a binary column up to ``DOC_BYTES``; of more, pieces at even distances, the
+    first from its start and the last from its end."""
+    pieces = DOC_BYTES // PIECE
+    cut = [F.expr(f"substring({raw}, CAST(1 + {i} * (CAST(length({raw}) AS bigint) - {PIECE})"
+                  f" DIV {pieces - 1} AS int), {PIECE})") for i in range(pieces)]
+    return F.when(F.length(raw) <= DOC_BYTES, F.col(raw)).otherwise(F.concat(*cut))
+
+
 def _dictionaries(good: list[bytes], bad: list[bytes]) -> tuple[bytes, bytes, bool]:
     """Trained dictionaries, or from too few examples the examples themselves."""
     if not good or not bad:
@@ -181,7 +191,8 @@ def scored(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text
     """``docs`` with the score (0 to 1) of each whole text.
 
     A null text counts as empty; an empty one gets the share of label 1 among
-    the shortest. Repeated rows score alike. A column named like the score is
+    the shortest. A text of any length is compressed whole, in pieces. Repeated rows score
+    alike. A column named like the score is
     replaced; an empty table gives no rows.
     """
     ready(spark)

@@ -211,7 +211,7 @@ def judge_quality(spark: SparkSession, docs: DataFrame, text: str = "text",
     shrinks with the root of its words, or, with ``WORDS_FROM`` words or more, that
     of its common words is above ``WORDS_FAR``.
 
-    A null text has no words. Null is a language of its own. In a language none of
+    A null text has no words; a text of any length is judged whole. Null is a language of its own. In a language none of
     whose texts pass the base rules nothing is compared. Repeated rows count again
     in the references and are judged alike; an empty table gives no rows.
     """
