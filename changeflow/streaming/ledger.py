@@ -10,18 +10,21 @@ base known, so a torn one is never read.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from changeflow.operators.changelog import BEFORE, apply_changelog
 from changeflow.session import child_names, path_exists, remove_dir, remove_file
 
 BASES = "upto long"
 NOW = 1 << 62
-BUCKETS = 32  # of an upsert table's base
+BUCKETS = 32  # that an upsert table's base begins with
+BUCKET_ROWS = 1 << 21  # of a bucket, beyond which buckets are split
 
 
 class BatchFiles:
@@ -59,51 +62,85 @@ class BatchFiles:
 
 
 class BucketFiles(BatchFiles):
-    """The same with a base cut into hash buckets of a key.
+    """The same with a base cut into hash buckets of a key, as many as its size asks for.
 
-    A new base holds only the buckets it changed, as ``base/upto=<id>/bucket=<n>``;
-    the record of a base names them, and the files of the others stay in use.
+    A base lies in ``base-<n>/upto=<id>`` for ``n`` buckets, in Spark's own bucketed
+    layout. It holds only the buckets it changed; its record names them with their
+    rows, and the files of the others stay in use. When a bucket has more than
+    ``bucket_rows`` rows, the next base is written whole in twice as many.
     """
 
-    RECORD = "upto long, buckets array<int>"
+    RECORD = "upto long, n int, buckets array<int>, rows array<long>"
 
     def __init__(self, spark: SparkSession, path: str, batch_schema: StructType,
-                 base_schema: StructType, keys: Sequence[str], buckets: int):
+                 base_schema: StructType, keys: Sequence[str], buckets: int, bucket_rows: int):
         super().__init__(spark, path, batch_schema, base_schema)
-        self.buckets = buckets
-        self.bucket = F.pmod(F.hash(*keys), F.lit(buckets))
+        self.keys, self.buckets, self.bucket_rows = list(keys), buckets, bucket_rows
+        self._tables: dict[int, str] = {}
 
-    def _records(self, batch_id: int) -> list[tuple[int, list[int]]]:
-        """The finished bases before ``batch_id`` in order, with the buckets they changed."""
+    def bucket(self, n: int) -> Column:
+        """The bucket of a row among ``n``, as Spark's bucketed writer has it."""
+        return F.pmod(F.hash(*self.keys), F.lit(n))
+
+    def _records(self, batch_id: int) -> list:
+        """The finished bases before ``batch_id`` in order, those of the newest number of buckets."""
         if not path_exists(self.spark, f"{self.path}/bases"):
             return []
         known = self.spark.read.schema(self.RECORD).json(f"{self.path}/bases").collect()
-        return sorted({r["upto"]: r["buckets"] for r in known if r["upto"] < batch_id}.items())
+        found = sorted({r["upto"]: r for r in known if r["upto"] < batch_id}.values(),
+                       key=lambda r: r["upto"])
+        return [r for r in found if r["n"] == found[-1]["n"]]
 
     def _bases(self, batch_id: int) -> list[int]:
-        return [upto for upto, _ in self._records(batch_id)]
+        return [r["upto"] for r in self._records(batch_id)]
+
+    def count(self, batch_id: int = NOW) -> int:
+        """The number of buckets of the newest base before ``batch_id``."""
+        records = self._records(batch_id)
+        return records[-1]["n"] if records else self.buckets
 
     @staticmethod
-    def _places(records: list[tuple[int, list[int]]]) -> dict[int, int]:
+    def _places(records: list) -> dict[int, int]:
         """The base that holds each bucket's rows."""
-        return {bucket: upto for upto, changed in records for bucket in changed}
-
-    def base(self, batch_id: int, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The rows of the newest base before ``batch_id``, or of some of its buckets."""
-        places = self._places(self._records(batch_id))
-        wanted: dict[int, list[int]] = {}
-        for bucket, upto in places.items():
-            if buckets is None or bucket in buckets:
-                wanted.setdefault(upto, []).append(bucket)
-        numbered = StructType([*self.base_schema.fields, StructField("upto", LongType()),
-                               StructField("bucket", IntegerType())])
-        there = F.lit(False)
-        for upto, own in wanted.items():
-            there = there | ((F.col("upto") == upto) & F.col("bucket").isin(own))
-        if not wanted or not path_exists(self.spark, f"{self.path}/base"):
+        return {bucket: r["upto"] for r in records for bucket in r["buckets"]}
+
+    def _table(self, n: int) -> str:
+        """A name under which the session knows the bucketed files of ``n`` buckets."""
+        if n not in self._tables:
+            name = f"changeflow_{uuid.uuid4().hex}"
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                                for f in self.base_schema.fields)
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(f"CREATE TABLE {name} ({columns}, _upto BIGINT) USING parquet "
+                           f"PARTITIONED BY (_upto) CLUSTERED BY ({keys}) INTO {n} BUCKETS "
+                           f"LOCATION '{self.path}/base-{n}'")
+            self._tables[n] = name
+        return self._tables[n]
+
+    def base(self, batch_id: int) -> DataFrame:
+        """The newest base before ``batch_id``, bucketed by the keys for whatever joins it."""
+        records = self._records(batch_id)
+        if not records:
             return self.spark.createDataFrame([], self.base_schema)
-        return self.spark.read.schema(numbered).parquet(f"{self.path}/base") \
-            .where(there).drop("upto", "bucket")
+        n, places = records[-1]["n"], self._places(records)
+        name = self._table(n)
+        self.spark.catalog.recoverPartitions(name)
+        held = F.array(*[F.lit(places[b]).cast("bigint") for b in range(n)])
+        return self.spark.table(name).where(
+            F.col("_upto").isin(sorted(set(places.values())))
+            & (held[self.bucket(n)] == F.col("_upto"))).drop("_upto")
+
+    def files(self, batch_id: int, buckets: Sequence[int]) -> DataFrame:
+        """The rows of some buckets, read from their files alone."""
+        records = self._records(batch_id)
+        places, wanted = self._places(records), set(buckets)
+        found = []
+        for upto in {places[b] for b in wanted if b in places}:
+            folder = f"{self.path}/base-{records[-1]['n']}/_upto={upto}"
+            found += [f"{folder}/{name}" for name in child_names(self.spark, folder)
+                      if (b := bucket_of_file(name)) in wanted and places[b] == upto]
+        return self.spark.read.schema(self.base_schema).parquet(*found) if found else \
+            self.spark.createDataFrame([], self.base_schema)
 
     def changes(self, batch_id: int) -> DataFrame:
         """The batches after the newest base before ``batch_id``, numbered ``batch``."""
@@ -112,31 +149,59 @@ class BucketFiles(BatchFiles):
         return self._read("batches", self.batch_schema, "batch").where(
             (F.col("batch") < batch_id) & (F.col("batch") > newest))
 
-    def touched(self, changes: DataFrame) -> list[int]:
+    def touched(self, changes: DataFrame, n: int | None = None) -> list[int]:
         """The buckets of the changes' keys."""
-        return sorted(r[0] for r in changes.select(self.bucket.alias("bucket")).distinct().collect())
+        bucket = self.bucket(n or self.count())
+        return sorted(r[0] for r in changes.select(bucket.alias("bucket")).distinct().collect())
 
-    def store(self, rows: DataFrame, batch_id: int, buckets: Sequence[int]) -> None:
-        """Make ``rows`` the state of ``buckets`` after all batches before ``batch_id``.
+    def grown(self, batch_id: int) -> bool:
+        """Whether a bucket is too large, so that all of them are to be split."""
+        sizes = {b: n for r in self._records(batch_id) for b, n in zip(r["buckets"], r["rows"])}
+        return any(n > self.bucket_rows for n in sizes.values())
+
+    def store(self, rows: DataFrame, batch_id: int, n: int, buckets: Sequence[int]) -> None:
+        """Make ``rows`` the state of ``buckets`` among ``n`` after all batches before ``batch_id``.
 
         Files are removed once the last two bases can do without them.
         """
-        known = self._records(batch_id - 1)
-        rows.select(*self.base_schema.fieldNames(), self.bucket.alias("bucket")) \
-            .hint("rebalance", F.col("bucket")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy("bucket") \
-            .parquet(f"{self.path}/base/upto={batch_id - 1}")
-        self.spark.createDataFrame([(batch_id - 1, list(buckets))], self.RECORD).coalesce(1) \
+        known, upto = self._records(batch_id - 1), batch_id - 1
+        name, place = self._table(n), f"{self.path}/base-{n}/_upto={upto}"
+        remove_dir(self.spark, place)  # of a fold that was lost
+        rows.select(*self.base_schema.fieldNames(), F.lit(upto).cast("bigint").alias("_upto")) \
+            .repartition(n, *self.keys).write.insertInto(name)
+        sizes = {b: 0 for b in buckets}
+        if path_exists(self.spark, place):
+            sizes |= {r["bucket"]: r["count"] for r in self.spark.read.schema(self.base_schema)
+                      .parquet(place).groupBy(self.bucket(n).alias("bucket")).count().collect()}
+        record = [(upto, n, list(sizes), list(sizes.values()))]
+        self.spark.createDataFrame(record, self.RECORD).coalesce(1) \
             .write.mode("append").json(f"{self.path}/bases")  # a single row
-        if not known:
-            return
-        before = known[-2][0] if len(known) > 1 else -1
-        for batch in range(max(before + 1, 0), known[-1][0] + 1):
+        if known:
+            self._clean(known, n)
+
+    def _clean(self, known: list, n: int) -> None:
+        before = known[-2]["upto"] if len(known) > 1 else -1
+        for batch in range(max(before + 1, 0), known[-1]["upto"] + 1):
             remove_dir(self.spark, f"{self.path}/batches/batch={batch}")
+        for name in child_names(self.spark, self.path):  # bases of fewer buckets, one split ago
+            if name.startswith("base-") and int(name.removeprefix("base-")) * 2 < n:
+                remove_dir(self.spark, f"{self.path}/{name}")
         now, last = self._places(known), self._places(known[:-1])
+        gone: dict[int, set[int]] = {}
         for bucket, upto in last.items():
             if now[bucket] != upto:
-                remove_dir(self.spark, f"{self.path}/base/upto={upto}/bucket={bucket}")
+                gone.setdefault(upto, set()).add(bucket)
+        for upto, buckets in gone.items():
+            folder = f"{self.path}/base-{known[-1]['n']}/_upto={upto}"
+            for name in child_names(self.spark, folder):
+                if bucket_of_file(name) in buckets:
+                    remove_file(self.spark, f"{folder}/{name}")
+
+
+def bucket_of_file(name: str) -> int | None:
+    """The bucket that Spark's writer puts into a file's name."""
+    found = re.match(r"part-.*_(\d+)(?:\..*)?$", name)
+    return int(found[1]) if found else None
 
 
 class Segments:
@@ -313,16 +378,18 @@ class UpsertTable:
     """A keyed table that follows a streamed changelog.
 
     A micro-batch only appends its changes. Reading applies the changes since
-    the last fold to the base. Once in ``fold_every`` batches a fold reads and
-    writes those of the base's hash buckets whose keys changed; the files of the
-    others stay as they are. Changes run in the order of their batches and by
-    ``order`` inside one.
+    the last fold to the base, bucket to bucket: the base is not moved. Once in
+    ``fold_every`` batches a fold reads and writes those of the base's hash buckets
+    whose keys changed; the files of the others stay as they are. Buckets are split
+    in two when one has more than ``bucket_rows`` rows. Changes run in the order of
+    their batches and by ``order`` inside one.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
                  changes: StructType, order: Sequence[str], update_strategy: str = "update",
                  ignore_delete: bool = True, fixed: Sequence[str] = (), few: bool = False,
-                 fold_every: int = 50, op: str = "op", buckets: int = BUCKETS):
+                 fold_every: int = 50, op: str = "op", buckets: int = BUCKETS,
+                 bucket_rows: int = BUCKET_ROWS):
         absent = [c for c in (*schema.fieldNames(), *order, op) if c not in changes.fieldNames()]
         if not keys or absent:
             raise ValueError(f"an upsert table needs a key; the changes lack {absent}")
@@ -330,21 +397,28 @@ class UpsertTable:
         self.options = {"update_strategy": update_strategy, "ignore_delete": ignore_delete,
                         "fixed": list(fixed), "few": few, "op": op}
         self.fold_every = fold_every
-        self.files = BucketFiles(spark, path, changes, schema, keys, buckets)
+        self.files = BucketFiles(spark, path, changes, schema, keys, buckets, bucket_rows)
 
     def create(self, rows: DataFrame) -> None:
         """Start from ``rows``, before the first batch."""
         if not self.files.folded(0):
-            self.files.store(rows, 0, range(self.files.buckets))
+            self.files.store(rows, 0, self.files.buckets, range(self.files.buckets))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Take in one micro-batch; running the same one again changes nothing."""
         self.files.add(batch.where(F.col(self.op) != BEFORE), batch_id)
         if batch_id and batch_id % self.fold_every == 0 and not self.files.folded(batch_id):
-            changes = self.files.changes(batch_id)
-            touched = self.files.touched(changes)
-            self.files.store(self._applied(self.files.base(batch_id, touched), changes), batch_id,
-                             touched)
+            self._fold(batch_id)
+
+    def _fold(self, batch_id: int) -> None:
+        files, n = self.files, self.files.count(batch_id)
+        changes = files.changes(batch_id)
+        if files.grown(batch_id) or not files._bases(batch_id):
+            n *= 2 if files.grown(batch_id) else 1
+            files.store(self._applied(files.base(batch_id), changes), batch_id, n, range(n))
+            return
+        touched = files.touched(changes, n)
+        files.store(self._applied(files.files(batch_id, touched), changes), batch_id, n, touched)
 
     def _applied(self, base: DataFrame, changes: DataFrame) -> DataFrame:
         return apply_changelog(base, changes, self.keys, ["batch", *self.order], **self.options)

@@ -321,8 +321,7 @@ def test_a_fold_rewrites_touched_buckets_only(spark):
                         ignore_delete=False, fold_every=1, buckets=8)
 
     def files(bucket):
-        return {os.path.join(d, f) for d, _, names in os.walk(f"{path}/base") for f in names
-                if f.endswith(".parquet") and f"bucket={bucket}" in d}
+        return {f.removeprefix("file:") for f in table.files.files(1 << 40, [bucket]).inputFiles()}
 
     table.create(start)
     touched = table.files.touched(start.where("k IN (3, 5)"))
@@ -335,8 +334,65 @@ def test_a_fold_rewrites_touched_buckets_only(spark):
         for k, v, op, _ in rows:
             expected.pop(k) if op == "-D" else expected.update({k: v})
         assert {r["k"]: r["v"] for r in table.current().collect()} == expected
-    assert all(files(b) == before[b] for b in range(8) if b not in touched)
+    assert all(files(b) == before[b] and len(before[b]) == 1 for b in range(8) if b not in touched)
     assert all(files(b) != before[b] for b in touched)
+    # Files that the last two bases do without are gone.
+    there = [f for _, _, names in os.walk(f"{path}/base-8") for f in names if f.endswith(".parquet")]
+    assert len(there) <= 8 + 2 * len(touched)
+
+
+def test_buckets_split_when_they_grow(spark):
+    """The table grows tenfold; it is the same for a reader that has only the path."""
+    schema = StructType.fromDDL("k bigint, v bigint, op string, at bigint")
+    row = StructType(schema.fields[:2])
+    path = fresh_dir(spark, "splits")
+
+    def open_table():
+        return UpsertTable(spark, path, row, ["k"], schema, ["at"], "insert", fold_every=1,
+                           buckets=2, bucket_rows=100)
+
+    table, expected, counts = open_table(), {}, []
+    for batch in range(6):
+        rows = spark.range(batch * 90, batch * 180 + 180).select(
+            F.col("id").alias("k"), F.lit(batch).cast("bigint").alias("v"), F.lit("+U").alias("op"),
+            F.col("id").alias("at"))
+        table.process(rows, batch)
+        expected |= {k: batch for k in range(batch * 90, batch * 180 + 180)}
+        counts.append(table.files.count())
+        assert {r["k"]: r["v"] for r in open_table().current().collect()} == expected
+    assert counts[0] == 2 and counts[-1] >= 8 and sorted(counts) == counts
+    assert max(r["n"] for r in table.current().groupBy(F.pmod(F.hash("k"), F.lit(counts[-1]))).agg(
+        F.count("*").alias("n")).collect()) < 300
+
+
+def test_a_read_does_not_move_the_base(spark):
+    """Only the changes are exchanged, as many ways as the base has buckets."""
+    start = spark.range(5000).select(F.col("id").alias("k"), F.lit(0).cast("bigint").alias("v"))
+    schema = StructType.fromDDL("k bigint, v bigint, op string, at bigint")
+    table = UpsertTable(spark, fresh_dir(spark, "unmoved"), start.schema, ["k"], schema, ["at"],
+                        "insert", ignore_delete=False, fold_every=2, buckets=8)
+    table.create(start)
+    table.process(spark.createDataFrame([(1, 1, "+U", 1), (9000, 2, "+I", 2), (2, 0, "-D", 3)], schema), 0)
+    now = table.current()
+    plan = now._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("== Initial Plan ==")[-1].splitlines()
+    scans = [n for n, line in enumerate(lines) if "Bucketed: true" in line]
+    assert len(scans) == 1
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-|"))
+
+    around, at = [], depth(lines[scans[0]])
+    for line in reversed(lines[:scans[0]]):  # the operators over the scan, up to the join
+        if depth(line) < at:
+            at = depth(line)
+            around.append(line)
+            if "Join" in line:
+                break
+    assert "Join" in around[-1] and not any("Exchange" in line for line in around)
+    assert any("Exchange hashpartitioning(k#" in line and ", 8)" in line for line in lines)
+    got = {r["k"]: r["v"] for r in now.collect()}
+    assert len(got) == 5000 and got[1] == 1 and got[9000] == 2 and 2 not in got
 
 
 def test_a_replayed_pipeline_batch_replaces_its_rows(spark):
