@@ -83,8 +83,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, ident: str = "d
 
     Dictionaries are trained on a sample of at most ``SAMPLE_DOCS`` documents and
     ``SAMPLE_BYTES`` bytes of each label from folds 0 and 1, the first by a hash
-    of the id; of a text of more than ``DOC_BYTES`` bytes pieces from its start to its end. All labelled rows of fold 3 calibrate: their differences are
-    counted in bins, and for each class of lengths the share of label 1 is made
+    of the id; of a text of more than ``DOC_BYTES`` bytes pieces from its start to its end.
+    All labelled rows of fold 3 calibrate: their differences are counted in bins, and for each class of lengths the share of label 1 is made
     to rise with the difference (isotonic regression, with a row of the overall
     share added to each level). Null ids, null labels and labels other than
     0 and 1 are passed over; a repeated label row counts again. Without rows of

@@ -147,9 +147,9 @@ def scan(spark: SparkSession, docs: DataFrame, text: str = "text", into: str = "
     """``docs`` with the secrets of each whole text, an array of (kind, start, end).
 
     Positions are code points, the end exclusive; spans are ordered by start, then
-    as ``KINDS`` are listed. A null or empty text has none; repeated rows are
-    scanned alike. Texts are scanned whole, in time that grows with their length. A column named like the new one is replaced; an empty table
-    gives no rows. Base kinds are kept whatever checksums say; tokens of the
+    as ``KINDS`` are listed. A null or empty text has none; repeated rows are scanned
+    alike. Texts are scanned whole, in time that grows with their length. A column
+    named like the new one is replaced; an empty table gives no rows. Base kinds are kept whatever checksums say; tokens of the
     other kinds only if what is built into them fits: a CRC-32, a header that names its
     algorithm, or labels that agree around base 64.
     """
