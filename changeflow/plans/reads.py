@@ -203,10 +203,20 @@ WIDE_KEY = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderkey * 1099511627
     f"(SELECT {WIDE_KEY} AS key FROM orders)", "key", 4))
 def chunks_wide_key(spark, sf_dir):
     """Keys beyond what a double holds, some of them null."""
-    orders = load(spark, sf_dir, "orders").selectExpr(f"{WIDE_KEY} AS key")
+    orders = wide_keys(load(spark, sf_dir, "orders"))
     return _chunk_sizes(orders, plan_by_rank(spark, orders, "key", 4), "key")
 
 
+def wide_keys(orders):
+    """The wide keys as bigints; as whole decimals where one would not fit a bigint."""
+    low, high = orders.where("o_orderkey % 50 <> 0").agg(
+        F.min("o_orderkey"), F.max("o_orderkey")).first()
+    if low is None or -(1 << 23) <= low and high < 1 << 23:
+        return orders.selectExpr(f"{WIDE_KEY} AS key")
+    decimals = WIDE_KEY.replace("ELSE o_orderkey", "ELSE CAST(o_orderkey AS DECIMAL(19, 0))")
+    return orders.selectExpr(f"CAST({decimals} AS DECIMAL(38, 0)) AS key")
+
+
 NAN_KEY = "CASE WHEN l_linenumber = 7 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice END"
 
 

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from changeflow.plans.reads import chunks_wide_key, wide_keys
 from changeflow.session import fresh_dir, written
 from changeflow.sources.chunks import (
     EvenChunks, chunk_rows, distribution_factor, even_ends, plan_by_rank, plan_chunks)
@@ -208,3 +209,27 @@ def test_a_crash_after_a_wave_goes_on_with_the_next(spark):
     assert rows == {i: 2 * i for i in range(1600)}
     assert before < {f for f in glob.glob(f"{out}/t/wave=*/*.parquet")}
     assert glob.glob(f"{out}/_staged/*") == []
+
+
+@pytest.mark.parametrize("keys, kind", [
+    ([-(1 << 23), 7, (1 << 23) - 1], "bigint"), ([1, 50 << 30, None], "bigint"), ([], "bigint"),
+    ([-(1 << 23) - 1, 7], "decimal(38,0)"), ([50, 1 << 23, (1 << 63) - 1], "decimal(38,0)")])
+def test_wide_keys_beyond_a_bigint(spark, keys, kind):
+    rows = wide_keys(spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint"))
+    want = [None if k is None or k % 50 == 0 else k * (1 << 40) + 1 for k in keys]
+    assert rows.dtypes == [("key", kind)]
+    assert [None if r["key"] is None else int(r["key"]) for r in rows.collect()] == want
+
+
+def test_wide_keys_of_a_large_table_are_chunked(spark):
+    folder = fresh_dir(spark, "wide-orders")
+    keys = range((1 << 23) - 40, (1 << 23) + 60)
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint").write.parquet(
+        f"{folder}/orders.parquet")
+    rows = sorted(chunks_wide_key(spark, folder).collect())
+    wide = [k * (1 << 40) + 1 for k in keys if k % 50]
+    ends = [*step_by_step(wide, 4), wide[-1] + 1]
+    parts = [[k for k in wide if low <= k < high] for low, high in zip([0, *ends], ends)]
+    nulls = len(keys) - len(wide)
+    assert [(r["n"], int(r["first_key"]), int(r["last_key"])) for r in rows] == [
+        (len(p) + (nulls if i == 0 else 0), p[0], p[-1]) for i, p in enumerate(parts)]
