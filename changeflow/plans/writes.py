@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow.fs import FileSystem
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from changeflow.plans.registry import load, query
 from changeflow.plans.shapes import NOW_MS
 from changeflow.session import fresh_dir, written
 from changeflow.sinks import files as W
-from changeflow.sinks.batched import refused_rows, write_batched, write_isolated
+from changeflow.sinks.batched import PackingStore, refused_rows, write_batched, write_isolated
 from changeflow.sinks.copytext import read_copy_text, write_copy_text
 from changeflow.sinks.index import Index
 from changeflow.sinks.quarantine import bad_rows, good_rows, write_with_quarantine
@@ -349,17 +350,18 @@ def write_batched_with_retry(spark, sf_dir):
 def write_isolated_query(spark, sf_dir):
     """A store that refuses batches with certain rows: these are set apart, the others stored."""
     path = fresh_dir(spark, "isolated")
-    store = _store(f"{path}/good")
+    store = PackingStore(f"{path}/good")
 
     def send(batch, task, name):
-        rows = batch.to_pandas()
-        at_fault = (rows["l_orderkey"] * 7 + rows["l_linenumber"]) % 499 == 0
-        if at_fault.any():
-            raise ValueError(f"{at_fault.sum()} rows refused")
-        store(rows, task, name)
+        marks = pc.add(pc.multiply(batch["l_orderkey"], 7), batch["l_linenumber"])
+        rest = pc.subtract(marks, pc.multiply(pc.divide(marks, 499), 499))
+        at_fault = pc.sum(pc.equal(rest, 0)).as_py()
+        if at_fault:
+            raise ValueError(f"{at_fault} rows refused")
+        store.send(batch, task, name)
 
     rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    numbers = write_isolated(rows, send, f"{path}/bad")
+    numbers = write_isolated(rows, send, f"{path}/bad", finish=store.finish)
     good, bad = spark.read.parquet(f"{path}/good"), refused_rows(spark, f"{path}/bad")
     right = numbers["stored"] == good.count() and numbers["refused"] == bad.count() \
         and numbers["sends"] < numbers["stored"]

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,10 @@ from pyspark.sql.types import StructField, StructType
 
 from changeflow.session import ship_package
 
-# Rows per batch, retries, seconds of the first pause and the
-# longest exponential pause.
+# Rows per batch and per packed file, retries, seconds of the first
+# pause and the longest exponential pause.
 BATCH_ROWS = 1000
+PACKED_ROWS = 1 << 17
 RETRIES = 3
 PAUSE = 1.0
 LONGEST_PAUSE = 256.0
@@ -147,7 +150,8 @@ def write_isolated(df: DataFrame, send: Callable[[pa.Table, int, str], object],
                    size: int = BATCH_ROWS, retries: int = RETRIES, base: float = PAUSE,
                    exponential: bool = False,
                    only: tuple[type[BaseException], ...] = (OSError,),
-                   on_failure: Callable[[DataFrame], object] | None = None) -> dict[str, int]:
+                   on_failure: Callable[[DataFrame], object] | None = None,
+                   finish: Callable[[int], object] | None = None) -> dict[str, int]:
     """Hand rows to a store in batches of ``size``; rows it refuses go to the folder ``bad``.
 
     ``send(table, task, name)`` stores all rows of an Arrow table or, raising one of
@@ -155,7 +159,8 @@ def write_isolated(df: DataFrame, send: Callable[[pa.Table, int, str], object],
     k bad rows among n cost about 2 k log2(n / k) sends and not n. Errors of ``only``
     are tried again as in :func:`write_batched`; others stop the job. A lost task is
     run again by Spark with the same rows and names, so ``send`` must be safe to repeat
-    for a (task, name).
+    for a (task, name). A store that packs many pieces together is told by
+    ``finish(task)`` that a task has sent its last one.
 
     Returns the numbers ``stored``, ``refused`` and ``sends``. ``on_failure`` then gets
     the refused rows, if any; :func:`refused_rows` reads them later.
@@ -183,14 +188,18 @@ def write_isolated(df: DataFrame, send: Callable[[pa.Table, int, str], object],
                 raise refusal[-1]
             stored += rows.num_rows
 
-        def report(**values) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{"task": task, **values}], arrow)
-
+        reports = []
         for number, batch in enumerate(tables_of(batches, size)):
             for row, error in halves(batch, attempt, str(number), refused):
-                yield report(row=row.to_pylist()[0], error=error)
+                reports.append({"task": task, "row": row.to_pylist()[0], "error": error})
+                if len(reports) == BATCH_ROWS:
+                    yield pa.RecordBatch.from_pylist(reports, arrow)
+                    reports = []
         if sends:
-            yield report(stored=stored, sends=sends)
+            if finish is not None:
+                with_retry(lambda: finish(task), retries, base, exponential, only)
+            reports.append({"task": task, "stored": stored, "sends": sends})
+            yield pa.RecordBatch.from_pylist(reports, arrow)
 
     ship_package(df.sparkSession)
     df.mapInArrow(write, schema).write.mode("overwrite").parquet(bad)
@@ -204,6 +213,33 @@ def write_isolated(df: DataFrame, send: Callable[[pa.Table, int, str], object],
     return numbers
 
 
+class PackingStore:
+    """A writer that packs what a task sends into files of about ``PACKED_ROWS`` rows.
+
+    Pieces may be of any size, as halves of refused batches are; ``finish`` writes the
+    last file of a task. Safe to repeat: the same pieces make the same files.
+    """
+
+    def __init__(self, path: str, file_rows: int = PACKED_ROWS):
+        self.path, self.file_rows = path, file_rows
+        self.held: dict[str, pa.Table] = {}
+        self.rows = self.files = 0
+
+    def send(self, rows: pa.Table, task: int, name: str) -> None:
+        self.rows += 0 if name in self.held else rows.num_rows
+        self.held[name] = rows
+        if self.rows >= self.file_rows:
+            self.finish(task)
+
+    def finish(self, task: int) -> None:
+        if self.held:
+            system, folder = FileSystem.from_uri(self.path)
+            system.create_dir(folder, recursive=True)
+            pq.write_table(pa.concat_tables(self.held.values()),
+                           f"{folder}/{task}-{self.files}.parquet", filesystem=system)
+            self.held, self.rows, self.files = {}, 0, self.files + 1
+
+
 def refused_rows(spark: SparkSession, bad: str) -> DataFrame:
     """The rows a store refused, with the ``_reason`` it gave."""
     return spark.read.parquet(bad).where("row IS NOT NULL") \

@@ -7,11 +7,13 @@ import time
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from changeflow.session import fresh_dir
-from changeflow.sinks.batched import halves, refused_rows, tables_of, write_isolated
+from changeflow.sinks.batched import (
+    PackingStore, halves, refused_rows, tables_of, write_isolated)
 from changeflow.sinks.store import FolderStore, TimedBuffer, store_format
 from changeflow.streaming.sources import table_stream
 
@@ -77,6 +79,35 @@ def test_refused_rows_are_set_apart(spark):
         "stored": 0, "refused": 0, "sends": 0}
 
 
+def test_pieces_are_packed_into_few_files(spark):
+    """Refused batches leave many small pieces; the number of files does not grow with them."""
+    path = fresh_dir(spark, "isolated-packed")
+    store = PackingStore(f"{path}/good", 1 << 12)
+
+    def send(table, task, name):
+        if any(v % 50 == 0 for v in table.column("id").to_pylist()):
+            raise ValueError("refused")
+        store.send(table, task, name)
+
+    numbers = write_isolated(spark.range(0, 20_000, 1, 2), send, f"{path}/bad", size=100,
+                             finish=store.finish)
+    good = [r["id"] for r in spark.read.parquet(f"{path}/good").collect()]
+    assert sorted(good) == [i for i in range(20_000) if i % 50]
+    assert numbers["stored"] == len(good) and numbers["refused"] == 400
+    assert refused_rows(spark, f"{path}/bad").count() == 400
+    assert len(os.listdir(f"{path}/good")) == 6 and numbers["sends"] > 2000
+
+
+def test_a_packing_store_may_be_sent_a_piece_again(tmp_path):
+    store = PackingStore(str(tmp_path), 5)
+    for name, rows in (("0", 2), ("0", 2), ("1.0", 1), ("1.1", 2), ("2", 1)):
+        store.send(pa.table({"x": [name] * rows}), 3, name)
+    store.finish(3)
+    store.finish(3)
+    found = {f: pq.read_table(tmp_path / f)["x"].to_pylist() for f in os.listdir(tmp_path)}
+    assert found == {"3-0.parquet": ["0", "0", "1.0", "1.1", "1.1"], "3-1.parquet": ["2"]}
+
+
 def test_other_errors_stop_the_job(spark):
     def send(table, task, name):
         raise KeyError("no such table")
