@@ -32,7 +32,7 @@ from changeflow.streaming.sinks import (
 from changeflow.streaming.sources import (
     change_stream, json_stream, queue_stream, table_stream, text_stream)
 
-FILES, FILE_ROWS = 4, 250_000
+FILES, FILE_ROWS = 4, 1 << 21
 
 
 def file_count(df):

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from changeflow.operators.changelog import apply_changelog
 from changeflow.operators.counting import pv_uv
 from changeflow.plans.jobs import run_pipeline
+from changeflow.plans.streams import file_count
 from changeflow.session import fresh_dir
 from changeflow.streaming.counting import ContinuousPvUv, CountChanges
 from changeflow.streaming.ledger import Ledger, UpsertTable
@@ -416,3 +417,9 @@ def test_late_messages_are_counted(spark):
     query.awaitTermination()
     kept = {r["id"] for r in spark.read.parquet(out).collect()}
     assert kept | {3} == {1, 2, 3, 4} and late_messages(query) == 4 - len(kept)
+
+
+@pytest.mark.parametrize("rows, files", [(0, 4), (1000, 4), (6_000_000, 4), (72_000_000, 35)])
+def test_a_replayed_table_has_few_files(spark, rows, files):
+    """A batch costs its start and a look at the state, whatever its size."""
+    assert file_count(spark.range(rows)) == files
