@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -332,6 +332,34 @@ def _rows(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, ROW), sizes
 
 
+LETTER_BINS = 64  # in which the letters of a line are counted
+
+
+def _letter_counts(forms: list[str], sizes: np.ndarray) -> np.ndarray:
+    """How many letters of each bin a form has, a row each; counts stop at the largest 16-bit one."""
+    text = np.frombuffer("".join(forms).encode("utf-32-le", "surrogatepass"), "<u4")
+    row = np.repeat(np.arange(len(forms)), sizes)
+    places = row * LETTER_BINS + text % LETTER_BINS
+    counts = np.bincount(places, minlength=len(forms) * LETTER_BINS)
+    return np.minimum(counts, (1 << 15) - 1).astype("i2").reshape(-1, LETTER_BINS)
+
+
+def _may_be_alike(counts: np.ndarray, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether so many changes can make the letters of one form those of the other.
+
+    A change takes one letter away at most and adds one at most, so this never rules
+    out two forms within that distance.
+    """
+    out = np.empty(len(i), bool)
+    for at in range(0, len(i), 1 << 13):
+        piece = slice(at, at + (1 << 13))
+        differ = counts[i[piece]] - counts[j[piece]]
+        more = np.maximum(differ, 0).sum(axis=1, dtype="i8")
+        less = more - differ.sum(axis=1, dtype="i8")
+        out[piece] = np.maximum(more, less) <= most[piece]
+    return out
+
+
 def _who(ident: str, text: str) -> list[Column]:
     """A document: its ident and its text's hash; rows equal in both are the same one."""
     return [F.col(ident).alias("ident"), F.xxhash64(F.col(text), F.col(text).isNull()).alias("text_hash")]
@@ -412,9 +440,11 @@ def _sides(table: pa.Table) -> tuple[np.ndarray, ...]:
 
 
 def _near(starts: np.ndarray, bits: np.ndarray, mine: np.ndarray, crossing: np.ndarray,
-          long: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+          long: np.ndarray, max_bits: int,
+          root: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of the same group that are close: two long lines if their bits differ in
     ``max_bits`` places at most, two short ones in ``SHORT_BITS``; one of each always.
+    Rows of the same ``root``, if given, are passed over.
 
     Small groups are paired together; a large one is a table of its rows, or of the
     rows of its two blocks.
@@ -428,6 +458,8 @@ def _near(starts: np.ndarray, bits: np.ndarray, mine: np.ndarray, crossing: np.n
         i, j = rows[i], rows[j]
         near = _few(np.bitwise_count(bits[i] ^ bits[j]), long[i], long[j], max_bits)
         near &= ~crossing[i] | (mine[i] != mine[j])
+        if root is not None:
+            near &= root[i] != root[j]
         yield i[near], j[near]
     for start, end in zip(starts[~small], ends[~small]):
         group = np.arange(start, end)
@@ -437,7 +469,10 @@ def _near(starts: np.ndarray, bits: np.ndarray, mine: np.ndarray, crossing: np.n
         for at in range(0, len(left), 256):
             piece = left[at:at + 256]
             differ = np.bitwise_count(bits[piece][:, None] ^ bits[right])
-            i, j = np.nonzero(_few(differ, long[piece][:, None], long[right], max_bits))
+            near = _few(differ, long[piece][:, None], long[right], max_bits)
+            if root is not None:
+                near &= root[piece][:, None] != root[right]
+            i, j = np.nonzero(near)
             i, j = piece[i], right[j]
             once = (i < j) | crossing[start]
             yield i[once], j[once]
@@ -452,44 +487,48 @@ def _alike(close: DataFrame, formed: DataFrame, max_bits: int, similar: float) -
 
     A list of more than ``VERIFIED`` lines is cut to blocks. Lines that are alike inside a
     block are linked, and one of them goes on to the next round, where blocks
-    are cut anew from what is left; so a large group of like lines shrinks, and its
-    texts do not meet pair by pair. When a round leaves most lines, which are not alike
-    then, the rest is compared block by block.
+    are cut anew from what is left; so a large group of like lines shrinks. What a round
+    leaves says nothing of the lines that went, which may be like others too. So when
+    rounds no longer shrink the lists, all their lines are compared block by block,
+    but for those that links join already.
     """
-    rows, links, left = close, [], None
+    rows, links, large, left = close, [], None, None
     while True:
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
         blocks = F.ceil(F.col("members") / VERIFIED).cast("int")
         mine = F.pmod(F.xxhash64("cid", F.lit(len(links))), F.col("blocks")).cast("int")
         dealt = rows.join(sizes, "key").withColumn("blocks", blocks).withColumn("mine", mine) \
-            .withColumns({"lo": F.col("mine"), "hi": F.col("mine")}).drop("members")
+            .withColumns({"lo": F.col("mine"), "hi": F.col("mine"), "root": F.col("cid")}) \
+            .drop("members")
         if not links:  # lists of one block, where two lines need to meet only once
             dealt = written(dealt, "lists")
             lists = dealt.where("blocks = 1").groupBy("cid").agg(F.collect_list("key").alias("lists"))
             formed = written(formed.join(lists, "cid", "left"), "forms")
+            large = dealt.where("blocks > 1").select("key", "cid")
+            left = large.count()
         found = written(_verified(dealt.join(formed, "cid"), max_bits, similar, not links), "alike")
         links.append(found.where("b IS NOT NULL").select("a", "b"))
         rows = found.where("b IS NULL").select("key", F.col("a").alias("cid"))
         before, left = left, rows.count()
-        if left == 0:
-            break
-        if before is not None and left > SHRINK * before:
-            rest = spread(rows, ["key"], "cid", VERIFIED).withColumn("blocks", F.lit(1))
-            links.append(written(_verified(rest.join(formed, "cid"), max_bits, similar, False),
-                                 "alike").select("a", "b"))
+        if left == 0 or left > SHRINK * before:
             break
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+    if left or len(links) > 1:
+        joined = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "cid")
+        rest = spread(large.join(joined, "cid", "left")
+                      .withColumn("root", F.coalesce("root", "cid")), ["key"], "cid", VERIFIED) \
+            .withColumn("blocks", F.lit(1))
+        links.append(written(_verified(rest.join(formed, "cid"), max_bits, similar, False),
+                             "alike").select("a", "b"))
+    return reduce(DataFrame.unionByName, links)
 
 
 def _verified(members: DataFrame, max_bits: int, similar: float, once: bool) -> DataFrame:
     """Rows (key, a, b): lines that are linked; and (key, a, null): lines of a list of several
     blocks that go on for all that are linked to them.
 
-    Lines that other links already join within a task are not compared again, and with
-    ``once`` lines that meet in several lists of one block each only in the first of them.
+    Lines that other links already join, within a task or by their ``root``, are not
+    compared again, and with ``once`` lines that meet in several lists of one block each
+    only in the first of them.
     """
     keys = ["key", "lo", "hi"]
 
@@ -499,6 +538,7 @@ def _verified(members: DataFrame, max_bits: int, similar: float, once: bool) ->
             several = column(table, "blocks") > 1
             forms = table.column("form").to_pylist()
             rows, sizes = _rows(forms)
+            counts, root = _letter_counts(forms, sizes), column(table, "root")
             lists = [set(k or ()) for k in table.column("lists").to_pylist()]
             parent = list(range(table.num_rows))
 
@@ -507,11 +547,13 @@ def _verified(members: DataFrame, max_bits: int, similar: float, once: bool) ->
                     parent[x] = x = parent[parent[x]]
                 return x
 
-            for i, j in _near(starts, *_sides(table), max_bits):
+            for i, j in _near(starts, *_sides(table), max_bits, root):
                 longer = np.maximum(sizes[i], sizes[j])
                 most = ((1 - similar) * longer + 1e-9).astype("i8")
                 fits = np.abs(sizes[i] - sizes[j]) <= most
                 i, j, longer, most = i[fits], j[fits], longer[fits], most[fits]
+                fits = _may_be_alike(counts, i, j, most)
+                i, j, longer, most = i[fits], j[fits], longer[fits], most[fits]
                 alike = longer > ROW  # these are looked at one by one
                 for at in range(0, len(i), 1 << 14):
                     piece = at + np.flatnonzero(~alike[at:at + (1 << 14)])
@@ -537,7 +579,8 @@ def _verified(members: DataFrame, max_bits: int, similar: float, once: bool) ->
                 pa.array(np.concatenate([cids[roots[moved]], cids[on]]),
                          mask=np.arange(moved.sum() + on.sum()) >= moved.sum())], ["key", "a", "b"])
 
-    return gathered(members.select("cid", "bits", "long", "form", "lists", "mine", "blocks", *keys),
+    return gathered(members.select("cid", "bits", "long", "form", "lists", "mine", "blocks", "root",
+                                   *keys),
                     keys).mapInArrow(verify, "key int, a bigint, b bigint")
 
 

@@ -324,3 +324,32 @@ def test_lists_of_unlike_lines_are_compared_block_by_block(spark, monkeypatch):
     table = spark.createDataFrame(rows, "doc_id bigint, text string")
     gone = {r["doc_id"] for r in without_repeats(spark, table).where("text = ''").collect()}
     assert gone == {r[0] for r in rows if r[0] % 2}
+
+
+def test_large_lists_keep_the_links_of_lines_that_do_not_go_on(spark, monkeypatch):
+    """Of three lines the middle one is like both others, which are not alike themselves."""
+    monkeypatch.setattr(line_dedup, "VERIFIED", 16)
+    rows = []
+    for n in range(20):
+        x = [chr(0x4E00 + n * 40 + k) for k in range(14)]
+        for form in (x[:10], x[10:12] + x[2:10], x[10:14] + x[4:10]):
+            rows.append((len(rows), 0, False, "".join(form)))
+    formed = spark.createDataFrame(rows, "cid long, bits long, long boolean, form string")
+    close = formed.selectExpr("1 AS key", "cid")
+    found = line_dedup.components(line_dedup._alike(close, formed, 17, 0.8)).collect()
+    assert {r["node"]: r["root"] for r in found} == {n: n - n % 3 for n in range(60)}
+
+
+def test_the_bound_by_letters_is_a_bound():
+    draw = random.Random(3)
+    forms = ["".join(draw.choice("abcdé \U0001f600\ud800") for _ in range(draw.randrange(0, 30)))
+             for _ in range(60)]
+    sizes = np.array([len(f) for f in forms])
+    counts = line_dedup._letter_counts(forms, sizes)
+    i, j = (a.ravel() for a in np.indices((60, 60)))
+    exact = np.array([distance(forms[a], forms[b]) for a, b in zip(i, j)])
+    assert line_dedup._may_be_alike(counts, i, j, exact).all()
+    assert not line_dedup._may_be_alike(counts, i, j, np.maximum(exact // 3, 0)).all()
+    many = ["a" * 70_000, "a" * 40_000 + "b" * 30_000]
+    counts = line_dedup._letter_counts(many, np.array([70_000, 70_000]))
+    assert line_dedup._may_be_alike(counts, np.array([0]), np.array([1]), np.array([30_000])).all()
