@@ -10,11 +10,11 @@ from functools import lru_cache, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import column, components, gathered, majority_bits, pairs_in, ready, \
-    slices, spread, texts, whole_groups
+    slices, texts, whole_groups
 from changeflow.session import written
 
 MAX_BITS = 17  # that the SimHashes of two long lines may differ in
@@ -28,7 +28,7 @@ KEYS = 6  # triples or runs a line is sought by
 BLOCK = 1024  # lines of a list that one task compares with each other
 VERIFIED = 256  # lines of a list whose texts one task compares
 LARGE = 64  # lines from which on a list is compared as a table
-SHRINK = 0.75  # of a list's lines left after a round, below which another round pays
+JOINT = 8  # alike lines of a block from which on one of them goes on to another round
 BLOOM = 1 << 25  # bits of the filter in front of the second reading, 4 MB
 BASE = 0x9E3779B97F4A7C15  # an odd number whose powers weigh the bytes of a word
 # Characters that are no letters or digits part words like blanks: ASCII ones, and others.
@@ -208,7 +208,7 @@ def within(a: str, b: str, similar: float = SIMILAR) -> bool:
     if max(len(a), len(b)) <= most:
         return True
     left, right = a.split(" "), b.split(" ")
-    if _at_most(left, right) <= most:
+    if _at_most(left, right, most) <= most:
         return True
     have, want = Counter(a), Counter(b)
     if max((have - want).total(), (want - have).total()) > most:
@@ -232,13 +232,14 @@ def _common(a: str, b: str) -> int:
 LOOK = 6  # words that are passed over to find the next common one
 
 
-def _at_most(left: list[str], right: list[str]) -> int:
+def _at_most(left: list[str], right: list[str], enough: int = 1 << 62) -> int:
     """A number of changes of letters that makes one list of words the other.
 
-    Words that do not agree are replaced as a whole, up to the next that do.
+    Words that do not agree are replaced as a whole, up to the next that do; beyond
+    ``enough`` changes all that is left.
     """
     cost = i = j = 0
-    while i < len(left) and j < len(right):
+    while i < len(left) and j < len(right) and cost <= enough:
         if left[i] == right[j]:
             i += 1
             j += 1
@@ -266,35 +267,33 @@ def _found(words: list[str], word: str, first: int, end: int) -> int:
     return next((n for n in range(first, min(end, len(words))) if words[n] == word), -1)
 
 
+LOOK_AT = 32  # letters after which a distance is looked at
+
+
 def _distance(a: str, b: str, most: int) -> int:
     """Levenshtein's distance, a column of the table as the bits of two numbers.
 
-    The bits tell where the distance to the next row rises or falls. It stops, with
-    a number above ``most``, where the rest of ``b`` can no longer bring it down.
+    The bits tell where the distance to the next row rises or falls; with the column's
+    number they give the distance in its last row. It stops, with a number above ``most``,
+    where the rest of ``b`` can no longer bring it down.
     """
-    if not a:
-        return len(b)
     at: dict[str, int] = {}
     for i, letter in enumerate(a):
         at[letter] = at.get(letter, 0) | 1 << i
-    every, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    rises, falls, found = every, 0, len(a)
-    for left, letter in zip(range(len(b) - 1, -1, -1), b):
-        same = at.get(letter, 0)
-        steady = (((same & rises) + rises) ^ rises) | same
-        up = falls | (every & ~(steady | rises))
-        down = rises & steady
-        if up & top:
-            found += 1
-        elif down & top:
-            found -= 1
-        if found - left > most:
+    rows = [at.get(letter, 0) for letter in b]
+    every = (1 << len(a)) - 1
+    rises, falls = every, 0
+    for done in range(0, len(b), LOOK_AT):
+        for same in rows[done:done + LOOK_AT]:
+            steady = ((((same & rises) + rises) ^ rises) | same | falls) & every
+            up = (falls | (every ^ (steady | rises))) << 1 | 1
+            falls = up & steady
+            rises = (((rises & steady) << 1) | (every ^ ((steady | up) & every))) & every
+        done = min(done + LOOK_AT, len(b))
+        found = done + rises.bit_count() - falls.bit_count()
+        if found - (len(b) - done) > most:
             return most + 1
-        up = (up << 1 | 1) & every
-        same |= falls
-        rises = (down << 1) & every | (every & ~(same | up))
-        falls = up & same
-    return found
+    return found if b else len(a)
 
 
 ROW = 64  # letters of lines whose distances are taken many at once
@@ -369,7 +368,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """Each line with words or signs: its document, number, hashes, SimHash and keys.
 
     ``h1`` and ``h2`` are of the normal form, ``raw`` of the line as it stands;
-    ``long`` tells whether it has ``LONG`` words.
+    ``size`` is the form's number of letters, negative if it has ``LONG`` words.
     """
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -377,7 +376,7 @@ def _lines(docs: DataFrame) -> DataFrame:
                 yield _cut(piece)
 
     added = {"line": "int", "h1": "bigint", "h2": "bigint", "bits": "bigint", "raw": "bigint",
-             "long": "boolean"}
+             "size": "int"}
     schema = docs.drop("text").withColumns({
         **{name: F.lit(0).cast(kind) for name, kind in added.items()},
         "keys": F.array(F.lit(0))}).schema
@@ -393,7 +392,7 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
                 rows.append(row)
                 numbers.append(number)
                 forms.append(form)
-                raw.append(xxhash.xxh64_intdigest(line.encode("utf-8", "replace"), 42))
+                raw.append(_raw(line))
     both = _marks(forms)
     out = batch.drop_columns(["text"]).take(pa.array(rows, pa.int64()))
     words = Words(forms) if forms else None
@@ -404,46 +403,79 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
             ("h2", pa.array(both[:, 1])),
             ("bits", pa.array((words.simhashes() if words else np.zeros(0, "<u8")).view("<i8"))),
             ("raw", pa.array(np.array(raw, "<u8").view("<i8"))),
-            ("long", pa.array(words.sizes >= LONG if words else [], pa.bool_())),
+            ("size", pa.array(_sizes(words) if words else np.zeros(0, "i4"))),
             ("keys", pa.ListArray.from_arrays(pa.array(ends), pa.array(key.view("<i4"))))):
         out = out.append_column(name, values)
     return out
 
 
+def _sizes(words: Words) -> np.ndarray:
+    """The number of letters of each form, negative for those of ``LONG`` words or more."""
+    text = np.frombuffer(b"\n".join(words.forms), "u1")
+    starts = np.cumsum([0] + [len(f) + 1 for f in words.forms[:-1]])
+    # Bytes that go on with a letter are none of their own; nor is the line feed between forms.
+    letters = np.add.reduceat((text & 0xC0 != 0x80).astype("i4"), starts)
+    letters[:-1] -= 1
+    return np.where(words.sizes >= LONG, -letters, letters).astype("i4")
+
+
+def _raw(line: str) -> int:
+    return xxhash.xxh64_intdigest(line.encode("utf-8", "replace"), 42)
+
+
 def _marks(forms: list[bytes]) -> np.ndarray:
     """The two halves of each form's 128-bit hash."""
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, forms)), "<i8").reshape(-1, 2)
 
 
-def _close(distinct: DataFrame, max_bits: int) -> DataFrame:
+def _close(distinct: DataFrame, max_bits: int, similar: float) -> DataFrame:
     """(key, cid) of the lines that have a close partner in the list of a key."""
-    listed = distinct.select("cid", "bits", "long", F.explode("keys").alias("key"))
+    listed = distinct.select("cid", "bits", "size", F.explode("keys").alias("key"))
+    members = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    listed = listed.withColumn("members", members).where("members > 1")
     keys = ["key", "lo", "hi"]
-    dealt = gathered(spread(listed, ["key"], "cid", BLOCK), keys)
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, keys):
             met = np.zeros(table.num_rows, bool)
-            for i, j in _near(starts, *_sides(table), max_bits):
+            for i, j in _near(starts, *_sides(table), max_bits, similar):
                 met[i] = met[j] = True
             yield pa.RecordBatch.from_arrays([pa.array(column(table, "key")[met]),
                                               pa.array(column(table, "cid")[met])], ["key", "cid"])
 
-    return dealt.select("cid", "bits", "long", "mine", *keys) \
+    return gathered(_dealt(listed, BLOCK), keys).select("cid", "bits", "size", "mine", *keys) \
         .mapInArrow(compare, "key int, cid bigint").distinct()
 
 
+def _dealt(listed: DataFrame, block: int) -> DataFrame:
+    """Rows of lists of so many ``members``, dealt to pairs of blocks as ``spread`` does."""
+    blocks = F.ceil(F.col("members") / block)
+    mine = F.pmod(F.xxhash64("cid"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int")))
+    return listed.withColumn("mine", mine).withColumn("other", other).withColumns({
+        "lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")}).drop("other", "members")
+
+
+def _listed(close: DataFrame) -> DataFrame:
+    """The lists of each line, in order: those of one block of ``VERIFIED`` lines, and larger ones."""
+    members = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    small = F.col("members") <= VERIFIED
+    return close.withColumn("members", members).where("members > 1").groupBy("cid").agg(
+        F.sort_array(F.collect_list(F.when(small, F.col("key")))).alias("lists"),
+        F.sort_array(F.collect_list(F.when(~small, F.struct("key", "members")))).alias("larges"))
+
+
 def _sides(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """SimHashes, own blocks, whether two blocks meet, and whether lines are long."""
+    """SimHashes, own blocks, whether two blocks meet, and lines' sizes."""
     return (column(table, "bits").view("<u8"), column(table, "mine"),
-            column(table, "lo") != column(table, "hi"), column(table, "long"))
+            column(table, "lo") != column(table, "hi"), column(table, "size"))
 
 
 def _near(starts: np.ndarray, bits: np.ndarray, mine: np.ndarray, crossing: np.ndarray,
-          long: np.ndarray, max_bits: int,
+          size: np.ndarray, max_bits: int, similar: float,
           root: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of the same group that are close: two long lines if their bits differ in
-    ``max_bits`` places at most, two short ones in ``SHORT_BITS``; one of each always.
+    """Rows of the same group that are close: their sizes let them be alike, and if both are
+    long their bits differ in ``max_bits`` places at most, if both are short in ``SHORT_BITS``.
     Rows of the same ``root``, if given, are passed over.
 
     Small groups are paired together; a large one is a table of its rows, or of the
@@ -454,13 +486,19 @@ def _near(starts: np.ndarray, bits: np.ndarray, mine: np.ndarray, crossing: np.n
     own = np.repeat(small, ends - starts)
     rows = np.flatnonzero(own)
     sizes = (ends - starts)[small]
+    letters, long = np.abs(size), size < 0
+
+    def fitting(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fits = np.abs(letters[i] - letters[j]) <= _most(letters[i], letters[j], similar)
+        return i[fits], j[fits]
+
     for i, j in pairs_in(np.cumsum(sizes) - sizes, len(rows)):
         i, j = rows[i], rows[j]
         near = _few(np.bitwise_count(bits[i] ^ bits[j]), long[i], long[j], max_bits)
         near &= ~crossing[i] | (mine[i] != mine[j])
         if root is not None:
             near &= root[i] != root[j]
-        yield i[near], j[near]
+        yield fitting(i[near], j[near])
     for start, end in zip(starts[~small], ends[~small]):
         group = np.arange(start, end)
         left = right = group
@@ -475,113 +513,175 @@ def _near(starts: np.ndarray, bits: np.ndarray, mine: np.ndarray, crossing: np.n
             i, j = np.nonzero(near)
             i, j = piece[i], right[j]
             once = (i < j) | crossing[start]
-            yield i[once], j[once]
+            yield fitting(i[once], j[once])
 
 
 def _few(differ: np.ndarray, one: np.ndarray, other: np.ndarray, max_bits: int) -> np.ndarray:
     return (one != other) | (differ <= np.where(one, max_bits, SHORT_BITS))
 
 
+def _most(one: np.ndarray, other: np.ndarray, similar: float) -> np.ndarray:
+    """How many letters may be changed between lines of these sizes that are alike."""
+    return ((1 - similar) * np.maximum(one, other) + 1e-9).astype("i8")
+
+
 def _alike(close: DataFrame, formed: DataFrame, max_bits: int, similar: float) -> DataFrame:
-    """Links (a, b) that join the lines of a list that are close and alike.
+    """Links (a, b) of lines that are close and alike, directly or by way of others: b is the
+    same line for all that are joined.
 
     A list of more than ``VERIFIED`` lines is cut to blocks. Lines that are alike inside a
-    block are linked, and one of them goes on to the next round, where blocks
-    are cut anew from what is left; so a large group of like lines shrinks. What a round
-    leaves says nothing of the lines that went, which may be like others too. So when
-    rounds no longer shrink the lists, all their lines are compared block by block,
-    but for those that links join already.
+    block are linked, and where they are many one of them goes on to the next round, where
+    blocks are cut anew from what is left; so a large group of like lines is joined without
+    its texts meeting pair by pair. What a round leaves says nothing of the lines that went,
+    which may be like others too. So after the rounds all lines of these lists are compared
+    block by block, but for those that links join already.
     """
-    rows, links, large, left = close, [], None, None
+    letters = F.length("form")
+    met = written(formed.select("cid", "bits", F.when(F.col("long"), -letters).otherwise(letters)
+                                .alias("size")).join(_listed(close), "cid"), "met")
+    formed = formed.select("cid", "form")
+    large = met.select("cid", F.explode("larges").alias("list")).select("cid", "list.*")
+    met = met.withColumn("larges", F.col("larges.key"))
+    rows, links = close, []
     while True:
-        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        members = F.count(F.lit(1)).over(Window.partitionBy("key"))
         blocks = F.ceil(F.col("members") / VERIFIED).cast("int")
         mine = F.pmod(F.xxhash64("cid", F.lit(len(links))), F.col("blocks")).cast("int")
-        dealt = rows.join(sizes, "key").withColumn("blocks", blocks).withColumn("mine", mine) \
-            .withColumns({"lo": F.col("mine"), "hi": F.col("mine"), "root": F.col("cid")}) \
-            .drop("members")
-        if not links:  # lists of one block, where two lines need to meet only once
-            dealt = written(dealt, "lists")
-            lists = dealt.where("blocks = 1").groupBy("cid").agg(F.collect_list("key").alias("lists"))
-            formed = written(formed.join(lists, "cid", "left"), "forms")
-            large = dealt.where("blocks > 1").select("key", "cid")
-            left = large.count()
-        found = written(_verified(dealt.join(formed, "cid"), max_bits, similar, not links), "alike")
+        dealt = rows.withColumn("members", members).where("members > 1") \
+            .withColumn("blocks", blocks).withColumn("mine", mine).drop("members") \
+            .withColumns({"lo": F.col("mine"), "hi": F.col("mine"), "root": F.col("cid")})
+        found = written(_verified(dealt.join(met, "cid"), formed, max_bits, similar), "alike")
         links.append(found.where("b IS NOT NULL").select("a", "b"))
         rows = found.where("b IS NULL").select("key", F.col("a").alias("cid"))
-        before, left = left, rows.count()
-        if left == 0 or left > SHRINK * before:
+        if rows.isEmpty():
             break
-    if left or len(links) > 1:
-        joined = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "cid")
-        rest = spread(large.join(joined, "cid", "left")
-                      .withColumn("root", F.coalesce("root", "cid")), ["key"], "cid", VERIFIED) \
-            .withColumn("blocks", F.lit(1))
-        links.append(written(_verified(rest.join(formed, "cid"), max_bits, similar, False),
-                             "alike").select("a", "b"))
-    return reduce(DataFrame.unionByName, links)
+    joined = components(reduce(DataFrame.unionByName, links))
+    if large.isEmpty():
+        return joined.toDF("a", "b")
+    joined = written(joined, "joined")
+    keys = Window.partitionBy("key")
+    rest = large.join(joined.withColumnRenamed("node", "cid"), "cid", "left") \
+        .withColumn("root", F.coalesce("root", "cid")) \
+        .withColumn("apart", F.min("root").over(keys) < F.max("root").over(keys)) \
+        .where("apart").drop("apart")
+    rest = _dealt(rest, VERIFIED).withColumn("blocks", F.lit(1)).join(met, "cid")
+    more = components(written(_verified(rest, formed, max_bits, similar, True), "alike")
+                      .select("a", "b"))
+    # The second links are of roots: a root that they move takes its lines along.
+    moved = more.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return joined.union(moved.select("root", "root")).distinct().join(moved, "root", "left") \
+        .select(F.col("node").alias("a"), F.coalesce("top", "root").alias("b")).distinct()
+
+
+def _shared(lists: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The first list that two rows have in common, ``NOWHERE`` if there is none."""
+    out = np.full(len(i), NOWHERE)
+    for at in range(0, len(i), 1 << 14):
+        left, right = lists[i[at:at + (1 << 14)]], lists[j[at:at + (1 << 14)]]
+        first = out[at:at + (1 << 14)]
+        for place in range(lists.shape[1] - 1, -1, -1):
+            there = (left[:, place:place + 1] == right).any(axis=1)
+            first[there] = left[there, place]
+    return out
+
+
+NOWHERE = 1 << 40  # beyond all keys
+
+
+def _padded(table: pa.Table, name: str) -> np.ndarray:
+    """A column of lists as a table; the places left over agree with no other row's."""
+    lists = table.column(name).combine_chunks()
+    sizes = lists.value_lengths().to_numpy()
+    out = np.full((len(sizes), int(sizes.max(initial=0))), NOWHERE) + np.arange(len(sizes))[:, None]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = \
+        lists.flatten().to_numpy()
+    return out
 
 
-def _verified(members: DataFrame, max_bits: int, similar: float, once: bool) -> DataFrame:
+def _own(table: pa.Table, starts: np.ndarray, max_bits: int, similar: float,
+         last: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Close rows, each pair in one list only: the first of one block that both are in.
+
+    Rows that are in no such list together are compared in each block of a larger one that
+    they meet in, and in the ``last`` round in the first of the larger ones.
+    """
+    key, lists, larges = column(table, "key"), _padded(table, "lists"), _padded(table, "larges")
+    for i, j in _near(starts, *_sides(table), max_bits, similar, column(table, "root")):
+        first = _shared(lists, i, j)
+        if last:
+            own = first == NOWHERE
+            i, j = i[own], j[own]
+            own = _shared(larges, i, j) == key[i]
+        else:
+            own = (first == NOWHERE) | (first == key[i])
+        yield i[own], j[own]
+
+
+def _verified(members: DataFrame, formed: DataFrame, max_bits: int, similar: float,
+              last: bool = False) -> DataFrame:
     """Rows (key, a, b): lines that are linked; and (key, a, null): lines of a list of several
-    blocks that go on for all that are linked to them.
+    blocks that go on for the many that are linked to them. In the ``last`` round a and b are
+    roots.
 
     Lines that other links already join, within a task or by their ``root``, are not
-    compared again, and with ``once`` lines that meet in several lists of one block each
-    only in the first of them.
+    compared again, and two lines that meet in several lists only in one of them. So texts go
+    only to lists where their line has a partner of its own.
     """
     keys = ["key", "lo", "hi"]
+    marked = ["bits", "size", "mine", "blocks", "root", "lists", "larges", *keys]
+
+    def partners(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, keys):
+            met = np.zeros(table.num_rows, bool)
+            for i, j in _own(table, starts, max_bits, similar, last):
+                met[i] = met[j] = True
+            yield from table.filter(pa.array(met)).to_batches()
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, keys, 1 << 10):
-            cids, key = column(table, "cid"), column(table, "key")
-            several = column(table, "blocks") > 1
+            ends, node = np.unique(column(table, "root" if last else "cid"), return_inverse=True)
             forms = table.column("form").to_pylist()
             rows, sizes = _rows(forms)
-            counts, root = _letter_counts(forms, sizes), column(table, "root")
-            lists = [set(k or ()) for k in table.column("lists").to_pylist()]
-            parent = list(range(table.num_rows))
+            parent, nodes = list(range(len(ends))), node.tolist()
 
             def top(x: int) -> int:
                 while parent[x] != x:
                     parent[x] = x = parent[parent[x]]
                 return x
 
-            for i, j in _near(starts, *_sides(table), max_bits, root):
-                longer = np.maximum(sizes[i], sizes[j])
-                most = ((1 - similar) * longer + 1e-9).astype("i8")
-                fits = np.abs(sizes[i] - sizes[j]) <= most
-                i, j, longer, most = i[fits], j[fits], longer[fits], most[fits]
-                fits = _may_be_alike(counts, i, j, most)
-                i, j, longer, most = i[fits], j[fits], longer[fits], most[fits]
-                alike = longer > ROW  # these are looked at one by one
-                for at in range(0, len(i), 1 << 14):
-                    piece = at + np.flatnonzero(~alike[at:at + (1 << 14)])
+            for i, j in _own(table, starts, max_bits, similar, last):
+                most, single = _most(sizes[i], sizes[j], similar), np.maximum(sizes[i], sizes[j]) > ROW
+                alike = single.copy()  # these are looked at one by one
+                short = np.flatnonzero(~single)
+                if len(short):
+                    at, place = np.unique(np.concatenate([i[short], j[short]]), return_inverse=True)
+                    counts = _letter_counts([forms[n] for n in at.tolist()], sizes[at])
+                    short = short[_may_be_alike(counts, place[:len(short)], place[len(short):],
+                                                most[short])]
+                for at in range(0, len(short), 1 << 14):
+                    piece = short[at:at + (1 << 14)]
                     a, b = i[piece], j[piece]
                     alike[piece] = distances(rows[a], sizes[a], rows[b], sizes[b]) <= most[piece]
-                i, j, single = i[alike], j[alike], longer[alike] > ROW
-                for x, y, look in zip(i.tolist(), j.tolist(), single.tolist()):
-                    x_top, y_top = top(x), top(y)
-                    if x_top == y_top:
+                for x, y, look in zip(i[alike].tolist(), j[alike].tolist(), single[alike].tolist()):
+                    x_top, y_top = top(nodes[x]), top(nodes[y])
+                    if x_top == y_top or look and not within(forms[x], forms[y], similar):
                         continue
-                    if look:
-                        if once and not several[x] and min(lists[x] & lists[y]) != key[x]:
-                            continue
-                        if not within(forms[x], forms[y], similar):
-                            continue
                     parent[max(x_top, y_top)] = min(x_top, y_top)
             roots = np.array([top(x) for x in parent], "i8")
             moved = roots != np.arange(len(roots))
-            on = several & ~moved
+            joint = np.bincount(roots, minlength=len(ends)) >= JOINT
+            on = (column(table, "blocks") > 1) & ~moved[node] & joint[node]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([key[moved], key[on]])),
-                pa.array(np.concatenate([cids[moved], cids[on]])),
-                pa.array(np.concatenate([cids[roots[moved]], cids[on]]),
+                pa.array(np.concatenate([np.zeros(moved.sum(), "i4"), column(table, "key")[on]])),
+                pa.array(np.concatenate([ends[moved], ends[node[on]]])),
+                pa.array(np.concatenate([ends[roots[moved]], ends[node[on]]]),
                          mask=np.arange(moved.sum() + on.sum()) >= moved.sum())], ["key", "a", "b"])
 
-    return gathered(members.select("cid", "bits", "long", "form", "lists", "mine", "blocks", "root",
-                                   *keys),
-                    keys).mapInArrow(verify, "key int, a bigint, b bigint")
+    light = members.select("cid", *marked)
+    wanted = gathered(light, keys).mapInArrow(partners, light.schema)
+    return gathered(wanted.join(formed, "cid").select("cid", "form", *marked), keys) \
+        .mapInArrow(verify, "key int, a bigint, b bigint")
 
 
 def _filter(raw: DataFrame) -> np.ndarray:
@@ -599,26 +699,26 @@ def _filter(raw: DataFrame) -> np.ndarray:
 def _forms(spark: SparkSession, docs: DataFrame, raw: DataFrame) -> DataFrame:
     """The normal forms, with their hashes, of at least the lines whose hash is in ``raw``."""
     known = spark.sparkContext.broadcast(_filter(raw))
-    lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("text")) \
-        .select("text", F.xxhash64("text").alias("raw"))
 
     def form(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = batch.column("raw").to_numpy(zero_copy_only=False).view("<u8")
+            lines = [line for text in texts(batch, "text") if text for line in text.split("\n")]
+            hashes = np.array([_raw(line) for line in lines], "<u8")
             there = np.ones(len(hashes), bool)
             for place in (hashes & np.uint64(BLOOM - 1), (hashes >> np.uint64(32))
                           & np.uint64(BLOOM - 1)):
                 bit = known.value[(place >> np.uint64(6)).astype("i8")] >> (place & np.uint64(63))
                 there &= (bit & np.uint64(1)) == 1
             # No line has a line feed, so all of them are folded as one text.
-            wanted = texts(batch.filter(pa.array(there)), "text")
+            wanted = [lines[n] for n in np.flatnonzero(there).tolist()]
             forms = list(dict.fromkeys(normal_lines("\n".join(wanted)))) if wanted else []
             both = _marks(forms)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(both[:, 0]), pa.array(both[:, 1]),
                  pa.array([f.decode() for f in forms], pa.string())], ["h1", "h2", "form"])
 
-    return lines.mapInArrow(form, "h1 bigint, h2 bigint, form string").dropDuplicates(["h1", "h2"])
+    # A form is the same wherever its hashes are: by all columns no sort is needed.
+    return docs.select("text").mapInArrow(form, "h1 bigint, h2 bigint, form string").distinct()
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, ident: str = "doc_id",
@@ -637,17 +737,18 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, ident: str = "doc_id",
     distinct = written(
         lines.groupBy("h1", "h2").agg(
             F.min(F.struct(*[place[c].alias(c) for c in ("unnamed", "ident", "text_hash", "line")],
-                           "raw", "bits", "long", "keys")).alias("first"),
+                           "raw", "bits", "size", "keys")).alias("first"),
             F.count(F.lit(1)).alias("n"))
-        .select("h1", "h2", "n", F.col("first").dropFields("raw", "bits", "long", "keys")
-                .alias("first"), "first.raw", "first.bits", "first.long", "first.keys")
+        .select("h1", "h2", "n", F.col("first").dropFields("raw", "bits", "size", "keys")
+                .alias("first"), "first.raw", "first.bits", "first.size", "first.keys")
         .withColumn("cid", F.monotonically_increasing_id()), "distinct")
-    close = written(_close(distinct, max_bits), "close")
-    met = distinct.join(close.select("cid").distinct(), "cid", "left_semi") \
-        .select("cid", "h1", "h2", "raw", "bits", "long")
+    close = written(_close(distinct, max_bits, similar), "close")
+    met = written(distinct.join(close.select("cid").distinct(), "cid", "left_semi")
+                  .select("cid", "h1", "h2", "raw", "bits", (F.col("size") < 0).alias("long")), "met")
     formed = written(_forms(spark, small, met.select("raw")).join(met.drop("raw"), ["h1", "h2"])
                      .drop("h1", "h2"), "forms")
-    alike = components(_alike(close, formed, max_bits, similar))
+    alike = _alike(close, formed, max_bits, similar).select(F.col("a").alias("node"),
+                                                            F.col("b").alias("root"))
     groups = distinct.select("h1", "h2", "cid", "first", "n") \
         .join(alike, F.col("cid") == F.col("node"), "left") \
         .withColumn("root", F.coalesce("root", "cid"))
@@ -686,9 +787,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, ident: str = "doc_id",
     # The lines that go are the smaller side: whole documents need not be sorted.
     lost = gone.select(F.struct("ident", "text_hash").alias("who"), "lines").hint("shuffle_hash")
     joined = packed.join(lost, "who", "left")
-    cut = F.split(F.col("row")[text], "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col("lines"))
-    new = F.array_join(F.transform(left, lambda i: F.get(cut, i)), "\n")
+    # A text is parted once, in a step of its own, not anew for each of its lines.
+    cut = joined.withColumn("cut", F.when(F.col("lines").isNotNull(), F.split(F.col("row")[text], "\n", -1)))
+    left = F.array_except(F.sequence(F.lit(0), F.size("cut") - 1), F.col("lines"))
+    new = F.array_join(F.transform(left, lambda i: F.get(F.col("cut"), i)), "\n")
     changed = F.when(F.col("lines").isNull(), F.col("row")[text]).otherwise(new)
     fields = {c: F.col("row")[c] for c in docs.columns}
     if length:
@@ -697,4 +799,4 @@ def without_repeats(spark: SparkSession, docs: DataFrame, ident: str = "doc_id",
     fields[text] = F.col("new")
     if dropped:
         fields[dropped] = F.coalesce(F.array_size("lines"), F.lit(0))
-    return joined.withColumn("new", changed).select(*[f.alias(c) for c, f in fields.items()])
+    return cut.withColumn("new", changed).select(*[f.alias(c) for c, f in fields.items()])

@@ -3,6 +3,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -353,3 +354,31 @@ def test_the_bound_by_letters_is_a_bound():
     many = ["a" * 70_000, "a" * 40_000 + "b" * 30_000]
     counts = line_dedup._letter_counts(many, np.array([70_000, 70_000]))
     assert line_dedup._may_be_alike(counts, np.array([0]), np.array([1]), np.array([30_000])).all()
+
+
+def test_two_lines_are_compared_in_one_of_their_lists_only():
+    """Lines 1 and 2 meet in lists 7 and 8 of one block and in the larger list 9; 1 and 3 meet
+    in the larger lists 9 and 10. All are close."""
+    lists, larges = {1: [7, 8], 2: [7, 8], 3: []}, {1: [9, 10], 2: [9], 3: [9, 10]}
+    rows = [(key, cid) for key in (7, 8, 9, 10) for cid in (1, 2, 3) if key in lists[cid] + larges[cid]]
+    table = pa.table({
+        "key": pa.array([k for k, _ in rows], pa.int32()), "cid": [c for _, c in rows],
+        "root": [c for _, c in rows], "bits": [0] * len(rows), "size": [20] * len(rows),
+        **{name: pa.array([0] * len(rows), pa.int32()) for name in ("mine", "lo", "hi")},
+        "lists": pa.array([lists[c] for _, c in rows], pa.list_(pa.int32())),
+        "larges": pa.array([larges[c] for _, c in rows], pa.list_(pa.int32()))})
+    starts = np.array([0, 2, 4, 7])
+
+    def compared(last):
+        return sorted((rows[i][0], rows[i][1], rows[j][1])
+                      for both in line_dedup._own(table, starts, 17, 0.8, last)
+                      for i, j in zip(*(side.tolist() for side in both)))
+
+    assert compared(False) == [(7, 1, 2), (9, 1, 3), (9, 2, 3), (10, 1, 3)]
+    assert compared(True) == [(9, 1, 3), (9, 2, 3)]
+
+
+def test_sizes_are_letters():
+    forms = ["a", "été x", "\U0001f600 b", "---", "a b c d e f g h i j", "x" * 3000]
+    sizes = line_dedup._sizes(Words([f.encode() for f in forms]))
+    assert sizes.tolist() == [1, 5, 3, 3, -19, 3000]
