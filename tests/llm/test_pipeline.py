@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from changeflow.llm.mixing import BLOCK_ROWS, PERIOD, POWER
+from changeflow.llm.mixing import BLOCK_ROWS, POWER
 from changeflow.llm.quality import fit
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -39,7 +39,7 @@ def by_hand(spark, folder):
     for d in sorted(docs, key=lambda d: hashes[d[0]]):
         sources[d[3]].append(d)
     sizes = {s: len(own) for s, own in sources.items()}
-    slots, blocks = simulate(sizes, {s: n ** POWER for s, n in sizes.items()}, BLOCK_ROWS, PERIOD)
+    slots, blocks = simulate(sizes, {s: n ** POWER for s, n in sizes.items()}, BLOCK_ROWS)
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     out = []
     for source, block, *_ in slots:
