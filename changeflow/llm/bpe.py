@@ -25,7 +25,7 @@ SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (
     0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-CACHED = 1 << 18  # chunks and pieces a worker remembers, about 200 bytes each
+CACHED = 1 << 18  # recent chunks and pieces a worker remembers, and as many older ones, about 200 bytes each
 FOREVER = 1 << 62
 
 
@@ -52,13 +52,16 @@ class Bpe:
             self.rank[pair] = rank
             if token not in self.halves:
                 self.halves[token], self.born[token] = pair, rank
-        self.fit_together: dict[tuple[int, int], bool] = {}
+        self.fits: list[dict[int, bool]] = []  # for each token those looked at before it
+        self.fits_known = 0
         self.suffixes = ahocorasick.Automaton()
         for token in self._whole(set(vocabulary.values()) - set(self.special.values())):
             raw = self.bytes_of[token]
-            self.suffixes.add_word(raw.decode("latin-1"), (token, len(raw)))
+            self.fits.append({})
+            self.suffixes.add_word(raw.decode("latin-1"), (token, len(raw), self.fits[-1]))
         self.suffixes.make_automaton()
         self.table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.pieces = pa.array(self.table, pa.binary())
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.specials = re.compile(f"({'|'.join(names)})") if names else None
         self.chunks = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -121,24 +124,26 @@ class Bpe:
         """
         last = [-1] * (len(raw) + 1)
         back = [0] * (len(raw) + 1)
-        fit = self.fit_together
-        for end, (token, size) in self.suffixes.iter(raw):
+        for end, (token, size, fit) in self.suffixes.iter(raw):
             end += 1
             if last[end] >= 0:
                 continue
             start = end - size
             if start:
-                pair = (last[start], token)
-                if pair[0] < 0:
+                before = last[start]
+                if before < 0:
                     continue
-                ok = fit.get(pair)
+                ok = fit.get(before)
                 if ok is None:
-                    ok = fit[pair] = self._apart(*pair)
-                    if len(fit) > CACHED:
-                        fit.clear()
+                    ok = fit[before] = self._apart(before, token)
+                    self.fits_known += 1
                 if not ok:
                     continue
             last[end], back[end] = token, start
+        if self.fits_known > CACHED:
+            self.fits_known = 0
+            for fit in self.fits:
+                fit.clear()
         ids, end = [], len(raw)
         while end:
             ids.append(last[end])
@@ -162,26 +167,54 @@ class Bpe:
         """The text of ids; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace")
 
+    def decode_many(self, found: list[np.ndarray]) -> pa.Array:
+        """The text of each array of ids, as ``decode`` has it."""
+        ends = np.cumsum([0, *map(len, found)])
+        if not ends[-1]:
+            return pa.array([""] * len(found), pa.string())
+        joined = self.pieces.take(pa.array(np.concatenate(found)))
+        _, starts, data = joined.buffers()
+        starts = np.frombuffer(starts, "<i4")[ends]
+        out = pa.StringArray.from_buffers(len(found), pa.py_buffer(starts), data)
+        try:
+            out.validate(full=True)
+        except pa.ArrowInvalid:  # not all of it is UTF-8
+            out = pa.array([self.decode(ids.tolist()) for ids in found], pa.string())
+        return out
+
 
 class _Chunks(dict):
-    """The ids, as bytes, of recent chunks (a word with the blank before it) and pieces."""
+    """The ids, as bytes, of recent chunks (a word with the blank before it) and pieces.
+
+    When there are too many, they become the ``older`` ones, of which those that come again
+    are kept; so a text of rare words does not push out the common ones.
+    """
 
     def __init__(self, bpe: Bpe) -> None:
         self.bpe = bpe
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        pieces = self.bpe.cut.findall(chunk)
-        if len(pieces) == 1:
-            ids = self.bpe.piece(chunk.encode().decode("latin-1"))
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        else:
-            found = b"".join([self[piece] for piece in pieces])
+        found = self.older.get(chunk)
+        if found is None:
+            found = self._made(chunk)
         if len(chunk) <= 64:
             if len(self) >= CACHED:
+                self.older = self.copy()
                 self.clear()
             self[chunk] = found
         return found
 
+    def _made(self, chunk: str) -> bytes:
+        if chunk.isascii() and (chunk[1:] if chunk[0] == " " else chunk).isalpha():
+            ids = self.bpe.piece(chunk)  # one word, whose letters are its bytes
+        else:
+            pieces = self.bpe.cut.findall(chunk)
+            if len(pieces) > 1:
+                return b"".join([self[piece] for piece in pieces])
+            ids = self.bpe.piece(chunk.encode().decode("latin-1"))
+        return struct.pack(f"<{len(ids)}I", *ids)
+
 
 def _letters() -> dict[str, int]:
     """The byte for each letter of a byte-level vocabulary."""
@@ -229,17 +262,15 @@ def _full(bpe: Bpe, values: list) -> list[pa.Array]:
     offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype("i4")
     flat = np.concatenate(found).astype("i4") if found else np.zeros(0, "i4")
     return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-            pa.array([bpe.decode(f.tolist()) for f in found], pa.string())]
+            bpe.decode_many(found)]
 
 
 def _digests(bpe: Bpe, values: list) -> list[pa.Array]:
-    n, ids, decoded = [], [], []
-    for value in values:
-        found = bpe.encode(value or "")
-        n.append(len(found))
-        ids.append(hashlib.sha256(found.tobytes()).hexdigest())
-        decoded.append(hashlib.sha256(bpe.decode(found.tolist()).encode()).hexdigest())
-    return [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+    found = [bpe.encode(value or "") for value in values]
+    ids = [hashlib.sha256(f.tobytes()).hexdigest() for f in found]
+    decoded = [hashlib.sha256(text.encode()).hexdigest() for text in bpe.decode_many(found).to_pylist()]
+    return [pa.array(list(map(len, found)), pa.int64()), pa.array(ids, pa.string()),
+            pa.array(decoded, pa.string())]
 
 
 def _mapped(spark: SparkSession, docs: DataFrame, tokenizer: str, text: str, made: list,

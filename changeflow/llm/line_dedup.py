@@ -13,8 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import column, components, gathered, majority_bits, pairs_in, ready, \
-    slices, texts, whole_groups
+from changeflow.llm.common import column, components, forest, gathered, majority_bits, pairs_in, \
+    ready, slices, texts, whole_groups
 from changeflow.session import written
 
 MAX_BITS = 17  # that the SimHashes of two long lines may differ in
@@ -331,6 +331,153 @@ def _rows(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, ROW), sizes
 
 
+WIDE = 1 << 11  # letters up to which longer lines are compared many at once too
+TOGETHER = 1024  # pairs of lines that are compared at once
+PLACES = 1 << 21  # words of 64 bits that tell where the letters of these lines are, 16 MB
+
+
+def within_many(pairs: list[tuple[str, str]], similar: float = SIMILAR) -> np.ndarray:
+    """What ``within`` says of each pair.
+
+    What two lines start and end with alike is left out. Pairs whose shorter lines have about
+    the same length are compared together; few pairs of long lines one by one.
+    """
+    found = np.zeros(len(pairs), bool)
+    rest, most, waiting = [("", "")] * len(pairs), np.zeros(len(pairs), "i8"), []
+    for n, (a, b) in enumerate(pairs):
+        longer = max(len(a), len(b))
+        most[n] = limit = int((1 - similar) * longer + 1e-9)
+        if longer > WIDE:
+            found[n] = within(a, b, similar)
+            continue
+        if abs(len(a) - len(b)) > limit:
+            continue
+        head = _common(a, b)
+        a, b = a[head:], b[head:]
+        tail = _common(a[::-1], b[::-1])
+        a, b = a[:len(a) - tail], b[:len(b) - tail]
+        if max(len(a), len(b)) <= limit:
+            found[n] = True
+        elif a and b:  # else all of the other is too many
+            rest[n] = (a, b) if len(a) <= len(b) else (b, a)
+            waiting.append(n)
+    # Lengths by steps of a half, so that no pair has many more bits than it needs.
+    waiting.sort(key=lambda n: (_step(len(rest[n][0])), -len(rest[n][1])))
+    at = 0
+    while at < len(waiting):
+        step = _step(len(rest[waiting[at]][0]))
+        together = [n for n in waiting[at:at + TOGETHER] if _step(len(rest[n][0])) == step]
+        at += len(together)
+        if len(together) < 8:
+            for n in together:
+                found[n] = _distance(*rest[n], most[n]) <= most[n]
+        else:
+            found[together] = _within_wide([rest[n] for n in together], most[together])
+    return found
+
+
+def _step(letters: int) -> int:
+    """The number of 64-bit words for so many letters, rounded up to one of few numbers."""
+    words = 1
+    while 64 * words < letters:
+        words += max(words // 2, 1)
+    return words
+
+
+def _within_wide(pairs: list[tuple[str, str]], most: np.ndarray) -> np.ndarray:
+    """Whether Levenshtein's distance of each (a, b) is ``most`` at most; the longest b first.
+
+    The columns of bits of ``_distance``, in a few 64-bit numbers for each pair. Of a column
+    only numbers are looked at that ``most`` changes can reach: each letter that is left out
+    of a line moves the rest by one place, and must be made up for by the line's end. Numbers
+    above those count as they would at most, which is what they began with, and the first
+    one's distance rises by one a column at most. Pairs that are through, or can no longer
+    come down to ``most``, are left out of the columns that follow.
+    """
+    left, right = ([pair[side] for pair in pairs] for side in (0, 1))
+    left_sizes, right_sizes = (np.array([len(x) for x in side]) for side in (left, right))
+    letters = [np.frombuffer("".join(side).encode("utf-32-le", "surrogatepass"), "<u4")
+               for side in (left, right)]
+    both = np.concatenate(letters)
+    number = np.cumsum(np.bincount(both) > 0) - 1  # of each letter that there is
+    codes, known = number[both], int(number[-1]) + 1
+    total, words = len(pairs), -(-int(left_sizes.max()) // 64)
+    if known * words * total > PLACES and total > 1:
+        half = total // 2
+        return np.concatenate([_within_wide(pairs[:half], most[:half]),
+                               _within_wide(pairs[half:], most[half:])])
+    pair, place = _numbered(left_sizes)
+    where = np.zeros(words * known * total, "<u8")
+    np.add.at(where, (place // 64 * known + codes[:len(pair)]) * total + pair,
+              np.uint64(1) << (place % 64).astype("<u8"))
+    where = where.reshape(words, -1)
+    pair, place = _numbered(right_sizes)
+    columns = np.zeros((int(right_sizes[0]), total), "i8")
+    columns[place, pair] = codes[letters[0].size:] * total + pair
+    # The bits of each pair's own letters.
+    own = np.clip(left_sizes - 64 * np.arange(words)[:, None], 0, 64)
+    own = np.where(own > 0, ~np.uint64(0) >> np.minimum(64 - own, 63).astype("<u8"), np.uint64(0))
+    one, last, every = np.uint64(1), np.uint64(63), ~np.uint64(0)
+    rises, falls = np.full((words, total), every), np.zeros((words, total), "<u8")
+    out, live, passed = np.zeros(total, bool), np.arange(total), np.zeros(total, "i8")
+    more, fewer = (most + right_sizes - left_sizes) // 2, (most - right_sizes + left_sizes) // 2
+    done = first = 0
+    while len(live):
+        until = min(done + LOOK_AT, int(right_sizes[live].min()))
+        before, first = first, min(max(done + 1 - int(more[live].max()), 0) // 64, words - 1)
+        passed += _steps(rises[before:first], falls[before:first])
+        end = max(min(-(-(until + int(fewer[live].max())) // 64), words), first + 1)
+        here, rise, fall = where[first:end], rises[first:end], falls[first:end]
+        for column in columns[done:until, live]:
+            same = here.take(column, axis=1)
+            steady = same & rise
+            steady += rise
+            carry = steady < rise
+            if end - first > 1:
+                full, over = steady[1:] == every, carry[:-1]
+                while True:  # a full number hands on what comes from the one below
+                    handed = full & over & ~carry[1:]
+                    if not handed.any():
+                        break
+                    carry[1:] |= handed
+                steady[1:] += over
+            steady ^= rise
+            steady |= same
+            steady |= fall
+            up = ~(rise | steady)
+            up |= fall
+            down = rise & steady
+            high_up, high_down = up[:-1] >> last, down[:-1] >> last
+            up <<= one
+            down <<= one
+            up[1:] |= high_up
+            down[1:] |= high_down
+            up[0] |= one
+            np.bitwise_and(up, steady, out=fall)
+            steady |= up
+            np.bitwise_or(down, ~steady, out=rise)
+        done = until
+        found = done + passed + _steps(rises[first:] & own[first:], falls[first:] & own[first:])
+        out[live] = found - (right_sizes[live] - done) <= most[live]
+        on = out[live] & (right_sizes[live] > done)
+        if not on.all():
+            live, passed = live[on], passed[on]
+            rises, falls, own = rises[:, on], falls[:, on], own[:, on]
+    return out
+
+
+def _numbered(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(group, place in it) of each member of groups of these sizes."""
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    return group, np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _steps(rises: np.ndarray, falls: np.ndarray) -> np.ndarray:
+    """By how much the distances rise over these bits, for each pair."""
+    return np.bitwise_count(rises).sum(axis=0, dtype="i8") \
+        - np.bitwise_count(falls).sum(axis=0, dtype="i8")
+
+
 LETTER_BINS = 64  # in which the letters of a line are counted
 
 
@@ -618,6 +765,63 @@ def _own(table: pa.Table, starts: np.ndarray, max_bits: int, similar: float,
         yield i[own], j[own]
 
 
+class _Lines:
+    """Normal forms that are compared with each other."""
+
+    def __init__(self, forms: list[str], similar: float):
+        self.forms, self.similar = forms, similar
+        self.rows, self.sizes = _rows(forms)
+
+    def alike(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the lines of each pair are alike: by counts of letters first, then by distances."""
+        most = _most(self.sizes[i], self.sizes[j], self.similar)
+        longer, out = np.maximum(self.sizes[i], self.sizes[j]), np.zeros(len(i), bool)
+        look = np.flatnonzero(longer <= WIDE)
+        if len(look):
+            at, place = np.unique(np.concatenate([i[look], j[look]]), return_inverse=True)
+            counts = _letter_counts([self.forms[n] for n in at.tolist()], self.sizes[at])
+            look = look[_may_be_alike(counts, place[:len(look)], place[len(look):], most[look])]
+        short = look[longer[look] <= ROW]
+        for at in range(0, len(short), 1 << 14):
+            piece = short[at:at + (1 << 14)]
+            a, b = i[piece], j[piece]
+            out[piece] = distances(self.rows[a], self.sizes[a], self.rows[b], self.sizes[b]) <= most[piece]
+        look = np.concatenate([look[longer[look] > ROW], np.flatnonzero(longer > WIDE)])
+        out[look] = within_many([(self.forms[x], self.forms[y]) for x, y in
+                                 zip(i[look].tolist(), j[look].tolist())], self.similar)
+        return out
+
+
+ROUNDS = 4  # of one pair for each node, before all that are left are compared
+
+
+def _joined(node: np.ndarray, i: np.ndarray, j: np.ndarray, alike) -> np.ndarray:
+    """The smallest node that each node is joined with by the pairs of rows that are ``alike``.
+
+    Pairs whose nodes are joined already are not compared. So the first rounds compare
+    one pair for each node, which joins most of a large group.
+    """
+    roots = np.arange(int(node.max(initial=-1)) + 1)
+    for turn in range(ROUNDS + 1):
+        x, y = roots[node[i]], roots[node[j]]
+        apart = x != y
+        i, j, x, y = i[apart], j[apart], x[apart], y[apart]
+        if not len(i):
+            break
+        now = np.arange(len(i))
+        if turn < ROUNDS:
+            now = np.unique(np.maximum(x, y), return_index=True)[1]
+        found = now[alike(i[now], j[now])]
+        moved, to = forest(x[found], y[found])
+        low = np.arange(len(roots))
+        low[moved] = to
+        roots = low[roots]
+        rest = np.ones(len(i), bool)
+        rest[now] = False
+        i, j = i[rest], j[rest]
+    return roots
+
+
 def _verified(members: DataFrame, formed: DataFrame, max_bits: int, similar: float,
               last: bool = False) -> DataFrame:
     """Rows (key, a, b): lines that are linked; and (key, a, null): lines of a list of several
@@ -639,36 +843,11 @@ def _verified(members: DataFrame, formed: DataFrame, max_bits: int, similar: flo
             yield from table.filter(pa.array(met)).to_batches()
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_groups(batches, keys, 1 << 10):
+        for table, starts in whole_groups(batches, keys, 1 << 11):
             ends, node = np.unique(column(table, "root" if last else "cid"), return_inverse=True)
-            forms = table.column("form").to_pylist()
-            rows, sizes = _rows(forms)
-            parent, nodes = list(range(len(ends))), node.tolist()
-
-            def top(x: int) -> int:
-                while parent[x] != x:
-                    parent[x] = x = parent[parent[x]]
-                return x
-
-            for i, j in _own(table, starts, max_bits, similar, last):
-                most, single = _most(sizes[i], sizes[j], similar), np.maximum(sizes[i], sizes[j]) > ROW
-                alike = single.copy()  # these are looked at one by one
-                short = np.flatnonzero(~single)
-                if len(short):
-                    at, place = np.unique(np.concatenate([i[short], j[short]]), return_inverse=True)
-                    counts = _letter_counts([forms[n] for n in at.tolist()], sizes[at])
-                    short = short[_may_be_alike(counts, place[:len(short)], place[len(short):],
-                                                most[short])]
-                for at in range(0, len(short), 1 << 14):
-                    piece = short[at:at + (1 << 14)]
-                    a, b = i[piece], j[piece]
-                    alike[piece] = distances(rows[a], sizes[a], rows[b], sizes[b]) <= most[piece]
-                for x, y, look in zip(i[alike].tolist(), j[alike].tolist(), single[alike].tolist()):
-                    x_top, y_top = top(nodes[x]), top(nodes[y])
-                    if x_top == y_top or look and not within(forms[x], forms[y], similar):
-                        continue
-                    parent[max(x_top, y_top)] = min(x_top, y_top)
-            roots = np.array([top(x) for x in parent], "i8")
+            lines = _Lines(table.column("form").to_pylist(), similar)
+            pairs = [np.zeros((2, 0), "i8"), *_own(table, starts, max_bits, similar, last)]
+            roots = _joined(node, *np.concatenate(pairs, axis=1), lines.alike)
             moved = roots != np.arange(len(roots))
             joint = np.bincount(roots, minlength=len(ends)) >= JOINT
             on = (column(table, "blocks") > 1) & ~moved[node] & joint[node]

@@ -4,10 +4,12 @@ import random
 import struct
 from itertools import product
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from changeflow.llm import bpe
 from changeflow.llm.bpe import Bpe, load, token_digests, tokenize
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -97,3 +99,26 @@ def test_odd_rows(spark):
         (1, 0, empty, empty)]
     assert tokenize(spark, table.limit(0), PATH).collect() == []
     assert tokenize(spark, table, PATH, text="IDS").where("doc_id = 1").first()["decoded"] == "a"
+
+
+def test_many_ids_are_decoded_like_each_alone(ours):
+    seed = random.Random(6)
+    found = [np.array([seed.randrange(50_257) for _ in range(seed.randrange(8))], "<u4")
+             for _ in range(300)]
+    smile = ours.encode("\U0001f600")
+    assert len(smile) > 1
+    whole = [ours.encode("caf\u00e9 " * n) for n in range(5)]
+    for some in (found, whole, [smile[:1], smile[1:]], [smile, smile[:0]], [smile[:0]], []):
+        assert ours.decode_many(some).to_pylist() == [ours.decode(ids.tolist()) for ids in some]
+
+
+def test_common_chunks_outlive_rare_ones(ours, monkeypatch):
+    """Each piece of a word that comes again and again is found once, whatever comes between."""
+    monkeypatch.setattr(bpe, "CACHED", 10)
+    monkeypatch.setattr(ours, "known", bpe._Chunks(ours))
+    made = []
+    monkeypatch.setattr(ours, "piece", lambda raw, of=ours.piece: (made.append(raw), of(raw))[1])
+    text = " ".join(f"common rare{n}" for n in "abcdefghijklmnopqrstuvwxyz")
+    ours.encode(text)
+    assert made.count(" common") == 1 and made.count(" rarez") == 1
+    assert len(ours.known) <= 10 and len(ours.known.older) <= 10

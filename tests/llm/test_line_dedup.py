@@ -382,3 +382,41 @@ def test_sizes_are_letters():
     forms = ["a", "été x", "\U0001f600 b", "---", "a b c d e f g h i j", "x" * 3000]
     sizes = line_dedup._sizes(Words([f.encode() for f in forms]))
     assert sizes.tolist() == [1, 5, 3, 3, -19, 3000]
+
+
+def test_many_distances_at_once_are_levenshtein():
+    seed = random.Random(11)
+    for letters in ("ab", "abcdefgh ", "".join(map(chr, range(0x4E00, 0x5A00))), "a\ud800\U0001f600"):
+        pairs = []
+        for _ in range(400):
+            size = seed.choice([0, 1, 20, 63, 64, 65, 100, 128, 129, 150])
+            one = "".join(seed.choices(letters, k=size))
+            other = list(one)
+            for _ in range(seed.choice([0, 1, size // 10, size // 5, size // 4, size])):
+                at = seed.randrange(len(other) + 1)
+                other[at:at + seed.randrange(2)] = seed.choices(letters, k=seed.randrange(2))
+            pairs.append((one, "".join(other))[::seed.choice([1, -1])])
+        want = [5 * distance(a, b) <= max(len(a), len(b)) for a, b in pairs]
+        assert line_dedup.within_many(pairs).tolist() == want
+        assert 50 < sum(want) < 400
+    long = "x" * (2 * line_dedup.WIDE)
+    assert line_dedup.within_many([(long + "a", "b" + long), (long, long[::2])]).tolist() == [True, False]
+    assert line_dedup.within_many([]).tolist() == []
+
+
+def test_a_large_group_is_joined_by_few_comparisons():
+    asked = []
+
+    def joined(total, alike):
+        asked.clear()
+        i, j = np.triu_indices(total, 1)
+        return line_dedup._joined(np.arange(total), i, j, lambda i, j: (
+            asked.extend(zip(i.tolist(), j.tolist())), alike(i, j))[1]).tolist()
+
+    assert joined(400, lambda i, j: i >= 0) == [0] * 400
+    assert len(asked) == 399
+    assert joined(60, lambda i, j: i % 2 == j % 2) == [0, 1] * 30
+    assert len(asked) == len(set(asked)) < 60 * 59 // 2
+    assert joined(60, lambda i, j: j == i + 1) == [0] * 60
+    assert joined(60, lambda i, j: j < 0) == list(range(60)) and len(asked) == 60 * 59 // 2
+    assert joined(0, None) == []
