@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.session import fresh_dir, remove_dir, ship_package
+from changeflow.session import fresh_dir, remove_dir, save, ship_package
 
 WORD_GAP = "[ \\t-\\r]+"  # the white space between words: blank, tab to carriage return
 PAIRS_AT_ONCE = 1 << 18
@@ -130,29 +130,31 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[root[moved]]
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, held: list[str] | None = None) -> DataFrame:
     """(node, root) of every node in ``links`` (a, b bigint); root is the smallest reachable.
 
     Large-star and small-star steps in turn: each node's neighbours move to the
     smallest one, until nothing changes. A step is a combined minimum for each
     node and a join with it, so a node with very many neighbours is spread over
     tasks. Each round is a written table in the shared folder, and goes when the next one
-    is there.
+    is there; the path of the last one is added to ``held``, if given, for ``release``.
     """
     spark = links.sparkSession
     now = links.where("a <> b").select(F.greatest("a", "b").alias("a"),
                                        F.least("a", "b").alias("b")).distinct()
     path, before = fresh_dir(spark, "links"), None
-    now.write.parquet(path)
+    save(now, path)
     now = spark.read.schema("a bigint, b bigint").parquet(path)
     while (mark := _mark(now)) != before:
         before, used = mark, path
         if mark[0] == 0:
             break
         path = fresh_dir(spark, "links")
-        _small_star(_large_star(now)).write.parquet(path)
+        save(_small_star(_large_star(now)), path)
         now = spark.read.schema("a bigint, b bigint").parquet(path)
         remove_dir(spark, used)
+    if held is not None:
+        held.append(path)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(now.select("b", "b").distinct()).distinct()
 

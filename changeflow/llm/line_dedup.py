@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import column, components, forest, gathered, majority_bits, pairs_in, \
     ready, slices, texts, whole_groups
-from changeflow.session import written
+from changeflow.session import release, written
 
 MAX_BITS = 17  # that the SimHashes of two long lines may differ in
 SHORT_BITS = 24  # and those of two short ones, which are of letters
@@ -672,7 +672,27 @@ def _most(one: np.ndarray, other: np.ndarray, similar: float) -> np.ndarray:
     return ((1 - similar) * np.maximum(one, other) + 1e-9).astype("i8")
 
 
-def _alike(close: DataFrame, formed: DataFrame, max_bits: int, similar: float) -> DataFrame:
+def _by_size(listed: DataFrame, block: int, similar: float) -> DataFrame:
+    """Rows of lists, cut to blocks in order of their letters and dealt to pairs of blocks.
+
+    Only blocks meet that hold lines of sizes which may be alike, so of a long list a row
+    goes to few of them.
+    """
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.abs("size"), "cid"))
+    placed = listed.withColumn("mine", F.floor((place - 1) / block).cast("int"))
+    ends = placed.groupBy("key", "mine").agg(F.min(F.abs("size")).alias("least"),
+                                             F.max(F.abs("size")).alias("most"))
+    # The fewest letters that a line of this block or a later one can be like.
+    fewest = F.col("least") - F.floor((1 - similar) * F.col("least") + 1e-9)
+    later = ends.select("key", F.col("mine").alias("hi"), fewest.alias("fewest"))
+    met = ends.withColumnRenamed("mine", "lo").join(later, "key") \
+        .where("lo <= hi AND fewest <= most").select("key", "lo", "hi")
+    sides = F.explode(F.array_distinct(F.array("lo", "hi"))).alias("mine")
+    return placed.join(met.select("key", "lo", "hi", sides), ["key", "mine"])
+
+
+def _alike(close: DataFrame, formed: DataFrame, max_bits: int, similar: float,
+           held: list[str] | None = None) -> DataFrame:
     """Links (a, b) of lines that are close and alike, directly or by way of others: b is the
     same line for all that are joined.
 
@@ -681,11 +701,12 @@ def _alike(close: DataFrame, formed: DataFrame, max_bits: int, similar: float) -
     blocks are cut anew from what is left; so a large group of like lines is joined without
     its texts meeting pair by pair. What a round leaves says nothing of the lines that went,
     which may be like others too. So after the rounds all lines of these lists are compared
-    block by block, but for those that links join already.
+    block by block, but for those that links join already and blocks of unlike sizes. Tables
+    that are written for it are added to ``held``.
     """
     letters = F.length("form")
     met = written(formed.select("cid", "bits", F.when(F.col("long"), -letters).otherwise(letters)
-                                .alias("size")).join(_listed(close), "cid"), "met")
+                                .alias("size")).join(_listed(close), "cid"), "met", held)
     formed = formed.select("cid", "form")
     large = met.select("cid", F.explode("larges").alias("list")).select("cid", "list.*")
     met = met.withColumn("larges", F.col("larges.key"))
@@ -697,23 +718,23 @@ def _alike(close: DataFrame, formed: DataFrame, max_bits: int, similar: float) -
         dealt = rows.withColumn("members", members).where("members > 1") \
             .withColumn("blocks", blocks).withColumn("mine", mine).drop("members") \
             .withColumns({"lo": F.col("mine"), "hi": F.col("mine"), "root": F.col("cid")})
-        found = written(_verified(dealt.join(met, "cid"), formed, max_bits, similar), "alike")
+        found = written(_verified(dealt.join(met, "cid"), formed, max_bits, similar), "alike", held)
         links.append(found.where("b IS NOT NULL").select("a", "b"))
         rows = found.where("b IS NULL").select("key", F.col("a").alias("cid"))
         if rows.isEmpty():
             break
-    joined = components(reduce(DataFrame.unionByName, links))
+    joined = components(reduce(DataFrame.unionByName, links), held)
     if large.isEmpty():
         return joined.toDF("a", "b")
-    joined = written(joined, "joined")
+    joined = written(joined, "joined", held)
     keys = Window.partitionBy("key")
     rest = large.join(joined.withColumnRenamed("node", "cid"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid")) \
         .withColumn("apart", F.min("root").over(keys) < F.max("root").over(keys)) \
-        .where("apart").drop("apart")
-    rest = _dealt(rest, VERIFIED).withColumn("blocks", F.lit(1)).join(met, "cid")
-    more = components(written(_verified(rest, formed, max_bits, similar, True), "alike")
-                      .select("a", "b"))
+        .where("apart").drop("apart", "members").join(met, "cid")
+    rest = _by_size(written(rest, "rest", held), VERIFIED, similar).withColumn("blocks", F.lit(1))
+    more = components(written(_verified(rest, formed, max_bits, similar, True), "alike", held)
+                      .select("a", "b"), held)
     # The second links are of roots: a root that they move takes its lines along.
     moved = more.select(F.col("node").alias("root"), F.col("root").alias("top"))
     return joined.union(moved.select("root", "root")).distinct().join(moved, "root", "left") \
@@ -863,21 +884,22 @@ def _verified(members: DataFrame, formed: DataFrame, max_bits: int, similar: flo
         .mapInArrow(verify, "key int, a bigint, b bigint")
 
 
-def _filter(raw: DataFrame) -> np.ndarray:
+def _filter(raw: DataFrame, held: list[str]) -> np.ndarray:
     """A Bloom filter of hashes (column raw), as 64-bit words; its size is fixed."""
     places = F.explode(F.array(F.col("raw").bitwiseAND(BLOOM - 1),
                                F.shiftrightunsigned("raw", 32).bitwiseAND(BLOOM - 1)))
-    words = raw.select(places.alias("place")) \
-        .groupBy(F.expr("place DIV 64").alias("word")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(place % 64 AS int))")).alias("bits")).toArrow()
+    words = written(raw.select(places.alias("place"))
+                    .groupBy(F.expr("place DIV 64").alias("word"))
+                    .agg(F.bit_or(F.expr("shiftleft(1L, CAST(place % 64 AS int))")).alias("bits")),
+                    "filter", held).toArrow()
     found = np.zeros(BLOOM // 64, "<i8")
     found[column(words, "word")] = column(words, "bits")
     return found.view("<u8")
 
 
-def _forms(spark: SparkSession, docs: DataFrame, raw: DataFrame) -> DataFrame:
+def _forms(spark: SparkSession, docs: DataFrame, raw: DataFrame, held: list[str]) -> DataFrame:
     """The normal forms, with their hashes, of at least the lines whose hash is in ``raw``."""
-    known = spark.sparkContext.broadcast(_filter(raw))
+    known = spark.sparkContext.broadcast(_filter(raw, held))
 
     def form(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -907,11 +929,13 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, ident: str = "doc_id",
 
     See ``without_repeats`` for which lines these are. Texts of lines move only
     where their SimHashes are close to others': such lines are read a second time,
-    those that a fixed-size filter rules out are passed over.
+    those that a fixed-size filter rules out are passed over. Only the result stays in the
+    shared folder.
     """
     ready(spark)
+    held, kept_on = [], []
     small = docs.select(*_who(ident, text), F.col(text).alias("text"))
-    lines = written(_lines(small), "lines")
+    lines = written(_lines(small), "lines", kept_on)
     place = F.struct(F.col("ident").isNull().alias("unnamed"), "ident", "text_hash", "line")
     distinct = written(
         lines.groupBy("h1", "h2").agg(
@@ -920,23 +944,27 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, ident: str = "doc_id",
             F.count(F.lit(1)).alias("n"))
         .select("h1", "h2", "n", F.col("first").dropFields("raw", "bits", "size", "keys")
                 .alias("first"), "first.raw", "first.bits", "first.size", "first.keys")
-        .withColumn("cid", F.monotonically_increasing_id()), "distinct")
-    close = written(_close(distinct, max_bits, similar), "close")
+        .withColumn("cid", F.monotonically_increasing_id()), "distinct", kept_on)
+    close = written(_close(distinct, max_bits, similar), "close", held)
     met = written(distinct.join(close.select("cid").distinct(), "cid", "left_semi")
-                  .select("cid", "h1", "h2", "raw", "bits", (F.col("size") < 0).alias("long")), "met")
-    formed = written(_forms(spark, small, met.select("raw")).join(met.drop("raw"), ["h1", "h2"])
-                     .drop("h1", "h2"), "forms")
-    alike = _alike(close, formed, max_bits, similar).select(F.col("a").alias("node"),
-                                                            F.col("b").alias("root"))
+                  .select("cid", "h1", "h2", "raw", "bits", (F.col("size") < 0).alias("long")),
+                  "met", held)
+    formed = written(_forms(spark, small, met.select("raw"), held)
+                     .join(met.drop("raw"), ["h1", "h2"]).drop("h1", "h2"), "forms", held)
+    alike = written(_alike(close, formed, max_bits, similar, held), "groups", kept_on) \
+        .select(F.col("a").alias("node"), F.col("b").alias("root"))
+    release(spark, held)
     groups = distinct.select("h1", "h2", "cid", "first", "n") \
         .join(alike, F.col("cid") == F.col("node"), "left") \
         .withColumn("root", F.coalesce("root", "cid"))
     kept = groups.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n")) \
         .where("n > 1").drop("n")
     again = groups.select("h1", "h2", "root").join(kept, "root").select("h1", "h2", "kept")
-    return lines.select("ident", "text_hash", "line", "h1", "h2").join(again, ["h1", "h2"]) \
-        .where(~place.eqNullSafe(F.col("kept"))) \
-        .groupBy("ident", "text_hash").agg(F.collect_set("line").alias("lines"))
+    gone = written(lines.select("ident", "text_hash", "line", "h1", "h2").join(again, ["h1", "h2"])
+                   .where(~place.eqNullSafe(F.col("kept")))
+                   .groupBy("ident", "text_hash").agg(F.collect_set("line").alias("lines")), "gone")
+    release(spark, kept_on)
+    return gone
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, ident: str = "doc_id",

@@ -58,17 +58,42 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/changeflow/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+#: Spark's setting by which files of a write's shuffles go when the write is done. Without it
+#: they stay until the driver's JVM happens to collect what refers to them.
+SPENT = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def save(df: DataFrame, path: str) -> None:
+    """Write the rows as Parquet; the files of the shuffles that this took go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(SPENT, "false")
+    conf.set(SPENT, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(SPENT, before)
+
+
+def written(df: DataFrame, label: str, held: list[str] | None = None) -> DataFrame:
     """The same rows, written once to the shared folder and read back.
 
     Later uses neither compute them again nor lose them with an executor, and
-    Spark plans with their size on disk instead of a guess.
+    Spark plans with their size on disk instead of a guess. The folder's path is added to
+    ``held``, if given, for ``release``.
     """
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    save(df, path)
+    if held is not None:
+        held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, held: list[str]) -> None:
+    """Delete written tables that nothing will read again."""
+    while held:
+        remove_dir(spark, held.pop())
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python, once per session.
 

@@ -1,5 +1,7 @@
+import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -11,6 +13,7 @@ from changeflow.llm import line_dedup
 from changeflow.llm.line_dedup import Words, normal, normal_lines, simhashes, within, \
     without_repeats
 from changeflow.llm.queries import RUNS
+from changeflow.session import SPENT, shared_dir, written
 
 
 def distance(a, b):
@@ -420,3 +423,58 @@ def test_a_large_group_is_joined_by_few_comparisons():
     assert joined(60, lambda i, j: j == i + 1) == [0] * 60
     assert joined(60, lambda i, j: j < 0) == list(range(60)) and len(asked) == 60 * 59 // 2
     assert joined(0, None) == []
+
+
+def test_only_blocks_of_fitting_sizes_meet(spark):
+    """Of a list of 400 lines of 10 to 409 letters, blocks of 20 meet if some of their lines fit."""
+    sizes = random.Random(5).sample(range(10, 410), 400)
+    rows = [(7, n, size * (1 if size % 2 else -1)) for n, size in enumerate(sizes)] + [(8, 400, 9)]
+    listed = spark.createDataFrame(rows, "key int, cid bigint, size int")
+    dealt = line_dedup._by_size(listed, 20, 0.8).collect()
+    of = {(r["key"], r["cid"], r["mine"], r["lo"], r["hi"]) for r in dealt}
+    assert len(of) == len(dealt) and all(mine in (lo, hi) and lo <= hi for *_, mine, lo, hi in of)
+    places = {cid: set() for _, cid, *_ in of}
+    mine = {}
+    for key, cid, own, lo, hi in of:
+        places[cid].add((key, lo, hi))
+        mine[cid] = own
+    for x in range(400):
+        for y in range(x):
+            if abs(sizes[x] - sizes[y]) <= int(0.2 * max(sizes[x], sizes[y]) + 1e-9):
+                met = (7, *sorted((mine[x], mine[y])))
+                assert met in places[x] and met in places[y]
+    assert places[400] == {(8, 0, 0)} and max(map(len, places.values())) <= 10
+    assert len(dealt) < 3000  # 8,000 if every block met every other one
+
+
+def test_only_the_result_stays_in_the_shared_folder(spark):
+    def tables():
+        folder = shared_dir(spark).removeprefix("file:") + "/changeflow"
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    before = tables()
+    rows = [(n, f"line one two three four number {n % 50}\nand another line {n}") for n in range(200)]
+    gone = line_dedup.repeated_lines(spark, spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [name.split("-")[0] for name in tables() - before] == ["gone"]
+    assert gone.count() >= 150
+
+
+def test_shuffle_files_go_when_a_step_is_written(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def kept():
+        files = manager.getAllFiles()
+        return {name for name in (files.apply(n).getName() for n in range(files.size()))
+                if name.startswith("shuffle_")}
+
+    before = kept()
+    numbers = spark.range(10_000)
+    sums = numbers.groupBy((numbers.id % 100).alias("k")).count()
+    assert written(sums.join(sums.withColumnRenamed("count", "n"), "k"), "sums").count() == 100
+    assert spark.conf.get(SPENT) == "false"
+    # What ``count`` shuffled is one row a task; files are deleted in the background.
+    for _ in range(50):
+        if len({name.split("_")[1] for name in kept() - before}) <= 1:
+            break
+        time.sleep(0.1)
+    assert len({name.split("_")[1] for name in kept() - before}) <= 1
