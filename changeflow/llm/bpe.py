@@ -25,7 +25,7 @@ SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (
     0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-CACHED = 1 << 18  # recent chunks and pieces a worker remembers, and as many older ones, about 200 bytes each
+CACHED = 1 << 17  # recent chunks and pieces a worker remembers, and as many older ones, 200 bytes each
 FOREVER = 1 << 62
 
 
@@ -140,7 +140,7 @@ class Bpe:
                 if not ok:
                     continue
             last[end], back[end] = token, start
-        if self.fits_known > CACHED:
+        if self.fits_known > 2 * CACHED:
             self.fits_known = 0
             for fit in self.fits:
                 fit.clear()
